@@ -1,6 +1,8 @@
 """Operators of a training-data pipeline, with their registered queries and SQL.  Nothing else in the library imports this."""
 
+from quillwort.llm.simhash import op8_simhash_near_dedup
 from quillwort.llm.substring_dedup import OP6_SQL, op6_substring_dedup
+from quillwort.llm.suffix_dedup import OP7_SQL, op7_suffix_dedup
 
-QUERIES = {"op6_substring_dedup": op6_substring_dedup}
-ORACLE_SQL = {"op6_substring_dedup": OP6_SQL}
+QUERIES = {"op6_substring_dedup": op6_substring_dedup, "op7_suffix_dedup": op7_suffix_dedup, "op8_simhash_near_dedup": op8_simhash_near_dedup}
+ORACLE_SQL = {"op6_substring_dedup": OP6_SQL, "op7_suffix_dedup": OP7_SQL}

@@ -128,7 +128,7 @@ def _send_windows(n_buckets: int):
         p, k = c.anchors()
         p = p[in_sorted(k, shared)]
         ok, a, b = c.names()
-        # An anchor at p stands in the windows that start CONTEXT - ... before it; mark them all.
+        # An anchor at p has its context in the windows that start up to EDGE + REACH - 1 before it; mark them all.
         near = covered(np.maximum(p - EDGE - REACH + 1, 0), REACH, len(c.x))[: len(a)] & ok if len(p) else np.zeros(len(a), bool)
         w = np.empty(int(near.sum()), PAIR)
         w["a"], w["b"] = a[near], b[near]
