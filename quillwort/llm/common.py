@@ -126,11 +126,11 @@ def sliding(v: np.ndarray, width: int, op) -> np.ndarray:
 
 
 def minimal_places(v: np.ndarray, width: int) -> np.ndarray:
-    """True where v[p] is the least of some ``width`` places in a row that hold p.  The largest uint64 is never chosen."""
-    n, none = len(v), np.uint64(2**64 - 1)
+    """True where v[p] is the least of some ``width`` places in a row that hold p.  The type's largest value is never chosen."""
+    n, none = len(v), np.iinfo(v.dtype).max
     if n < width:
         return np.zeros(n, bool)
-    least = np.zeros(n + width - 1, np.uint64)
+    least = np.zeros(n + width - 1, v.dtype)
     least[width - 1 : n] = sliding(v, width, np.minimum)
     return (sliding(least, width, np.maximum)[:n] == v) & (v != none)
 

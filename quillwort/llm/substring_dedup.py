@@ -99,8 +99,8 @@ class Chunk:
     def anchors(self) -> tuple[np.ndarray, np.ndarray]:
         """Places of the anchors and the hashes of their contexts, which lie in one document."""
         start, name = recompressed(self.x)
-        v = np.full(len(self.x), 2**64 - 1, np.uint64)
-        v[start] = mixed(name, 11) >> np.uint64(1)
+        v = np.full(len(self.x), 2**32 - 1, np.uint32)
+        v[start] = mixed(name, 11) >> np.uint64(33)
         p = np.flatnonzero(minimal_places(v, REACH))
         since, room = p - np.repeat(self.starts, self.lens)[p], self.room()[p]
         p = p[(since >= EDGE) & (room >= CONTEXT - EDGE)]

@@ -39,8 +39,10 @@ TRIGGER = 24
 REACH = LENGTH - TRIGGER + 1
 #: Bytes of a dictionary phrase: those of all strings around its trigger.
 PHRASE = LENGTH + REACH - 1
-ROWS_PER_CHUNK = 1000
-SLICE = 50_000
+ROWS_PER_CHUNK = 500
+SLICE = 20_000
+#: Buckets of the phrase exchange for each shuffle partition: phrases are wide, a bucket must fit in a Python worker.
+PHRASE_BUCKETS = 4
 _B = 0x9E3779B97F4A7C15
 ENTRY = np.dtype([("key", "<u8"), ("lo", "u1"), ("hi", "u1"), ("bytes", "u1", (PHRASE,))])
 MASK = np.dtype([("name", "<u8"), ("mask", "<u4")])
@@ -93,7 +95,7 @@ class Chunk:
         if len(self.x) < LENGTH:
             return (np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64))
         v = rolling(self.x, TRIGGER)
-        p = np.flatnonzero(minimal_places(v, REACH))
+        p = np.flatnonzero(minimal_places((v >> np.uint64(33)).astype(np.uint32), REACH))
         doc = np.searchsorted(self.ends, p, side="right")
         ok = (p + TRIGGER <= self.ends[doc]) & (self.lens[doc] >= LENGTH)
         p, doc = p[ok], doc[ok]
@@ -140,33 +142,40 @@ def _send_phrases(n_buckets: int):
     return send
 
 
+def _masks(e: np.ndarray, chunk: np.ndarray) -> np.ndarray:
+    """For phrases sorted by key and chunk: the bit mask of the 50-byte strings that an earlier chunk has too."""
+    mask = np.zeros(len(e), np.uint32)
+    group = np.cumsum(np.r_[True, e["key"][1:] != e["key"][:-1]])
+    h = np.ascontiguousarray(rolling(e["bytes"], LENGTH, axis=1).T)
+    for j in range(REACH):
+        at = np.flatnonzero((e["lo"] <= j) & (j < e["hi"]))
+        o = at[np.lexsort((chunk[at], h[j][at], group[at]))]
+        if len(o) < 2:
+            continue
+        same = (group[o][1:] == group[o][:-1]) & (h[j][o][1:] == h[j][o][:-1])
+        q = np.flatnonzero(same)  # no hash decides
+        same[q] = (e["bytes"][o[q]][:, j : j + LENGTH] == e["bytes"][o[q + 1]][:, j : j + LENGTH]).all(1)
+        head = np.maximum.accumulate(np.where(np.r_[True, ~same], np.arange(len(o)), 0))
+        mask[o[chunk[o] > chunk[o[head]]]] |= np.uint32(1 << j)
+    return mask
+
+
 def _earlier_suffixes(key: Key, t: pa.Table) -> pa.Table:
     """Reducer: sorts the 50-byte suffixes of the bucket's dictionary; a phrase's mask has the strings of earlier chunks."""
     z = zstandard.ZstdDecompressor()
     parts = [np.frombuffer(z.decompress(b), ENTRY) for b in t.column("blob").to_pylist()]
     chunk = np.repeat(np.asarray(t.column("chunk").to_pylist(), np.int64), [len(p) for p in parts])
     e = np.concatenate(parts) if parts else np.zeros(0, ENTRY)
-    # A phrase that an earlier chunk has whole needs no comparing by string; the others are few.
     order = np.lexsort((chunk, e["key"]))
     e, chunk = e[order], chunk[order]
     mask = np.zeros(len(e), np.uint32)
-    group = np.cumsum(np.r_[True, e["key"][1:] != e["key"][:-1]]) if len(e) else np.zeros(0, int)
-    h = np.empty((REACH, len(e)), np.uint64)
-    for i in range(0, len(e), SLICE):
-        h[:, i : i + SLICE] = rolling(e["bytes"][i : i + SLICE], LENGTH, axis=1).T
-    for j in range(REACH):
-        at = np.flatnonzero((e["lo"] <= j) & (j < e["hi"]))
-        o = at[np.lexsort((chunk[at], h[j][at], group[at]))]
-        if len(o) < 2:
-            continue
-        same = (group[o][1:] == group[o][:-1]) & (h[j][o][1:] == h[j][o][:-1])
-        pairs = np.flatnonzero(same)
-        for i in range(0, len(pairs), SLICE):  # no hash decides
-            q = pairs[i : i + SLICE]
-            same[q] = (e["bytes"][o[q]][:, j : j + LENGTH] == e["bytes"][o[q + 1]][:, j : j + LENGTH]).all(1)
-        head = np.maximum.accumulate(np.where(np.r_[True, ~same], np.arange(len(o)), 0))
-        later = chunk[o] > chunk[o[head]]
-        mask[o[later]] |= np.uint32(1 << j)
+    heads = np.flatnonzero(np.r_[True, e["key"][1:] != e["key"][:-1]]) if len(e) else np.zeros(0, np.int64)
+    lo = 0
+    while lo < len(e):  # whole keys, about SLICE phrases at a time
+        nxt = np.searchsorted(heads, lo + SLICE)
+        hi = int(heads[nxt]) if nxt < len(heads) else len(e)
+        mask[lo:hi] = _masks(e[lo:hi], chunk[lo:hi])
+        lo = hi
     some = np.flatnonzero(mask)
     out = np.empty(len(some), MASK)
     out["mask"] = mask[some]
@@ -239,7 +248,7 @@ def suffix_dedup(docs: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK, with_tex
     chunked = docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text").withColumn("chunk", id_chunk(docs, "doc_id", rows_per_chunk))
     sent = chunked.groupBy("chunk").applyInArrow(_send_triggers(n), PACKED_DDL)
     shared = sent.groupBy("bucket").applyInArrow(shared_keys, PACKED_DDL)
-    phrases = chunked.groupBy("chunk").cogroup(shared.groupBy("chunk")).applyInArrow(_send_phrases(n), PACKED_DDL)
+    phrases = chunked.groupBy("chunk").cogroup(shared.groupBy("chunk")).applyInArrow(_send_phrases(n * PHRASE_BUCKETS), PACKED_DDL)
     earlier = phrases.groupBy("bucket").applyInArrow(_earlier_suffixes, PACKED_DDL)
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept_bytes binary" * with_text
     return chunked.groupBy("chunk").cogroup(earlier.groupBy("chunk")).applyInArrow(_cut(with_text), schema)
