@@ -1,0 +1,242 @@
+"""Registered queries of the curation engine over the parquet tables, with the DuckDB SQL of each."""
+
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quillwort.functions import text as T
+from quillwort.operators import curation as C
+from quillwort.operators import ledger as L
+from quillwort.operators import retrieval as R
+from quillwort.sources.views import load, with_views
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+ORACLE_SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None):
+    def add(f):
+        QUERIES[f.__name__] = f
+        if sql:
+            ORACLE_SQL[f.__name__] = with_views(sql)
+        return f
+
+    return add
+
+
+def _checkpoint(spark: SparkSession):
+    def cut(df: DataFrame) -> DataFrame:
+        if not spark.sparkContext.getCheckpointDir():
+            spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or "/tmp/quillwort-checkpoints")
+        return df.checkpoint()
+
+    return cut
+
+
+_STOP = "(" + ",".join(f"'{w}'" for w in T.SEARCH_STOPWORDS) + ")"
+_RUNS = r"list_filter(regexp_extract_all(lower({0}), '[\p{{L}}\p{{N}}]+'), lambda t: t NOT IN " + _STOP + ")"
+
+
+@query(f"""
+WITH c AS (SELECT card_id, {_RUNS.format("concat_ws(' ', title, description, card_id)")} AS w FROM cards WHERE type = 'concept'),
+q AS (SELECT item_id AS qid, unnest(list_distinct({_RUNS.format("left(text, 160)")})) AS term FROM benchmark),
+tf AS (SELECT term, card_id, count(*) AS tf FROM (SELECT card_id, unnest(w) AS term FROM c) GROUP BY ALL),
+df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
+s AS (SELECT qid, card_id, round(sum((ln((1e0 + (SELECT count(*) FROM c)) / (1e0 + df)) + 1e0) * (1e0 + ln(tf::DOUBLE))), 6) AS score FROM q JOIN tf USING (term) JOIN df USING (term) GROUP BY qid, card_id)
+SELECT * FROM (SELECT qid, card_id, score, row_number() OVER (PARTITION BY qid ORDER BY score DESC, card_id)::INT AS place FROM s WHERE score > 0) WHERE place <= 20""")
+def rank_concepts(spark, sf):
+    asked = load(spark, sf, "benchmark").select(F.col("item_id").alias("qid"), F.expr("left(text, 160)").alias("query"))
+    return R.rank_concepts(asked, R.searchable(load(spark, sf, "cards")))
+
+
+@query("""
+SELECT card_id, title, score FROM (SELECT card_id, title, ((contains(h, 'the'))::INT + (contains(h, 'ation'))::INT + (contains(h, 'p1/'))::INT)::INT AS score FROM (
+  SELECT card_id, title, lower(concat_ws(' ', title, description, card_id)) AS h FROM cards)) WHERE score > 0 ORDER BY score DESC, card_id LIMIT 20""")
+def search_objects(spark, sf):
+    return R.search_objects(load(spark, sf, "cards"), "the ation p1/")
+
+
+_LINK = "list_distinct(list_filter(list_transform(regexp_extract_all(lower({0}), '[a-z0-9]+'), lambda t: CASE WHEN length(t) > 4 AND suffix(t, 's') AND NOT suffix(t, 'ss') THEN t[:-2] ELSE t END), lambda t: length(t) > 2 AND t NOT IN " + _STOP + "))"
+
+
+@query(f"""
+WITH tg AS (SELECT card_id, unnest({_LINK.format("concat_ws(' ', title, replace(card_id, '/', ' '))")}) AS t FROM cards WHERE type = 'concept'),
+idf AS (SELECT t, ln(((SELECT count(DISTINCT card_id) FROM tg) + 1e0) / (count(*) + 1e0)) + 1e0 AS idf FROM tg GROUP BY t),
+wt AS (SELECT card_id, t, idf FROM tg JOIN idf USING (t)),
+mass AS (SELECT card_id, sum(idf) AS mass FROM wt GROUP BY card_id),
+e AS (SELECT ticket_id AS entry_id, unnest({_LINK.format("subject")}) AS t FROM tickets),
+g AS (SELECT entry_id, card_id, sum(idf) AS hit, count(*) AS n_shared FROM e JOIN wt USING (t) GROUP BY ALL HAVING count(*) >= 2),
+s AS (SELECT entry_id, card_id, n_shared, round(hit / mass, 6) AS score FROM g JOIN mass USING (card_id))
+SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY entry_id ORDER BY score DESC, card_id)::INT AS place FROM s WHERE score >= 0.30) WHERE place <= 3""")
+def suggest_links(spark, sf):
+    return R.suggest_links(load(spark, sf, "tickets").select(F.col("ticket_id").alias("entry_id"), F.col("subject").alias("query")), load(spark, sf, "cards"))
+
+
+@query("""
+WITH info AS (SELECT card_id, regime FROM cards WHERE type NOT IN ('memory', 'issue')),
+r AS (SELECT ord AS request_id, card_id AS seed FROM cards WHERE ord % 10 = 0),
+l0 AS (SELECT request_id, seed AS card_id, regime, 1 AS place FROM r JOIN info ON info.card_id = r.seed),
+n AS (SELECT l0.request_id, e.dst, min(e.pos) AS pos FROM l0 JOIN edges e ON e.src = l0.card_id JOIN info ON info.card_id = e.dst
+  WHERE (l0.regime IS NULL OR info.regime IS NULL OR l0.regime = info.regime) AND e.dst <> l0.card_id GROUP BY ALL)
+SELECT request_id, card_id, place::INT AS place FROM l0
+UNION ALL SELECT request_id, dst, (1 + row_number() OVER (PARTITION BY request_id ORDER BY pos))::INT FROM n""")
+def resolve_bundles(spark, sf):
+    cards = load(spark, sf, "cards")
+    asked = cards.where("ord % 10 = 0").select(F.col("ord").alias("request_id"), F.col("card_id").alias("seed"), F.lit(0).alias("seed_pos"))
+    return R.resolve_bundles(asked, cards, load(spark, sf, "edges"))
+
+
+@query("SELECT card_id, title, product, type, regime, client FROM cards WHERE type <> 'correction' AND NOT (type IN ('memory', 'issue') AND client IS DISTINCT FROM 'client1')")
+def list_concepts(spark, sf):
+    return R.list_concepts(load(spark, sf, "cards"), "client1")
+
+
+@query("SELECT sha256(text) AS sha, count(*) AS n, min(doc_id) AS keep, sum(doc_id)::BIGINT AS id_sum FROM documents GROUP BY text HAVING count(*) > 1")
+def exact_duplicates(spark, sf):
+    return C.exact_duplicates(load(spark, sf, "documents"))
+
+
+@query(f"""
+WITH t AS (SELECT ticket_id, sha256(concat_ws('|', client, lower(trim(subject)), lower(trim(description)))) AS h,
+  CASE WHEN regexp_matches(concat_ws(' ', subject, description), '{C.NOISE}') THEN 'noise-pattern' WHEN thread_chars < 120 THEN 'thin-content' WHEN n_agent = 0 THEN 'no-diagnosis' ELSE 'keep' END AS alone FROM tickets)
+SELECT ticket_id, CASE WHEN ticket_id > min(CASE WHEN alone = 'keep' THEN ticket_id END) OVER (PARTITION BY h) THEN 'duplicate' ELSE alone END AS verdict FROM t""")
+def ticket_verdicts(spark, sf):
+    return C.ticket_verdicts(load(spark, sf, "tickets"))
+
+
+@query("""
+WITH p AS (SELECT p_partkey AS pos, concat(p_brand, '/', (p_size % 7)::VARCHAR) AS stem, ['doc', 'docx', 'xls', 'xlsx', 'xsd'][p_partkey % 5 + 1] AS ext FROM part),
+f AS (SELECT *, CASE WHEN ext IN ('doc', 'docx') THEN 'word' WHEN ext IN ('xls', 'xlsx') THEN 'xls' ELSE ext END AS family, CASE ext WHEN 'docx' THEN 1 WHEN 'doc' THEN 3 WHEN 'xlsx' THEN 7 WHEN 'xls' THEN 8 ELSE 99 END AS rank FROM p)
+SELECT pos, stem, ext, family, row_number() OVER w = 1 AS kept, first_value(pos) OVER w AS kept_pos FROM f WINDOW w AS (PARTITION BY stem, family ORDER BY rank, pos)""")
+def format_variants(spark, sf):
+    part = load(spark, sf, "part")
+    exts = F.array(*map(F.lit, ("doc", "docx", "xls", "xlsx", "xsd")))
+    return C.format_variants(part.select(F.col("p_partkey").alias("pos"), F.concat_ws("/", "p_brand", (F.col("p_size") % 7).cast("string")).alias("stem"), F.element_at(exts, (F.col("p_partkey") % 5 + 1).cast("int")).alias("ext")))
+
+
+@query("""
+WITH b AS (SELECT p_partkey AS pos, concat(trim(regexp_replace(lower(p_brand), '[^a-z0-9]+', '-', 'g'), '-'), '-', trim(regexp_replace(lower(p_type), '[^a-z0-9]+', '-', 'g'), '-')) AS base FROM part),
+n AS (SELECT *, row_number() OVER (PARTITION BY base ORDER BY pos) AS n FROM b) SELECT pos, CASE WHEN n = 1 THEN base ELSE concat(base, '-', n::VARCHAR) END AS slug FROM n""")
+def assign_slugs(spark, sf):
+    return C.assign_slugs(load(spark, sf, "part").select(F.col("p_partkey").alias("pos"), F.col("p_brand").alias("product"), F.col("p_type").alias("name")))
+
+
+@query("SELECT base, version, path FROM (SELECT p_brand AS base, p_size::VARCHAR AS version, p_name AS path, row_number() OVER (PARTITION BY p_brand ORDER BY p_size::VARCHAR DESC, p_name) AS n FROM part) WHERE n = 1")
+def newest_documents(spark, sf):
+    return C.newest(load(spark, sf, "part").select(F.col("p_brand").alias("base"), F.col("p_size").cast("string").alias("version"), F.col("p_name").alias("path")))
+
+
+@query("SELECT product, coalesce(regime, 'none') AS regime, count(*) AS n FROM cards GROUP BY ALL")
+def corpus_gauges(spark, sf):
+    return C.corpus_gauges(load(spark, sf, "cards"))
+
+
+@query("SELECT corrects, string_agg(card_id, ',' ORDER BY ord) AS corrections, count(*) AS n FROM cards WHERE type = 'correction' AND status = 'approved' GROUP BY corrects")
+def corrections_by_target(spark, sf):
+    return C.corrections_by_target(load(spark, sf, "cards"))
+
+
+@query("SELECT e.src, e.dst, a.regime AS a, b.regime AS b FROM edges e JOIN cards a ON a.card_id = e.src JOIN cards b ON b.card_id = e.dst WHERE a.regime <> b.regime")
+def cross_facet_edges(spark, sf):
+    return C.cross_facet_edges(load(spark, sf, "cards"), load(spark, sf, "edges"))
+
+
+@query("SELECT src, dst, pos FROM edges e WHERE NOT EXISTS (SELECT 1 FROM cards c WHERE c.card_id = e.dst)")
+def dangling_edges(spark, sf):
+    return C.dangling_edges(load(spark, sf, "cards"), load(spark, sf, "edges"))
+
+
+@query("""
+WITH c AS (SELECT card_id, corrects, status FROM cards WHERE type = 'correction')
+SELECT card_id, 'dangling' AS finding FROM c WHERE corrects NOT IN (SELECT card_id FROM cards)
+UNION ALL SELECT card_id, 'corrects a correction' FROM c WHERE corrects IN (SELECT card_id FROM c)
+UNION ALL SELECT min(card_id), 'several live' FROM c WHERE status = 'approved' GROUP BY corrects HAVING count(*) > 1""")
+def correction_findings(spark, sf):
+    return C.correction_findings(load(spark, sf, "cards"))
+
+
+@query("""
+WITH m AS (SELECT card_id, client, ord // 400 AS tag FROM cards WHERE type = 'memory')
+SELECT DISTINCT a.client, a.card_id AS a, b.card_id AS b FROM m a JOIN m b ON a.client = b.client AND a.tag = b.tag AND a.card_id < b.card_id""")
+def conflict_candidates(spark, sf):
+    return C.conflict_candidates(load(spark, sf, "cards").where("type = 'memory'").select("card_id", "client", F.floor(F.col("ord") / 400).alias("tag")))
+
+
+@query("""
+WITH RECURSIVE s AS (SELECT src, dst FROM edges WHERE pos = 1),
+r(a, b) AS (SELECT src, dst FROM s UNION SELECT r.a, s.dst FROM r JOIN s ON s.src = r.b),
+loops AS (SELECT DISTINCT a FROM r WHERE a = b)
+SELECT DISTINCT a AS node FROM r WHERE b IN (SELECT a FROM loops)""")
+def supersedes_cycles(spark, sf):
+    return C.cyclic_nodes(load(spark, sf, "edges").where("pos = 1"), _checkpoint(spark))
+
+
+@query("""
+WITH l AS (SELECT p_brand AS tab, p_type AS col, min(p_size) AS pos, min(p_name) AS type FROM part WHERE p_partkey % 2 = 0 GROUP BY ALL),
+r AS (SELECT p_brand AS tab, p_type AS col, min(p_size) AS pos, min(p_name) AS type FROM part WHERE p_partkey % 2 = 1 GROUP BY ALL)
+SELECT coalesce(l.tab, r.tab) AS tab, coalesce(l.col, r.col) AS col, coalesce(l.pos, r.pos + 1000) AS pos, l.type AS type_oracle, r.type AS type_db2 FROM l FULL JOIN r ON l.tab = r.tab AND l.col = r.col""")
+def reconcile_columns(spark, sf):
+    side = lambda k: load(spark, sf, "part").where(f"p_partkey % 2 = {k}").groupBy(F.col("p_brand").alias("tab"), F.col("p_type").alias("col")).agg(F.min("p_size").alias("pos"), F.min("p_name").alias("type"))
+    return C.reconcile_columns(side(0), side(1))
+
+
+@query("""
+SELECT l_orderkey % 500 AS name, arg_min(l_shipdate::DATE::VARCHAR, o) AS module, arg_max(l_partkey, o) FILTER (kind <> 'body') AS spec, arg_max(l_partkey, o) FILTER (kind = 'body') AS body
+FROM (SELECT *, (l_orderkey * 10 + l_linenumber) * 1000000 + l_partkey AS o, CASE WHEN l_linenumber % 2 = 0 THEN 'body' ELSE 'spec' END AS kind FROM lineitem) GROUP BY ALL""")
+def package_units(spark, sf):
+    u = load(spark, sf, "lineitem").select((F.col("l_orderkey") % 500).alias("name"), F.when(F.col("l_linenumber") % 2 == 0, "body").otherwise("spec").alias("kind"), F.to_date("l_shipdate").cast("string").alias("module"), F.col("l_partkey").alias("body"), ((F.col("l_orderkey") * 10 + F.col("l_linenumber")) * 1000000 + F.col("l_partkey")).alias("ord"))
+    return C.package_units(u)
+
+
+@query("SELECT split_part(url, '/', 4) AS ext, count(*) AS n, sum(length(html))::BIGINT AS bytes, 0::BIGINT AS errors FROM pages GROUP BY 1 ORDER BY n DESC, ext LIMIT 15")
+def inventory_stats(spark, sf):
+    return C.inventory_stats(load(spark, sf, "pages").select(F.split_part("url", F.lit("/"), F.lit(4)).alias("ext"), F.length("html").cast("long").alias("size")))
+
+
+@query("SELECT count(*) AS n, count(*) FILTER (quality = 1) AS correct, count(*) FILTER (toxic = 1) AS leaked, count(*) FILTER (quality IS NULL) AS empty, bool_or(toxic = 1) AS failed FROM labels")
+def eval_aggregate(spark, sf):
+    return C.eval_aggregate(load(spark, sf, "labels"))
+
+
+@query("SELECT product, count(*) AS n, sha256(string_agg('- ' || card_id, chr(10) ORDER BY card_id)) AS page_sha FROM cards WHERE type <> 'correction' GROUP BY product")
+def index_pages(spark, sf):
+    return C.index_pages(load(spark, sf, "cards"))
+
+
+@query("SELECT c.o_custkey AS owner, count(*) AS n, count(*) FILTER (o_orderstatus = 'O') AS \"open\", max(o_orderdate) AS updated_at FROM orders c GROUP BY 1")
+def objectives_by_owner(spark, sf):
+    return L.owner_totals(load(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), F.col("o_custkey").alias("owner"), F.col("o_orderstatus").alias("status"), F.col("o_orderdate").alias("at")))
+
+
+@query("SELECT user_id AS owner, event_type AS kind, count(*) AS n, max(event_id) AS newest FROM events GROUP BY ALL")
+def ledger_entries(spark, sf):
+    return L.entry_kinds(load(spark, sf, "events").select(F.col("user_id").alias("owner"), F.col("event_type").alias("kind"), F.col("event_id").alias("seq")))
+
+
+@query("SELECT event_id AS seq, user_id AS owner FROM events WHERE contains(lower(props), '1') ORDER BY event_id DESC LIMIT 20")
+def recall_memories(spark, sf):
+    return L.recall(load(spark, sf, "events").select(F.col("event_id").alias("seq"), F.col("user_id").alias("owner"), F.col("props").alias("text")), "1")
+
+
+@query(None)
+def scrub_personal_data(spark, sf):
+    """Phone patterns look around, which DuckDB's expressions cannot: tested against Python."""
+    docs = load(spark, sf, "documents")
+    return docs.select("doc_id", T.scrub("text").alias("scrubbed"), F.array_join(T.leak_kinds("text"), ",").alias("kinds")).where("kinds <> ''")
+
+
+@query(r"""
+WITH s AS (SELECT doc_id, text, regexp_replace(regexp_replace(regexp_replace(regexp_replace(text, '(?m)^\s*Page \d+ of \d+\s*$', '', 'g'), '(?mi)^\s*(©|\(c\)|Copyright).*\d{4}.*$', '', 'g'), '(?mi)^.*All Rights Reserved.*$', '', 'g'), '(?m)^\.{3,}\d+$', '', 'g') AS t FROM documents)
+SELECT doc_id, length(text)::INT AS before, length(regexp_replace(regexp_replace(t, '\n{3,}', chr(10) || chr(10), 'g'), '^\s+|\s+$', '', 'g'))::INT AS after FROM s""")
+def strip_boilerplate(spark, sf):
+    return load(spark, sf, "documents").select("doc_id", F.length("text").alias("before"), F.length(T.strip_boilerplate("text")).alias("after"))
+
+
+@query(r"""
+SELECT page_id, CASE WHEN n >= 100 THEN 'text' WHEN img >= 0.5 THEN 'vision' ELSE 'text' END AS tier FROM (
+  SELECT page_id, length(regexp_replace(html, '<[^>]*>', '', 'g')) / 20e0 AS n, (page_id % 3) / 2e0 AS img FROM pages)""")
+def route_tiers(spark, sf):
+    return load(spark, sf, "pages").select("page_id", T.tier(F.length(F.regexp_replace("html", "<[^>]*>", "")) / F.lit(20.0), (F.col("page_id") % 3) / F.lit(2.0)).alias("tier"))
