@@ -44,6 +44,8 @@ SCALE = 100.0
 NEUTRAL = 2
 #: Weight of the clean words as texts, against 1 for all the sample's texts.
 SINGLE = 1.0
+#: Weight of the empty text as a clean one.
+EMPTY = 0.2
 WORD = re.compile(r"[^\W_]+(?:['-][^\W_]+)*")
 
 
@@ -145,7 +147,9 @@ def train(sample: list[tuple[int, int, dict[str, int]]]) -> tuple[np.ndarray, fl
         pw /= pw.sum(1, keepdims=True)
         dzw = (pw - [1.0, 0.0]) * alone
         dword = dword + SCALE * dzw @ W.T
-        adam.step(segment_sums(g, BUCKETS, dword[owner] * share[:, None]) + DECAY * E, doc.T @ dz + SCALE * word.T @ dzw + DECAY * W, dz.sum(0) + dzw.sum(0))
+        pe = 1 / (1 + np.exp(b[0] - b[1]))  # the empty text is clean
+        de = EMPTY * np.array([-pe, pe])
+        adam.step(segment_sums(g, BUCKETS, dword[owner] * share[:, None]) + DECAY * E, doc.T @ dz + SCALE * word.T @ dzw + DECAY * W, dz.sum(0) + dzw.sum(0) + de)
     return SCALE * E @ (W[:, 1] - W[:, 0]), float(b[1] - b[0])
 
 

@@ -119,7 +119,8 @@ def test_simhash_links_and_components(spark, group):
 def test_simhash_edges(spark):
     got = simhash.simhash_groups(docs(spark, edge_rows())).collect()
     assert len(got) == len(edge_rows())
-    assert {r["component_id"] for r in got if r["doc_id"] in (62, 63)} == {62} and {r["fp"] for r in got if r["doc_id"] in (62, 63)} == {0}
+    empty = {i for i, t, _ in edge_rows() if not (t or "").split()}
+    assert {(r["fp"], r["component_id"]) for r in got if r["doc_id"] in empty} == {(0, min(empty))}
 
 
 def test_masks_miss_no_overlap():
@@ -190,7 +191,7 @@ def test_warc_round_trip(spark, tmp_path):
     assert {r["payload_digest"] for r in got if r["payload_bytes"] == 4} == {warc.digest(b"same")}
 
 
-def labelled(spark, n=240):
+def labelled(spark, n=900):
     rng = random.Random(1)
     good, bad = [f"word{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(120)], ["nastyword", "vilething", "scumbagged"]
     rows = [(k, " ".join(rng.choices(good, k=30) + (rng.choices(bad, k=3) if k % 3 == 0 else [])), "s") for k in range(n)]
@@ -199,17 +200,17 @@ def labelled(spark, n=240):
 
 def test_toxicity_held_out_and_misspelt(spark):
     rows, labels = labelled(spark)
-    extra = [(1000, "worda nastywordd wordb nastyw0rd vilethingg", "s"), (1001, None, "s"), (1002, "", "s"), (None, "plain", "s")]
+    extra = [(9000, "worda nastywordd wordb nastyw0rd vilethingg", "s"), (9001, None, "s"), (9002, "", "s"), (None, "plain", "s")]
     got = {r["doc_id"]: r for r in toxicity.toxicity(docs(spark, rows + extra), labels).collect()}
-    held = [r for r in got.values() if r["held_out"] and r["doc_id"] < 1000]
+    held = [r for r in got.values() if r["held_out"] and r["doc_id"] < 9000]
     assert np.mean([r["predicted"] == int(r["doc_id"] % 3 == 0) for r in held]) > 0.95
-    assert got[1000]["score"] > 0.5 > got[1001]["score"] and got[1001]["score"] == got[1002]["score"]
+    assert got[9000]["score"] > 0.5 > got[9001]["score"] and got[9001]["score"] == got[9002]["score"]
 
 
 def test_quality_held_out(spark):
     rows, labels = labelled(spark)
-    got = [r for r in quality.quality(docs(spark, rows + [(1001, None, "s"), (None, "x", "s")]), labels).collect()]
-    held = [r for r in got if r["held_out"] and r["doc_id"] < 1000]
+    got = [r for r in quality.quality(docs(spark, rows + [(9001, None, "s"), (None, "x", "s")]), labels).collect()]
+    held = [r for r in got if r["held_out"] and r["doc_id"] < 9000]
     assert np.mean([r["predicted"] == int(r["doc_id"] % 3 != 0) for r in held]) > 0.85
     ids, x = quality.features("a B c. a | 1")
     v = np.random.default_rng(0).normal(size=(len(quality.STATISTICS) + quality.BUCKETS, 3))
