@@ -9,9 +9,9 @@ of the two masks fits between them somewhere, so no such overlap is missed (test
 hashes under the masks are made for every word place of both sides and joined; at each hit the item is laid over the
 text on the hit's alignment and verified word by word.
 
-The benchmark side is broadcast if its seeds number at most ``BROADCAST_SEEDS`` (counted first); the text's words are then
-verified where they are, without any shuffle of texts.  A larger benchmark is joined by shuffled seeds, and only texts
-with hits are joined again.  Items of equal text are one item (the smallest id).
+The benchmark side is broadcast if its seeds number at most ``BROADCAST_SEEDS`` (counted first) and joined by shuffling
+otherwise.  A word place carries its key and its document's id, never the text; hits are reduced to distinct alignments,
+and only texts with hits are met again, by a join on document, to be verified.  Items of equal text are one item (the smallest id).
 
 Null text or item: no words, never found.  Null doc_id is kept.  Rows equal in doc_id and text give one result row.
 Empty tables give empty results; other columns are ignored.
@@ -22,7 +22,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillwort.llm.common import table
+from quillwort.llm.common import checkpointed, table
 
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 WINDOW = 13
@@ -35,18 +35,20 @@ def hashed_words(text: Column) -> Column:
     return F.transform(F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(WORD), F.lit(0)), lambda w: F.xxhash64(w))
 
 
-def _seed(h: str, salt: Column, mask: tuple[int, ...]):
-    return lambda i: F.struct(F.xxhash64(salt, *[F.get(F.col(h), i + o) for o in mask]).alias("key"), i.alias("at"))
+def _keys(h: str, salt: int, mask: tuple[int, ...]) -> Column:
+    return F.transform(F.col(h), lambda w, i: F.when(i + mask[-1] < F.size(h), F.xxhash64(F.lit(salt), w, *[F.get(F.col(h), i + o) for o in mask[1:]])))
 
 
-def seeds(h: str, short: list[int]) -> Column:
-    """Array of struct(key, at): the hash under each mask at each place; ``short`` adds masks of so many words in a row."""
-    parts = []
-    for m, mask in enumerate([*MASKS, *(tuple(range(n)) for n in short)]):
-        room = F.size(h) - mask[-1]
-        salt = F.lit(m if m < len(MASKS) else -len(mask))
-        parts.append(F.when(room > 0, F.transform(F.sequence(F.lit(0), room - 1), _seed(h, salt, mask))).otherwise(F.array().cast("array<struct<key:bigint,at:int>>")))
-    return F.flatten(F.array(*parts))
+def with_seeds(words: DataFrame, h: str, at: str, short: list[int], keep: list[str]) -> DataFrame:
+    """A row for each word place and mask: ``at`` and ``key``, the hash under the mask; ``short`` adds masks of so many
+    words in a row.  Only the ``keep`` columns are carried along: a row must not hold its text's words.
+    """
+    masks = [*enumerate(MASKS), *((-n, tuple(range(n))) for n in short)]
+    arrays = words.select(*keep, F.size(h).alias("_n"), F.concat(*[_keys(h, salt, mask) for salt, mask in masks]).alias("_k"))
+    # The outer form: from the inner one the optimizer infers a filter on the array's size, and pushing that below the
+    # projections writes out the whole word-splitting expression at each use of h.
+    rows = arrays.select(*keep, "_n", F.posexplode_outer("_k").alias("_p", "key")).where("key is not null")
+    return rows.select(*keep, "key", F.pmod("_p", "_n").alias(at))
 
 
 def overlap(h: str, bh: str, d: Column) -> Column:
@@ -64,16 +66,16 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     items = items.select("item_id", hashed_words(F.col("text")).alias("bh")).where(F.size("bh") > 0)
     spans = max(m[-1] for m in MASKS) + 1
     short = [r[0] for r in items.where(F.size("bh") < spans).select(F.size("bh")).distinct().orderBy(F.size("bh")).collect()]  # at most 8 numbers
-    wanted = items.withColumn("s", F.explode(seeds("bh", short))).select(F.col("s.key").alias("key"), F.col("s.at").alias("j"), "item_id", "bh")
+    wanted = with_seeds(items, "bh", "j", short, ["item_id"])
     texts = docs.select(docs["doc_id"].cast("long").alias("doc_id"), F.xxhash64("text").alias("tie"), "text")
-    words = texts.select("doc_id", "tie", hashed_words(F.col("text")).alias("h")).where(F.size("h") > 0)
-    placed = words.withColumn("s", F.explode(seeds("h", short))).select("doc_id", "tie", "h", F.col("s.key").alias("key"), F.col("s.at").alias("i"))
-    if wanted.count() <= BROADCAST_SEEDS:
-        hits = placed.join(F.broadcast(wanted), "key").select("doc_id", "tie", "h", "item_id", "bh", (F.col("i") - F.col("j")).alias("d"))
-    else:
-        found = placed.drop("h").join(wanted.drop("bh"), "key").select("doc_id", "tie", "item_id", (F.col("i") - F.col("j")).alias("d")).distinct()
-        again = words.dropDuplicates(["doc_id", "tie"])
-        hits = found.join(again, found["doc_id"].eqNullSafe(again["doc_id"]) & (found["tie"] == again["tie"])).drop(again["doc_id"], again["tie"]).join(items, "item_id")
+    words = texts.select("doc_id", "tie", hashed_words(F.col("text")).alias("h"))
+    few = wanted.count() <= BROADCAST_SEEDS
+    met = with_seeds(words, "h", "i", short, ["doc_id", "tie"]).join(F.broadcast(wanted) if few else wanted, "key")
+    found = checkpointed(met.select("doc_id", "tie", "item_id", (F.col("i") - F.col("j")).alias("d")).distinct())
+    # Texts with hits only are cut into words again and verified.
+    hit = found.select("doc_id", "tie").distinct()
+    again = texts.join(hit, texts["doc_id"].eqNullSafe(hit["doc_id"]) & (texts["tie"] == hit["tie"]), "left_semi").dropDuplicates(["doc_id", "tie"]).select("doc_id", "tie", hashed_words(F.col("text")).alias("h"))
+    hits = found.join(again, found["doc_id"].eqNullSafe(again["doc_id"]) & (found["tie"] == again["tie"])).drop(again["doc_id"], again["tie"]).join(items, "item_id")
     scored = hits.select("doc_id", "tie", "item_id", overlap("h", "bh", F.col("d")).alias("score")).where("score > 0")
     return scored.groupBy("doc_id", "tie", "item_id").agg(F.max("score").alias("score"))
 
