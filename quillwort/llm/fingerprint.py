@@ -32,6 +32,8 @@ from quillwort.llm.common import WORD_CLASS, id_chunk, table
 EQUAL = 8
 ALIKE = 128
 ROWS_PER_CHUNK = 2000
+#: Chunk tops (two numbers each) are broadcast up to so many; beyond, they are joined by shuffling.
+BROADCAST_CHUNKS = 200_000
 _M32 = (1 << 32) - 1
 _M16 = (1 << 16) - 1
 _PAIR = (1 << 32) + 1
@@ -106,7 +108,8 @@ def with_next(docs: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK) -> tuple[Da
     rows = base.select("pid", "doc_id", "text", F.row_number().over(w).alias("rn"), F.lead("text").over(w).alias("after"))
     # First texts: the largest id of each chunk from an id-only pass, then those rows.
     tops = base.groupBy("pid").agg(F.max("doc_id").alias("top"))
-    first = base.withColumnRenamed("pid", "p").join(tops, (F.col("p") == F.col("pid")) & F.col("doc_id").eqNullSafe(F.col("top"))).groupBy("pid").agg(F.min("text").alias("head"))
+    few = tops.count() <= BROADCAST_CHUNKS
+    first = base.withColumnRenamed("pid", "p").join(F.broadcast(tops) if few else tops, (F.col("p") == F.col("pid")) & F.col("doc_id").eqNullSafe(F.col("top"))).groupBy("pid").agg(F.min("text").alias("head"))
     every = tops.select("pid")
     follow = every.select("pid", F.coalesce(F.lead("pid").over(W.orderBy(F.desc("pid"))), F.max("pid").over(W.partitionBy(F.lit(0)))).alias("to"))
     heads = follow.join(first.withColumnRenamed("pid", "to"), "to").select("pid", "head")
