@@ -42,13 +42,13 @@ _RUNS = r"list_filter(regexp_extract_all(lower({0}), '[\p{{L}}\p{{N}}]+'), lambd
 
 @query(f"""
 WITH c AS (SELECT card_id, {_RUNS.format("concat_ws(' ', title, description, card_id)")} AS w FROM cards WHERE type = 'concept'),
-q AS (SELECT item_id AS qid, unnest(list_distinct({_RUNS.format("left(text, 160)")})) AS term FROM benchmark),
+q AS (SELECT item_id AS qid, unnest(list_distinct({_RUNS.format("text")})) AS term FROM benchmark),
 tf AS (SELECT term, card_id, count(*) AS tf FROM (SELECT card_id, unnest(w) AS term FROM c) GROUP BY ALL),
 df AS (SELECT term, count(*) AS df FROM tf GROUP BY term),
 s AS (SELECT qid, card_id, round(sum((ln((1e0 + (SELECT count(*) FROM c)) / (1e0 + df)) + 1e0) * (1e0 + ln(tf::DOUBLE))), 6) AS score FROM q JOIN tf USING (term) JOIN df USING (term) GROUP BY qid, card_id)
 SELECT * FROM (SELECT qid, card_id, score, row_number() OVER (PARTITION BY qid ORDER BY score DESC, card_id)::INT AS place FROM s WHERE score > 0) WHERE place <= 20""")
 def rank_concepts(spark, sf):
-    asked = load(spark, sf, "benchmark").select(F.col("item_id").alias("qid"), F.expr("left(text, 160)").alias("query"))
+    asked = load(spark, sf, "benchmark").select(F.col("item_id").alias("qid"), F.col("text").alias("query"))
     return R.rank_concepts(asked, R.searchable(load(spark, sf, "cards")))
 
 
@@ -77,7 +77,7 @@ def suggest_links(spark, sf):
 
 @query("""
 WITH info AS (SELECT card_id, regime FROM cards WHERE type NOT IN ('memory', 'issue')),
-r AS (SELECT ord AS request_id, card_id AS seed FROM cards WHERE ord % 10 = 0),
+r AS (SELECT ord AS request_id, card_id AS seed FROM cards),
 l0 AS (SELECT request_id, seed AS card_id, regime, 1 AS place FROM r JOIN info ON info.card_id = r.seed),
 n AS (SELECT l0.request_id, e.dst, min(e.pos) AS pos FROM l0 JOIN edges e ON e.src = l0.card_id JOIN info ON info.card_id = e.dst
   WHERE (l0.regime IS NULL OR info.regime IS NULL OR l0.regime = info.regime) AND e.dst <> l0.card_id GROUP BY ALL)
@@ -85,7 +85,7 @@ SELECT request_id, card_id, place::INT AS place FROM l0
 UNION ALL SELECT request_id, dst, (1 + row_number() OVER (PARTITION BY request_id ORDER BY pos))::INT FROM n""")
 def resolve_bundles(spark, sf):
     cards = load(spark, sf, "cards")
-    asked = cards.where("ord % 10 = 0").select(F.col("ord").alias("request_id"), F.col("card_id").alias("seed"), F.lit(0).alias("seed_pos"))
+    asked = cards.select(F.col("ord").alias("request_id"), F.col("card_id").alias("seed"), F.lit(0).alias("seed_pos"))
     return R.resolve_bundles(asked, cards, load(spark, sf, "edges"))
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 #: 18 of 20 ids exist; the rest dangle.
 CARDS = """
 SELECT doc_id AS ord, concat('p', cast(doc_id % 20 AS string), '/', cast(doc_id AS string)) AS card_id, concat('p', cast(doc_id % 20 AS string)) AS product,
-  lang AS platform, left(split_part(text, '.', 1), 80) AS title, left(text, 200) AS description, source,
+  lang AS platform, split_part(text, '.', 1) AS title, text AS description, source,
   CASE WHEN doc_id % 13 = 5 THEN 'correction' WHEN doc_id % 11 = 3 THEN 'memory' WHEN doc_id % 17 = 2 THEN 'issue' ELSE 'concept' END AS type,
   CASE WHEN doc_id % 3 = 0 THEN 'new' WHEN doc_id % 3 = 1 THEN 'old' END AS regime,
   CASE WHEN doc_id % 13 <> 5 AND (doc_id % 11 = 3 OR doc_id % 17 = 2) THEN concat('client', cast(doc_id % 5 AS string)) END AS client,
