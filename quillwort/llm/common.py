@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import math
 import uuid
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -177,20 +178,49 @@ def unpacked(t: pa.Table, dtype) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(parts) if parts else np.zeros(0, dtype)), chunks
 
 
-def to_chunks(bucket: int, chunks: np.ndarray, items: np.ndarray) -> pa.Table:
+def to_chunks(bucket: int, chunks: np.ndarray, items: np.ndarray, to_bytes: Callable[[np.ndarray], bytes] = np.ndarray.tobytes) -> pa.Table:
     """Packs items into one row for each chunk."""
     order = np.argsort(chunks, kind="stable")
     chunks, items = chunks[order], items[order]
     heads = np.flatnonzero(np.r_[True, chunks[1:] != chunks[:-1]]) if len(chunks) else np.zeros(0, int)
     ends = np.r_[heads[1:], len(chunks)] if len(heads) else heads
-    return packed([(bucket, int(chunks[a]), items[a:b].tobytes()) for a, b in zip(heads, ends)])
+    return packed([(bucket, int(chunks[a]), to_bytes(items[a:b])) for a, b in zip(heads, ends)])
+
+
+def coarse(key: np.ndarray) -> np.ndarray:
+    """The upper 48 bits: enough for candidate keys, where a false match costs work but decides nothing."""
+    return key & ~np.uint64(0xFFFF)
+
+
+def key_bytes(key: np.ndarray) -> bytes:
+    """Coarse keys in six bytes each, all lowest bytes first: of sorted keys the upper bytes repeat and compress well."""
+    return np.ascontiguousarray(key).view(np.uint8).reshape(-1, 8)[:, 2:].T.tobytes()
+
+
+def keys_of(blob: bytes) -> np.ndarray:
+    k = np.zeros((len(blob) // 6, 8), np.uint8)
+    k[:, 2:] = np.frombuffer(blob, np.uint8).reshape(6, -1).T
+    return k.view(np.uint64).ravel()
+
+
+def send_keys(chunk: int, key: np.ndarray, n_buckets: int) -> pa.Table:
+    """The distinct coarse keys of a chunk, a row for each bucket."""
+    k = np.unique(coarse(key))
+    return packed([(b, chunk, key_bytes(k[at])) for b, at in by_bucket(k, n_buckets)])
+
+
+def received_keys(t: pa.Table) -> np.ndarray:
+    """All keys of a group of rows, sorted."""
+    return np.sort(np.concatenate([keys_of(b) for b in t.column("blob").to_pylist()] or [np.zeros(0, np.uint64)]))
 
 
 def shared_keys(key: Key, t: pa.Table) -> pa.Table:
     """Reducer: of the distinct keys each chunk sent, those that two or more chunks sent go back to each of them."""
-    k, chunk = unpacked(t, np.uint64)
+    parts = [keys_of(b) for b in t.column("blob").to_pylist()]
+    chunk = np.repeat(np.asarray(t.column("chunk").to_pylist(), np.int64), [len(p) for p in parts])
+    k = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
     order = np.argsort(k, kind="stable")
     k, chunk = k[order], chunk[order]
     same = np.r_[False, k[1:] == k[:-1]] if len(k) else np.zeros(0, bool)
     hit = same | np.r_[same[1:], False] if len(k) else same
-    return to_chunks(key[0].as_py(), chunk[hit], k[hit])
+    return to_chunks(key[0].as_py(), chunk[hit], k[hit], key_bytes)

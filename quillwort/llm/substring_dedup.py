@@ -32,7 +32,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
-from quillwort.llm.common import NAMES, PACKED_DDL, Key, buckets_of, by_bucket, covered, id_chunk, in_sorted, minimal_places, mixed, ordered_docs, packed, shared_keys, table, to_chunks, unpacked
+from quillwort.llm.common import NAMES, PACKED_DDL, Key, buckets_of, by_bucket, coarse, covered, id_chunk, in_sorted, minimal_places, mixed, ordered_docs, packed, received_keys, send_keys, shared_keys, table, to_chunks, unpacked
 
 WINDOW = 20
 ROUNDS = 2
@@ -114,9 +114,7 @@ class Chunk:
 
 def _send_anchors(n_buckets: int):
     def send(key: Key, t: pa.Table) -> pa.Table:
-        _, k = Chunk(t).anchors()
-        k = np.unique(k)
-        return packed([(b, key[0].as_py(), k[at].tobytes()) for b, at in by_bucket(k, n_buckets)])
+        return send_keys(key[0].as_py(), Chunk(t).anchors()[1], n_buckets)
 
     return send
 
@@ -124,9 +122,8 @@ def _send_anchors(n_buckets: int):
 def _send_windows(n_buckets: int):
     def send(key: Key, t: pa.Table, back: pa.Table) -> pa.Table:
         c = Chunk(t)
-        shared = np.sort(unpacked(back, np.uint64)[0])
         p, k = c.anchors()
-        p = p[in_sorted(k, shared)]
+        p = p[in_sorted(coarse(k), received_keys(back))]
         ok, a, b = c.names()
         # An anchor at p has its context in the windows that start up to EDGE + REACH - 1 before it; mark them all.
         near = covered(np.maximum(p - EDGE - REACH + 1, 0), REACH, len(c.x))[: len(a)] & ok if len(p) else np.zeros(len(a), bool)

@@ -31,7 +31,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
 
-from quillwort.llm.common import PACKED_DDL, Key, buckets_of, by_bucket, covered, id_chunk, in_sorted, minimal_places, mixed, ordered_docs, packed, shared_keys, table, to_chunks, unpacked
+from quillwort.llm.common import PACKED_DDL, Key, buckets_of, by_bucket, coarse, covered, id_chunk, in_sorted, minimal_places, mixed, ordered_docs, packed, received_keys, send_keys, shared_keys, table, to_chunks, unpacked
 
 LENGTH = 50
 TRIGGER = 24
@@ -41,8 +41,10 @@ REACH = LENGTH - TRIGGER + 1
 PHRASE = LENGTH + REACH - 1
 ROWS_PER_CHUNK = 500
 SLICE = 20_000
-#: Buckets of the phrase exchange for each shuffle partition: phrases are wide, a bucket must fit in a Python worker.
-PHRASE_BUCKETS = 4
+#: Bytes hashed at a time.
+BLOCK = 1 << 19
+#: Buckets of both exchanges for each shuffle partition: a bucket must fit in a Python worker.
+BUCKETS = 4
 _B = 0x9E3779B97F4A7C15
 ENTRY = np.dtype([("key", "<u8"), ("lo", "u1"), ("hi", "u1"), ("bytes", "u1", (PHRASE,))])
 MASK = np.dtype([("name", "<u8"), ("mask", "<u4")])
@@ -94,12 +96,27 @@ class Chunk:
         """Places, keys and document numbers of the triggers that lie in one document of LENGTH bytes or more."""
         if len(self.x) < LENGTH:
             return (np.zeros(0, np.int64), np.zeros(0, np.uint64), np.zeros(0, np.int64))
-        v = rolling(self.x, TRIGGER)
-        p = np.flatnonzero(minimal_places((v >> np.uint64(33)).astype(np.uint32), REACH))
+        n, places, keys = len(self.x) - TRIGGER + 1, [], []
+        for lo in range(0, n, BLOCK):  # with the places on either side that share a window with one of the block
+            at, hi = max(0, lo - REACH + 1), min(n, lo + BLOCK)
+            v = rolling(self.x[at : min(n, hi + REACH - 1) + TRIGGER - 1], TRIGGER)
+            p = np.flatnonzero(minimal_places((v >> np.uint64(33)).astype(np.uint32), REACH))
+            p = p[(p >= lo - at) & (p < hi - at)]
+            places.append(p + at)
+            keys.append(v[p])
+        p, k = np.concatenate(places), np.concatenate(keys)
         doc = np.searchsorted(self.ends, p, side="right")
         ok = (p + TRIGGER <= self.ends[doc]) & (self.lens[doc] >= LENGTH)
-        p, doc = p[ok], doc[ok]
-        return p, v[p], doc
+        return p[ok], k[ok], doc[ok]
+
+    def strings(self, s: np.ndarray) -> np.ndarray:
+        """Hashes of the LENGTH-byte strings at ascending places."""
+        out = np.zeros(len(s), np.uint64)
+        for lo in range(0, len(self.x), BLOCK):
+            a, b = np.searchsorted(s, (lo, lo + BLOCK))
+            if a < b:
+                out[a:b] = rolling(self.x[lo : lo + BLOCK + LENGTH - 1], LENGTH)[s[a:b] - lo]
+        return out
 
     def phrases(self, p: np.ndarray, doc: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Bytes p - 26 to p + 50 of each trigger, zero outside its document, and the range of strings that lie inside."""
@@ -113,8 +130,7 @@ class Chunk:
 
 def _send_triggers(n_buckets: int):
     def send(key: Key, t: pa.Table) -> pa.Table:
-        k = np.unique(Chunk(t).triggers()[1])
-        return packed([(b, key[0].as_py(), k[at].tobytes()) for b, at in by_bucket(k, n_buckets)])
+        return send_keys(key[0].as_py(), Chunk(t).triggers()[1], n_buckets)
 
     return send
 
@@ -123,7 +139,7 @@ def _send_phrases(n_buckets: int):
     def send(key: Key, t: pa.Table, back: pa.Table) -> pa.Table:
         c = Chunk(t)
         p, k, doc = c.triggers()
-        hit = in_sorted(k, np.sort(unpacked(back, np.uint64)[0]))
+        hit = in_sorted(coarse(k), received_keys(back))
         p, k, doc = p[hit], k[hit], doc[hit]
         kept, seen = [], np.zeros(0, np.uint64)
         for i in range(0, len(p), SLICE):
@@ -199,7 +215,7 @@ def _local(c: Chunk, p: np.ndarray, k: np.ndarray, doc: np.ndarray) -> np.ndarra
     d = np.searchsorted(c.ends, s, side="right")
     ok = s + LENGTH <= c.ends[d]
     s, d = s[ok], d[ok]
-    h = rolling(c.x, LENGTH)[s]
+    h = c.strings(s)
     o = np.argsort(h, kind="stable")
     eq = np.r_[False, h[o][1:] == h[o][:-1]]
     q = np.flatnonzero(eq)
@@ -244,11 +260,11 @@ def _cut(with_text: bool):
 
 def suffix_dedup(docs: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK, with_text: bool = True) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 and, if asked for, kept_bytes of every row of ``docs``(doc_id, text)."""
-    n = buckets_of(docs.sparkSession)
+    n = buckets_of(docs.sparkSession) * BUCKETS
     chunked = docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text").withColumn("chunk", id_chunk(docs, "doc_id", rows_per_chunk))
     sent = chunked.groupBy("chunk").applyInArrow(_send_triggers(n), PACKED_DDL)
     shared = sent.groupBy("bucket").applyInArrow(shared_keys, PACKED_DDL)
-    phrases = chunked.groupBy("chunk").cogroup(shared.groupBy("chunk")).applyInArrow(_send_phrases(n * PHRASE_BUCKETS), PACKED_DDL)
+    phrases = chunked.groupBy("chunk").cogroup(shared.groupBy("chunk")).applyInArrow(_send_phrases(n), PACKED_DDL)
     earlier = phrases.groupBy("bucket").applyInArrow(_earlier_suffixes, PACKED_DDL)
     schema = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string" + ", kept_bytes binary" * with_text
     return chunked.groupBy("chunk").cogroup(earlier.groupBy("chunk")).applyInArrow(_cut(with_text), schema)

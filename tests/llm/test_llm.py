@@ -5,6 +5,7 @@ from itertools import combinations
 import duckdb
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 
 from quillwort.llm import ORACLE_SQL, QUERIES
@@ -229,3 +230,16 @@ def test_empty_tables(spark, run):
 
 def test_empty_pages(spark, tmp_path):
     assert warc.archive_pages(spark.createDataFrame([], "page_id long, url string, html string"), str(tmp_path / "w")).count() == 0
+
+
+def test_triggers_do_not_depend_on_blocks(monkeypatch):
+    """Chunks are hashed in blocks; a window of places across a block's edge is judged as any other."""
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("abcdé ") for _ in range(rng.randrange(0, 700))) for _ in range(40)]
+    c = suffix_dedup.Chunk(pa.table({"doc_id": pa.array(range(40), pa.int64()), "text": texts}))
+    whole, at = c.triggers(), np.arange(0, len(c.x) - 49, 3)
+    named = c.strings(at)
+    for block in (1, 40, 977):
+        monkeypatch.setattr(suffix_dedup, "BLOCK", block)
+        assert all((a == b).all() for a, b in zip(whole, c.triggers(), strict=True))
+        assert (named == c.strings(at)).all()
