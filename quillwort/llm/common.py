@@ -147,10 +147,16 @@ def covered(starts: np.ndarray, width: int, n: int) -> np.ndarray:
 
 def ordered_docs(t: pa.Table, id_col: str = "doc_id", text_col: str = "text") -> tuple[list, list[bytes]]:
     """Ids and UTF-8 texts of a chunk in document order: by id, nulls last, rows of equal id by text.  Null texts are empty."""
+    ids, texts, _ = ordered_rows(t, id_col, text_col)
+    return ids, texts
+
+
+def ordered_rows(t: pa.Table, id_col: str = "doc_id", text_col: str = "text") -> tuple[list, list[bytes], list[int]]:
+    """As ordered_docs, and each one's row in ``t``."""
     ids = t.column(id_col).to_pylist()
     texts = [b"" if x is None else x for x in t.column(text_col).cast(pa.binary()).to_pylist()]
     order = sorted(range(len(ids)), key=lambda k: (ids[k] is None, ids[k] or 0, texts[k]))
-    return [ids[k] for k in order], [texts[k] for k in order]
+    return [ids[k] for k in order], [texts[k] for k in order], order
 
 
 #: What a grouped Arrow function gets as its key.

@@ -31,8 +31,9 @@ from itertools import compress
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
-from quillwort.llm.common import NAMES, PACKED_DDL, Key, buckets_of, by_bucket, coarse, covered, id_chunk, in_sorted, minimal_places, mixed, ordered_docs, packed, received_keys, send_keys, shared_keys, table, to_chunks, unpacked
+from quillwort.llm.common import NAMES, PACKED_DDL, Key, buckets_of, by_bucket, coarse, covered, id_chunk, in_sorted, minimal_places, mixed, ordered_rows, packed, received_keys, send_keys, shared_keys, table, to_chunks, unpacked
 
 WINDOW = 20
 ROUNDS = 2
@@ -85,7 +86,7 @@ class Chunk:
     """The word names of a chunk's documents, end to end."""
 
     def __init__(self, t: pa.Table):
-        self.ids, self.texts = ordered_docs(t)
+        self.ids, self.texts, self.order = ordered_rows(t)
         parts = [NAMES.array(s.split()) for s in self.texts]
         self.x = np.concatenate(parts) if parts else np.zeros(0, np.uint64)
         self.lens = np.array([len(p) for p in parts], np.int64)
@@ -144,7 +145,7 @@ def _earlier_windows(key: Key, t: pa.Table) -> pa.Table:
     return to_chunks(key[0].as_py(), chunk[later], w[later])
 
 
-def _cut(with_text: bool):
+def _cut(with_text: bool, carry: tuple[str, ...]):
     def cut(key: Key, t: pa.Table, back: pa.Table) -> pa.Table:
         c = Chunk(t)
         ok, a, b = c.names()
@@ -170,22 +171,26 @@ def _cut(with_text: bool):
             "doc_id": pa.array(c.ids, pa.int64()), "n_words": pa.array(c.lens, pa.int64()), "n_removed": pa.array((removed[c.ends] - removed[c.starts]).astype(np.int64), pa.int64()),
             "kept_sha256": pa.array([hashlib.sha256(k).hexdigest() for k in kept], pa.string()),
         }
-        return pa.table(cols | ({"kept_text": pa.array(kept, pa.binary()).cast(pa.string())} if with_text else {}))
+        cols |= {"kept_text": pa.array(kept, pa.binary()).cast(pa.string())} if with_text else {}
+        return pa.table(cols | {name: t.column(name).take(pa.array(c.order, pa.int64())) for name in carry})
 
     return cut
 
 
-def substring_dedup(docs: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK, with_text: bool = True) -> DataFrame:
-    """doc_id, n_words, n_removed, kept_sha256 and, if asked for, kept_text of every row of ``docs``(doc_id, text)."""
+def substring_dedup(docs: DataFrame, rows_per_chunk: int = ROWS_PER_CHUNK, with_text: bool = True, carry: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, n_words, n_removed, kept_sha256 and, if asked for, kept_text of every row of ``docs``(doc_id, text), with the
+    row's own ``carry`` columns."""
     spark = docs.sparkSession
     n = buckets_of(spark)
-    chunked = docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text").withColumn("chunk", id_chunk(docs, "doc_id", rows_per_chunk))
+    own = [c for c in carry if c != "text"]
+    chunked = docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text", *own, id_chunk(docs, "doc_id", rows_per_chunk).alias("chunk"))
     sent = chunked.groupBy("chunk").applyInArrow(_send_anchors(n), PACKED_DDL)
     shared = sent.groupBy("bucket").applyInArrow(shared_keys, PACKED_DDL)
     named = chunked.groupBy("chunk").cogroup(shared.groupBy("chunk")).applyInArrow(_send_windows(n), PACKED_DDL)
     earlier = named.groupBy("bucket").applyInArrow(_earlier_windows, PACKED_DDL)
-    schema = "doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * with_text
-    return chunked.groupBy("chunk").cogroup(earlier.groupBy("chunk")).applyInArrow(_cut(with_text), schema)
+    schema = StructType.fromDDL("doc_id long, n_words long, n_removed long, kept_sha256 string" + ", kept_text string" * with_text)
+    schema = StructType([*schema.fields, *(docs.schema[c] for c in carry)])
+    return chunked.groupBy("chunk").cogroup(earlier.groupBy("chunk")).applyInArrow(_cut(with_text, carry), schema)
 
 
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

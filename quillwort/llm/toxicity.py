@@ -27,6 +27,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StructField, StructType
 
 from quillwort.llm.common import table
 
@@ -170,9 +171,11 @@ class WordLogits(dict):
         return v
 
 
-def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, held_out, score and predicted of every row of ``docs``(doc_id, text)."""
+def scored(docs: DataFrame, labels: DataFrame, with_text: bool = True) -> DataFrame:
+    """The columns of every row of ``docs`` (all, or all but the text) and its score."""
     by_gram, bias = train(counted(labelled_sample(docs, labels, "toxic", fold("doc_id", 3) != 1, PER_CLASS), words_of))
+    schema = docs.schema if with_text else docs.drop("text").schema
+    columns = schema.names
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordLogits(by_gram)
@@ -182,10 +185,15 @@ def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
                 ws = words_of(t)
                 z = bias + (sum(map(known.__getitem__, ws)) / (len(ws) + NEUTRAL))
                 scores.append(1 / (1 + np.exp(-np.clip(z, -500, 500))))
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), pa.array(scores, pa.float64())], names=["doc_id", "score"])
+            yield pa.RecordBatch.from_arrays([*map(b.column, columns), pa.array(scores, pa.float64())], names=[*columns, "score"])
+
+    return docs.mapInArrow(run, StructType([*schema.fields, StructField("score", DoubleType())]))
 
-    scored = docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, score double")
-    return scored.select("doc_id", F.coalesce(fold("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
+
+def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, held_out, score and predicted of every row of ``docs``(doc_id, text)."""
+    got = scored(docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text"), labels, with_text=False)
+    return got.select("doc_id", F.coalesce(fold("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "score", (F.col("score") >= THRESHOLD).cast("int").alias("predicted"))
 
 
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
