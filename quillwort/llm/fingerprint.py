@@ -3,7 +3,7 @@
 A text is the multiset of its paragraphs (lines).  A paragraph has a wide vector: ``EQUAL`` = 8 lanes of 32 bits hashed from
 the whole paragraph, and ``ALIKE`` = 128 lanes that count, for each bit of two hashes, the paragraph's word triples which
 have it set (a paragraph of one or two words is one unit).  A fingerprint is the sum of the vectors, lane by lane, modulo
-2**32 (equality and number of units) and 2**16 (likeness).  Sums do not depend on order; ``inserted`` and ``deleted`` add
+2**32; likeness is right for texts of up to 2**31 - 1 units.  Sums do not depend on order; ``inserted`` and ``deleted`` add
 and subtract a paragraph's vector without reading the rest.
 
 Likeness: a bit count c of n units gives 2c - n, a sum of random signs, so the mean square of a lane difference
@@ -35,7 +35,6 @@ ROWS_PER_CHUNK = 2000
 #: Chunk tops (two numbers each) are broadcast up to so many; beyond, they are joined by shuffling.
 BROADCAST_CHUNKS = 200_000
 _M32 = (1 << 32) - 1
-_M16 = (1 << 16) - 1
 _PAIR = (1 << 32) + 1
 
 
@@ -61,7 +60,7 @@ def fingerprinted(texts: DataFrame, keys: list[str], text: str) -> DataFrame:
     # Two bit counts a sum: bits s and s + 32, 32 binary digits apart.
     sums = [F.sum(F.shiftrightunsigned(c, s).bitwiseAND(F.lit(_PAIR))).alias(f"{c}{s}") for c in "ab" for s in range(32)]
     got = unit.groupBy(*keys, "eq").agg(F.count("a").alias("n"), *sums)
-    lane = lambda c, s, hi: F.coalesce(F.shiftrightunsigned(f"{c}{s}", 32) if hi else F.col(f"{c}{s}").bitwiseAND(F.lit(_M32)), F.lit(0)).bitwiseAND(F.lit(_M16)).cast("int")
+    lane = lambda c, s, hi: F.coalesce(F.shiftrightunsigned(f"{c}{s}", 32) if hi else F.col(f"{c}{s}").bitwiseAND(F.lit(_M32)), F.lit(0)).bitwiseAND(F.lit(_M32))
     lanes = F.array(*[lane(c, s, hi) for c in "ab" for hi in (0, 1) for s in range(32)])
     return got.select(*keys, F.struct("eq", F.col("n").bitwiseAND(F.lit(_M32)).alias("n"), lanes.alias("lanes")).alias("v"))
 
@@ -69,12 +68,12 @@ def fingerprinted(texts: DataFrame, keys: list[str], text: str) -> DataFrame:
 def written(v: str) -> Column:
     """A fingerprint as hexadecimal digits."""
     digits = lambda x, n: F.lpad(F.lower(F.hex(x)), n, "0")
-    return F.concat(F.array_join(F.transform(F.col(f"{v}.eq"), lambda x: digits(x, 8)), ""), digits(F.col(f"{v}.n"), 8), F.array_join(F.transform(F.col(f"{v}.lanes"), lambda x: digits(x, 4)), ""))
+    return F.concat(F.array_join(F.transform(F.col(f"{v}.eq"), lambda x: digits(x, 8)), ""), digits(F.col(f"{v}.n"), 8), F.array_join(F.transform(F.col(f"{v}.lanes"), lambda x: digits(x, 8)), ""))
 
 
 def likeness(u: str, v: str) -> Column:
     """1 for equal fingerprints, about 0 for disjoint ones."""
-    centred = lambda x: F.pmod(x + (1 << 15), F.lit(1 << 16)) - (1 << 15)
+    centred = lambda x: F.pmod(x + (1 << 31), F.lit(1 << 32)) - (1 << 31)
     sign = lambda c: F.transform(F.col(f"{c}.lanes"), lambda x: centred(2 * x - F.col(f"{c}.n")).cast("double"))
     square = lambda arr: F.aggregate(arr, F.lit(0.0), lambda a, x: a + x * x)
     d = F.zip_with(F.transform(F.col(f"{u}.lanes"), lambda x: 2 * x - F.col(f"{u}.n")), F.transform(F.col(f"{v}.lanes"), lambda x: 2 * x - F.col(f"{v}.n")), lambda a, b: centred(a - b).cast("double"))
@@ -87,7 +86,7 @@ def _combined(v: str, w: str, sign: int) -> Column:
     mod = lambda a, b, m: F.pmod(a + sign * b, F.lit(m))
     return F.struct(
         F.zip_with(F.col(f"{v}.eq"), F.col(f"{w}.eq"), lambda a, b: mod(a, b, 1 << 32)).alias("eq"), mod(F.col(f"{v}.n"), F.col(f"{w}.n"), 1 << 32).alias("n"),
-        F.zip_with(F.col(f"{v}.lanes"), F.col(f"{w}.lanes"), lambda a, b: mod(a, b, 1 << 16)).alias("lanes"),
+        F.zip_with(F.col(f"{v}.lanes"), F.col(f"{w}.lanes"), lambda a, b: mod(a, b, 1 << 32)).alias("lanes"),
     )
 
 
