@@ -5,7 +5,8 @@ text's vector is the mean over all its words; a linear softmax gives two class p
 trained together, in numpy, by full-batch Adam.  A misspelling that was never seen shares most n-grams with the word.
 
 Training: labelled rows of the training folds only (crc32 of doc_id as text, mod 3, is not 1), at most ``PER_CLASS``
-rows of each label, chosen by hash of doc_id.  That bound on the sample is the only one; every text is scored whole.
+rows of each label, chosen by hash of doc_id.  Of the sample's words, those of over a 300th of its texts are learnt from, ``VOCABULARY`` at most; n-grams
+of other words alone are never learnt.  Every text is scored whole.
 Label, lang, source and doc_id are no inputs of a score.
 
 As mean and softmax are linear, a word adds a fixed amount to the logit; a task remembers these amounts by word, up to a
