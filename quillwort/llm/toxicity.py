@@ -1,16 +1,20 @@
 """Toxicity classifier on subword bags (operator 2).
 
-A word's vector is the mean of the embeddings of its hashed character n-grams (3 to 5, with word marks) and of itself; a
-text's vector is the mean over all its words; a linear softmax gives two class probabilities.  Embeddings and softmax are
-trained together, in numpy, by full-batch Adam.  A misspelling that was never seen shares most n-grams with the word.
+A word's vector is the mean of the embeddings of its hashed character n-grams (3 to 6, with word marks) and of itself; a
+text's vector is the mean over all its words; a linear softmax gives two class probabilities.  A misspelling or an
+inflection that was never seen shares most n-grams with a word that was.
+
+Embeddings and softmax are trained together, in numpy, on standardised bags, by accelerated proximal gradient steps in two
+turns: with a group penalty on each n-gram's embedding, which leaves only n-grams with evidence in many texts (a rare word
+of one toxic text is no evidence), and then, those n-grams alone, with a small ridge.  The penalty follows from the
+sizes of the two classes, so that it means the same at every size of the sample.  All words of the sample take part.
 
 Training: labelled rows of the training folds only (crc32 of doc_id as text, mod 3, is not 1), at most ``PER_CLASS``
-rows of each label, chosen by hash of doc_id.  Of the sample's words, those of over a 300th of its texts are learnt from, ``VOCABULARY`` at most; n-grams
-of other words alone are never learnt.  Every text is scored whole.
-Label, lang, source and doc_id are no inputs of a score.
+rows of each label, chosen by hash of doc_id: the only bound.  Every text is scored whole.  Label, lang, source and
+doc_id are no inputs of a score.  A bag that reaches the driver has at most ``BUCKETS`` numbers, whatever the text's length.
 
 As mean and softmax are linear, a word adds a fixed amount to the logit; a task remembers these amounts by word, up to a
-bound, so scoring costs one look-up a word.  The model that tasks receive is one number for each n-gram bucket.
+bound, so scoring costs one look-up a word.  The model that tasks receive is one number for each n-gram kept.
 
 Null and empty texts score by the intercept.  Null doc_id: never learnt from, held_out false.  A doc_id with several
 label rows is learnt from once a row.  No labels at all, or of one class: the score is the smoothed share of label 1.
@@ -32,20 +36,18 @@ from pyspark.sql.types import DoubleType, StructField, StructType
 
 from quillwort.llm.common import table
 
-BUCKETS = 1 << 15
-DIM = 8
-EPOCHS = 150
-DECAY = 2e-5
+BUCKETS = 1 << 20
+DIM = 4
+STEPS = 300
 PER_CLASS = 1500
-#: The sample's most frequent words; others are scored by their n-grams.
-VOCABULARY = 6000
 THRESHOLD = 0.7
-#: The mean is scaled so that one word in a hundred can decide.
-SCALE = 100.0
-#: Words of no weight that join every text, so that two or three words alone decide nothing.
-NEUTRAL = 2
-#: Weight of the clean words as texts, against 1 for all the sample's texts.
-SINGLE = 1.0
+#: Words of no weight that join every text, so that two or three words alone decide little.
+NEUTRAL = 10
+#: The group penalty, in standard errors of the difference of the two classes' means.
+PENALTY = 3.0
+#: N-grams whose first gradient is below this share of the penalty are left out at once.
+SCREEN = 0.7
+RIDGE = 1e-3
 #: Weight of the empty text as a clean one.
 EMPTY = 0.2
 WORD = re.compile(r"[^\W_]+(?:['-][^\W_]+)*")
@@ -60,13 +62,25 @@ def words_of(text: str | None) -> list[str]:
 
 
 def grams(word: str) -> list[int]:
-    w = f"<{word}>".encode()
-    out = [zlib.crc32(w, 1) % BUCKETS]
-    for n in (3, 4, 5):
-        out += [zlib.crc32(w[i : i + n], n) % BUCKETS for i in range(len(w) - n + 1)]
+    w = f"<{word}>"
+    out = [zlib.crc32(w.encode(), 1) % BUCKETS]
+    for n in (3, 4, 5, 6):
+        out += [zlib.crc32(w[i : i + n].encode(), n) % BUCKETS for i in range(len(w) - n + 1)]
     return out
 
 
+def bag(text: str | None) -> tuple[np.ndarray, np.ndarray]:
+    """Buckets and shares of a text's n-grams: each word's n-grams share equally in the word, the words in the text."""
+    counts = Counter(words_of(text))
+    n = sum(counts.values()) + NEUTRAL
+    g = [grams(w) for w in counts]
+    if not g:
+        return np.zeros(0, np.int32), np.zeros(0, np.float32)
+    at, place = np.unique(np.concatenate(g), return_inverse=True)
+    share = np.bincount(place, np.repeat([c / len(x) / n for c, x in zip(counts.values(), g)], [len(x) for x in g]))
+    return at.astype(np.int32), share.astype(np.float32)
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, train: Column, per_class: int) -> DataFrame:
     """(y, text) of at most per_class labelled rows of each class that ``train`` admits, chosen by hash of doc_id."""
     rows = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col(label).cast("int").alias("y")).where(train & F.col("y").isin(0, 1) & F.col("doc_id").isNotNull())
@@ -75,20 +89,18 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, train: Colum
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "y", "text")
 
 
-def counted(sample: DataFrame, split) -> list[tuple[int, int, dict[str, int]]]:
-    """(y, number of words, counts) of the sample's texts, counted in the tasks; in a fixed order."""
+def bags(sample: DataFrame) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """(y, buckets, shares) of the sample's texts, made in the tasks; in a fixed order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            cs = [Counter(split(t)) for t in b.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [b.column("doc_id"), b.column("y"), pa.array([sorted(c) for c in cs], pa.list_(pa.string())), pa.array([[c[w] for w in sorted(c)] for c in cs], pa.list_(pa.int32()))],
-                names=["doc_id", "y", "words", "counts"],
-            )
+            got = [bag(t) for t in b.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("y"), pa.array([g for g, _ in got], pa.list_(pa.int32())), pa.array([v for _, v in got], pa.list_(pa.float32()))], names=["doc_id", "y", "at", "share"])
 
-    got = sample.mapInArrow(run, "doc_id long, y int, words array<string>, counts array<int>").toArrow()
-    rows = sorted(zip(*(got.column(c).to_pylist() for c in ("doc_id", "y", "words", "counts"))), key=lambda r: (r[0], r[1], r[2]))
-    return [(y, sum(c), dict(zip(w, c))) for _, y, w, c in rows]
+    got = sample.mapInArrow(run, "doc_id long, y int, at array<int>, share array<float>").toArrow()
+    at, share = got.column("at"), got.column("share")
+    order = sorted(zip(got.column("doc_id").to_pylist(), got.column("y").to_pylist(), range(got.num_rows)), key=lambda r: (r[0], r[1], share[r[2]].values.to_numpy().tobytes()))
+    return [(y, at[k].values.to_numpy(), share[k].values.to_numpy()) for _, y, k in order]
 
 
 class Adam:
@@ -109,50 +121,75 @@ def segment_sums(rows: np.ndarray, n: int, values: np.ndarray) -> np.ndarray:
     return np.stack([np.bincount(rows, values[:, j], n) for j in range(values.shape[1])], axis=1)
 
 
-def train(sample: list[tuple[int, int, dict[str, int]]]) -> tuple[np.ndarray, float]:
-    """The logit of each n-gram bucket and the intercept."""
+class Descent:
+    """Full-batch training of embeddings (one row for each column of x) and softmax together."""
+
+    def __init__(self, x: np.ndarray, y: np.ndarray, weight: np.ndarray):
+        self.x, self.weight, self.target = x, weight.astype(np.float32), np.eye(2, dtype=np.float32)[y]
+        rng = np.random.default_rng(2)
+        self.embedding = np.zeros((x.shape[1], DIM), np.float32)
+        self.softmax = self.normed(rng.normal(0, 1, (DIM, 2)).astype(np.float32))
+        self.bias = np.zeros(2, np.float32)
+
+    @staticmethod
+    def normed(w: np.ndarray) -> np.ndarray:
+        """The softmax's scale is fixed: else it could grow to evade the penalty on the embeddings."""
+        w = w - w.mean(1, keepdims=True)
+        return w / np.linalg.norm(w[:, 1] - w[:, 0])
+
+    def step_size(self) -> float:
+        v, size = np.random.default_rng(3).normal(size=self.x.shape[1]).astype(np.float32), 0.0
+        for _ in range(20):  # the largest eigenvalue, by power iteration
+            v = self.x.T @ (self.weight * (self.x @ v))
+            size = float(np.linalg.norm(v))
+            v /= size or 1.0
+        return 1 / (0.25 * size + 0.05)
+
+    def run(self, penalty: float, ridge: float) -> None:
+        rate, t, ahead = self.step_size(), 1.0, self.embedding.copy()
+        for _ in range(STEPS):
+            mean = self.x @ ahead
+            z = mean @ self.softmax + self.bias
+            p = np.exp(z - z.max(1, keepdims=True))
+            dz = (p / p.sum(1, keepdims=True) - self.target) * self.weight[:, None]
+            nxt = ahead - rate * (self.x.T @ (dz @ self.softmax.T) + ridge * ahead)
+            nxt *= np.maximum(0, 1 - rate * penalty / np.maximum(np.linalg.norm(nxt, axis=1, keepdims=True), 1e-12))
+            t, before = (1 + np.sqrt(1 + 4 * t * t)) / 2, t
+            ahead = nxt + np.float32((before - 1) / t) * (nxt - self.embedding)
+            self.embedding = nxt
+            self.softmax = self.normed(self.softmax - 0.1 * (mean.T @ dz))
+            empty = 1 / (1 + np.exp(self.bias[0] - self.bias[1]))  # the empty text is clean
+            self.bias -= dz.sum(0) + EMPTY * np.array([-empty, empty], np.float32)
+
+    def kept(self, columns: np.ndarray) -> None:
+        self.x, self.embedding = np.ascontiguousarray(self.x[:, columns]), self.embedding[columns]
+
+
+def train(sample: list[tuple[int, np.ndarray, np.ndarray]]) -> tuple[dict[int, float], float]:
+    """The logit of each n-gram bucket that is kept, and the intercept."""
     y = np.array([r[0] for r in sample], np.int64)
     if len(set(y.tolist())) < 2:
-        return np.zeros(BUCKETS), float(np.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5)) if len(y) else -3.0)
-    df = Counter(w for _, _, c in sample for w in c)
-    words = sorted((w for w, n in df.items() if n > max(1, len(sample) // 300)), key=lambda w: (-df[w], w))[:VOCABULARY]
-    place = {w: i for i, w in enumerate(words)}
-    x = np.zeros((len(sample), len(words)), np.float32)
-    for d, (_, n, c) in enumerate(sample):
-        for w, k in c.items():
-            if w in place:
-                x[d, place[w]] = SCALE * k / (n + NEUTRAL)
-    # A clean text's words are clean, so each of them is learnt from as a text of its own, too.
-    clean = Counter(w for label, _, c in sample if label == 0 for w in c)
-    alone = np.array([float(clean[w] > 0) for w in words])[:, None]
-    alone *= SINGLE / alone.sum()
-    gs = [grams(w) for w in words]
-    owner = np.repeat(np.arange(len(gs)), [len(g) for g in gs])
-    g, share = np.concatenate(gs), np.repeat([1 / len(g) for g in gs], [len(g) for g in gs])
-    rng = np.random.default_rng(2)
-    E, W, b = np.zeros((BUCKETS, DIM)), rng.normal(0, 0.5, (DIM, 2)), np.zeros(2)
-    used = np.unique(g)  # buckets that no word of the vocabulary has stay zero: they say nothing
-    E[used] = rng.normal(0, 0.02, (len(used), DIM))
-    target = np.eye(2)[y]
-    weight = np.where(y == 1, 0.5 / y.sum(), 0.5 / (len(y) - y.sum()))[:, None]
-    adam = Adam(E, W, b, rate=0.03)
-    for _ in range(EPOCHS):
-        word = segment_sums(owner, len(gs), E[g] * share[:, None])
-        doc = x @ word.astype(np.float32)
-        z = doc @ W + b
-        p = np.exp(z - z.max(1, keepdims=True))
-        p /= p.sum(1, keepdims=True)
-        dz = (p - target) * weight
-        dword = x.T @ (dz @ W.T).astype(np.float32)
-        zw = SCALE * word @ W + b
-        pw = np.exp(zw - zw.max(1, keepdims=True))
-        pw /= pw.sum(1, keepdims=True)
-        dzw = (pw - [1.0, 0.0]) * alone
-        dword = dword + SCALE * dzw @ W.T
-        pe = 1 / (1 + np.exp(b[0] - b[1]))  # the empty text is clean
-        de = EMPTY * np.array([-pe, pe])
-        adam.step(segment_sums(g, BUCKETS, dword[owner] * share[:, None]) + DECAY * E, doc.T @ dz + SCALE * word.T @ dzw + DECAY * W, dz.sum(0) + dzw.sum(0) + de)
-    return SCALE * E @ (W[:, 1] - W[:, 0]), float(b[1] - b[0])
+        return {}, float(np.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5)) if len(y) else -3.0)
+    row = np.repeat(np.arange(len(y), dtype=np.int32), [len(r[1]) for r in sample])
+    at, share = np.concatenate([r[1] for r in sample]), np.concatenate([r[2] for r in sample])
+    weight = np.where(y == 1, 0.5 / y.sum(), 0.5 / (len(y) - y.sum()))
+    first = np.bincount(at, share * weight[row], BUCKETS)
+    spread = np.sqrt(np.maximum(np.bincount(at, share.astype(np.float64) ** 2 * weight[row], BUCKETS) - first**2, 1e-18))
+    penalty = PENALTY * 0.25 * np.sqrt(1 / y.sum() + 1 / (len(y) - y.sum()))
+    slope = np.bincount(at, share * ((0.5 - y) * weight)[row], BUCKETS) / spread
+    columns = np.flatnonzero(np.abs(slope) > SCREEN * penalty)
+    place = np.full(BUCKETS, -1, np.int32)
+    place[columns] = np.arange(len(columns))
+    held = place[at] >= 0
+    x = np.zeros((len(y), len(columns)), np.float32)
+    x[row[held], place[at[held]]] = share[held] / spread[at[held]]
+    d = Descent(x, y, weight)
+    d.run(penalty, 0.0)
+    some = np.flatnonzero(np.linalg.norm(d.embedding, axis=1))
+    d.kept(some)
+    d.run(0.0, RIDGE)
+    logit = (d.embedding @ (d.softmax[:, 1] - d.softmax[:, 0])).astype(np.float64) / spread[columns[some]]
+    return dict(zip(columns[some].tolist(), logit.tolist())), float(d.bias[1] - d.bias[0])
 
 
 class WordLogits(dict):
@@ -160,21 +197,21 @@ class WordLogits(dict):
 
     LIMIT = 300_000
 
-    def __init__(self, by_gram: np.ndarray):
+    def __init__(self, by_gram: dict[int, float]):
         super().__init__()
-        self.by_gram = by_gram.tolist()
+        self.by_gram = by_gram
 
     def __missing__(self, word: str) -> float:
         if len(self) >= self.LIMIT:
             self.clear()
         g = grams(word)
-        self[word] = v = sum(map(self.by_gram.__getitem__, g)) / len(g)
+        self[word] = v = sum(self.by_gram[x] for x in g if x in self.by_gram) / len(g)
         return v
 
 
 def scored(docs: DataFrame, labels: DataFrame, with_text: bool = True) -> DataFrame:
     """The columns of every row of ``docs`` (all, or all but the text) and its score."""
-    by_gram, bias = train(counted(labelled_sample(docs, labels, "toxic", fold("doc_id", 3) != 1, PER_CLASS), words_of))
+    by_gram, bias = train(bags(labelled_sample(docs, labels, "toxic", fold("doc_id", 3) != 1, PER_CLASS)))
     schema = docs.schema if with_text else docs.drop("text").schema
     columns = schema.names
 

@@ -192,10 +192,14 @@ def test_warc_round_trip(spark, tmp_path):
     assert {r["payload_digest"] for r in got if r["payload_bytes"] == 4} == {warc.digest(b"same")}
 
 
-def labelled(spark, n=900):
+def labelled_rows(n=900):
     rng = random.Random(1)
     good, bad = [f"word{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(120)], ["nastyword", "vilething", "scumbagged"]
-    rows = [(k, " ".join(rng.choices(good, k=30) + (rng.choices(bad, k=3) if k % 3 == 0 else [])), "s") for k in range(n)]
+    return [(k, " ".join(rng.choices(good, k=30) + (rng.choices(bad, k=3) if k % 3 == 0 else [])), "s") for k in range(n)], rng
+
+
+def labelled(spark, n=900):
+    rows, _ = labelled_rows(n)
     return rows, spark.createDataFrame([(k, 1 - int(k % 3 == 0), int(k % 3 == 0)) for k in range(n)], "doc_id long, quality int, toxic int")
 
 
@@ -205,7 +209,36 @@ def test_toxicity_held_out_and_misspelt(spark):
     got = {r["doc_id"]: r for r in toxicity.toxicity(docs(spark, rows + extra), labels).collect()}
     held = [r for r in got.values() if r["held_out"] and r["doc_id"] < 9000]
     assert np.mean([r["predicted"] == int(r["doc_id"] % 3 == 0) for r in held]) > 0.95
-    assert got[9000]["score"] > 0.5 > got[9001]["score"] and got[9001]["score"] == got[9002]["score"]
+    assert got[9000]["score"] >= toxicity.THRESHOLD > 0.5 > got[9001]["score"] and got[9001]["score"] == got[9002]["score"]
+
+
+def test_toxicity_scores_by_a_slow_scorer():
+    """Word by word and n-gram by n-gram, with the dense embeddings of a small model."""
+    rows, _ = labelled_rows()
+    sample = [(int(k % 3 == 0), *toxicity.bag(t)) for k, t, _ in rows[:300]]
+    logit, bias = toxicity.train(sample)
+    known = toxicity.WordLogits(logit)
+    for text in ("", "worda nastyword wordb", "nastywordd nastyword x-y", "Wordc " * 400):
+        words = toxicity.words_of(text)
+        slow = bias
+        for w in words:
+            g = toxicity.grams(w)
+            slow += sum(logit.get(x, 0.0) for x in g) / len(g) / (len(words) + toxicity.NEUTRAL)
+        at, share = toxicity.bag(text)
+        assert abs(slow - bias - sum(logit.get(int(a), 0.0) * float(v) for a, v in zip(at, share))) < 1e-4
+        assert abs(slow - bias - sum(known[w] for w in words) / (len(words) + toxicity.NEUTRAL)) < 1e-9
+
+
+def test_toxicity_repeated_rows_and_one_class(spark):
+    rows, labels = labelled(spark, 300)
+    one = labels.where("toxic = 0")
+    got = toxicity.toxicity(docs(spark, rows[:20] + rows[:20]), one.unionByName(one)).collect()
+    assert len(got) == 40 and len({r["score"] for r in got}) == 1 and got[0]["score"] < 0.5
+    twice = toxicity.toxicity(docs(spark, rows + rows), labels.unionByName(labels)).collect()
+    by = {}
+    for r in twice:
+        by.setdefault(r["doc_id"], set()).add(r["score"])
+    assert len(twice) == 600 and all(len(v) == 1 for v in by.values())
 
 
 def test_quality_held_out(spark):
