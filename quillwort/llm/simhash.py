@@ -5,16 +5,16 @@ spaces (fewer words: the whole sequence; none: fingerprint zero); h is a shingle
 is 1 if it is set in over half of the h; fingerprints link at ``RADIUS`` = 2 or fewer differing bits; a component's id is
 the smallest doc_id that can be reached.
 
-Fingerprints are reduced to distinct ones first, so copies of a text cost nothing further.  Candidates come from nine
-exact tables: of three parts of the 64 bits one must be equal, and of three parts of the rest one more.  In a group of
-a table, every fingerprint has its row of distances to ``PIVOTS`` reference fingerprints; rows are sorted by their first
-distance, and a pair survives only if no coordinate differs by more than RADIUS (Hamming distance is a metric); survivors
-are verified by counting bits.
+Pivot table.  Fingerprints are reduced to distinct ones, so copies of a text cost nothing further.  Each gets a row of Hamming
+distances to the 65 fixed reference fingerprints of ``PIVOTS``, made once and kept in the shared folder.  The references are
+zero and, for each of 8 bands of 8 bits, the 7 Walsh words and the full word of that band alone: the distances of a band, less
+the distance to zero, tell the band's bits exactly.  Two bits lie in at most two bands, so a pair within the radius has
+equal coordinates in some 6 of the 8 bands: the table is joined with itself on the 28 sets of 6 bands (by a hash of their
+coordinates).  Of the pairs that meet, those with any coordinate that differs by more than RADIUS are discarded (Hamming
+distance is a metric), and survivors are verified by counting bits.  Nothing is missed, at any size of a group.
 
-A group of more than ``GROUP`` fingerprints (a great many near copies) is not paired.  Its members go another exact way:
-two fingerprints are within 2 bits if and only if some fingerprint lies within 1 bit of both, so each member is filed
-under itself and its 64 neighbours, and the members of a file link to its least.  A file has at most 65 members, so this
-takes 65 rows a fingerprint whatever the group's size.
+A group shares 48 bits, so it has at most 2**16 fingerprints however many documents there are, and a member at most 136
+partners in it.  Groups are compared in blocks along the coordinate that spreads most.
 
 Components: least labels spread by star contraction, a checkpoint in the shared folder each round.
 
@@ -27,10 +27,9 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillwort.llm.common import checkpointed, table
@@ -38,10 +37,18 @@ from quillwort.llm.common import checkpointed, table
 SHINGLE = 3
 SEED = 42
 RADIUS = 2
-PIVOTS = 16
-GROUP = 256
-#: Bits of the three parts, low to high.
-_PARTS = ((0, 21), (21, 21), (42, 22))
+BANDS = 8
+#: Rows compared at a time within a group.
+BLOCK = 256
+
+
+def _references() -> list[int]:
+    """Zero, and eight words inside each band: byte k of a Walsh word has bit i set if k and i share an odd number of bits."""
+    walsh = [sum((bin(k & i).count("1") & 1) << i for i in range(8)) for k in range(1, 8)]
+    return [0, *(w << (8 * band) for band in range(BANDS) for w in [*walsh, 255])]
+
+
+PIVOTS = _references()
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
@@ -72,61 +79,58 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     return docs.select(docs["doc_id"].cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fp long")
 
 
-def pivot_table(fps: np.ndarray, n: int = PIVOTS) -> np.ndarray:
-    """Hamming distances of each fingerprint to n reference fingerprints."""
-    pivots = np.random.default_rng(8).integers(0, 2**64, n, np.uint64)
-    return np.bitwise_count(fps[:, None] ^ pivots[None, :]).astype(np.int8)
+def _signed(x: int) -> int:
+    return x - (1 << 64) if x >> 63 else x
+
 
+def pivot_table(distinct: DataFrame) -> DataFrame:
+    """Adds ``d``, the Hamming distances to the references, to distinct fingerprints ``fp``."""
+    return distinct.withColumn("d", F.array(*[F.bit_count(F.col("fp").bitwiseXOR(F.lit(_signed(p)))).cast("byte") for p in PIVOTS]))
 
-def close_pairs(fps: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
+
+def _band_sets(d: Column) -> tuple[Column, Column]:
+    """A hash of each band's coordinates; and, from these (as column _band), a hash of each 6 of the 8 bands."""
+    band = [F.xxhash64(*[F.get(d, F.lit(1 + 8 * k + j)) - F.get(d, F.lit(0)) for j in range(8)]) for k in range(BANDS)]
+    named = lambda i, j: F.xxhash64(F.lit(8 * i + j), *[F.get(F.col("_band"), F.lit(k)) for k in range(BANDS) if k not in (i, j)])
+    return F.array(*band), F.array(*[named(i, j) for i in range(BANDS) for j in range(i)])
+
+
+def close_pairs(fps: np.ndarray, d: np.ndarray, radius: int = RADIUS) -> tuple[np.ndarray, np.ndarray]:
     """Pairs within the radius: discarded by pivot coordinates, verified by bits."""
-    d = pivot_table(fps)
-    order = np.argsort(d[:, 0], kind="stable")
-    fps, d = fps[order], d[order]
-    until = np.searchsorted(d[:, 0], d[:, 0] + radius, side="right")
-    a = np.repeat(np.arange(len(fps)), until - np.arange(len(fps)) - 1)
-    b = np.arange(len(a)) - np.repeat(np.cumsum(until - np.arange(len(fps)) - 1) - (until - np.arange(len(fps)) - 1), until - np.arange(len(fps)) - 1) + a + 1
-    for j in range(1, d.shape[1]):
-        near = np.abs(d[a, j] - d[b, j]) <= radius
-        a, b = a[near], b[near]
-    near = np.bitwise_count(fps[a] ^ fps[b]) <= radius
-    return fps[a[near]], fps[b[near]]
-
-
-def _tables(fp):
-    """The nine table keys of a fingerprint: part i and a third of the other bits."""
-    take = lambda at, n: F.shiftrightunsigned(fp, at).bitwiseAND(F.lit((1 << n) - 1))
-    keys = []
-    for i, (at, n) in enumerate(_PARTS):
-        rest = [p for k, p in enumerate(_PARTS) if k != i]
-        thirds = [(rest[0][0], 14), (rest[0][0] + 14, rest[0][1] - 14), (rest[1][0], 14), (rest[1][0] + 14, rest[1][1] - 14)]
-        # Three thirds: 14 bits, the 7 or 8 left of one part with those of the other, 14 bits.
-        mid = F.shiftleft(take(*thirds[1]), 8).bitwiseOR(take(*thirds[3]))
-        for j, sub in enumerate((take(*thirds[0]), mid, take(*thirds[2]))):
-            keys.append(F.lit(i * 3 + j).cast("long") * F.lit(1 << 40) + F.shiftleft(take(at, n), 16) + sub)
-    return F.array(*keys)
-
-
-def links(distinct: DataFrame, group: int = GROUP) -> DataFrame:
-    """Edges (a, b) between distinct fingerprints that have the same components as all pairs within RADIUS."""
-    keyed = distinct.select("fp", F.explode(_tables(F.col("fp"))).alias("k"))
-    # Sizes first, so that no large group is ever collected.
-    sizes = keyed.groupBy("k").agg(F.count("*").alias("n")).where("n > 1")
-    small = keyed.join(sizes.where(F.col("n") <= group).select("k"), "k").groupBy("k").agg(F.collect_list("fp").alias("fps"))
-
-    def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in batches:
-            out = [close_pairs(np.array(x, np.int64).view(np.uint64)) for x in pdf["fps"]]
-            a = np.concatenate([x for x, _ in out]) if out else np.zeros(0, np.uint64)
-            b = np.concatenate([y for _, y in out]) if out else np.zeros(0, np.uint64)
-            yield pd.DataFrame({"a": a.view(np.int64), "b": b.view(np.int64)})
-
-    paired = small.select("fps").mapInPandas(pairs, "a long, b long")
-    large = keyed.join(sizes.where(F.col("n") > group).select("k"), "k").select("fp").distinct()
-    balls = large.select("fp", F.explode(F.array(F.col("fp"), *[F.col("fp").bitwiseXOR(F.lit((1 << i) - (1 << 64 if i == 63 else 0))) for i in range(64)])).alias("z"))
-    files = balls.groupBy("z").agg(F.collect_list("fp").alias("m")).where(F.size("m") > 1)
-    starred = files.select(F.array_min("m").alias("a"), F.explode("m").alias("b")).where("a <> b")
-    return paired.unionByName(starred).distinct()
+    lead = int(np.argmax(d.std(0)))
+    order = np.argsort(d[:, lead], kind="stable")
+    fps, d = fps[order], d[order].astype(np.int16)
+    first, second = [], []
+    for lo in range(0, len(fps), BLOCK):
+        hi = min(len(fps), lo + BLOCK)
+        until = int(np.searchsorted(d[:, lead], d[hi - 1, lead] + radius, side="right"))
+        a, b = np.nonzero(np.abs(d[lo:hi, lead, None] - d[None, lo:until, lead]) <= radius)
+        a, b = (a + lo)[a < b], (b + lo)[a < b]
+        for j in range(d.shape[1]):
+            near = np.abs(d[a, j] - d[b, j]) <= radius
+            a, b = a[near], b[near]
+        near = np.bitwise_count(fps[a] ^ fps[b]) <= radius
+        first.append(fps[a[near]])
+        second.append(fps[b[near]])
+    return np.concatenate(first), np.concatenate(second)
+
+
+def links(pivoted: DataFrame) -> DataFrame:
+    """All pairs (a, b) within RADIUS of the fingerprints of a pivot table (fp, d), each once."""
+    sets = _band_sets(F.col("d"))
+    keyed = pivoted.withColumn("_band", sets[0]).select("fp", F.explode(sets[1]).alias("k"))
+    # Most keys have one fingerprint: distances join those that meet only.
+    busy = keyed.groupBy("k").agg(F.count("*").alias("n")).where("n > 1").select("k")
+    groups = keyed.join(busy, "k").join(pivoted.select("fp", "d"), "fp").groupBy("k").agg(F.collect_list("fp").alias("fps"), F.collect_list("d").alias("ds"))
+
+    def pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            # Each collect_list goes in the rows' order, so the two lists run side by side.
+            out = [close_pairs(np.array(x, np.int64).view(np.uint64), np.array(y, np.int8)) for x, y in zip(b.column("fps").to_pylist(), b.column("ds").to_pylist())]
+            ends = [np.concatenate([o[k] for o in out]).view(np.int64) if out else np.zeros(0, np.int64) for k in (0, 1)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(*ends)), pa.array(np.maximum(*ends))], names=["a", "b"])
+
+    return groups.select("fps", "ds").mapInArrow(pairs, "a long, b long").distinct()
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -153,14 +157,12 @@ def components(edges: DataFrame) -> DataFrame:
 def simhash_groups(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """doc_id, fp and component_id of every row of ``docs``(doc_id, text)."""
     fps = checkpointed(fingerprints(docs, shingle))
-    distinct = checkpointed(fps.groupBy("fp").agg(F.min("doc_id").alias("first")))
-    roots = checkpointed(components(links(distinct.select("fp"))))
+    distinct = checkpointed(pivot_table(fps.groupBy("fp").agg(F.min("doc_id").alias("first"))))
+    roots = checkpointed(components(links(distinct)))
     labelled = distinct.join(roots, "fp", "left").select("fp", "first", F.coalesce("root", "fp").alias("root"))
     ids = labelled.groupBy("root").agg(F.min("first").alias("component_id"))
-    # Joins of distinct fingerprints; only the last one meets all rows, with a fingerprint's copies dealt over 16 salts.
-    by_fp = labelled.join(ids, "root").select("fp", "component_id", F.explode(F.array(*[F.lit(k) for k in range(16)])).alias("salt"))
-    salted = fps.withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(16)).cast("int"))
-    return salted.join(by_fp, ["fp", "salt"]).select("doc_id", "fp", "component_id")
+    # Joins of distinct fingerprints; only the last one meets all rows, and a join's skewed side is split at run time.
+    return fps.join(labelled.join(ids, "root").select("fp", "component_id"), "fp").select("doc_id", "fp", "component_id")
 
 
 def op8_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

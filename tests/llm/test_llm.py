@@ -7,6 +7,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pytest
+import xxhash
 
 from quillwort.llm import ORACLE_SQL, QUERIES
 from quillwort.llm import decontamination, fingerprint, license_scan, mixing, quality, simhash, substring_dedup, suffix_dedup, toxicity, warc
@@ -88,8 +89,7 @@ def test_suffix_dedup_brute_force(spark, rows_per_chunk):
     assert sorted(got, key=str) == sorted(want, key=str)
 
 
-@pytest.mark.parametrize("group", [256, 1])
-def test_simhash_links_and_components(spark, group):
+def test_simhash_links_and_components(spark):
     rng = np.random.default_rng(3)
     base = rng.integers(0, 2**64, 40, np.uint64)
     near = [int(b) ^ (1 << int(x)) ^ (1 << int(y)) for b in base for x, y in rng.integers(0, 64, (12, 2))]
@@ -109,7 +109,11 @@ def test_simhash_links_and_components(spark, group):
             a, b = find(i), find(int(j))
             root[max(a, b)] = min(a, b)
     d = spark.createDataFrame([(int(x),) for x in fps.view(np.int64)], "fp long")
-    got = {r["fp"]: r["root"] for r in simhash.components(simhash.links(d, group)).collect()}
+    checked = simhash.links(simhash.pivot_table(d)).cache()
+    signed = fps.view(np.int64).tolist()
+    near = {(min(signed[i], signed[j]), max(signed[i], signed[j])) for i in range(len(fps)) for j in np.flatnonzero(np.bitwise_count(fps ^ fps[i]) <= 2).tolist() if i < j}
+    assert sorted(map(tuple, checked.collect())) == sorted(near)
+    got = {r["fp"]: r["root"] for r in simhash.components(checked).collect()}
     groups = {}
     for i, x in enumerate(fps.view(np.int64).tolist()):
         groups.setdefault(find(i), set()).add(x)
@@ -117,6 +121,40 @@ def test_simhash_links_and_components(spark, group):
     assert got == want
 
 
+def test_pivot_coordinates_tell_the_bits():
+    """Of any two bytes, the eight coordinates of a band differ: equal coordinates mean equal bits."""
+    words = simhash.PIVOTS[1:9]
+    assert len({tuple(bin(x ^ w).count("1") - bin(x).count("1") for w in words) for x in range(256)}) == 256
+    assert len(simhash.PIVOTS) == 65
+
+
+def slow_fingerprint(text):
+    words = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in text or "").translate({k: " " for k in range(9, 14)}).split(" ")
+    words = [w for w in words if w]
+    if not words:
+        return 0
+    hs = [xxhash.xxh64_intdigest(" ".join(words[k : k + 3]).encode(), 42) for k in range(max(1, len(words) - 2))]
+    return sum((2 * sum(h >> bit & 1 for h in hs) > len(hs)) << bit for bit in range(64))
+
+
+def test_simhash_query_brute_force(spark):
+    """Shingles, bits, links and components of whole rows, with null, empty, short, long and repeated ones."""
+    rows = edge_rows() + [(70, "One  two\tTHREE four five six seven", "s"), (71, "one two three four five six seven", "s"), (72, "É é", "s"), (73, "x y " * 20_000, "s")]
+    fp = [slow_fingerprint(t) for _, t, _ in rows]
+    root = list(range(len(rows)))
+    changed = True
+    while changed:
+        changed = False
+        for i in range(len(rows)):
+            for j in range(len(rows)):
+                if bin(fp[i] ^ fp[j]).count("1") <= 2 and root[i] > root[j]:
+                    root[i], changed = root[j], True
+    least = {r: min((rows[i][0] for i in range(len(rows)) if root[i] == r and rows[i][0] is not None), default=None) for r in root}
+    want = sorted(((rows[i][0], f"{fp[i]:016x}", least[root[i]]) for i in range(len(rows))), key=str)
+    got = [(r["doc_id"], f"{r['fp'] % 2**64:016x}", r["component_id"]) for r in simhash.simhash_groups(docs(spark, rows)).collect()]
+    assert sorted(got, key=str) == want
+
+
 def test_simhash_edges(spark):
     got = simhash.simhash_groups(docs(spark, edge_rows())).collect()
     assert len(got) == len(edge_rows())
