@@ -8,6 +8,7 @@ import pandas as pd
 import pyarrow as pa
 import pytest
 import xxhash
+from pyspark.sql import functions as F
 
 from quillwort.llm import ORACLE_SQL, QUERIES
 from quillwort.llm import decontamination, fingerprint, license_scan, mixing, quality, simhash, substring_dedup, suffix_dedup, toxicity, warc
@@ -223,6 +224,47 @@ def test_mix_edges(spark):
         assert sum(r["taken"] for r in rs) == int(rs[0]["target"])
 
 
+def test_golden_points_and_prefixes(spark):
+    """Slots are golden-ratio points in exact integers, far out too; every prefix of the mix holds each source in near its share."""
+    ks = [1, 2, 7_000_000_001, 2**38 - 1]
+    got = [r[0] for r in spark.createDataFrame([(k,) for k in ks], "k long").select(mixing.golden(F.col("k"))).collect()]
+    assert got == [k * mixing.GOLDEN % 2**48 for k in ks]
+    quota = {0: 300, 1: 50, 2: 0, 3: 120}
+    rows = mixing.schedule(spark, spark.createDataFrame(list(quota.items()), "sid long, quota long")).collect()
+    by = {s: sorted((r["slot"], r["rank"]) for r in rows if r["sid"] == s) for s in quota}
+    assert all([k for _, k in by[s]] == list(range(q)) for s, q in quota.items())
+    order = sorted((r["slot"], r["sid"]) for r in rows)
+    total, most = sum(quota.values()), 0.0
+    for s, q in quota.items():
+        seen = 0
+        for n, (_, sid) in enumerate(order[: 2 * total // 3], 1):
+            seen += sid == s
+            most = max(most, abs(seen - n * q / total))
+    assert most < 4
+    shuffled = random.Random(0).sample(order, len(order))
+    seen = np.cumsum([sid == 0 for _, sid in shuffled]) - np.arange(1, total + 1) * quota[0] / total
+    assert np.abs(seen).max() > 4
+
+
+def test_mixture_covers_what_is_taken(spark):
+    """Pieces of the mix: each word range of a document at most twice, ties of doc_id with unlike sizes included."""
+    rows = edge_rows() + [(5, "one two three", "s0"), (5, "one", "s0"), (5, None, "s0")]
+    placed = mixing.placed_documents(docs(spark, rows))
+    pieces = mixing.mixture(placed, block=7).collect()
+    size = {r["row"]: r["size"] for r in placed.collect()}
+    used = {}
+    for r in pieces:
+        assert 0 <= r["start"] and r["start"] + r["words"] <= size[r["row"]]
+        for k in range(r["start"], r["start"] + r["words"]):
+            used[r["row"], k] = used.get((r["row"], k), 0) + 1
+    assert max(used.values()) <= mixing.REPEATS
+    assert sum(used.values()) == sum(r["taken"] for r in mixing.mix(docs(spark, rows), block=7).collect())
+    slots = {}
+    for r in pieces:
+        slots.setdefault(r["slot"], set()).add(r["sid"])
+    assert all(len(s) == 1 for s in slots.values())
+
+
 def test_warc_round_trip(spark, tmp_path):
     rows = [(1, "u", "same"), (2, "u", "same"), (3, None, None), (4, "http://x/\r\nInjected: 1", ""), (5, "u", "é" * 70000), (None, "u", "same"), (2, "u", "same")]
     got = warc.archive_pages(spark.createDataFrame(rows, "page_id long, url string, html string"), str(tmp_path / "w")).collect()
