@@ -61,11 +61,15 @@ def fingerprint(text: str | None, shingle: int = SHINGLE) -> int:
         line = b" ".join(words)
         end = np.cumsum(np.fromiter(map(len, words), np.int64, len(words)) + 1)
         h = [xxhash.xxh64_intdigest(line[a:b], SEED) for a, b in zip([0, *end[: -shingle].tolist()], (end[shingle - 1 :] - 1).tolist())]
-    total, n = np.zeros(64, np.int64), len(h)
-    hs = np.array(h, np.uint64)
-    for i in range(0, n, 65_536):
-        total += np.unpackbits(hs[i : i + 65_536].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
-    return int(np.packbits(total * 2 > n, bitorder="little").view(np.uint64)[0])
+    return majority(np.array(h, np.uint64))
+
+
+def majority(h: np.ndarray) -> int:
+    """The bits that over half of the hashes have."""
+    total = np.zeros(64, np.int64)
+    for i in range(0, len(h), 65_536):
+        total += np.unpackbits(h[i : i + 65_536].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64)
+    return int(np.packbits(total * 2 > len(h), bitorder="little").view(np.uint64)[0])
 
 
 def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
