@@ -11,7 +11,8 @@ sizes of the two classes, so that it means the same at every size of the sample.
 
 Training: labelled rows of the training folds only (crc32 of doc_id as text, mod 3, is not 1), at most ``PER_CLASS``
 rows of each label, chosen by hash of doc_id: the only bound.  Every text is scored whole.  Label, lang, source and
-doc_id are no inputs of a score.  A bag that reaches the driver has at most ``BUCKETS`` numbers, whatever the text's length.
+doc_id are no inputs of a score.  Sums by n-gram are made in the tasks; only n-grams whose sums differ between the
+classes reach the driver.
 
 As mean and softmax are linear, a word adds a fixed amount to the logit; a task remembers these amounts by word, up to a
 bound, so scoring costs one look-up a word.  The model that tasks receive is one number for each n-gram kept.
@@ -34,7 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from quillwort.llm.common import table
+from quillwort.llm.common import checkpointed, table
 
 BUCKETS = 1 << 20
 DIM = 4
@@ -89,18 +90,55 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, train: Colum
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(chosen), "doc_id").select("doc_id", "y", "text")
 
 
-def bags(sample: DataFrame) -> list[tuple[int, np.ndarray, np.ndarray]]:
-    """(y, buckets, shares) of the sample's texts, made in the tasks; in a fixed order."""
+def bags(sample: DataFrame) -> DataFrame:
+    """doc_id, y, and the bag (``at``, ``share``) of every text of the sample, kept in the shared folder."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             got = [bag(t) for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("y"), pa.array([g for g, _ in got], pa.list_(pa.int32())), pa.array([v for _, v in got], pa.list_(pa.float32()))], names=["doc_id", "y", "at", "share"])
 
-    got = sample.mapInArrow(run, "doc_id long, y int, at array<int>, share array<float>").toArrow()
-    at, share = got.column("at"), got.column("share")
-    order = sorted(zip(got.column("doc_id").to_pylist(), got.column("y").to_pylist(), range(got.num_rows)), key=lambda r: (r[0], r[1], share[r[2]].values.to_numpy().tobytes()))
-    return [(y, at[k].values.to_numpy(), share[k].values.to_numpy()) for _, y, k in order]
+    return checkpointed(sample.mapInArrow(run, "doc_id long, y int, at array<int>, share array<float>"))
+
+
+def evident(found: DataFrame, n0: int, n1: int) -> tuple[np.ndarray, np.ndarray]:
+    """The buckets that pass the screen, ascending, and their spreads.  Sums are of integers, so they do not depend on order."""
+    flat = found.select("y", F.explode(F.arrays_zip("at", "share")).alias("g")).select("y", "g.at", F.col("g.share").cast("double").alias("x"))
+    total = lambda y, v, scale: F.coalesce(F.sum(F.when(F.col("y") == y, F.round(v * F.lit(float(scale))).cast("long"))), F.lit(0)) / F.lit(2.0 * scale * (n1 if y else n0))
+    x = F.col("x")
+    sums = flat.groupBy("at").agg(total(0, x, 1 << 40).alias("m0"), total(1, x, 1 << 40).alias("m1"), (total(0, x * x, 1 << 48) + total(1, x * x, 1 << 48)).alias("second"))
+    spread = F.sqrt(F.greatest(F.col("second") - (F.col("m0") + F.col("m1")) * (F.col("m0") + F.col("m1")), F.lit(1e-18)))
+    kept = sums.select("at", spread.alias("spread"), (F.abs(F.col("m0") - F.col("m1")) / 2).alias("slope")).where(F.col("slope") > SCREEN * group_penalty(n0, n1) * F.col("spread"))
+    got = kept.select("at", "spread").orderBy("at").toArrow()
+    return got.column("at").to_numpy(), got.column("spread").to_numpy()
+
+
+def group_penalty(n0: int, n1: int) -> float:
+    return PENALTY * 0.25 * float(np.sqrt(1 / n1 + 1 / n0))
+
+
+def design(found: DataFrame, columns: np.ndarray, spread: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The sample's standardised bags over the columns only, and the labels, in a fixed order of rows."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            place, value = [], []
+            for at, share in zip(b.column("at"), b.column("share")):
+                at, share = at.values.to_numpy(), share.values.to_numpy()
+                p = np.searchsorted(columns, at)
+                p[p == len(columns)] = 0
+                held = columns[p] == at
+                place.append(p[held].astype(np.int32))
+                value.append((share[held] / spread[p[held]]).astype(np.float32))
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("y"), pa.array(place, pa.list_(pa.int32())), pa.array(value, pa.list_(pa.float32()))], names=["doc_id", "y", "place", "value"])
+
+    got = found.mapInArrow(run, "doc_id long, y int, place array<int>, value array<float>").toArrow()
+    place, value = got.column("place"), got.column("value")
+    order = sorted(zip(got.column("doc_id").to_pylist(), got.column("y").to_pylist(), range(got.num_rows)), key=lambda r: (r[0], r[1], value[r[2]].values.to_numpy().tobytes()))
+    x = np.zeros((len(order), len(columns)), np.float32)
+    for row, (_, _, k) in enumerate(order):
+        x[row, place[k].values.to_numpy()] = value[k].values.to_numpy()
+    return x, np.array([y for _, y, _ in order], np.int64)
 
 
 class Adam:
@@ -165,30 +203,26 @@ class Descent:
         self.x, self.embedding = np.ascontiguousarray(self.x[:, columns]), self.embedding[columns]
 
 
-def train(sample: list[tuple[int, np.ndarray, np.ndarray]]) -> tuple[dict[int, float], float]:
-    """The logit of each n-gram bucket that is kept, and the intercept."""
-    y = np.array([r[0] for r in sample], np.int64)
-    if len(set(y.tolist())) < 2:
-        return {}, float(np.log((y.sum() + 0.5) / (len(y) - y.sum() + 0.5)) if len(y) else -3.0)
-    row = np.repeat(np.arange(len(y), dtype=np.int32), [len(r[1]) for r in sample])
-    at, share = np.concatenate([r[1] for r in sample]), np.concatenate([r[2] for r in sample])
-    weight = np.where(y == 1, 0.5 / y.sum(), 0.5 / (len(y) - y.sum()))
-    first = np.bincount(at, share * weight[row], BUCKETS)
-    spread = np.sqrt(np.maximum(np.bincount(at, share.astype(np.float64) ** 2 * weight[row], BUCKETS) - first**2, 1e-18))
-    penalty = PENALTY * 0.25 * np.sqrt(1 / y.sum() + 1 / (len(y) - y.sum()))
-    slope = np.bincount(at, share * ((0.5 - y) * weight)[row], BUCKETS) / spread
-    columns = np.flatnonzero(np.abs(slope) > SCREEN * penalty)
-    place = np.full(BUCKETS, -1, np.int32)
-    place[columns] = np.arange(len(columns))
-    held = place[at] >= 0
-    x = np.zeros((len(y), len(columns)), np.float32)
-    x[row[held], place[at[held]]] = share[held] / spread[at[held]]
-    d = Descent(x, y, weight)
-    d.run(penalty, 0.0)
+def train(sample: DataFrame) -> tuple[dict[int, float], float]:
+    """The logit of each n-gram bucket that is kept, and the intercept, from a sample(doc_id, y, text).
+
+    Sums by bucket are made in the tasks; the driver receives the columns that pass the screen.
+    """
+    found = bags(sample)
+    count = {r["y"]: r["n"] for r in found.groupBy("y").agg(F.count("*").alias("n")).collect()}
+    n0, n1 = count.get(0, 0), count.get(1, 0)
+    if not n0 or not n1:
+        return {}, float(np.log((n1 + 0.5) / (n0 + 0.5)) if n0 + n1 else -3.0)
+    columns, spread = evident(found, n0, n1)
+    if not len(columns):
+        return {}, 0.0
+    x, y = design(found, columns, spread)
+    d = Descent(x, y, np.where(y == 1, 0.5 / n1, 0.5 / n0))
+    d.run(group_penalty(n0, n1), 0.0)
     some = np.flatnonzero(np.linalg.norm(d.embedding, axis=1))
     d.kept(some)
     d.run(0.0, RIDGE)
-    logit = (d.embedding @ (d.softmax[:, 1] - d.softmax[:, 0])).astype(np.float64) / spread[columns[some]]
+    logit = (d.embedding @ (d.softmax[:, 1] - d.softmax[:, 0])).astype(np.float64) / spread[some]
     return dict(zip(columns[some].tolist(), logit.tolist())), float(d.bias[1] - d.bias[0])
 
 
@@ -211,7 +245,7 @@ class WordLogits(dict):
 
 def scored(docs: DataFrame, labels: DataFrame, with_text: bool = True) -> DataFrame:
     """The columns of every row of ``docs`` (all, or all but the text) and its score."""
-    by_gram, bias = train(bags(labelled_sample(docs, labels, "toxic", fold("doc_id", 3) != 1, PER_CLASS)))
+    by_gram, bias = train(labelled_sample(docs, labels, "toxic", fold("doc_id", 3) != 1, PER_CLASS))
     schema = docs.schema if with_text else docs.drop("text").schema
     columns = schema.names
 

@@ -292,11 +292,11 @@ def test_toxicity_held_out_and_misspelt(spark):
     assert got[9000]["score"] >= toxicity.THRESHOLD > 0.5 > got[9001]["score"] and got[9001]["score"] == got[9002]["score"]
 
 
-def test_toxicity_scores_by_a_slow_scorer():
+def test_toxicity_scores_by_a_slow_scorer(spark):
     """Word by word and n-gram by n-gram, with the dense embeddings of a small model."""
     rows, _ = labelled_rows()
-    sample = [(int(k % 3 == 0), *toxicity.bag(t)) for k, t, _ in rows[:300]]
-    logit, bias = toxicity.train(sample)
+    logit, bias = toxicity.train(spark.createDataFrame([(k, int(k % 3 == 0), t) for k, t, _ in rows[:300]], "doc_id long, y int, text string"))
+    assert logit
     known = toxicity.WordLogits(logit)
     for text in ("", "worda nastyword wordb", "nastywordd nastyword x-y", "Wordc " * 400):
         words = toxicity.words_of(text)
