@@ -101,14 +101,30 @@ def bags(sample: DataFrame) -> DataFrame:
     return checkpointed(sample.mapInArrow(run, "doc_id long, y int, at array<int>, share array<float>"))
 
 
+def sums(found: DataFrame) -> DataFrame:
+    """at, and of each class the sums of shares and of their squares (s0, s1, q0, q1), as integers: sums that do not depend on order."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((4, BUCKETS), np.int64)
+        for b in batches:
+            for y, at, share in zip(b.column("y").to_pylist(), b.column("at"), b.column("share")):
+                at, share = at.values.to_numpy(), share.values.to_numpy().astype(np.float64)
+                total[y, at] += np.round(share * 2.0**40).astype(np.int64)
+                total[2 + y, at] += np.round(share * share * 2.0**48).astype(np.int64)
+        some = np.flatnonzero(total[0] + total[1])
+        yield pa.RecordBatch.from_arrays([pa.array(some, pa.int64()), *(pa.array(v[some]) for v in total)], names=["at", "s0", "s1", "q0", "q1"])
+
+    # The sample is bounded, so a few tasks add it up; each sends a row for each bucket at most.
+    parts = found.coalesce(4).mapInArrow(run, "at long, s0 long, s1 long, q0 long, q1 long")
+    return parts.groupBy("at").agg(*[F.sum(c).alias(c) for c in ("s0", "s1", "q0", "q1")])
+
+
 def evident(found: DataFrame, n0: int, n1: int) -> tuple[np.ndarray, np.ndarray]:
-    """The buckets that pass the screen, ascending, and their spreads.  Sums are of integers, so they do not depend on order."""
-    flat = found.select("y", F.explode(F.arrays_zip("at", "share")).alias("g")).select("y", "g.at", F.col("g.share").cast("double").alias("x"))
-    total = lambda y, v, scale: F.coalesce(F.sum(F.when(F.col("y") == y, F.round(v * F.lit(float(scale))).cast("long"))), F.lit(0)) / F.lit(2.0 * scale * (n1 if y else n0))
-    x = F.col("x")
-    sums = flat.groupBy("at").agg(total(0, x, 1 << 40).alias("m0"), total(1, x, 1 << 40).alias("m1"), (total(0, x * x, 1 << 48) + total(1, x * x, 1 << 48)).alias("second"))
-    spread = F.sqrt(F.greatest(F.col("second") - (F.col("m0") + F.col("m1")) * (F.col("m0") + F.col("m1")), F.lit(1e-18)))
-    kept = sums.select("at", spread.alias("spread"), (F.abs(F.col("m0") - F.col("m1")) / 2).alias("slope")).where(F.col("slope") > SCREEN * group_penalty(n0, n1) * F.col("spread"))
+    """The buckets that pass the screen, ascending, and their spreads."""
+    mean = lambda c, n, scale: F.col(c) / F.lit(2.0 * scale * n)
+    m0, m1 = mean("s0", n0, 2.0**40), mean("s1", n1, 2.0**40)
+    spread = F.sqrt(F.greatest(mean("q0", n0, 2.0**48) + mean("q1", n1, 2.0**48) - (m0 + m1) * (m0 + m1), F.lit(1e-18)))
+    kept = sums(found).select("at", spread.alias("spread"), (F.abs(m0 - m1) / 2).alias("slope")).where(F.col("slope") > SCREEN * group_penalty(n0, n1) * F.col("spread"))
     got = kept.select("at", "spread").orderBy("at").toArrow()
     return got.column("at").to_numpy(), got.column("spread").to_numpy()
 
