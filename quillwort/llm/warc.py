@@ -12,8 +12,8 @@ Steps, each a set of tasks that write whole files under their final name by rena
 3. ``read_archives``: every record is read by offset and length, inflated alone, and its digest checked.
 
 Files go through pyarrow's file systems to the cluster's shared folder (file, hdfs, s3, by its scheme).  A reader's
-memory is one record.  A payload that a third of all pages share is found by an aggregate; its representative is joined
-over 16 salts.
+memory is one record and its file's index lines.  A payload that a third of all pages share is found by an aggregate;
+in the join with its representative Spark splits the skewed side.
 
 Null html: empty payload.  Null page_id: a record without the id header, a response only where no equal payload has an
 id.  Rows of the same page_id and payload as the response are responses too.  An empty table gives an empty result and
@@ -37,17 +37,15 @@ from pyspark.sql import functions as F
 from quillwort.llm.common import buckets_of, checkpointed, shared_dir, table
 
 MIN_REVISIT = 0
-SALTS = 16
 PIECE = 1 << 18
 
 
 def record_types(pages: DataFrame, min_revisit: int = MIN_REVISIT) -> DataFrame:
     """page_id, html, url and refers_to: the page that a revisit refers to, null for a response."""
     p = pages.select(pages["page_id"].cast("long").alias("page_id"), (pages["url"].cast("string") if "url" in pages.columns else F.lit(None).cast("string")).alias("url"), F.coalesce(pages["html"], F.lit("")).alias("html"))
-    p = p.withColumn("sha", F.sha2(F.col("html").cast("binary"), 256)).withColumn("salt", F.pmod(F.xxhash64("page_id"), F.lit(SALTS)).cast("int"))
+    p = p.withColumn("sha", F.sha2(F.col("html").cast("binary"), 256))
     best = p.select("sha", "page_id").groupBy("sha").agg(F.max("page_id").alias("best"), F.count("*").alias("n")).where("n > 1")
-    salted = best.select("sha", "best", F.explode(F.array(*[F.lit(k) for k in range(SALTS)])).alias("salt"))
-    j = p.join(salted, ["sha", "salt"], "left")
+    j = p.join(best.select("sha", "best"), "sha", "left")  # a join's skewed side is split at run time
     revisit = (F.octet_length("html") >= min_revisit) & F.col("best").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("best"))
     return j.select("page_id", "url", "html", F.when(revisit, F.col("best")).alias("refers_to"))
 
@@ -135,18 +133,21 @@ def inflated(source, piece: int = PIECE) -> Iterator[bytes]:
 
 def records(pieces: Iterator[bytes]) -> Iterator[tuple[dict[str, str], bytes, bytes]]:
     """Headers, body and all bytes of each record."""
-    buf = b""
+    buf, need = bytearray(), 0
     for piece in pieces:
         buf += piece
-        at = 0
+        if len(buf) < need:  # a record's bytes are looked at when all are there
+            continue
+        at = need = 0
         while (end := buf.find(b"\r\n\r\n", at)) >= 0:
-            head = dict(line.split(": ", 1) for line in buf[at:end].decode().split("\r\n")[1:])
+            head = dict(line.split(": ", 1) for line in bytes(buf[at:end]).decode().split("\r\n")[1:])
             size = int(head["Content-Length"])
             if len(buf) < end + 8 + size:
+                need = end + 8 + size - at
                 break
-            yield head, buf[end + 4 : end + 4 + size], buf[at : end + 8 + size]
+            yield head, bytes(buf[end + 4 : end + 4 + size]), bytes(buf[at : end + 8 + size])
             at = end + 8 + size
-        buf = buf[at:]
+        del buf[:at]
     if buf:
         raise ValueError(f"{len(buf)} bytes after the last whole record")
 

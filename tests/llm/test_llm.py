@@ -272,6 +272,20 @@ def test_warc_round_trip(spark, tmp_path):
     assert {r["payload_digest"] for r in got if r["payload_bytes"] == 4} == {warc.digest(b"same")}
 
 
+def test_long_records_are_read_in_linear_time():
+    import os
+    import time
+
+    took = []
+    for size in (4 << 20, 32 << 20):
+        whole = warc.record(1, "u", os.urandom(size), None)
+        began = time.perf_counter()
+        ((_, body, _),) = warc.records(whole[i : i + 65_536] for i in range(0, len(whole), 65_536))
+        took.append(time.perf_counter() - began)
+        assert len(body) == size
+    assert took[1] < 40 * took[0] + 0.5
+
+
 def labelled_rows(n=900):
     rng = random.Random(1)
     good, bad = [f"word{chr(97 + k % 26)}{chr(97 + k // 26)}" for k in range(120)], ["nastyword", "vilething", "scumbagged"]
