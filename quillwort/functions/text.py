@@ -10,6 +10,11 @@ SEARCH_STOPWORDS = (
     "a an and are as at be but by can do does for from how i if in is it its of on or that the their them then there these they this to was what when where "
     "which who why will with"
 ).split()
+# Words that a link does not count.
+LINK_STOPWORDS = (
+    "the and for with was were are not this that from has have had but all any can could would should did does when which into onto out its their there then "
+    "than them they been being you your our his her card issue ticket error please request problem user system data one two new old via per"
+).split()
 # What stands in for scrubbed personal data.
 EMAIL_TOKEN, ID_TOKEN, PHONE_TOKEN, NAME_TOKEN = "[email]", "[id]", " [phone]", "[name]"
 # Patterns of personal data.
@@ -24,17 +29,21 @@ def _c(x: Column | str) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def runs(text: Column | str) -> Column:
+    """Lower-cased runs of letters and digits; null gives none."""
+    return F.regexp_extract_all(F.lower(F.coalesce(_c(text), F.lit(""))), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
+
+
 def search_tokens(text: Column | str) -> Column:
-    """Lower-cased runs of letters and digits without stopwords; null gives none."""
-    runs = F.regexp_extract_all(F.lower(F.coalesce(_c(text), F.lit(""))), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
-    return F.filter(runs, lambda t: ~t.isin(SEARCH_STOPWORDS))
+    """Runs without stopwords."""
+    return F.filter(runs(text), lambda t: ~t.isin(SEARCH_STOPWORDS))
 
 
 def link_tokens(text: Column | str, stopwords: list[str] | None = None) -> Column:
-    """ASCII words of over two characters, plural s folded, for linking entries to cards."""
+    """ASCII words of over two characters without stopwords, then plural s folded, for linking entries to cards."""
     runs = F.regexp_extract_all(F.lower(F.coalesce(_c(text), F.lit(""))), F.lit("[a-z0-9]+"), F.lit(0))
-    folded = F.transform(runs, lambda t: F.when((F.length(t) > 4) & t.endswith("s") & ~t.endswith("ss"), t.substr(F.lit(1), F.length(t) - 1)).otherwise(t))
-    return F.array_distinct(F.filter(folded, lambda t: (F.length(t) > 2) & ~t.isin(stopwords or SEARCH_STOPWORDS)))
+    kept = F.filter(runs, lambda t: (F.length(t) > 2) & ~t.isin(LINK_STOPWORDS + (stopwords or [])))
+    return F.array_distinct(F.transform(kept, lambda t: F.when((F.length(t) > 4) & t.endswith("s") & ~t.endswith("ss"), t.substr(F.lit(1), F.length(t) - 1)).otherwise(t)))
 
 
 def slug(text: Column | str, most: int | None = None, default: str | None = None) -> Column:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
+from quillwort.functions.cards import ACKNOWLEDGED
 from quillwort.functions.text import slug
 
 # Format families, and formats from the preferred one on.
@@ -23,12 +24,23 @@ def exact_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def ticket_verdicts(tickets: DataFrame) -> DataFrame:
-    """duplicate, noise-pattern, thin-content, no-diagnosis or keep; only an earlier *kept* ticket makes a duplicate."""
-    h = F.sha2(F.concat_ws("|", "client", F.lower(F.trim("subject")), F.lower(F.trim("description"))), 256)
+    """duplicate, noise-pattern, thin-content, no-diagnosis or keep; only an earlier *kept* ticket makes a duplicate.
+
+    ``n_agent`` counts the agents' replies that say more than an acknowledgement (``substantial_replies``).  The first kept
+    ticket of a hash is found by partial aggregates and joined back, so no hash's tickets need to meet in one task.
+    """
+    part = lambda c: F.coalesce(F.lower(F.trim(c)), F.lit(""))
+    h = F.sha2(F.concat_ws("|", F.coalesce("client", F.lit("")), part("subject"), part("description")), 256)
     alone = F.when(F.concat_ws(" ", "subject", "description").rlike(NOISE), "noise-pattern").when(F.col("thread_chars") < LEAST_THREAD, "thin-content").when(F.col("n_agent") == 0, "no-diagnosis").otherwise("keep")
     rows = tickets.select("ticket_id", h.alias("h"), alone.alias("alone"))
-    first_kept = F.min(F.when(F.col("alone") == "keep", F.col("ticket_id"))).over(W.partitionBy("h"))
-    return rows.select("ticket_id", F.when(F.col("ticket_id") > first_kept, "duplicate").otherwise(F.col("alone")).alias("verdict"))
+    first_kept = rows.where("alone = 'keep'").groupBy("h").agg(F.min("ticket_id").alias("first_kept"))
+    return rows.join(first_kept, "h", "left").select("ticket_id", F.when(F.col("ticket_id") > F.col("first_kept"), "duplicate").otherwise(F.col("alone")).alias("verdict"))
+
+
+def substantial_replies(comments: DataFrame) -> DataFrame:
+    """comments(ticket_id, role, body): how many of a ticket's agent replies are neither blank nor a mere acknowledgement."""
+    solid = (F.col("role") == "assistant") & (F.trim("body") != "") & ~F.trim("body").rlike(ACKNOWLEDGED)
+    return comments.groupBy("ticket_id").agg(F.count_if(solid).alias("n_solid"))
 
 
 def format_variants(plan: DataFrame) -> DataFrame:
@@ -73,14 +85,36 @@ def dangling_edges(cards: DataFrame, edges: DataFrame) -> DataFrame:
     return edges.join(cards.select(F.col("card_id").alias("dst")), "dst", "left_anti").select("src", "dst", "pos")
 
 
-def correction_findings(cards: DataFrame) -> DataFrame:
-    """Lint of corrections: dangling target, target that is a correction, more than one approved for a target."""
+def correction_findings(cards: DataFrame, supersedes: DataFrame) -> DataFrame:
+    """Lint of corrections: target missing or itself a correction, unknown supersedes, superseded but approved, several live.
+
+    supersedes(card_id, old) has what each correction supersedes; a correction superseded by an approved one is not live.
+    """
     c = cards.where("type = 'correction'").select("card_id", "corrects", "status")
-    target = cards.select(F.col("card_id").alias("corrects"), F.col("type").alias("target_type"))
+    target = cards.where("type <> 'correction'").select(F.col("card_id").alias("corrects"))
     dangling = c.join(target, "corrects", "left_anti").select("card_id", F.lit("dangling").alias("finding"))
-    nested = c.join(target.where("target_type = 'correction'"), "corrects", "left_semi").select("card_id", F.lit("corrects a correction").alias("finding"))
-    many = c.where("status = 'approved'").groupBy("corrects").agg(F.count("*").alias("n"), F.min("card_id").alias("card_id")).where("n > 1").select("card_id", F.lit("several live").alias("finding"))
-    return dangling.unionByName(nested).unionByName(many)
+    ours = supersedes.join(c.select("card_id", "status"), "card_id")
+    unknown = ours.join(c.select(F.col("card_id").alias("old")), "old", "left_anti").select("card_id", F.lit("supersedes unknown").alias("finding")).distinct()
+    gone = ours.where("status = 'approved'").select(F.col("old").alias("card_id")).distinct()
+    approved = c.where("status = 'approved'")
+    still = approved.join(gone, "card_id", "left_semi").select("card_id", F.lit("superseded but approved").alias("finding"))
+    live = approved.join(gone, "card_id", "left_anti").join(cards.select(F.col("card_id").alias("corrects")), "corrects", "left_semi")
+    many = live.groupBy("corrects").agg(F.count("*").alias("n"), F.min("card_id").alias("card_id")).where("n > 1").select("card_id", F.lit("several live").alias("finding"))
+    return dangling.unionByName(unknown).unionByName(still).unionByName(many)
+
+
+def memory_findings(memories: DataFrame, related: DataFrame, supersedes: DataFrame, concepts: DataFrame, products: list[str]) -> DataFrame:
+    """Lint of memories(card_id, product, client, status): bad product, dangling related, supersedes unknown or across clients, superseded but approved."""
+    m = memories.select("card_id", "product", "client", "status")
+    bad = m.where(~F.coalesce(F.col("product").isin(products), F.lit(False))).select("card_id", F.lit("bad product").alias("finding"))
+    dangling = related.join(m.select("card_id"), "card_id", "left_semi").join(concepts.select(F.col("card_id").alias("dst")), "dst", "left_anti").select("card_id", F.lit("dangling related").alias("finding"))
+    old = m.select(F.col("card_id").alias("old"), F.col("client").alias("old_client"), F.col("status").alias("old_status"), F.lit(True).alias("known"))
+    pairs = supersedes.join(m, "card_id").join(old, "old", "left")
+    same = F.col("client").eqNullSafe(F.col("old_client"))
+    unknown = pairs.where("known is null").select("card_id", F.lit("supersedes unknown").alias("finding"))
+    across = pairs.where(F.col("known").isNotNull() & ~same).select("card_id", F.lit("supersedes across clients").alias("finding"))
+    still = pairs.where(F.col("known") & same & (F.col("status") == "approved") & (F.col("old_status") == "approved")).select(F.col("old").alias("card_id"), F.lit("superseded but approved").alias("finding")).distinct()
+    return bad.unionByName(dangling).unionByName(unknown).unionByName(across).unionByName(still)
 
 
 def conflict_candidates(memories: DataFrame) -> DataFrame:
@@ -117,10 +151,6 @@ def inventory_stats(files: DataFrame) -> DataFrame:
     return files.groupBy("ext").agg(F.count("*").alias("n"), F.sum(F.when(F.col("size") >= 0, F.col("size"))).alias("bytes"), F.count(F.when(F.col("size") < 0, 1)).alias("errors")).orderBy(F.desc("n"), "ext").limit(15)
 
 
-def eval_aggregate(verdicts: DataFrame) -> DataFrame:
-    return verdicts.agg(F.count("*").alias("n"), F.count_if(F.col("quality") == 1).alias("correct"), F.count_if(F.col("toxic") == 1).alias("leaked"), F.count_if(F.col("quality").isNull()).alias("empty"), F.bool_or(F.col("toxic") == 1).alias("failed"))
-
-
 def index_pages(cards: DataFrame) -> DataFrame:
     """Per product: count and the links, in order of card id."""
     g = cards.where("type <> 'correction'").groupBy("product").agg(F.count("*").alias("n"), F.sort_array(F.collect_list(F.struct("card_id", "title"))).alias("c"))

@@ -6,7 +6,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from quillwort.functions.text import link_tokens, search_tokens
+from quillwort.functions.text import link_tokens, runs, search_tokens
+
+
+#: Query terms and their counts are broadcast up to so many, counted first; df has a row a query term at most.
+BROADCAST_TERMS = 200_000
 
 
 def in_client_scope(client: str | None) -> Column:
@@ -32,10 +36,14 @@ def rank_concepts(queries: DataFrame, cards: DataFrame, limit: int = 20) -> Data
     """
     n = cards.count()
     wanted = queries.select("qid", F.explode(F.array_distinct(search_tokens("query"))).alias("term"))
-    tf = cards.select("card_id", F.explode(search_tokens(F.concat_ws(" ", "title", "description", "card_id"))).alias("term")).join(wanted.select("term").distinct(), "term", "left_semi").groupBy("term", "card_id").agg(F.count("*").alias("tf"))
+    terms = wanted.select("term").distinct()
+    few = terms.count() <= BROADCAST_TERMS
+    mark = F.broadcast if few else (lambda df: df)
+    # Stop words are no query's terms, so the join takes them off the cards, too.
+    tf = cards.select("card_id", F.explode(runs(F.concat_ws(" ", "title", "description", "card_id"))).alias("term")).join(mark(terms), "term", "left_semi").groupBy("term", "card_id").agg(F.count("*").alias("tf"))
     df = tf.groupBy("term").agg(F.count("*").alias("df"))
-    weight = tf.join(df, "term").select("term", "card_id", ((F.log(F.lit(1.0 + n) / (F.lit(1.0) + F.col("df"))) + 1.0) * (1.0 + F.log(F.col("tf").cast("double")))).alias("w"))
-    scored = wanted.join(weight, "term").groupBy("qid", "card_id").agg(F.round(F.sum("w"), 6).alias("score")).where("score > 0")
+    weight = tf.join(mark(df), "term").select("term", "card_id", ((F.log(F.lit(1.0 + n) / (F.lit(1.0) + F.col("df"))) + 1.0) * (1.0 + F.log(F.col("tf").cast("double")))).alias("w"))
+    scored = weight.join(wanted, "term").groupBy("qid", "card_id").agg(F.round(F.sum("w"), 6).alias("score")).where("score > 0")
     place = F.row_number().over(W.partitionBy("qid").orderBy(F.desc("score"), "card_id"))
     return scored.withColumn("place", place).where(F.col("place") <= limit)
 
@@ -60,23 +68,49 @@ def suggest_links(entries: DataFrame, cards: DataFrame, top: int = 3, least: flo
     return scored.withColumn("place", F.row_number().over(W.partitionBy("entry_id").orderBy(F.desc("score"), "card_id"))).where(F.col("place") <= top).select("entry_id", "card_id", "n_shared", "score", "place")
 
 
-def resolve_bundles(requests: DataFrame, cards: DataFrame, edges: DataFrame, depth: int = 1, max_cards: int = 8) -> DataFrame:
-    """Breadth-first bundles of requests(request_id, seed, seed_pos): request_id, card_id, place.
+def resolve_bundles(requests: DataFrame, cards: DataFrame, edges: DataFrame, depth: int = 1, max_cards: int = 8, client: str | None = None) -> DataFrame:
+    """Breadth-first bundles of requests(request_id, seed, seed_pos): request_id, card_id, place; places over max_cards are dropped ones.
 
     A level is one join of the frontier with edges and cards.  A neighbour of another regime than its parent (both
     known) or out of client scope is refused for that edge only.  The first visit by (parent's place, edge position)
     counts; ``max_cards`` cuts seeds, too, and what it cuts is not expanded.  Repeated seeds count once.
     """
-    info = cards.select("card_id", "regime", "type", "client").where(in_client_scope(None))
+    info = cards.select("card_id", "regime", "type", "client").where(in_client_scope(client))
     seeds = requests.groupBy("request_id", F.col("seed").alias("card_id")).agg(F.min("seed_pos").alias("p")).join(info, "card_id")
-    level = seeds.withColumn("place", F.row_number().over(W.partitionBy("request_id").orderBy("p"))).where(F.col("place") <= max_cards).select("request_id", "card_id", "regime", "place")
+    level = seeds.withColumn("place", F.row_number().over(W.partitionBy("request_id").orderBy("p"))).select("request_id", "card_id", "regime", "place")
     seen = level
     for _ in range(depth):
-        nxt = level.withColumnRenamed("card_id", "src").withColumnRenamed("regime", "from_regime").join(edges.select("src", "dst", "pos"), "src").join(info.withColumnRenamed("card_id", "dst"), "dst")
+        nxt = level.where(F.col("place") <= max_cards).withColumnRenamed("card_id", "src").withColumnRenamed("regime", "from_regime").join(edges.select("src", "dst", "pos"), "src").join(info.withColumnRenamed("card_id", "dst"), "dst")
         nxt = nxt.where(F.col("from_regime").isNull() | F.col("regime").isNull() | (F.col("from_regime") == F.col("regime")))
         nxt = nxt.join(seen.select("request_id", F.col("card_id").alias("dst")), ["request_id", "dst"], "left_anti")
         first = nxt.groupBy("request_id", "dst").agg(F.min(F.struct("place", "pos")).alias("at"), F.first("regime").alias("regime"))
         have = seen.groupBy("request_id").agg(F.max("place").alias("have"))
-        level = first.join(have, "request_id").withColumn("place", F.col("have") + F.row_number().over(W.partitionBy("request_id").orderBy("at"))).where(F.col("place") <= max_cards).select("request_id", F.col("dst").alias("card_id"), "regime", "place")
+        level = first.join(have, "request_id").withColumn("place", F.col("have") + F.row_number().over(W.partitionBy("request_id").orderBy("at"))).select("request_id", F.col("dst").alias("card_id"), "regime", "place")
         seen = seen.unionByName(level)
     return seen.select("request_id", "card_id", "place")
+
+
+def budgeted_bundles(placed: DataFrame, cards: DataFrame, max_cards: int = 8, max_chars: int | None = None) -> DataFrame:
+    """request_id, card_ids, corrections, dropped and chars of resolve_bundles' rows.
+
+    In order of place, a card that would exceed ``max_chars`` is dropped (the first never is) and later ones may still
+    fit.  Approved corrections of the kept cards follow, each once.  A bundle's kept cards are at most max_cards, so the
+    fold over them is bounded.
+    """
+    size = cards.select("card_id", F.col("n_chars").cast("long").alias("chars"))
+    rows = placed.join(size, "card_id")
+    kept = F.sort_array(F.collect_list(F.when(F.col("place") <= max_cards, F.struct("place", "card_id", "chars"))))
+    over = F.sort_array(F.collect_list(F.when(F.col("place") > max_cards, F.struct("place", "card_id"))))
+    got = rows.groupBy("request_id").agg(kept.alias("kept"), F.transform(over, lambda x: x["card_id"]).alias("over"))
+    none = F.array().cast("array<string>")
+    start = F.struct(none.alias("ids"), none.alias("out"), F.lit(0).cast("long").alias("used"))
+    fits = lambda a, x: (F.size(a["ids"]) == 0) | (a["used"] + x["chars"] <= max_chars) if max_chars is not None else F.lit(True)
+    step = lambda a, x: F.struct(
+        F.when(fits(a, x), F.array_append(a["ids"], x["card_id"])).otherwise(a["ids"]).alias("ids"), F.when(fits(a, x), a["out"]).otherwise(F.array_append(a["out"], x["card_id"])).alias("out"),
+        (a["used"] + F.when(fits(a, x), x["chars"]).otherwise(0)).alias("used"),
+    )
+    got = got.withColumn("b", F.aggregate("kept", start, step)).select("request_id", F.col("b.ids").alias("card_ids"), F.concat("over", "b.out").alias("dropped"), F.col("b.used").alias("chars"))
+    fixes = cards.where("type = 'correction' and status = 'approved' and corrects is not null").select(F.col("corrects").alias("target"), F.col("card_id").alias("fix"), "ord")
+    pulled = got.select("request_id", "card_ids", F.posexplode("card_ids").alias("pos", "target")).join(fixes, "target").where(~F.array_contains("card_ids", F.col("fix")))
+    pulled = pulled.groupBy("request_id", "fix").agg(F.min(F.struct("pos", "ord")).alias("at")).groupBy("request_id").agg(F.transform(F.sort_array(F.collect_list(F.struct("at", "fix"))), lambda x: x["fix"]).alias("corrections"))
+    return got.join(pulled, "request_id", "left").select("request_id", "card_ids", F.coalesce("corrections", none).alias("corrections"), "dropped", "chars")

@@ -1,3 +1,4 @@
+import random
 import re
 
 import duckdb
@@ -6,8 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__
+from quillwort.functions import cards as K
 from quillwort.functions import text as T
 from quillwort.operators import curation as C
+from quillwort.operators import ledger as L
 from quillwort.operators import retrieval as R
 from quillwort.plans import ORACLE_SQL, QUERIES
 from quillwort.sources.views import BASE
@@ -76,6 +79,81 @@ def test_bundle_guards(spark):
     assert got == [("a", 1), ("c", 2), ("d", 3)]
 
 
+def slow_bundle(ids, cards, related, depth, max_cards, max_chars, client):
+    """Breadth first by hand: cards is id to (regime, client, size)."""
+    visible = lambda c: c in cards and cards[c][1] in (None, client)
+    frontier = [c for c in dict.fromkeys(ids) if visible(c)]
+    seen, chosen, dropped = set(frontier), [], []
+    for level in range(depth + 1):
+        following = []
+        for c in frontier:
+            if len(chosen) == max_cards:
+                dropped.append(c)
+                continue
+            chosen.append(c)
+            for d in related.get(c, ()) if level < depth else ():
+                clash = visible(d) and cards[c][0] and cards[d][0] and cards[c][0] != cards[d][0]
+                if d not in seen and visible(d) and not clash:
+                    seen.add(d)
+                    following.append(d)
+        frontier = following
+    kept, used = [], 0
+    for c in chosen:
+        if kept and max_chars is not None and used + cards[c][2] > max_chars:
+            dropped.append(c)
+        else:
+            kept.append(c)
+            used += cards[c][2]
+    return kept, dropped, used
+
+
+@pytest.mark.parametrize("depth,most,chars,client", [(2, 8, None, None), (2, 4, 60, "x"), (1, 3, 30, "y"), (3, 6, 5, None)])
+def test_bundles_equal_breadth_first_by_hand(spark, depth, most, chars, client):
+    rng = random.Random(depth)
+    ids = [f"c{k}" for k in range(30)]
+    cards = {c: (rng.choice(["new", "old", None]), rng.choice([None, None, None, "x", "y"]), rng.randrange(1, 40)) for c in ids}
+    related = {c: rng.sample(ids, rng.randrange(0, 6)) + ["gone"] for c in ids}
+    asked = {k: rng.choices(ids, k=rng.randrange(1, 4)) for k in range(25)}
+    rows = [(c, r, "memory" if o else "concept", o, n, None, None, k) for k, (c, (r, o, n)) in enumerate(cards.items())]
+    d = spark.createDataFrame(rows + [("fix1", None, "correction", None, 9, "c1", "approved", 90), ("fix0", None, "correction", None, 9, "c1", "approved", 91), ("fix2", None, "correction", None, 9, "c2", "draft", 92)], "card_id string, regime string, type string, client string, n_chars int, corrects string, status string, ord int")
+    e = spark.createDataFrame([(c, x, k) for c, xs in related.items() for k, x in enumerate(xs)], "src string, dst string, pos int")
+    q = spark.createDataFrame([(k, c, p) for k, cs in asked.items() for p, c in enumerate(cs)], "request_id int, seed string, seed_pos int")
+    got = {r["request_id"]: r for r in R.budgeted_bundles(R.resolve_bundles(q, d, e, depth, most, client), d, most, chars).collect()}
+    for k, seeds in asked.items():
+        kept, dropped, used = slow_bundle(seeds, cards, related, depth, most, chars, client)
+        assert (k in got) == bool(kept)
+        if kept:
+            r = got[k]
+            assert (r["card_ids"], sorted(r["dropped"]), r["chars"]) == (kept, sorted(dropped), used)
+            assert r["corrections"] == (["fix1", "fix0"] if "c1" in kept else [])
+
+
+def test_links_count_raw_words(spark):
+    """Words are tested before the fold, by the link list: "issue" and "error" count nothing, "ours" is no stop word folded."""
+    d = spark.createDataFrame([("Issues with the user error in dock doors",), ("not our waves per wave",), (None,)], "t string")
+    assert [sorted(r[0]) for r in d.select(T.link_tokens("t")).collect()] == [["dock", "door", "issue"], ["wave"], []]
+
+
+def test_empty_parts_of_a_ticket_are_told_apart(spark):
+    t = spark.createDataFrame([(1, "c", "x", None, 500, 1), (2, "c", None, "x", 500, 1), (3, None, "x", None, 500, 0)], "ticket_id int, client string, subject string, description string, thread_chars int, n_agent int")
+    assert {r["ticket_id"]: r["verdict"] for r in C.ticket_verdicts(t).collect()} == {1: "keep", 2: "keep", 3: "no-diagnosis"}
+    said = spark.createDataFrame([(1, "assistant", " Done. "), (1, "user", "it broke"), (2, "assistant", "thank you!"), (2, "assistant", "The cache was stale."), (3, "assistant", "  ")], "ticket_id int, role string, body string")
+    assert {r["ticket_id"]: r["n_solid"] for r in C.substantial_replies(said).collect()} == {1: 0, 2: 1, 3: 0}
+
+
+def test_ledger_refuses_others(spark):
+    log = spark.createDataFrame([(1, "open", 7, 1, None), (2, "status", 7, 2, "done"), (3, "entry", 7, 1, None), (4, "status", 7, 1, "parked"), (5, "status", 8, 1, "done")], "seq int, op string, objective_id int, owner int, status string")
+    assert [tuple(r) for r in L.objectives(log).collect()] == [(7, 1, "parked", 1, 4)]
+    assert L.refused(log.where("op = 'status'"), "status", L.STATUSES).count() == 0
+
+
+def test_sequence_names_and_hints(spark):
+    d = spark.createDataFrame([("ORDERS_SEQ",), ("SEQ_ORDERS",), ("ORDERS_SEQUENCE",), ("PLAIN",)], "n string")
+    assert [r[0] for r in d.select(K.stripped_affix("n")).collect()] == ["ORDERS", "ORDERS", "ORDERS", "PLAIN"]
+    h = spark.createDataFrame([(["Shared", "WMS", "wms", "v9.2", "2024"],), ([],)], "s array<string>").select(K.folder_hints("s", {"wms": "W"}, {}).alias("h")).collect()
+    assert [tuple(r["h"]) for r in h] == [("W", "9.2", None, "wms"), (None, None, None, None)]
+
+
 def test_front_matter(spark):
     d = spark.createDataFrame([("---\ntitle: a --- b\n---\nbody",), ("no",)], "t string")
     assert [r[0] for r in d.select(T.front_matter("t")).collect()] == ["title: a --- b", ""]
