@@ -83,8 +83,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def decontaminate(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The rows of ``docs``, all columns, that hold no item."""
     found = contaminated(docs, benchmark).select("doc_id", "tie").distinct()
-    tied = docs.withColumn("_tie", F.xxhash64(docs["text"]))
-    return tied.join(found, tied["doc_id"].cast("long").eqNullSafe(found["doc_id"]) & (tied["_tie"] == found["tie"]), "left_anti").drop("_tie")
+    return docs.join(found, docs["doc_id"].cast("long").eqNullSafe(found["doc_id"]) & (F.xxhash64(docs["text"]) == found["tie"]), "left_anti")
 
 
 def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -9,6 +9,7 @@ and subtract a paragraph's vector without reading the rest.
 Likeness: a bit count c of n units gives 2c - n, a sum of random signs, so the mean square of a lane difference
 estimates the squared distance of the two multisets, and 1 - distance / (sum of squared norms) is 1 for equal multisets
 and about 0 for disjoint ones.  It needs the fingerprints only.
+With 128 lanes its error is about 0.04 in the mean and up to 0.2 for near texts; far texts may get up to 0.3 instead of 0.
 
 Contract query: the edited text replaces the last floor(n/3) code points by the first as many (or all) of the next
 document in descending doc_id (after the last: the first).

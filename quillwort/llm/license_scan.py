@@ -5,7 +5,7 @@ those where the words of a base phrase stand one after another.
 
 The index holds the licence templates' words with their places.  Every template has mandatory key phrases.  The words'
 document frequencies over the whole corpus give each key phrase its word of highest IDF, its anchor; posting lists are
-kept for anchors and their neighbours in rarity only.  A file is looked up by the rare words it has: an anchor's place
+kept for anchors only.  A file is looked up by the rare words it has: an anchor's place
 in the file less its place in the template is a relative position (where the template would start); the positions that
 the anchors of *all* key phrases give are intersected, and at each that remains the key phrases are verified word by
 word.  A template is found there if at least ``MATCH`` of its words stand at their places.  Every true place holds the

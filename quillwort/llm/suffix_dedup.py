@@ -12,7 +12,8 @@ the order of all text suffixes from the dictionary's suffixes and the parse.  He
   phrase.  Each chunk of documents sends its distinct triggers; only those of two or more chunks go on, and only
   their distinct phrases are sent, compressed.
 * Suffix order: a reducer sorts the dictionary's suffixes, each to a depth of 50 bytes (all that the contract asks for),
-  by trigger, offset and hash, and compares the bytes of neighbours, so no hash decides a match.
+  by trigger, offset and hash, and compares the bytes of neighbours.  The answer finds its way back to a chunk's phrase by
+  a 64-bit name of the phrase's bytes.
 * Parse: which chunk has which phrase.  Chunks are ascending ranges of doc_id, so the order of a suffix's chunks is the
   corpus order; a phrase's bit mask of suffixes seen in an earlier chunk goes back.  Order within a chunk is local.
 

@@ -177,7 +177,9 @@ def test_decontamination_edges(spark, monkeypatch):
         monkeypatch.setattr(decontamination, "BROADCAST_SEEDS", limit)
         got = {(r["doc_id"], r["item_id"]) for r in decontamination.contaminated(docs(spark, rows), bench).collect()}
         assert got == {(1, 7), (2, 7), (5, 10), (None, 7)}
-    assert {r["doc_id"] for r in decontamination.decontaminate(docs(spark, rows), bench).collect()} == {3, 4}
+    clash = docs(spark, rows).withColumn("_tie", F.lit(1)).withColumn("tie", F.lit(2))
+    kept = decontamination.decontaminate(clash, bench)
+    assert kept.columns == clash.columns and {(r["doc_id"], r["_tie"], r["tie"]) for r in kept.collect()} == {(3, 1, 2), (4, 1, 2)}
 
 
 def test_fingerprint_algebra_and_order(spark):
