@@ -335,7 +335,7 @@ def card_facets(spark, sf):
     return c.select("ord", K.client_of_id("id").alias("client_of"), K.product_of_id("id").alias("product_of"), K.is_memory_path("id").alias("memory_path"), K.strip_version(F.concat("id", F.lit("@2022"))).alias("bare"), F.sha2(K.prompt_line("id", "title", "description", "product", "regime", "client", "v").cast("binary"), 256).alias("line"), F.array_join("v", ",").alias("versions"))
 
 
-@query("""
+@query(r"""
 WITH p AS (SELECT p_partkey AS pos, p_brand AS product, concat(p_type, '/', p_name, '.', ['Docx', 'xsd', 'PDF', 'txt'][p_partkey % 4 + 1]) AS path, ['docx', 'xsd', 'pdf', 'txt'][p_partkey % 4 + 1] AS ext, p_name AS name FROM part),
 s AS (SELECT *, trim(regexp_replace(lower(concat(product, ' ', regexp_replace(path, '\.[^.]+$', ''))), '[^a-z0-9]+', '-', 'g'), '-') AS slug FROM p)
 SELECT pos, slug AS doc_slug, CASE WHEN ext IN ('xsd', 'txt') THEN concat(slug, '-', ext) ELSE slug END AS base_slug, concat(pos::VARCHAR, '-', rtrim(substr(trim(regexp_replace(lower(name), '[^a-z0-9]+', '-', 'g'), '-'), 1, 60), '-'), '.md') AS file, ext FROM s""")
@@ -345,7 +345,7 @@ def file_slugs(spark, sf):
     return p.select("pos", K.doc_slug("product", "path").alias("doc_slug"), K.base_slug("product", "path").alias("base_slug"), K.issue_filename("pos", "name").alias("file"), K.extension("path").alias("ext"))
 
 
-@query("""
+@query(r"""
 WITH p AS (SELECT p_partkey AS pos, ['Docs', p_brand, concat('v', (2020 + p_size % 7)::VARCHAR, '.1'), p_type, 'Release   Notes', ' Brand#11 '] AS s FROM part),
 n AS (SELECT pos, s, list_transform(s, lambda x: trim(regexp_replace(lower(x), '\s+', ' ', 'g'))) AS l FROM p),
 h AS (SELECT *, list_position(list_transform(l, lambda x: x IN ('brand#11', 'brand#22', 'brand#33')), true) AS pp, list_position(list_transform(l, lambda x: regexp_matches(x, '^v?[0-9]{4}(\.[0-9]+)*$')), true) AS vp, list_position(list_transform(l, lambda x: x = 'release notes'), true) AS cp FROM n)
