@@ -9,6 +9,7 @@ A key that half of the corpus contains is then sent once by each chunk, never on
 from __future__ import annotations
 
 import math
+import tempfile
 import uuid
 from collections.abc import Callable
 
@@ -29,20 +30,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_base(spark: SparkSession) -> str:
+    """The cluster's shared checkpoint folder.  Without one, local mode gets its own; a cluster raises an error, since no other folder is known to be shared."""
+    context = spark.sparkContext
+    base = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
+    if not base and not context.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    base = base or tempfile.mkdtemp(prefix="spark-")
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(base)
+    return base
+
+
 def shared_dir(spark: SparkSession, prefix: str) -> str:
-    """A new folder under the cluster's shared checkpoint folder (only tests, which set none, get a local one)."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not base:
-        base = "/tmp/quillwort-checkpoints"
-        spark.sparkContext.setCheckpointDir(base)
-    return f"{base.rstrip('/')}/{prefix}-{uuid.uuid4().hex}"
+    """A new folder under the cluster's shared checkpoint folder."""
+    return f"{shared_base(spark).rstrip('/')}/{prefix}-{uuid.uuid4().hex}"
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
     """Cuts the lineage in the shared folder, so that a lost executor costs a re-read, not a rerun."""
-    spark = df.sparkSession
-    if not spark.sparkContext.getCheckpointDir():
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or "/tmp/quillwort-checkpoints")
+    shared_base(df.sparkSession)
     return df.checkpoint()
 
 

@@ -3,13 +3,13 @@ r"""Licence scan with a positional rare-token index (operator 1).
 Contract: A-Z of a whole text lower-cased; words are runs of ``[^\x00-\x2F\x3A-\x60\x7B-\x7F]``.  Base places are
 those where the words of a base phrase stand one after another.
 
-The index holds the licence templates' words with their places.  Every template has mandatory key phrases.  The words'
-document frequencies over the whole corpus give each key phrase its word of highest IDF, its anchor; posting lists are
-kept for anchors only.  A file is looked up by the rare words it has: an anchor's place
-in the file less its place in the template is a relative position (where the template would start); the positions that
-the anchors of *all* key phrases give are intersected, and at each that remains the key phrases are verified word by
-word.  A template is found there if at least ``MATCH`` of its words stand at their places.  Every true place holds the
-anchors of all key phrases, so the choice of anchors changes the work and never the result.
+The index holds the places of every word of the templates' mandatory key phrases.  The words' document frequencies over
+the whole corpus order them by IDF.  A file's own licence words are taken from its rarest on: each gives, by a place in
+the file less a place in the template, relative positions (where the template would start), and a template's positions
+are intersected from word to word.  The look-up goes on to further words until every template that is still possible
+has had ``LOOKUPS`` of them (or all it has), then the key phrases are verified word by word at the positions left.  A
+template is found there if at least ``MATCH`` of its words stand at their places.  A true place holds every word of the
+key phrases, so no look-up can lose it: the ranking and ``LOOKUPS`` change the work and never the result.
 
 ``labels`` joins base labels and those of found templates.  ``score`` is the largest share of a template's words found
 at one verified place (a base phrase counts as a template that must match whole), 0 where nothing is found.
@@ -32,10 +32,15 @@ from quillwort.llm.common import table
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 MATCH = 0.6
+#: Rare words a possible template is looked up by before its key phrases are compared.
+LOOKUPS = 3
 # The base phrases and their labels.
 BASE = (("mit", "under the mit license"), ("apache-2", "apache license version 2"), ("cc-by-nc", "cc by nc"))
 #: label, template, its mandatory key phrases.
 TEMPLATES = (
+    ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files the software to deal in the software without restriction including without limitation the rights to use copy modify merge publish distribute sublicense and or sell copies of the software and to permit persons to whom the software is furnished to do so subject to the following conditions the above copyright notice and this permission notice shall be included in all copies or substantial portions of the software the software is provided as is without warranty of any kind", ("permission is hereby granted free of charge", "the above copyright notice and this permission notice", "the software is provided as is")),
+    ("bsd", "redistribution and use in source and binary forms with or without modification are permitted provided that the following conditions are met redistributions of source code must retain the above copyright notice this list of conditions and the following disclaimer redistributions in binary form must reproduce the above copyright notice this list of conditions and the following disclaimer in the documentation and or other materials provided with the distribution", ("redistributions of source code must retain", "redistributions in binary form must reproduce")),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose with or without fee is hereby granted provided that the above copyright notice and this permission notice appear in all copies", ("permission to use copy modify", "appear in all copies")),
     ("mit", "permission is hereby granted free of charge to any person obtaining a copy of this software and associated documentation files", ("permission is hereby granted free of charge",)),
     ("mit", "the mit license mit", ("the mit license",)),
     ("apache-2", "licensed under the apache license version 2 0 the license you may not use this file except in compliance with the license", ("under the apache license",)),
@@ -87,29 +92,44 @@ def document_frequencies(docs: DataFrame) -> dict[str, int]:
 
 
 class Index:
-    """Posting lists of the anchors: word to (template number, key phrase number, place in the template)."""
+    """Posting lists of key phrase words: word to (template number, place in the template); ``rank`` is their order by IDF."""
 
     def __init__(self, df: dict[str, int]):
         self.templates = _all_templates()
-        self.postings: dict[str, list[tuple[int, int, int]]] = {}
+        self.postings: dict[str, list[tuple[int, int]]] = {}
         for n, (_, _, keys, _) in enumerate(self.templates):
-            for k, (at, phrase) in enumerate(keys):
-                # Highest IDF: fewest documents; ties by the later place.
-                rare = min(range(len(phrase)), key=lambda i: (df.get(phrase[i], 0), -i))
-                self.postings.setdefault(phrase[rare], []).append((n, k, at + rare))
+            for at, phrase in keys:
+                for i, w in enumerate(phrase):
+                    self.postings.setdefault(w, []).append((n, at + i))
+        # Highest IDF, that is fewest documents, first; ties by the word.
+        self.rank = {w: r for r, w in enumerate(sorted(self.postings, key=lambda w: (df.get(w, 0), w)))}
+        self.must = [{w for _, phrase in keys for w in phrase} for _, _, keys, _ in self.templates]
+
+    def starts(self, words: list[str]) -> dict[int, set[int]]:
+        """Template to the places where it can start, by the file's rarest licence words."""
+        have = self.postings.keys() & set(words)
+        open_ = {n: min(LOOKUPS, len(must)) for n, must in enumerate(self.must) if must <= have}
+        found: dict[int, set[int]] = {}
+        for w in sorted(have, key=self.rank.__getitem__):
+            if not open_:
+                break
+            asked = [(n, place) for n, place in self.postings[w] if n in open_]
+            at = [i for i, x in enumerate(words) if x == w] if asked else []
+            for n, place in asked:
+                here = {i - place for i in at}
+                found[n] = found[n] & here if n in found else here
+            for n in {n for n, _ in asked}:
+                open_[n] -= 1
+                if not open_[n] or not found[n]:
+                    del open_[n]
+        return found
 
     def scan(self, text: str | None) -> tuple:
         words = words_of(text)
-        seen: dict[int, list[set[int]]] = {}
-        for w in self.postings.keys() & set(words):
-            at = [i for i, x in enumerate(words) if x == w]
-            for n, k, place in self.postings[w]:
-                sets = seen.setdefault(n, [set() for _ in self.templates[n][2]])
-                sets[k].update(i - place for i in at)
         base, base_labels, labels, score = [], set(), set(), 0.0
-        for n, sets in seen.items():
+        for n, places in self.starts(words).items():
             label, body, keys, is_base = self.templates[n]
-            for start in set.intersection(*sets):
+            for start in places:
                 if any(start + at < 0 or words[start + at : start + at + len(p)] != p for at, p in keys):
                     continue
                 share = sum(0 <= start + i < len(words) and words[start + i] == x for i, x in enumerate(body)) / len(body)

@@ -206,6 +206,27 @@ def test_fingerprint_query_brute_force(spark, rows_per_chunk):
     assert all(0 <= r["near_edited"] <= 1 and 0 <= r["near_next"] <= 1 for r in got)
 
 
+def test_license_lookup_by_any_rarity(spark):
+    """The ranking of a file's rare words changes no result: every place by brute force, for several made-up frequencies."""
+    rng = random.Random(3)
+    plain = license_scan.Index({})
+    vocabulary = sorted(plain.postings)
+    for trial in range(40):
+        words = [rng.choice(vocabulary) for _ in range(60)]
+        for _ in range(3):
+            body = plain.templates[rng.randrange(len(plain.templates))][1]
+            at = rng.randrange(60)
+            words[at:at] = [w if rng.random() > 0.02 else "x" for w in body]
+        found = license_scan.Index({w: rng.randrange(100) for w in vocabulary}).starts(words)
+        for n, (_, _, keys, _) in enumerate(plain.templates):
+            true = {k for k in range(-60, len(words)) if all(k + at >= 0 and words[k + at : k + at + len(p)] == p for at, p in keys)}
+            assert true <= found.get(n, set())
+        assert len({plain.scan(" ".join(words)), license_scan.Index({w: rng.randrange(9) for w in vocabulary}).scan(" ".join(words))}) == 1
+    whole = " ".join(plain.templates[3][1])
+    assert plain.scan(whole)[5:] == ("mit", 1.0) and plain.scan("")[1:] == (0, None, None, "", "", 0.0)
+    assert plain.scan(None) == plain.scan("") and plain.scan("under the mit license " * 30000)[1] == 30000
+
+
 def test_license_edges(spark):
     got = {r["doc_id"]: r for r in license_scan.license_scan(docs(spark, edge_rows())).collect()}
     assert (got[65]["n_base"], got[65]["first_word"], got[65]["base_labels"], got[65]["score"]) == (1, 0, "mit", 1.0)
