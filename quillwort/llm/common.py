@@ -11,7 +11,7 @@ from __future__ import annotations
 import math
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -88,10 +88,17 @@ def id_chunk(docs: DataFrame, id_col: str, rows_per_chunk: int) -> Column:
     return F.when(i.isNull(), F.lit(NULL_CHUNK)).otherwise(rank * F.lit(1 << 24) + sub)
 
 
+def slices(batches: Iterator[pa.RecordBatch], rows: int = 1000) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of few, so that a task holds the Python objects of few texts at a time."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 class Names(dict):
     """bytes to a 64-bit name, remembered up to a bound."""
 
-    LIMIT = 300_000
+    LIMIT = 60_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:

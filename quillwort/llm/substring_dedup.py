@@ -43,7 +43,7 @@ EDGE = 2**ROUNDS - 1
 REACH = WINDOW - EDGE - 2**ROUNDS - EDGE + 1
 #: Words of an anchor's context: from EDGE before it, inside the window for every anchor place.
 CONTEXT = WINDOW - REACH + 1
-ROWS_PER_CHUNK = 3000
+ROWS_PER_CHUNK = 1500
 _B = [np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD1342543DE82EF95)]
 PAIR = np.dtype([("a", "<u8"), ("b", "<u8")])
 

@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StructField, StructType
 
-from quillwort.llm.common import checkpointed, table
+from quillwort.llm.common import checkpointed, table, slices
 
 BUCKETS = 1 << 20
 DIM = 4
@@ -245,7 +245,7 @@ def train(sample: DataFrame) -> tuple[dict[int, float], float]:
 class WordLogits(dict):
     """A word's part of the logit, remembered up to a bound."""
 
-    LIMIT = 300_000
+    LIMIT = 60_000
 
     def __init__(self, by_gram: dict[int, float]):
         super().__init__()
@@ -267,7 +267,7 @@ def scored(docs: DataFrame, labels: DataFrame, with_text: bool = True) -> DataFr
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordLogits(by_gram)
-        for b in batches:
+        for b in slices(batches):
             scores = []
             for t in b.column("text").to_pylist():
                 ws = words_of(t)
