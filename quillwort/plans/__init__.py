@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -32,8 +33,11 @@ def query(sql: str | None = None):
 
 def _checkpoint(spark: SparkSession):
     def cut(df: DataFrame) -> DataFrame:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or "/tmp/quillwort-checkpoints")
+        context, base = spark.sparkContext, spark.conf.get("spark.checkpoint.dir", None)
+        if not context.getCheckpointDir():
+            if not base and not context.master.startswith("local"):
+                raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+            context.setCheckpointDir(base or tempfile.mkdtemp(prefix="spark-"))
         return df.checkpoint()
 
     return cut
