@@ -245,7 +245,7 @@ def train(sample: DataFrame) -> tuple[dict[int, float], float]:
 class WordLogits(dict):
     """A word's part of the logit, remembered up to a bound."""
 
-    LIMIT = 60_000
+    LIMIT = 300_000
 
     def __init__(self, by_gram: dict[int, float]):
         super().__init__()
