@@ -53,6 +53,12 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def sized(df: DataFrame, rows: int, n: int | None = None) -> DataFrame:
+    """A checkpointed table of narrow rows in partitions of about ``rows`` rows, by its row count ``n`` (counted here if not
+    given): every shuffle of a table writes files for each of its partitions, however few rows it has."""
+    return df.coalesce(max(1, math.ceil((df.count() if n is None else n) / rows)))
+
+
 def buckets_of(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

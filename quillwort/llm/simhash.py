@@ -16,7 +16,8 @@ distance is a metric), and survivors are verified by counting bits.  Nothing is
 A group shares 48 bits, so it has at most 2**16 fingerprints however many documents there are, and a member at most 136
 partners in it.  Groups are compared in blocks along the coordinate that spreads most.
 
-Components: least labels spread by star contraction, a checkpoint in the shared folder each round.
+Components: least labels spread by star contraction, a checkpoint in the shared folder each round.  The links go in
+partitions of ``LINKS``, so few of them take few files.
 
 Null text: as empty.  Null doc_id: a row of its own, never the least.  Repeated rows: a result row each.  Empty tables
 give empty results; other columns are ignored.
@@ -32,7 +33,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quillwort.llm.common import checkpointed, table
+from quillwort.llm.common import checkpointed, sized, table
 
 SHINGLE = 3
 SEED = 42
@@ -40,6 +41,8 @@ RADIUS = 2
 BANDS = 8
 #: Rows compared at a time within a group.
 BLOCK = 256
+#: Links in a partition while components are sought.
+LINKS = 250_000
 
 
 def _references() -> list[int]:
@@ -143,8 +146,10 @@ def components(edges: DataFrame) -> DataFrame:
     Large star and small star in turn: each joins a node's neighbours to its least one, so paths shorten by doubling.
     """
     cur = checkpointed(edges.select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).where("lo < hi").distinct())
+    cur = sized(cur, LINKS)
+    ways = F.explode(F.array(F.struct("lo", "hi"), F.struct(F.col("hi").alias("lo"), F.col("lo").alias("hi")))).alias("way")
     while True:
-        both = cur.unionByName(cur.select(F.col("hi").alias("lo"), F.col("lo").alias("hi")))
+        both = cur.select(ways).select("way.lo", "way.hi")
         least = both.groupBy("lo").agg(F.least(F.min("hi"), F.first("lo")).alias("m"))
         large = both.join(least, "lo").where(F.col("hi") > F.col("lo")).select(F.col("m").alias("lo"), "hi").where("lo < hi").distinct()
         down = large.groupBy("hi").agg(F.min("lo").alias("m"))
@@ -152,8 +157,8 @@ def components(edges: DataFrame) -> DataFrame:
         nxt = checkpointed(small)
         # At a fixed point every node has one edge, to its root, and no root has one.
         state = nxt.agg(F.count("*").alias("n"), F.countDistinct("hi").alias("d")).first()
-        tops = nxt.select("lo").distinct().join(nxt.select(F.col("hi").alias("lo")), "lo", "left_semi").limit(1).count()
-        cur = nxt
+        cur = sized(nxt, LINKS, state["n"])
+        tops = cur.select("lo").distinct().join(cur.select(F.col("hi").alias("lo")), "lo", "left_semi").limit(1).count()
         if state["n"] == state["d"] and not tops:
             return cur.select(F.col("hi").alias("fp"), F.col("lo").alias("root")).unionByName(cur.select(F.col("lo").alias("fp"), F.col("lo").alias("root")).distinct())
 
