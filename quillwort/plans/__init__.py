@@ -14,6 +14,7 @@ from quillwort.operators import curation as C
 from quillwort.operators import evaluation as E
 from quillwort.operators import ledger as L
 from quillwort.operators import retrieval as R
+from quillwort.operators import schema as S
 from quillwort.operators import validation as V
 from quillwort.sources.views import load, with_views
 
@@ -445,6 +446,102 @@ def budgeted_bundles(spark, sf):
     return got.select("request_id", joined("card_ids"), joined("corrections"), joined("dropped"), "chars")
 
 
+_UNITS = "concat('u', (p_partkey % 700)::VARCHAR) AS name, CASE WHEN p_partkey % 3 = 0 THEN 'procedure' ELSE 'package' END AS kind, p_size % 2 = 0 AS is_body, concat(p_brand, CASE WHEN p_partkey % 2 = 0 THEN '  ' ELSE ' ' END, p_partkey % 9) AS body, p_partkey AS ord"
+
+
+def _units(spark, sf):
+    k = F.col("p_partkey")
+    body = F.concat("p_brand", F.when(k % 2 == 0, "  ").otherwise(" "), (k % 9).cast("string"))
+    return load(spark, sf, "part").select(F.concat(F.lit("u"), (k % 700).cast("string")).alias("name"), F.when(k % 3 == 0, "procedure").otherwise("package").alias("kind"), (F.col("p_size") % 2 == 0).alias("is_body"), body.alias("body"), k.alias("ord"))
+
+
+@query(f"""
+WITH u AS (SELECT {_UNITS} FROM part), p AS (SELECT * FROM u WHERE ord % 4 > 0), s AS (SELECT * FROM u WHERE ord % 4 = 0)
+SELECT ord, name, kind FROM p UNION ALL SELECT ord, name, kind FROM s WHERE name NOT IN (SELECT name FROM p WHERE ord % 5 = 0)""")
+def tiered_units(spark, sf):
+    u = _units(spark, sf).select("ord", "name", "kind")
+    product = u.where("ord % 4 > 0")
+    return S.tiered_units(product, u.where("ord % 4 = 0"), product.where("ord % 5 = 0"))
+
+
+@query(rf"""
+WITH u AS (SELECT {_UNITS} FROM part), o AS (SELECT name, min(body) AS body FROM u WHERE ord % 2 = 0 GROUP BY 1), d AS (SELECT name, max(body) AS body FROM u WHERE ord % 2 = 1 GROUP BY 1)
+SELECT coalesce(o.name, d.name) AS name, CASE WHEN d.name IS NULL THEN 'oracle' WHEN o.name IS NULL THEN 'db2' ELSE 'oracle,db2' END AS platform, coalesce(o.body, '') AS body_oracle,
+  CASE WHEN regexp_replace(o.body, '\s+', ' ', 'g') = regexp_replace(d.body, '\s+', ' ', 'g') THEN '' ELSE coalesce(d.body, '') END AS body_db2 FROM o FULL JOIN d ON o.name = d.name""")
+def reconciled_units(spark, sf):
+    u = _units(spark, sf)
+    return S.reconciled_units(u.where("ord % 2 = 0").groupBy("name").agg(F.min("body").alias("body")), u.where("ord % 2 = 1").groupBy("name").agg(F.max("body").alias("body")))
+
+
+@query(rf"""
+WITH u AS (SELECT {_UNITS} FROM part)
+SELECT name, count(*) AS n, CASE WHEN count(DISTINCT regexp_replace(body, '\s+', ' ', 'g')) = 1 THEN 'identical' ELSE 'differs in body' END AS verdict FROM u
+GROUP BY name HAVING count(*) > 1 AND NOT (bool_and(kind = 'package') AND count(*) FILTER (is_body) <= 1 AND count(*) FILTER (NOT is_body) <= 1)""")
+def repeated_units(spark, sf):
+    return S.repeated_units(_units(spark, sf))
+
+
+@query("""
+WITH c AS (SELECT concat('t', (l_orderkey % 3000)::VARCHAR) AS tab, concat(l_linenumber, '|', l_returnflag, '|', coalesce(CASE WHEN l_linenumber % 2 = 0 THEN l_linestatus END, ''), '|', CASE WHEN l_linenumber % 3 = 0 THEN 'true' ELSE 'false' END) AS v FROM lineitem),
+k AS (SELECT DISTINCT concat('t', (l_orderkey % 3000)::VARCHAR) AS tab, l_linenumber::VARCHAR AS col FROM lineitem WHERE l_linenumber % 5 = 1)
+SELECT tab, sha256(concat(cs, ';', coalesce(ks, ''))) AS structure FROM (SELECT tab, string_agg(DISTINCT v, ',' ORDER BY v) AS cs FROM c GROUP BY 1) LEFT JOIN (SELECT tab, string_agg(col, ',' ORDER BY col) AS ks FROM k GROUP BY 1) USING (tab)""")
+def table_structures(spark, sf):
+    n = F.col("l_linenumber")
+    c = load(spark, sf, "lineitem").select(F.concat(F.lit("t"), (F.col("l_orderkey") % 3000).cast("string")).alias("tab"), n.cast("string").alias("name"), F.col("l_returnflag").alias("type_oracle"), F.when(n % 2 == 0, F.col("l_linestatus")).alias("type_db2"), (n % 3 == 0).alias("not_null"))
+    return S.table_structures(c, c.where("cast(name AS int) % 5 = 1").select("tab", F.col("name").alias("col")))
+
+
+@query("""
+WITH f AS (SELECT l_orderkey AS tab, concat('s', (l_suppkey % 3)::VARCHAR) AS ref, min(l_linenumber * 1000000 + l_partkey) AS pos FROM lineitem GROUP BY ALL)
+SELECT tab, string_agg('core/db/tables/' || ref, ',' ORDER BY pos, ref) AS related FROM f GROUP BY tab""")
+def key_links(spark, sf):
+    f = load(spark, sf, "lineitem").select(F.col("l_orderkey").alias("tab"), (F.col("l_linenumber") * F.lit(1000000).cast("long") + F.col("l_partkey")).alias("pos"), F.concat(F.lit("s"), (F.col("l_suppkey") % 3).cast("string")).alias("ref_table"))
+    return S.key_links(f, "core").select("tab", F.array_join("related", ",").alias("related"))
+
+
+@query("""
+WITH s AS (SELECT l_orderkey AS name, l_linenumber % 2 AS dialect, l_partkey AS pos, concat('f', (l_suppkey % 4)::VARCHAR, '.sql') AS path FROM lineitem),
+o AS (SELECT name, path, min(dialect * 1000000000 + pos) AS place FROM s GROUP BY ALL)
+SELECT name, string_agg(path, ',' ORDER BY place, path) AS paths FROM o GROUP BY name""")
+def united_sources(spark, sf):
+    s = load(spark, sf, "lineitem").select(F.col("l_orderkey").alias("name"), (F.col("l_linenumber") % 2).alias("dialect"), F.col("l_partkey").alias("pos"), F.concat(F.lit("f"), (F.col("l_suppkey") % 4).cast("string"), F.lit(".sql")).alias("path"))
+    return S.united_sources(s).select("name", F.array_join("paths", ",").alias("paths"))
+
+
+@query("""
+WITH t AS (SELECT p_partkey AS pos, concat(upper(split_part(p_type, ' ', 1)), '_', p_partkey::VARCHAR) AS tab FROM part WHERE p_partkey % 7 = 0 UNION ALL SELECT -p_partkey, concat('T', p_partkey::VARCHAR) FROM part WHERE p_partkey % 11 = 0),
+s AS (SELECT concat('SEQ_', upper(split_part(p_type, ' ', 1)), '_', p_partkey::VARCHAR, CASE WHEN p_size % 2 = 0 THEN '_X' ELSE '' END) AS name, concat(upper(split_part(p_type, ' ', 1)), '_', p_partkey::VARCHAR, CASE WHEN p_size % 2 = 0 THEN '_X' ELSE '' END) AS stem FROM part UNION SELECT concat('T', p_partkey::VARCHAR, '_SEQ'), concat('T', p_partkey::VARCHAR) FROM part WHERE p_partkey < 500),
+m AS (SELECT name, tab, row_number() OVER (PARTITION BY name ORDER BY CASE WHEN tab = stem THEN 0 ELSE 1 END, length(tab) DESC, pos) AS r FROM s JOIN t ON starts_with(stem, tab || '_') OR starts_with(tab, stem))
+SELECT s.name, m.tab AS owner FROM s LEFT JOIN m ON m.name = s.name AND r = 1""")
+def sequence_owners(spark, sf):
+    p, k = load(spark, sf, "part"), F.col("p_partkey")
+    base, own = F.concat(F.upper(F.split_part("p_type", F.lit(" "), F.lit(1))), F.lit("_"), k.cast("string")), F.concat(F.lit("T"), k.cast("string"))
+    tables = p.where(k % 7 == 0).select(base.alias("tab"), k.alias("pos")).unionByName(p.where(k % 11 == 0).select(own.alias("tab"), (-k).alias("pos")))
+    names = p.select(F.concat(F.lit("SEQ_"), base, F.when(F.col("p_size") % 2 == 0, "_X").otherwise("")).alias("name")).unionByName(p.where(k < 500).select(F.concat(own, F.lit("_SEQ")).alias("name")))
+    return S.sequence_owners(names, tables)
+
+
+@query("SELECT product, count(*) AS n FROM cards WHERE type = 'concept' GROUP BY 1")
+def topic_counts(spark, sf):
+    return S.tally(load(spark, sf, "cards").where("type = 'concept'"), "product")
+
+
+@query("SELECT CASE WHEN ord % 3 = 0 THEN 2 ELSE 0 END AS n_versions, count(*) AS n FROM cards GROUP BY 1")
+def version_counts(spark, sf):
+    refs = F.when(F.col("ord") % 3 == 0, F.array(F.lit("kb/open-systems-2024/x"), F.lit("open-systems-2023 and open-systems-2024"))).otherwise(F.array(F.lit("open-systems-1999")))
+    return S.tally(load(spark, sf, "cards").select(F.size(K.derived_versions(refs)).alias("n_versions")), "n_versions")
+
+
+@query("""
+WITH t AS (SELECT ['emitted', 'skipped', 'preserved', 'cached', 'held', 'failed', 'lost'][(ticket_id % 41) % 7 + 1] AS o FROM tickets), c AS (SELECT count(*) AS fetched, count(*) FILTER (o = 'emitted') AS emitted, count(*) FILTER (o = 'skipped') AS skipped,
+  count(*) FILTER (o = 'preserved') AS preserved, count(*) FILTER (o = 'cached') AS cached, count(*) FILTER (o = 'held') AS held, count(*) FILTER (o = 'failed') AS failed FROM t)
+SELECT *, emitted + skipped + preserved + cached + held + failed = fetched AS balanced FROM c""")
+def run_totals(spark, sf):
+    t = load(spark, sf, "tickets")
+    kinds = F.array(*map(F.lit, ("emitted", "skipped", "preserved", "cached", "held", "failed", "lost")))
+    return S.run_totals(t.select(F.element_at(kinds, (F.col("ticket_id") % 41 % 7 + 1).cast("int")).alias("outcome")), t.count())
+
+
 @query(None)
 def scrub_personal_data(spark, sf):
     """Phone patterns look around, which DuckDB's expressions cannot: tested against Python."""

@@ -12,6 +12,7 @@ from quillwort.functions import text as T
 from quillwort.operators import curation as C
 from quillwort.operators import ledger as L
 from quillwort.operators import retrieval as R
+from quillwort.operators import schema as S
 from quillwort.plans import ORACLE_SQL, QUERIES
 from quillwort.sources.views import BASE
 
@@ -157,3 +158,26 @@ def test_sequence_names_and_hints(spark):
 def test_front_matter(spark):
     d = spark.createDataFrame([("---\ntitle: a --- b\n---\nbody",), ("no",)], "t string")
     assert [r[0] for r in d.select(T.front_matter("t")).collect()] == ["title: a --- b", ""]
+
+
+def test_sequence_owner_precedence(spark):
+    tables = spark.createDataFrame([("ROUTE_PLAN_LEG", 0), ("ROUTE", 1), ("Order_Line", 2), ("ORDER_ITEM", 3), ("X_FOO", 4), ("AB1", 6), ("AB2", 5)], "tab string, pos int")
+    names = spark.createDataFrame([("ROUTE_SEQ",), ("ROUTE_PLAN_SEQ",), ("ROUTE_9_SEQ",), ("ORDER_SEQ",), ("X_Y_SEQ",), ("AB_SEQ",), ("_SEQ",), ("NONE_SEQ",), (None,)], "name string")
+    got = {r["name"]: r["owner"] for r in S.sequence_owners(names, tables).collect()}
+    # An exact name beats longer ones; of equal lengths the first table; X_FOO is no start of X_Y.
+    want = {"ROUTE_SEQ": "ROUTE", "ROUTE_PLAN_SEQ": "ROUTE_PLAN_LEG", "ROUTE_9_SEQ": "ROUTE", "ORDER_SEQ": "Order_Line", "X_Y_SEQ": None, "AB_SEQ": "AB2", "_SEQ": None, "NONE_SEQ": None, None: None}
+    assert got == want
+
+
+def test_units_of_two_dialects(spark):
+    o = spark.createDataFrame([("a", "x  y"), ("b", "x"), ("c", None)], "name string, body string")
+    d = spark.createDataFrame([("a", " x\ny "), ("b", "z"), ("e", "w")], "name string, body string")
+    assert {tuple(r) for r in S.reconciled_units(o, d).collect()} == {("a", "oracle,db2", "x  y", ""), ("b", "oracle,db2", "x", "z"), ("c", "oracle", "", ""), ("e", "db2", "", "w")}
+    assert S.reconciled_units(o.limit(0), d.limit(0)).count() == 0
+    u = spark.createDataFrame([("p", "package", True, "b"), ("p", "package", False, "s"), ("q", "package", True, "b"), ("q", "package", True, " b "), ("r", None, False, "a"), ("r", "procedure", False, None), ("s", "procedure", False, "k")], "name string, kind string, is_body boolean, body string")
+    assert {tuple(r) for r in S.repeated_units(u).collect()} == {("q", 2, "identical"), ("r", 2, "differs in body")}
+
+
+def test_run_totals_of_no_rows(spark):
+    none = spark.createDataFrame([], "outcome string")
+    assert S.run_totals(none, 0).first()["balanced"] and not S.run_totals(none, 1).first()["balanced"]
