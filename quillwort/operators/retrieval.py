@@ -11,6 +11,8 @@ from quillwort.functions.text import link_tokens, runs, search_tokens
 
 #: Query terms and their counts are broadcast up to so many, counted first; df has a row a query term at most.
 BROADCAST_TERMS = 200_000
+#: Scores are rounded, and sums depend on their order: by so much a pair may fall short while it is only a candidate.
+SLACK = 1e-5
 
 
 def in_client_scope(client: str | None) -> Column:
@@ -56,15 +58,23 @@ def search_objects(objects: DataFrame, query: str, limit: int = 20) -> DataFrame
 
 
 def suggest_links(entries: DataFrame, cards: DataFrame, top: int = 3, least: float = 0.30, shared: int = 2) -> DataFrame:
-    """Links of entries(entry_id, query) to concept cards: the share of the card's idf mass that the entry's words cover."""
+    """Links of entries(entry_id, query) to concept cards: the share of the card's idf mass that the entry's words cover.
+
+    An entry that has none of a card's rarest words, whose mass leaves less than ``least`` of it to the rest, cannot reach
+    ``least``.  So entries meet cards by these words only, never by a card's common ones, and the pairs that met are counted
+    in full.  What is sorted or gathered by card is a title's words.
+    """
     target = cards.where("type = 'concept'").select("card_id", F.explode(link_tokens(F.concat_ws(" ", "title", F.replace("card_id", F.lit("/"), F.lit(" "))))).alias("t"))
     n = target.select("card_id").distinct().count()
     idf = target.groupBy("t").agg((F.log(F.lit(n + 1.0) / (F.count("*") + F.lit(1.0))) + 1.0).alias("idf"))
     weighted = target.join(idf, "t")
-    mass = weighted.groupBy("card_id").agg(F.sum("idf").alias("mass"))
+    held = weighted.groupBy("card_id").agg(F.sum("idf").alias("mass"), F.collect_list(F.struct("t", "idf")).alias("w"))
+    rest = W.partitionBy("card_id").orderBy(F.desc("idf"), "t").rowsBetween(W.currentRow, W.unboundedFollowing)
+    rare = weighted.withColumn("rest", F.sum("idf").over(rest)).withColumn("all", F.sum("idf").over(W.partitionBy("card_id"))).where(F.col("rest") >= (least - SLACK) * F.col("all")).select("card_id", "t")
     words = entries.select("entry_id", F.explode(link_tokens("query")).alias("t"))
-    got = words.join(weighted, "t").groupBy("entry_id", "card_id").agg(F.sum("idf").alias("hit"), F.count("*").alias("n_shared")).where(F.col("n_shared") >= shared)
-    scored = got.join(mass, "card_id").withColumn("score", F.round(F.col("hit") / F.col("mass"), 6)).where(F.col("score") >= least)
+    met = words.join(rare, "t").select("entry_id", "card_id").distinct().join(held, "card_id").select("entry_id", "card_id", "mass", F.explode("w").alias("w"))
+    got = met.select("entry_id", "card_id", "mass", "w.t", "w.idf").join(words, ["entry_id", "t"]).groupBy("entry_id", "card_id").agg(F.first("mass").alias("mass"), F.sum("idf").alias("hit"), F.count("*").alias("n_shared")).where(F.col("n_shared") >= shared)
+    scored = got.withColumn("score", F.round(F.col("hit") / F.col("mass"), 6)).where(F.col("score") >= least)
     return scored.withColumn("place", F.row_number().over(W.partitionBy("entry_id").orderBy(F.desc("score"), "card_id"))).where(F.col("place") <= top).select("entry_id", "card_id", "n_shared", "score", "place")
 
 
