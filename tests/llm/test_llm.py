@@ -90,7 +90,9 @@ def test_suffix_dedup_brute_force(spark, rows_per_chunk):
     assert sorted(got, key=str) == sorted(want, key=str)
 
 
-def test_simhash_links_and_components(spark):
+@pytest.mark.parametrize("in_a_partition", [simhash.LINKS, 20])
+def test_simhash_links_and_components(spark, monkeypatch, in_a_partition):
+    monkeypatch.setattr(simhash, "LINKS", in_a_partition)
     rng = np.random.default_rng(3)
     base = rng.integers(0, 2**64, 40, np.uint64)
     near = [int(b) ^ (1 << int(x)) ^ (1 << int(y)) for b in base for x, y in rng.integers(0, 64, (12, 2))]
