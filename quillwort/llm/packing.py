@@ -21,14 +21,18 @@ other columns are ignored.
 
 from __future__ import annotations
 
-import math
+import functools
 import os
+import re
+import unicodedata
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,7 +46,7 @@ BRANCHES = 20_000
 #: Fillings enumerated around one piece, and steps of their enumeration.
 WIDTH, STEPS = 24, 2_000
 #: Runs of characters whose ids a task remembers.
-REMEMBERED = 200_000
+REMEMBERED = 300_000
 
 #: A pattern: (length, how many) pairs in the order in which they stand in a sequence.
 Pattern = tuple[tuple[int, int], ...]
@@ -169,21 +173,73 @@ def slots(packing: list[tuple[Pattern, int]]) -> np.ndarray:
     return np.array(sorted(rows), np.int64).reshape(-1, 5)
 
 
+_VISIBLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+#: Byte-level spelling: bytes that print stand for themselves, the others for characters from U+0100 on.
+_SPELT = {b: chr(b) for b in _VISIBLE} | {b: chr(0x100 + k) for k, b in enumerate(sorted({*range(0x100)} - {*_VISIBLE}))}
+_PRINTABLE = frozenset(range(0x21, 0x7F))
+
+
 class _Encoded(dict):
-    """UTF-8 runs of other than white space to their ids, as little-endian 32-bit bytes."""
+    """UTF-8 runs of other than white space to their ids, as little-endian 32-bit bytes; remembered by a worker from task to task.
+
+    Runs are lower-cased and split here as the tokenizer does it, so that its vocabulary is asked for few distinct parts.  For every
+    character beyond ASCII the tokenizer is asked once how it lower-cases and splits it; a run with a character on which it differs, or that is
+    not in NFC or may hold a special token, goes to the tokenizer whole.
+    """
+
+    ASCII = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")  # fixed value: the tokenizer's own pattern, for lower-case ASCII
+    SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")  # fixed value: the tokenizer's own pattern
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.parts: dict[bytes, bytes] = {}
+        self.lower = {c: chr(c).lower() for c in _PRINTABLE}
+        self.known = {chr(c) for c in _PRINTABLE}
+
+    def part(self, x: bytes) -> bytes:
+        ids = self.parts.get(x)
+        if ids is None:
+            if len(self.parts) > REMEMBERED:
+                self.parts.clear()
+            ids = self.parts[x] = array("I", [t.id for t in self.model.tokenize(x.decode("latin-1").translate(_SPELT))]).tobytes()
+        return ids
+
+    def agrees(self, text: str) -> bool:
+        for c in set(text) - self.known:
+            low = self.tokenizer.normalizer.normalize_str(c)
+            split = [x.encode().decode("latin-1").translate(_SPELT) for x in self.SPLIT.findall(f"a{low}.")]
+            if unicodedata.category(c) == "Cn" or [x for x, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(f"a{low}.")] != split:
+                return False
+            self.lower[ord(c)] = low
+            self.known.add(c)
+        return unicodedata.is_normalized("NFC", text)
 
     def learn(self, runs: set[bytes]) -> None:
         if len(self) > REMEMBERED:
             self.clear()
-        new = [r for r in runs if r not in self]
-        for r, e in zip(new, self.tokenizer.encode_batch_fast([r.decode() for r in new], add_special_tokens=False)):
-            self[r] = np.array(e.ids, "<u4").tobytes()
+        whole, part = [], self.part
+        for r in runs:
+            if r in self:
+                continue
+            if b"<|" in r:
+                whole.append(r)
+            elif _PRINTABLE.issuperset(r):
+                self[r] = b"".join([part(x) for x in self.ASCII.findall(r.lower())])
+            elif self.agrees(text := r.decode()):
+                self[r] = b"".join([part(x.encode()) for x in self.SPLIT.findall(text.translate(self.lower))])
+            else:
+                whole.append(r)
+        for r, e in zip(whole, self.tokenizer.encode_batch_fast([r.decode() for r in whole], add_special_tokens=False)):
+            self[r] = array("I", e.ids).tobytes()
+
+
+@functools.cache
+def _encoded(path: str) -> _Encoded:
+    return _Encoded(path)
 
 
 def pieces(docs: DataFrame, tokenizer: str = TOKENIZER, capacity: int = CAPACITY) -> DataFrame:
@@ -191,7 +247,7 @@ def pieces(docs: DataFrame, tokenizer: str = TOKENIZER, capacity: int = CAPACITY
     names = ["doc_id", "piece", "start", "length", "ids_crc32"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ids = _Encoded(tokenizer)
+        ids = _encoded(tokenizer)
         for b in slices(batches, 200):
             rows = []
             texts = [(x or b"").split() for x in b.column("text").cast(pa.binary()).to_pylist()]
