@@ -3,9 +3,9 @@
 Two tokenizers cut the same bytes, space + text.  Offsets where a token of both ends are cuts; cuts divide the tokens into groups; every A and B
 token of a group are a link.
 
-* Texts are dealt in *chunks* of about ``CHUNK`` bytes.  No token of either vocabulary runs from a character that is not white space into
-  a following space or newline, and neither tokenizer looks back across that place, so a text is the sequence of its *spells* (white space, then what follows) and
-  its tokens are theirs.  A chunk aligns each distinct spell once.  The claim about the vocabulary is checked when it is loaded.
+* Texts are dealt in *chunks* of about ``CHUNK`` characters.  No token of either vocabulary runs from a character that is not white space into
+  a following space or newline, or from a Latin letter into an ASCII mark, and neither tokenizer looks back across such a place.  So a text is the sequence of its
+  *spells*, cut there, and its tokens are theirs.  A chunk aligns each distinct spell once.  What is claimed of the vocabulary is checked when it is loaded.
 * In Spark, for all spells: ``posexplode`` of the tokens of each side, windowed sums of their lengths give the ends, equi-joins
   on (chunk, spell, end) find the cuts, a running count of the cuts before a token is its group, and a join on (chunk, spell, group) brings
   each group's tokens together: their products are the links.  All of it is partitioned by chunk, so it shuffles the token arrays once.
@@ -20,8 +20,10 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import itertools
 import os
 import re
+import string
 from collections.abc import Iterator
 
 import numpy as np
@@ -35,13 +37,14 @@ from quillwort.llm.common import Key, shared_dir, slices, table
 
 TOKENIZER_A = public_tokenizers.path("byte_bpe_50k.json")
 TOKENIZER_B = public_tokenizers.path("piece_bpe_32k.model")
-#: UTF-8 bytes of texts in a chunk; a longer text is a chunk of its own.
-CHUNK = 8 << 20
+#: Characters of texts in a chunk; a longer text is a chunk of its own.
+CHUNK = 12 << 20
 #: Spells whose tokens a worker remembers.
-REMEMBERED = 200_000
+REMEMBERED = 300_000
 #: A token travels as id * 2**LENGTH + its length in bytes.
 LENGTH = 12
-SPELL = re.compile(r"\s*+(?:\S++(?:[^\S \n]\s*+)?+)*+")
+#: Letters after which a mark of ASCII begins a spell, if no piece of the second vocabulary holds the two in a row.
+LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
 _SPACE = "▁"
 _VISIBLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
 #: Characters of byte-level spelling and the bytes they stand for.
@@ -49,7 +52,7 @@ _BYTE_OF = {chr(b): b for b in _VISIBLE} | {chr(0x100 + k): b for k, b in enumer
 
 
 class Tokenizers(dict):
-    """A spell to its tokens of both sides (packed ids and lengths), or None if a side's bytes are not the spell's; remembered by a worker."""
+    """A spell to its tokens of both sides (packed ids and lengths, 32-bit), or None if a side's bytes are not the spell's; remembered by a worker."""
 
     def __init__(self, a: str, b: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -59,23 +62,47 @@ class Tokenizers(dict):
         self.a, self.b = Tokenizer.from_file(a), sentencepiece.SentencePieceProcessor(model_file=b)
         self.a.encode_special_tokens = True
         names = self.a.get_vocab()
-        self.bytes_a = {i: bytes(_BYTE_OF[c] for c in t) for t, i in names.items() if all(c in _BYTE_OF for c in t)}
+        self.bytes_a = [b""] * (max(names.values()) + 1)
+        for t, i in names.items():
+            self.bytes_a[i] = bytes(_BYTE_OF.get(c, 0) for c in t)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
+        self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(_SPACE, " ").encode() for i, p in enumerate(pieces)]
+        self.spell = self._cut([p for i, p in enumerate(pieces) if not (self.b.is_byte(i) or self.b.is_control(i) or self.b.is_unknown(i))])
+
+    @staticmethod
+    def _cut(pieces: list[str]) -> re.Pattern:
         if any("\n" in p or re.search(rf"[^{_SPACE}]{_SPACE}", p) for p in pieces):
             raise ValueError("a piece of the second vocabulary runs into white space")
-        self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(_SPACE, " ").encode() for i, p in enumerate(pieces)]
-        self.space = self.b.piece_to_id(_SPACE)
+        marks = "".join(re.escape(c) for c in string.punctuation if not any(re.search(f"[{LETTERS}]{re.escape(c)}", p) for p in pieces))
+        after = rf"(?![{marks}])" if marks else ""
+        return re.compile(rf"\s*+(?:(?:[^\s{LETTERS}]++|[{LETTERS}]++{after})++(?:[^\S \n]\s*+)?+)*+(?:[{LETTERS}]++)?+")
+
+    def spells(self, text: str | None) -> list[str]:
+        return [s for s in self.spell.findall(" " + text) if s] if text else []
 
     def learn(self, spells: list[str]) -> None:
         if len(self) > REMEMBERED:
             self.clear()
-        new = [s for s in dict.fromkeys(spells) if s not in self]
-        # B puts a space before what it is given: that of a spell that has one, else a token of its own, as nothing merges with a newline.
-        for s, x, y in zip(new, self.a.encode_batch_fast(new, add_special_tokens=False), self.b.encode([s.removeprefix(" ") for s in new], num_threads=1)):
-            ids_a, ids_b, raw = x.ids, [self.space] if s == " " else y if s[0] == " " else y[1:], s.encode()
-            a, b = [self.bytes_a[i] for i in ids_a], [self.bytes_b[i] for i in ids_b]
-            whole = b"".join(a) == raw == b"".join(b)
-            self[s] = ([i << LENGTH | len(t) for i, t in zip(ids_a, a)], [i << LENGTH | len(t) for i, t in zip(ids_b, b)]) if whole else None
+        new = [s for s in spells if s not in self]
+        if not new:
+            return
+        # B puts a space before what it is given: that of a spell that has one; else a newline, with which nothing merges, goes between.
+        ids_a = [e.ids for e in self.a.encode_batch_fast(new, add_special_tokens=False)]
+        ids_b = [y if s[0] == " " else y[2:] for s, y in zip(new, self.b.encode([s[1:] or "\n" if s[0] == " " else "\n" + s for s in new], num_threads=1))]
+        ids_b = [y[:1] if s == " " else y for s, y in zip(new, ids_b)]
+        raw = [s.encode() for s in new]
+        packed = [self._packed(raw, ids, texts) for ids, texts in ((ids_a, self.bytes_a), (ids_b, self.bytes_b))]
+        self.update((s, None if x is None or y is None else (x, y)) for s, x, y in zip(new, *packed))
+
+    @staticmethod
+    def _packed(raw: list[bytes], ids: list[list[int]], texts: list[bytes]) -> list[bytes | None]:
+        flat = np.fromiter(itertools.chain.from_iterable(ids), np.int32)
+        length = np.fromiter((len(texts[i]) for i in flat.tolist()), np.int32, len(flat))
+        blob, ends = (flat << LENGTH | length).tobytes(), (4 * np.cumsum([len(x) for x in ids])).tolist()
+        out: list[bytes | None] = [blob[a:b] for a, b in zip([0, *ends], ends)]
+        if b"".join(map(texts.__getitem__, flat.tolist())) != b"".join(raw) or any(_SPACE.encode() in r for r in raw):
+            out = [x if b"".join(map(texts.__getitem__, i)) == r else None for x, i, r in zip(out, ids, raw)]
+        return out
 
 
 @functools.cache
@@ -83,42 +110,54 @@ def _tokenizers(a: str, b: str) -> Tokenizers:
     return Tokenizers(a, b)
 
 
+class _Numbers(dict):
+    """Spells to numbers in order of arrival."""
+
+    def __missing__(self, spell: str) -> int:
+        self[spell] = n = len(self)
+        return n
+
+
+def _nested(tokens: list[bytes]) -> pa.Array:
+    """One row: a list of lists of 32-bit numbers."""
+    values = np.frombuffer(b"".join(tokens), np.int32)
+    inner = pa.ListArray.from_arrays(np.r_[0, np.cumsum([len(t) // 4 for t in tokens])].astype(np.int32), pa.array(values))
+    return pa.ListArray.from_arrays(np.array([0, len(tokens)], np.int32), inner)
+
+
 def chunked(docs: DataFrame, a: str, b: str) -> DataFrame:
     """A row for each chunk: doc_id, spells (each document's numbers of spells, 32-bit) and the tokens of each spell."""
-    schema = pa.schema([("doc_id", pa.list_(pa.int64())), ("spells", pa.list_(pa.binary())), ("a", pa.list_(pa.list_(pa.int32()))), ("b", pa.list_(pa.list_(pa.int32())))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = _tokenizers(a, b)
-        ids, spells, at, tokens, size = [], [], {}, [], 0
+        ids, own, at, size = [], [], _Numbers(), 0
 
         def row() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([x], t) for x, t in zip((ids, spells, [t[0] for t in tokens], [t[1] for t in tokens]), schema.types)], schema=schema)
+            known.learn(list(at))
+            tokens = [known[s] for s in at]
+            lost = np.array([k for k, t in enumerate(tokens) if t is None], np.int32)
+            texts = [b"" if len(lost) and np.isin(x, lost).any() else x.tobytes() for x in own]
+            sides = [_nested([t[k] if t else b"" for t in tokens]) for k in (0, 1)]
+            return pa.RecordBatch.from_arrays([pa.array([ids], pa.list_(pa.int64())), pa.array([texts], pa.list_(pa.binary())), *sides], names=["doc_id", "spells", "a", "b"])
 
         for batch in slices(batches, 200):
-            texts = batch.column("text").to_pylist()
-            cut = [[s for s in SPELL.findall(" " + t) if s] if t else [] for t in texts]
-            known.learn([s for c in cut for s in c])
-            for doc, text, own in zip(batch.column("doc_id").to_pylist(), texts, cut):
-                whole = all(known[s] is not None for s in own)
-                for s in own if whole else ():
-                    if s not in at:
-                        at[s] = len(tokens)
-                        tokens.append(known[s])
+            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
+                spells = known.spells(text)
                 ids.append(doc)
-                spells.append(np.fromiter(map(at.__getitem__, own if whole else ()), np.int32).tobytes())
-                size += 4 * len(text or "") // 3
+                own.append(np.fromiter(map(at.__getitem__, spells), np.int32, len(spells)))
+                size += len(text or "")
                 if size >= CHUNK:
                     yield row()
-                    ids, spells, at, tokens, size = [], [], {}, [], 0
+                    ids, own, at, size = [], [], _Numbers(), 0
         if ids:
             yield row()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id array<long>, spells array<binary>, a array<array<int>>, b array<array<int>>")
 
 
-def aligned(chunks: DataFrame) -> DataFrame:
-    """chunk, k, groups (as text), n_a, n_b, n_groups and links (A id * 2**32 + B id, as often as linked) of every spell."""
-    parts = chunks.select("chunk", "a", "b").repartition("chunk")
+def aligned(chunks: DataFrame, tasks: int) -> DataFrame:
+    """In ``tasks`` partitions: chunk, k, groups (as text), n_a, n_b, n_groups and links (A id * 2**32 + B id, as often as linked) of every spell."""
+    parts = chunks.select("chunk", "a", "b").repartition(tasks, "chunk")
     own = W.partitionBy("chunk", "k")
 
     def tokens(side: str) -> DataFrame:
@@ -220,7 +259,7 @@ def align(docs: DataFrame, *, a: str = TOKENIZER_A, b: str = TOKENIZER_B) -> Dat
     before = spark.conf.get(setting)
     spark.conf.set(setting, "false")
     try:
-        met = kept(met_chunks(aligned(chunks), chunks), "align")
+        met = kept(met_chunks(aligned(chunks, max(1, chunks.count())), chunks), "align")
     finally:
         spark.conf.set(setting, before)
     back = met.select(F.col("chunk").alias("of"), F.posexplode("pair").alias("j", "pair")).join(pair_counts(met), "pair").select("of", "j", "count", "best")
