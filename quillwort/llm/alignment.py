@@ -135,9 +135,10 @@ def chunked(docs: DataFrame, a: str, b: str) -> DataFrame:
         def row() -> pa.RecordBatch:
             known.learn(list(at))
             tokens = [known[s] for s in at]
-            lost = np.array([k for k, t in enumerate(tokens) if t is None], np.int32)
-            texts = [b"" if len(lost) and np.isin(x, lost).any() else x.tobytes() for x in own]
-            sides = [_nested([t[k] if t else b"" for t in tokens]) for k in (0, 1)]
+            whole = np.array([t is not None for t in tokens], bool)
+            number = (np.cumsum(whole) - 1).astype(np.int32)  # among the spells that have tokens
+            texts = [number[x].tobytes() if whole[x].all() else b"" for x in own]
+            sides = [_nested([t[k] for t in tokens if t]) for k in (0, 1)]
             return pa.RecordBatch.from_arrays([pa.array([ids], pa.list_(pa.int64())), pa.array([texts], pa.list_(pa.binary())), *sides], names=["doc_id", "spells", "a", "b"])
 
         for batch in slices(batches, 200):
