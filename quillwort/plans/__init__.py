@@ -561,3 +561,6 @@ SELECT page_id, CASE WHEN n >= 100 THEN 'text' WHEN img >= 0.5 THEN 'vision' ELS
   SELECT page_id, length(regexp_replace(html, '<[^>]*>', '', 'g')) / 20e0 AS n, (page_id % 3) / 2e0 AS img FROM pages)""")
 def route_tiers(spark, sf):
     return load(spark, sf, "pages").select("page_id", T.tier(F.length(F.regexp_replace("html", "<[^>]*>", "")) / F.lit(20.0), (F.col("page_id") % 3) / F.lit(2.0)).alias("tier"))
+
+
+from quillwort.plans import ddl  # noqa: E402, F401  registers its queries

@@ -24,7 +24,25 @@ TICKETS = """
 SELECT conv_id AS ticket_id, concat('client', cast(conv_id % 7 AS string)) AS client, max(CASE WHEN turn = f THEN text END) AS subject, max(CASE WHEN turn = f THEN text END) AS description, sum(length(text)) AS thread_chars,
   count(CASE WHEN role = 'assistant' THEN 1 END) AS n_agent, count(*) AS n_turns
 FROM (SELECT *, min(turn) OVER (PARTITION BY conv_id) AS f FROM conversations) AS c GROUP BY conv_id"""
-VIEWS = {"cards": CARDS, "edges": EDGES, "tickets": TICKETS}
+#: A schema script for each document, around its whole text: as a comment, as a string, and as prose with whatever quotes it has.
+_TABLE = "concat('doc_', cast(doc_id AS string))"
+SCRIPTS = f"""
+SELECT doc_id AS script_id, concat(
+  '-- script; of document ', cast(doc_id AS string), nl, '/* ', replace(body, '*/', '* /'), ' */', nl,
+  'CREATE ', CASE WHEN doc_id % 5 = 0 THEN 'GLOBAL TEMPORARY ' ELSE '' END, 'TABLE app.', {_TABLE}, ' (', nl, '  id NUMBER(9,0) NOT NULL ENABLE, -- key; of (', nl,
+  '  "Note" VARCHAR2(', cast(30 + doc_id % 9 AS string), ') DEFAULT ', q, 'a;b(', q, q, q, ',', nl, '  raw_', cast(doc_id % 3 AS string), ' LONG RAW,', nl, '  old LONG, made DATE,', nl,
+  '  CONSTRAINT pk_', cast(doc_id AS string), ' PRIMARY KEY (id, "Note") USING INDEX TABLESPACE (t)', nl, ') TABLESPACE big STORAGE (INITIAL 64K);', nl,
+  'COMMENT ON TABLE app.', {_TABLE}, ' IS ', q, replace(body, q, concat(q, q)), q, ';', nl,
+  'COMMENT ON COLUMN app.', {_TABLE}, CASE WHEN doc_id % 4 = 1 THEN '.missing' ELSE '."Note"' END, ' IS ', q, lang, q, ';;', nl,
+  'CREATE TABLE copy_', cast(doc_id AS string), ' AS SELECT (1) FROM app.', {_TABLE}, ';', nl,
+  'ALTER TABLE app.doc_', cast(doc_id * 3 % 1000 AS string), ' ADD CONSTRAINT fk FOREIGN KEY (id, "Note") REFERENCES app.', {_TABLE}, ' (id, old) ENABLE;', nl,
+  'CREATE ', CASE WHEN doc_id % 2 = 0 THEN 'UNIQUE ' ELSE '' END, 'INDEX ix_', cast(doc_id AS string), ' ON ', {_TABLE}, ' (id DESC, "Note");', nl,
+  'CREATE OR REPLACE PROCEDURE app.p_', cast(doc_id AS string), ' (x IN NUMBER) AS', nl, 'BEGIN', nl, '  y := x', nl, '    / 2; z := ', q, 'CREATE VIEW v;', nl, '/', nl, q, ';', nl, 'END;', nl, '/', nl,
+  CASE WHEN doc_id % 11 = 0 THEN concat('CREATE OR REPLACE PROCEEDURE oops IS BEGIN NULL; END;', nl) ELSE '' END,
+  'CREATE OR REPLACE NO FORCE VIEW "V".v_', cast(doc_id AS string), ' AS SELECT 1 FROM dual;', nl, 'create or replace type body t_', cast(doc_id AS string), ' IS x; END;', nl,
+  'CREATE PACKAGE BODY pk_', cast(doc_id AS string), ' IS x; END;', nl, ' / ', nl, body) AS sql
+FROM (SELECT doc_id, lang, coalesce(text, '') AS body, chr(10) AS nl, chr(39) AS q FROM documents) AS d"""
+VIEWS = {"cards": CARDS, "edges": EDGES, "tickets": TICKETS, "scripts": SCRIPTS}
 BASE = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
