@@ -29,6 +29,7 @@ from collections.abc import Iterator
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -38,9 +39,9 @@ from quillwort.llm.common import Key, shared_dir, slices, table
 TOKENIZER_A = public_tokenizers.path("byte_bpe_50k.json")
 TOKENIZER_B = public_tokenizers.path("piece_bpe_32k.model")
 #: Characters of texts in a chunk; a longer text is a chunk of its own.
-CHUNK = 12 << 20
-#: Spells whose tokens a worker remembers.
-REMEMBERED = 300_000
+CHUNK = 8 << 20
+#: Spells in a batch that a task sends on.
+SPELLS = 20_000
 #: A token travels as id * 2**LENGTH + its length in bytes.
 LENGTH = 12
 #: Letters after which a mark of ASCII begins a spell, if no piece of the second vocabulary holds the two in a row.
@@ -52,7 +53,7 @@ _BYTE_OF = {chr(b): b for b in _VISIBLE} | {chr(0x100 + k): b for k, b in enumer
 
 
 class Tokenizers(dict):
-    """A spell to its tokens of both sides (packed ids and lengths, 32-bit), or None if a side's bytes are not the spell's; remembered by a worker."""
+    """A spell to its tokens of both sides (packed ids and lengths, 32-bit), or None if a side's bytes are not the spell's."""
 
     def __init__(self, a: str, b: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -81,8 +82,6 @@ class Tokenizers(dict):
         return [s for s in self.spell.findall(" " + text) if s] if text else []
 
     def learn(self, spells: list[str]) -> None:
-        if len(self) > REMEMBERED:
-            self.clear()
         new = [s for s in spells if s not in self]
         if not new:
             return
@@ -118,28 +117,33 @@ class _Numbers(dict):
         return n
 
 
-def _nested(tokens: list[bytes]) -> pa.Array:
-    """One row: a list of lists of 32-bit numbers."""
-    values = np.frombuffer(b"".join(tokens), np.int32)
-    inner = pa.ListArray.from_arrays(np.r_[0, np.cumsum([len(t) // 4 for t in tokens])].astype(np.int32), pa.array(values))
-    return pa.ListArray.from_arrays(np.array([0, len(tokens)], np.int32), inner)
+def _lists(tokens: list[bytes]) -> pa.Array:
+    return pa.ListArray.from_arrays(np.r_[0, np.cumsum([len(t) // 4 for t in tokens])].astype(np.int32), pa.array(np.frombuffer(b"".join(tokens), np.int32)))
 
 
 def chunked(docs: DataFrame, a: str, b: str) -> DataFrame:
-    """A row for each chunk: doc_id, spells (each document's numbers of spells, 32-bit) and the tokens of each spell."""
+    """Rows of two kinds.  text: chunk, doc_id and spells (the document's numbers of spells, 32-bit); spell: chunk, k and its tokens a and b."""
+    schema = pa.schema([("kind", pa.string()), ("chunk", pa.int64()), ("doc_id", pa.int64()), ("spells", pa.binary()), ("k", pa.int32()), ("a", pa.list_(pa.int32())), ("b", pa.list_(pa.int32()))])
+
+    def batch_of(kind: str, n: int, columns: dict) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array([kind] * n) if f.name == "kind" else columns[f.name] if f.name in columns else pa.nulls(n, f.type) for f in schema], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = _tokenizers(a, b)
+        known, chunk = _tokenizers(a, b), TaskContext.get().partitionId() << 32
         ids, own, at, size = [], [], _Numbers(), 0
 
-        def row() -> pa.RecordBatch:
+        def rows() -> Iterator[pa.RecordBatch]:
             known.learn(list(at))
             tokens = [known[s] for s in at]
+            known.clear()
             whole = np.array([t is not None for t in tokens], bool)
             number = (np.cumsum(whole) - 1).astype(np.int32)  # among the spells that have tokens
             texts = [number[x].tobytes() if whole[x].all() else b"" for x in own]
-            sides = [_nested([t[k] for t in tokens if t]) for k in (0, 1)]
-            return pa.RecordBatch.from_arrays([pa.array([ids], pa.list_(pa.int64())), pa.array([texts], pa.list_(pa.binary())), *sides], names=["doc_id", "spells", "a", "b"])
+            yield batch_of("text", len(ids), {"chunk": pa.array([chunk] * len(ids), pa.int64()), "doc_id": pa.array(ids, pa.int64()), "spells": pa.array(texts, pa.binary())})
+            tokens = [t for t in tokens if t]
+            for lo in range(0, len(tokens), SPELLS):
+                n = len(part := tokens[lo : lo + SPELLS])
+                yield batch_of("spell", n, {"chunk": pa.array([chunk] * n, pa.int64()), "k": pa.array(np.arange(lo, lo + n, dtype=np.int32)), "a": _lists([t[0] for t in part]), "b": _lists([t[1] for t in part])})
 
         for batch in slices(batches, 200):
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
@@ -148,21 +152,21 @@ def chunked(docs: DataFrame, a: str, b: str) -> DataFrame:
                 own.append(np.fromiter(map(at.__getitem__, spells), np.int32, len(spells)))
                 size += len(text or "")
                 if size >= CHUNK:
-                    yield row()
-                    ids, own, at, size = [], [], _Numbers(), 0
+                    yield from rows()
+                    chunk, ids, own, at, size = chunk + 1, [], [], _Numbers(), 0
         if ids:
-            yield row()
+            yield from rows()
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id array<long>, spells array<binary>, a array<array<int>>, b array<array<int>>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "kind string, chunk long, doc_id long, spells binary, k int, a array<int>, b array<int>")
 
 
-def aligned(chunks: DataFrame, tasks: int) -> DataFrame:
+def aligned(spells: DataFrame, tasks: int) -> DataFrame:
     """In ``tasks`` partitions: chunk, k, groups (as text), n_a, n_b, n_groups and links (A id * 2**32 + B id, as often as linked) of every spell."""
-    parts = chunks.select("chunk", "a", "b").repartition(tasks, "chunk")
+    parts = spells.select("chunk", "k", "a", "b").repartition(tasks, "chunk")
     own = W.partitionBy("chunk", "k")
 
     def tokens(side: str) -> DataFrame:
-        t = parts.select("chunk", F.posexplode(side).alias("k", "t")).select("chunk", "k", F.posexplode("t").alias("pos", "t"))
+        t = parts.select("chunk", "k", F.posexplode(side).alias("pos", "t"))
         end = F.sum(F.col("t").bitwiseAND(F.lit((1 << LENGTH) - 1))).over(own.orderBy("pos").rowsBetween(W.unboundedPreceding, 0))
         return t.select("chunk", "k", end.alias("end"), F.shiftright("t", LENGTH).alias(side))
 
@@ -203,7 +207,7 @@ def _meet(spells: pa.Table, chunk: pa.Table) -> pa.Table:
     pair, link = np.unique(links.flatten().to_numpy(zero_copy_only=False), return_inverse=True)
     start, last, held = np.cumsum(n_of) - n_of, np.zeros(len(pair), np.int64), np.zeros(len(pair), np.int64)
     out: dict[str, list] = {c: [] for c in ("n_a", "n_b", "n_groups", "n_links", "sha")}
-    for blob in chunk.column("spells")[0].as_py():
+    for blob in chunk.column("spells").to_pylist():
         own = np.frombuffer(blob, np.int32)
         for c, v in numbers.items():
             out[c].append(int(v[own].sum()))
@@ -213,8 +217,9 @@ def _meet(spells: pa.Table, chunk: pa.Table) -> pa.Table:
         mine = link[_ranges(start[once], n_of[once])]
         last[mine] = np.arange(len(mine))
         held[mine[last[mine] == np.arange(len(mine))]] += 1
-    one = {"chunk": chunk.column("of"), "doc_id": chunk.column("doc_id")} | {c: pa.array([v], pa.list_(pa.string() if c == "sha" else pa.int64())) for c, v in out.items()}
-    return pa.table(one | {"spells": chunk.column("spells"), "n_of": pa.array([n_of.astype(np.int32).tobytes()], pa.binary()), "link": pa.array([link.astype(np.int32).tobytes()], pa.binary()), "pair": pa.array([pair], pa.list_(pa.int64())), "docs": pa.array([held], pa.list_(pa.int64()))})
+    lists = pa.list_(pa.int64())
+    one = {"chunk": pa.array([chunk.column("of")[0].as_py()], pa.int64()), "doc_id": pa.array([chunk.column("doc_id").to_pylist()], lists)} | {c: pa.array([v], pa.list_(pa.string()) if c == "sha" else lists) for c, v in out.items()}
+    return pa.table(one | {"spells": pa.array([chunk.column("spells").to_pylist()], pa.list_(pa.binary())), "n_of": pa.array([n_of.astype(np.int32).tobytes()], pa.binary()), "link": pa.array([link.astype(np.int32).tobytes()], pa.binary()), "pair": pa.array([pair], lists), "docs": pa.array([held], lists)})
 
 
 def _finish(counts: pa.Table, chunk: pa.Table) -> pa.Table:
@@ -230,11 +235,11 @@ def _finish(counts: pa.Table, chunk: pa.Table) -> pa.Table:
     return pa.table(flat | {"n_best": pa.array([int(sums[0][d].sum()) for d in docs], pa.int64()), "count_sum": pa.array([int(sums[1][d].sum()) for d in docs], pa.int64()), "groups_sha256": pa.array(chunk.column("sha")[0].as_py(), pa.string())})
 
 
-def met_chunks(spells: DataFrame, chunks: DataFrame) -> DataFrame:
+def met_chunks(spells: DataFrame, texts: DataFrame) -> DataFrame:
     def run(key: Key, a: pa.Table, b: pa.Table) -> pa.Table:
         return _meet(a, b)
 
-    return spells.groupBy("chunk").cogroup(chunks.select(F.col("chunk").alias("of"), "doc_id", "spells").groupBy("of")).applyInArrow(run, MET)
+    return spells.groupBy("chunk").cogroup(texts.select(F.col("chunk").alias("of"), "doc_id", "spells").groupBy("of")).applyInArrow(run, MET)
 
 
 def pair_counts(met: DataFrame) -> DataFrame:
@@ -244,23 +249,24 @@ def pair_counts(met: DataFrame) -> DataFrame:
     return counts.join(highest, "a").select("pair", "count", (F.col("count") == F.col("highest")).cast("long").alias("best"))
 
 
-def kept(df: DataFrame, name: str) -> DataFrame:
+def kept(df: DataFrame, *by: str) -> DataFrame:
     """Written in the shared folder and read again."""
-    to = shared_dir(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(to)
-    return df.sparkSession.read.parquet(to)
+    to = shared_dir(df.sparkSession, "align")
+    df.write.option("compression", "zstd").partitionBy(*by).parquet(to)
+    return df.sparkSession.read.schema(df.schema).parquet(to)
 
 
 def align(docs: DataFrame, *, a: str = TOKENIZER_A, b: str = TOKENIZER_B) -> DataFrame:
     """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum and groups_sha256 of every row of docs(doc_id, text)."""
     spark = docs.sparkSession
-    chunks = kept(chunked(docs, a, b).withColumn("chunk", F.monotonically_increasing_id()), "align")
+    rows = kept(chunked(docs, a, b), "kind")
+    texts, spells = rows.where("kind = 'text'"), rows.where("kind = 'spell'")
     # All joins here hold (chunk, k, ...) in their keys: sides that are partitioned by chunk need no shuffle by all keys.
     setting = "spark.sql.requireAllClusterKeysForCoPartition"
     before = spark.conf.get(setting)
     spark.conf.set(setting, "false")
     try:
-        met = kept(met_chunks(aligned(chunks, max(1, chunks.count())), chunks), "align")
+        met = kept(met_chunks(aligned(spells, max(1, texts.select("chunk").distinct().count())), texts))
     finally:
         spark.conf.set(setting, before)
     back = met.select(F.col("chunk").alias("of"), F.posexplode("pair").alias("j", "pair")).join(pair_counts(met), "pair").select("of", "j", "count", "best")
