@@ -39,7 +39,7 @@ from quillwort.llm.common import Key, shared_dir, slices, table
 TOKENIZER_A = public_tokenizers.path("byte_bpe_50k.json")
 TOKENIZER_B = public_tokenizers.path("piece_bpe_32k.model")
 #: Characters of texts in a chunk; a longer text is a chunk of its own.
-CHUNK = 8 << 20
+CHUNK = 5 << 20
 #: Spells in a batch that a task sends on.
 SPELLS = 20_000
 #: A token travels as id * 2**LENGTH + its length in bytes.
@@ -165,18 +165,21 @@ def aligned(spells: DataFrame, tasks: int) -> DataFrame:
     parts = spells.select("chunk", "k", "a", "b").repartition(tasks, "chunk")
     own = W.partitionBy("chunk", "k")
 
+    order = own.orderBy("pos")
+
     def tokens(side: str) -> DataFrame:
         t = parts.select("chunk", "k", F.posexplode(side).alias("pos", "t"))
-        end = F.sum(F.col("t").bitwiseAND(F.lit((1 << LENGTH) - 1))).over(own.orderBy("pos").rowsBetween(W.unboundedPreceding, 0))
-        return t.select("chunk", "k", end.alias("end"), F.shiftright("t", LENGTH).alias(side))
+        end = F.sum(F.col("t").bitwiseAND(F.lit((1 << LENGTH) - 1))).over(order.rowsBetween(W.unboundedPreceding, 0))
+        return t.select("chunk", "k", "pos", end.cast("int").alias("end"), F.shiftright("t", LENGTH).alias(side))
 
     def grouped(side: str, other: str) -> DataFrame:
-        ends = tokens(other).select("chunk", "k", "end", F.lit(1).alias("cut"))
-        g = F.count("cut").over(own.orderBy("end").rowsBetween(W.unboundedPreceding, -1))
+        # Hash joins keep the order of their first side, which the running count needs; the other side is a task's few chunks.
+        ends = tokens(other).select("chunk", "k", "end", F.lit(1).alias("cut")).hint("shuffle_hash")
+        g = F.count("cut").over(order.rowsBetween(W.unboundedPreceding, -1)).cast("int")
         t = tokens(side).join(ends, ["chunk", "k", "end"], "left").withColumn("g", g)
-        return t.groupBy("chunk", "k", "g").agg(F.transform(F.array_sort(F.collect_list(F.struct("end", side))), lambda x: x[side]).alias(side))
+        return t.groupBy("chunk", "k", "g").agg(F.transform(F.array_sort(F.collect_list(F.struct("pos", side))), lambda x: x[side]).alias(side))
 
-    met = grouped("a", "b").join(grouped("b", "a"), ["chunk", "k", "g"])
+    met = grouped("a", "b").join(grouped("b", "a").hint("shuffle_hash"), ["chunk", "k", "g"])
     groups = met.groupBy("chunk", "k").agg(F.array_sort(F.collect_list(F.struct("g", "a", "b"))).alias("gs"))
     listed = lambda x: F.array_join(x.cast("array<string>"), ",")
     links = F.flatten(F.transform("gs", lambda g: F.flatten(F.transform(g["a"], lambda x: F.transform(g["b"], lambda y: F.shiftleft(x.cast("long"), 32) + y)))))
