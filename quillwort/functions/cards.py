@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from quillwort.functions.text import _c, slug
+from quillwort.functions.text import _c, slug, stripped
 
 # Extensions that pass through unconverted, folders that name no client, spellings of a version.
 PASSTHROUGH = ["vm", "xsd", "xml", "json", "txt", "csv", "properties", "sql"]
@@ -100,7 +100,7 @@ def folder_hints(segments: Column | str, products: dict[str, str], categories: d
 
 def thread_text(parts: Column | str) -> Column:
     """The parts that are not blank, a blank line between them."""
-    return F.array_join(F.filter(_c(parts), lambda p: F.trim(p) != ""), "\n\n")
+    return F.array_join(F.filter(_c(parts), lambda p: stripped(p) != ""), "\n\n")
 
 
 def truncated_thread(text: Column | str, most: int = MOST_THREAD) -> Column:
@@ -127,9 +127,9 @@ def strip_think(text: Column | str) -> Column:
 
 
 def json_part(text: Column | str, kind: str = "{}") -> Column:
-    """From the first opening to the last closing bracket of a reply's fenced block, or of the reply; null if that is no JSON."""
-    t = F.regexp_replace(F.coalesce(_c(text), F.lit("")), r"(?s)<think>.*?</think>", "")
-    fenced = F.regexp_extract(t, r"(?s)```(?:json)?\s*(.*?)```", 1)
+    """From the first opening to the last closing bracket of the first fenced block that is one bracket, or of the reply; null if that is no JSON."""
+    t = F.regexp_replace(F.coalesce(_c(text), F.lit("")), r"(?is)<think>.*?</think>", "")
+    fenced = F.regexp_extract(t, r"(?s)```(?:json)?\s*(\{.*?\})\s*```" if kind == "{}" else r"(?s)```(?:json)?\s*(\[.*?\])\s*```", 1)
     t = F.when(fenced != "", fenced).otherwise(t)
     part = F.regexp_extract(t, r"(?s)(\{.*\})" if kind == "{}" else r"(?s)(\[.*\])", 1)
     return F.when((part != "") & F.try_parse_json(part).isNotNull(), part)
@@ -142,9 +142,10 @@ def picks(reply: Column | str, candidates: Column, most: int = 2) -> Column:
 
 
 def probability(reply: Column | str) -> Column:
-    """The reply's probability within 0 and 1; 1 where it gives none."""
-    p = F.try_to_number(F.get_json_object(json_part(reply), "$.probability"), F.lit("S9.999999")).cast("double")
-    return F.coalesce(F.greatest(F.lit(0.0), F.least(F.lit(1.0), p)), F.lit(1.0))
+    """The reply's probability, a number however written, within 0 and 1; 1 where it gives none or one that is no number."""
+    said = F.get_json_object(json_part(reply), "$.probability")
+    p = F.when(said == "true", 1.0).when(said == "false", 0.0).otherwise(said.try_cast("double"))
+    return F.coalesce(F.greatest(F.lit(0.0), F.least(F.lit(1.0), p)), F.lit(1.0))  # NaN is the greatest number here
 
 
 def conflict_class(p: Column | str) -> Column:
@@ -170,8 +171,8 @@ def prompt_line(card_id: str, title: str, description: str, product: str, regime
 
 
 def stripped_affix(name: Column | str) -> Column:
-    """A sequence's name without the first affix that it has, and without underscores at the ends."""
-    n, out = _c(name), _c(name)
+    """A sequence's name in capitals, without the first affix that it has, and without underscores at the ends."""
+    n = out = F.upper(_c(name))
     for rule in reversed(AFFIXES):
         out = F.when(n.rlike(rule), F.regexp_replace(n, rule, "")).otherwise(out)
     return F.regexp_replace(out, "^_+|_+$", "")

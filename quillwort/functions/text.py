@@ -21,14 +21,24 @@ EMAIL_TOKEN, ID_TOKEN, PHONE_TOKEN, NAME_TOKEN = "[email]", "[id]", " [phone]",
 EMAIL = r"[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\.[A-Za-z]{2,}"
 PHONE = r"(?<!\d)(?:\+\d[\d\s\-]{6,}\d|\(?\d{2,4}\)?[\s\-]\d{3}[\s\-]?\d{2,4})(?!\d)"
 THIRTEEN = r"(?<!\d)\d{13}(?!\d)"
-#: Boilerplate rules in order; each match is deleted.
+# Boilerplate rules in order; each match is deleted.
 BOILERPLATE = (r"(?m)^\s*Page \d+ of \d+\s*$", r"(?mi)^\s*(©|\(c\)|Copyright).*\d{4}.*$", r"(?mi)^.*All Rights Reserved.*$", r"(?m)^\.{3,}\d+$")
 
 
+#: White space of Unicode, the separators of ASCII included, for a bracket of a pattern.
+BLANK = r"\x{09}-\x{0D}\x{1C}-\x{20}\x{85}\x{A0}\x{1680}\x{2000}-\x{200A}\x{2028}\x{2029}\x{202F}\x{205F}\x{3000}"
+STRIP = rf"^[{BLANK}]+|[{BLANK}]+\z"
+
+
 def _c(x: Column | str) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def stripped(text: Column | str) -> Column:
+    """Without white space of any kind at the ends; ``trim`` takes blanks only."""
+    return F.regexp_replace(_c(text), STRIP, "")
+
+
 def runs(text: Column | str) -> Column:
     """Lower-cased runs of letters and digits; null gives none."""
     return F.regexp_extract_all(F.lower(F.coalesce(_c(text), F.lit(""))), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))

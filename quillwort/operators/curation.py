@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from quillwort.functions.cards import ACKNOWLEDGED
-from quillwort.functions.text import slug
+from quillwort.functions.text import slug, stripped
 
 # Format families, and formats from the preferred one on.
 FAMILY = {"doc": "word", "docx": "word", "docm": "word", "rtf": "word", "ppt": "ppt", "pptx": "ppt", "xls": "xls", "xlsx": "xls"}
@@ -18,9 +18,9 @@ LEAST_THREAD = 120
 
 
 def exact_duplicates(docs: DataFrame) -> DataFrame:
-    """SHA-256 groups of over one row; each hash is grouped by partial counts, ids are gathered for those groups only."""
+    """SHA-256 groups of over one row: how many rows, the first id and the last; partial aggregates, no ids are gathered."""
     hashed = docs.select("doc_id", F.sha2(F.col("text").cast("binary"), 256).alias("sha"))
-    return hashed.groupBy("sha").agg(F.count("*").alias("n"), F.min("doc_id").alias("keep"), F.sum("doc_id").alias("id_sum")).where("n > 1")
+    return hashed.groupBy("sha").agg(F.count("*").alias("n"), F.min("doc_id").alias("keep"), F.max("doc_id").alias("last")).where("n > 1")
 
 
 def ticket_verdicts(tickets: DataFrame) -> DataFrame:
@@ -29,7 +29,7 @@ def ticket_verdicts(tickets: DataFrame) -> DataFrame:
     ``n_agent`` counts the agents' replies that say more than an acknowledgement (``substantial_replies``).  The first kept
     ticket of a hash is found by partial aggregates and joined back, so no hash's tickets need to meet in one task.
     """
-    part = lambda c: F.coalesce(F.lower(F.trim(c)), F.lit(""))
+    part = lambda c: F.coalesce(F.lower(stripped(c)), F.lit(""))
     h = F.sha2(F.concat_ws("|", F.coalesce("client", F.lit("")), part("subject"), part("description")), 256)
     alone = F.when(F.concat_ws(" ", "subject", "description").rlike(NOISE), "noise-pattern").when(F.col("thread_chars") < LEAST_THREAD, "thin-content").when(F.col("n_agent") == 0, "no-diagnosis").otherwise("keep")
     rows = tickets.select("ticket_id", h.alias("h"), alone.alias("alone"))
@@ -39,7 +39,7 @@ def ticket_verdicts(tickets: DataFrame) -> DataFrame:
 
 def substantial_replies(comments: DataFrame) -> DataFrame:
     """comments(ticket_id, role, body): how many of a ticket's agent replies are neither blank nor a mere acknowledgement."""
-    solid = (F.col("role") == "assistant") & (F.trim("body") != "") & ~F.trim("body").rlike(ACKNOWLEDGED)
+    solid = (F.col("role") == "assistant") & (stripped("body") != "") & ~stripped("body").rlike(ACKNOWLEDGED)
     return comments.groupBy("ticket_id").agg(F.count_if(solid).alias("n_solid"))
 
 
@@ -117,10 +117,37 @@ def memory_findings(memories: DataFrame, related: DataFrame, supersedes: DataFra
     return bad.unionByName(dangling).unionByName(unknown).unionByName(across).unionByName(still)
 
 
-def conflict_candidates(memories: DataFrame) -> DataFrame:
-    """memories(card_id, client, tag): pairs of one client that share a tag, by an equi-join on (client, tag)."""
-    a, b = memories.select("client", "tag", F.col("card_id").alias("a")), memories.select("client", "tag", F.col("card_id").alias("b"))
-    return a.join(b, ["client", "tag"]).where("a < b").select("client", "a", "b").distinct()
+def live_memories(memories: DataFrame, supersedes: DataFrame) -> DataFrame:
+    """Approved memories(card_id, client, status) that no approved memory of the same client supersedes(card_id, old)."""
+    side = memories.select("card_id", "client", "status")
+    new, old = side.where("status = 'approved'").drop("status"), side.select(F.col("card_id").alias("old"), F.col("client").alias("old_client"))
+    gone = supersedes.select("card_id", "old").join(new, "card_id").join(old, "old").where(F.col("client").eqNullSafe(F.col("old_client"))).select(F.col("old").alias("card_id")).distinct()
+    return memories.where("status = 'approved'").join(gone, "card_id", "left_anti")
+
+
+def conflict_candidates(live: DataFrame, marks: DataFrame, block: int = 1000) -> DataFrame:
+    """client, a and b (a < b): the pairs of live(card_id, client) memories of one client, null included, that share a mark of marks(card_id, mark).
+
+    Marks are tags and related cards.  A pair meets at each mark it shares and is made at one only, the rarest by count, so
+    no pair is made twice and none needs a distinct.  The memories of a (client, mark) are cut into blocks of about ``block``; two
+    blocks meet in a task of their own, so a mark of a third of all memories is spread over many.
+    """
+    held = marks.where("mark is not null").select("card_id", "mark").distinct().join(live.select("card_id", "client"), "card_id")
+    size = held.groupBy(F.col("client").alias("its_client"), F.col("mark").alias("its_mark")).agg(F.count("*").alias("n")).where("n > 1")
+    sized = held.join(size, (F.col("mark") == F.col("its_mark")) & F.col("client").eqNullSafe(F.col("its_client"))).select("card_id", "client", "mark", "n")
+    sets = sized.groupBy("card_id").agg(F.array_sort(F.collect_list(F.struct("n", "mark"))).alias("set"))
+    blocks = F.ceil(F.col("n") / block).cast("int")
+    own = F.pmod(F.xxhash64("card_id"), blocks).cast("int")
+    rows = sized.join(sets, "card_id").select("client", "mark", "card_id", "set", "n", own.alias("own"), blocks.alias("blocks"))
+    met = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        "client", "mark", "card_id", "set", "n", "own", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j")
+    )
+    a, b = (met.select(*[F.col(c).alias(f"{c}_{k}") for c in met.columns]) for k in "ab")
+    key = [F.col(f"{c}_a").eqNullSafe(F.col(f"{c}_b")) for c in ("client", "mark", "i", "j")]
+    # In the task of blocks (i, j) a row of i meets a row of j; in that of (i, i) all meet.
+    pairs = a.join(b, key).where("card_id_a <> card_id_b and (i_a = j_a or (own_a = i_a and own_b = j_a))").where((F.col("i_a") < F.col("j_a")) | (F.col("card_id_a") < F.col("card_id_b")))
+    once = F.get(F.array_intersect("set_a", "set_b"), 0) == F.struct(F.col("n_a").alias("n"), F.col("mark_a").alias("mark"))
+    return pairs.where(once).select(F.col("client_a").alias("client"), F.least("card_id_a", "card_id_b").alias("a"), F.greatest("card_id_a", "card_id_b").alias("b"))
 
 
 def cyclic_nodes(edges: DataFrame, checkpoint) -> DataFrame:

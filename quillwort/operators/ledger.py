@@ -8,7 +8,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-MODES, STATUSES, KINDS, VISIBILITIES = ("learn", "work", "review"), ("open", "done", "parked"), ("note", "decision", "quiz_result"), ("private", "promotion_requested")
+# What an objective's mode and status, an entry's kind and a memory's visibility may be.
+MODES = ("investigate", "implement", "learn")
+STATUSES = ("open", "active", "resolved", "done")
+KINDS = ("plan", "step", "finding", "decision", "quiz_result", "note")
+VISIBILITIES = ("private", "promotion_requested")
 
 
 def refused(log: DataFrame, column: str, allowed: tuple[str, ...]) -> DataFrame:
@@ -16,6 +20,16 @@ def refused(log: DataFrame, column: str, allowed: tuple[str, ...]) -> DataFrame:
     return log.where(~F.coalesce(F.col(column).isin(*allowed), F.lit(False)))
 
 
+def refusals(log: DataFrame) -> DataFrame:
+    """seq, field and value of the operations log(seq, op, value) whose value is not allowed: mode of an opening, status, kind of an entry, visibility."""
+    rules = (("open", "mode", MODES), ("status", "status", STATUSES), ("entry", "kind", KINDS), ("visibility", "visibility", VISIBILITIES))
+    field, ok = F.lit(None).cast("string"), F.lit(True)
+    for op, name, allowed in rules:
+        field = F.when(F.col("op") == op, name).otherwise(field)
+        ok = F.when(F.col("op") == op, F.coalesce(F.col("value").isin(*allowed), F.lit(False))).otherwise(ok)
+    return log.where(~ok).select("seq", field.alias("field"), "value")
+
+
 def opened(log: DataFrame, key: str) -> DataFrame:
     """key, owner and opened_at of each row of the ledger: its first ``open`` operation in seq order."""
     first = log.where("op = 'open'").groupBy(key).agg(F.min(F.struct("seq", "owner")).alias("f"))

@@ -44,6 +44,8 @@ def _checkpoint(spark: SparkSession):
     return cut
 
 
+#: White space of any kind taken off the ends.
+_BARE = "regexp_replace({0}, '" + T.STRIP.replace("{", "{{").replace("}", "}}") + "', '', 'g')"
 _STOP = "(" + ",".join(f"'{w}'" for w in T.SEARCH_STOPWORDS) + ")"
 _RUNS = r"list_filter(regexp_extract_all(lower({0}), '[\p{{L}}\p{{N}}]+'), lambda t: t NOT IN " + _STOP + ")"
 
@@ -103,14 +105,14 @@ def list_concepts(spark, sf):
     return R.list_concepts(load(spark, sf, "cards"), "client1")
 
 
-@query("SELECT sha256(text) AS sha, count(*) AS n, min(doc_id) AS keep, sum(doc_id)::BIGINT AS id_sum FROM documents GROUP BY text HAVING count(*) > 1")
+@query("SELECT sha256(text) AS sha, count(*) AS n, min(doc_id) AS keep, max(doc_id) AS last FROM documents GROUP BY text HAVING count(*) > 1")
 def exact_duplicates(spark, sf):
     return C.exact_duplicates(load(spark, sf, "documents"))
 
 
 @query(f"""
-WITH a AS (SELECT conv_id AS ticket_id, count(*) FILTER (role = 'assistant' AND trim(text) <> '' AND NOT regexp_matches(trim(text), '{K.ACKNOWLEDGED}')) AS n_solid FROM conversations GROUP BY 1),
-t AS (SELECT ticket_id, sha256(concat(coalesce(client, ''), '|', coalesce(lower(trim(subject)), ''), '|', coalesce(lower(trim(description)), ''))) AS h,
+WITH a AS (SELECT conv_id AS ticket_id, count(*) FILTER (role = 'assistant' AND {_BARE.format('text')} <> '' AND NOT regexp_matches({_BARE.format('text')}, '{K.ACKNOWLEDGED}')) AS n_solid FROM conversations GROUP BY 1),
+t AS (SELECT ticket_id, sha256(concat(coalesce(client, ''), '|', coalesce(lower({_BARE.format('subject')}), ''), '|', coalesce(lower({_BARE.format('description')}), ''))) AS h,
   CASE WHEN regexp_matches(concat_ws(' ', subject, description), '{C.NOISE}') THEN 'noise-pattern' WHEN thread_chars < 120 THEN 'thin-content' WHEN n_solid = 0 THEN 'no-diagnosis' ELSE 'keep' END AS alone FROM tickets JOIN a USING (ticket_id))
 SELECT ticket_id, CASE WHEN ticket_id > min(CASE WHEN alone = 'keep' THEN ticket_id END) OVER (PARTITION BY h) THEN 'duplicate' ELSE alone END AS verdict FROM t""")
 def ticket_verdicts(spark, sf):
@@ -187,10 +189,19 @@ def memory_findings(spark, sf):
 
 
 @query("""
-WITH m AS (SELECT card_id, client, ord // 400 AS tag FROM cards WHERE type = 'memory')
-SELECT DISTINCT a.client, a.card_id AS a, b.card_id AS b FROM m a JOIN m b ON a.client = b.client AND a.tag = b.tag AND a.card_id < b.card_id""")
+WITH m AS (SELECT card_id, client, status, ord, platform FROM cards WHERE type = 'memory'),
+gone AS (SELECT old.card_id FROM edges e JOIN m new ON new.card_id = e.src AND new.status = 'approved' JOIN m old ON old.card_id = e.dst AND old.client IS NOT DISTINCT FROM new.client WHERE e.pos = 1),
+live AS (SELECT * FROM m WHERE status = 'approved' AND card_id NOT IN (SELECT card_id FROM gone)),
+k AS (SELECT card_id, 'related ' || dst AS mark FROM edges JOIN live ON src = card_id UNION SELECT card_id, 'tag ' || platform FROM live UNION SELECT card_id, 'tag ' || (ord % 50)::VARCHAR FROM live)
+SELECT DISTINCT a.client, a.card_id AS a, b.card_id AS b FROM live a JOIN k ka ON ka.card_id = a.card_id JOIN k kb ON kb.mark = ka.mark JOIN live b ON b.card_id = kb.card_id WHERE a.client IS NOT DISTINCT FROM b.client AND a.card_id < b.card_id""")
 def conflict_candidates(spark, sf):
-    return C.conflict_candidates(load(spark, sf, "cards").where("type = 'memory'").select("card_id", "client", F.floor(F.col("ord") / 400).alias("tag")))
+    """Tags are the platform (a hot one) and a number, related cards are the edges."""
+    cards, edges = load(spark, sf, "cards"), load(spark, sf, "edges")
+    memories = cards.where("type = 'memory'")
+    tags = memories.select("card_id", F.explode(F.array(F.concat(F.lit("tag "), "platform"), F.concat(F.lit("tag "), (F.col("ord") % 50).cast("string")))).alias("mark"))
+    related = edges.select(F.col("src").alias("card_id"), F.concat(F.lit("related "), "dst").alias("mark"))
+    live = C.live_memories(memories, edges.where("pos = 1").select(F.col("src").alias("card_id"), F.col("dst").alias("old")))
+    return C.conflict_candidates(live.select("card_id", "client"), tags.unionByName(related))
 
 
 @query("""
@@ -299,6 +310,18 @@ def objectives(spark, sf):
     return L.objectives(_ledger(spark, sf).where("op in ('open', 'status', 'entry')").select("seq", "op", F.col("k").alias("objective_id"), "owner", F.col("kind").alias("status")))
 
 
+_SAID = "['investigate', 'implement', 'learn', 'work', 'open', 'active', 'resolved', 'parked', 'finding', 'step', 'memo', 'private', NULL]"
+
+
+@query(f"""
+WITH l AS (SELECT event_id AS seq, CASE event_id % 7 WHEN 0 THEN 'open' WHEN 3 THEN 'status' WHEN 5 THEN 'forget' WHEN 6 THEN 'visibility' ELSE 'entry' END AS op, ({_SAID})[event_id % 13 + 1] AS value FROM events)
+SELECT seq, CASE op WHEN 'open' THEN 'mode' WHEN 'entry' THEN 'kind' ELSE op END AS field, value FROM l WHERE op <> 'forget' AND (value IS NULL OR value NOT IN (SELECT unnest(CASE l.op WHEN 'open' THEN ['investigate', 'implement', 'learn']
+  WHEN 'status' THEN ['open', 'active', 'resolved', 'done'] WHEN 'visibility' THEN ['private', 'promotion_requested'] ELSE ['plan', 'step', 'finding', 'decision', 'quiz_result', 'note'] END)))""")
+def refused_operations(spark, sf):
+    said = F.element_at(F.expr(f"array{_SAID}".replace("[", "(").replace("]", ")")), (F.col("seq") % 13 + 1).cast("int"))
+    return L.refusals(_ledger(spark, sf).select("seq", "op", said.alias("value")))
+
+
 @query(f"WITH {_OPS} SELECT k AS objective_id, row_number() OVER (PARTITION BY k ORDER BY seq)::INT AS place, seq, event_type AS kind FROM ok WHERE op = 'entry'")
 def entry_log(spark, sf):
     return L.entry_log(_ledger(spark, sf).select("seq", "op", F.col("k").alias("objective_id"), "owner", "kind"))
@@ -362,8 +385,8 @@ def folder_hints(spark, sf):
     return load(spark, sf, "part").select(F.col("p_partkey").alias("pos"), hints.alias("h")).select("pos", "h.*")
 
 
-@query("""
-WITH r AS (SELECT conv_id AS id, string_agg(text, chr(10) || chr(10) ORDER BY turn) FILTER (trim(text) <> '') AS t FROM conversations GROUP BY 1)
+@query(f"""
+WITH r AS (SELECT conv_id AS id, string_agg(text, chr(10) || chr(10) ORDER BY turn) FILTER ({_BARE.format('text')} <> '') AS t FROM conversations GROUP BY 1)
 SELECT id, length(coalesce(t, ''))::INT AS n, sha256(CASE WHEN length(t) > 200 THEN concat(left(t, 100), chr(10), chr(10), '[...truncated...]', chr(10), chr(10), right(t, 100)) ELSE coalesce(t, '') END) AS cut FROM r""")
 def thread_texts(spark, sf):
     """A thread's parts are gathered by ticket: a ticket has few."""
@@ -373,12 +396,12 @@ def thread_texts(spark, sf):
 
 
 @query("""
-SELECT doc_id AS id, CASE doc_id % 4 WHEN 0 THEN 'x1' WHEN 1 THEN 'a,b' WHEN 2 THEN '' ELSE 'b' END AS picks, CASE doc_id % 4 WHEN 0 THEN 1e0 WHEN 1 THEN (doc_id % 10) / 10e0 WHEN 2 THEN 1e0 ELSE 1e0 END AS probability,
-  CASE WHEN doc_id % 4 <> 1 OR doc_id % 10 >= 6 THEN 'block' WHEN doc_id % 10 >= 3 THEN 'review' ELSE 'clear' END AS verdict, CASE doc_id % 4 WHEN 0 THEN 'yes' WHEN 2 THEN 'no json } here {' ELSE NULL END AS answer FROM documents""")
+SELECT doc_id AS id, CASE doc_id % 4 WHEN 0 THEN 'x1' WHEN 1 THEN 'a,b' WHEN 2 THEN '' ELSE 'b' END AS picks, CASE doc_id % 4 WHEN 0 THEN 1e0 WHEN 1 THEN (doc_id % 10) / 10e0 WHEN 2 THEN 1e0 ELSE 0.12345678e0 END AS probability,
+  CASE WHEN doc_id % 4 = 3 THEN 'clear' WHEN doc_id % 4 <> 1 OR doc_id % 10 >= 6 THEN 'block' WHEN doc_id % 10 >= 3 THEN 'review' ELSE 'clear' END AS verdict, CASE doc_id % 4 WHEN 0 THEN 'yes' WHEN 2 THEN 'no json } here {' ELSE NULL END AS answer FROM documents""")
 def model_replies(spark, sf):
-    """Replies made up in four shapes: answer tags with a pick, a fenced object, prose, and an object without a probability."""
+    """Replies made up in four shapes: answer tags with a pick, a fenced object, prose, and an object after a fenced block that has none and thoughts in capitals."""
     k = F.col("doc_id") % 4
-    reply = F.when(k == 0, F.lit('<think>{"picks": ["a"]}</think> {"picks": ["zz", "x1", "x1"]} <answer> yes </answer>')).when(k == 1, F.concat(F.lit('Sure\n```json\n{"picks": ["a", "q", "b", "a", "x1"], "probability": '), ((F.col("doc_id") % 10) / 10).cast("string"), F.lit("}\n```"))).when(k == 2, F.lit("no json } here {")).otherwise(F.lit('{"picks": ["b"], "why": 1}'))
+    reply = F.when(k == 0, F.lit('<think>{"picks": ["a"]}</think> {"picks": ["zz", "x1", "x1"]} <answer> yes </answer>')).when(k == 1, F.concat(F.lit('Sure\n```json\n{"picks": ["a", "q", "b", "a", "x1"], "probability": '), ((F.col("doc_id") % 10) / 10).cast("string"), F.lit("}\n```"))).when(k == 2, F.lit("no json } here {")).otherwise(F.lit('<THINK>{"x"</THINK>```json\nnone\n``` {"picks": ["b"], "probability": 0.12345678}'))
     p = K.probability("r")
     return load(spark, sf, "documents").select(F.col("doc_id").alias("id"), reply.alias("r")).select("id", F.array_join(K.picks("r", F.array(F.lit("a"), F.lit("b"), F.lit("x1"))), ",").alias("picks"), p.alias("probability"), K.conflict_class(p).alias("verdict"), F.when(F.col("id") % 2 == 0, K.strip_think("r")).alias("answer"))
 
