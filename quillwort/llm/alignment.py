@@ -34,12 +34,15 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from quillwort.llm.common import Key, shared_dir, slices, table
+from quillwort.llm.common import Key, checkpointed, shared_dir, slices, table
+from quillwort.llm.importance import numbered
 
 TOKENIZER_A = public_tokenizers.path("byte_bpe_50k.json")
 TOKENIZER_B = public_tokenizers.path("piece_bpe_32k.model")
 #: Characters of texts in a chunk; a longer text is a chunk of its own.
 CHUNK = 5 << 20
+#: Labels of chunks (two numbers a row) are broadcast up to so many, counted first.
+BROADCAST_ROWS = 500_000
 #: Spells in a batch that a task sends on.
 SPELLS = 20_000
 #: A token travels as id * 2**LENGTH + its length in bytes.
@@ -173,7 +176,7 @@ def aligned(spells: DataFrame, tasks: int) -> DataFrame:
         return t.select("chunk", "k", "pos", end.cast("int").alias("end"), F.shiftright("t", LENGTH).alias(side))
 
     def grouped(side: str, other: str) -> DataFrame:
-        # Hash joins keep the order of their first side, which the running count needs; the other side is a task's few chunks.
+        # Hash joins keep the order of their first side, which the running count needs; the other side is a task's one chunk.
         ends = tokens(other).select("chunk", "k", "end", F.lit(1).alias("cut")).hint("shuffle_hash")
         g = F.count("cut").over(order.rowsBetween(W.unboundedPreceding, -1)).cast("int")
         t = tokens(side).join(ends, ["chunk", "k", "end"], "left").withColumn("g", g)
@@ -259,17 +262,31 @@ def kept(df: DataFrame, *by: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(to)
 
 
+def dealt(chunks: DataFrame) -> tuple[int, DataFrame]:
+    """How many chunks there are, and chunk and label of each: labels that hash partitioning into so many parts deals out one a part.
+
+    A task then holds one chunk, never several that happen to meet.  Of 24 numbers a part, the least that falls there is its label.
+    """
+    ranked = checkpointed(numbered(chunks.distinct(), F.asc("chunk")))
+    n = ranked.count()
+    labels = chunks.sparkSession.range(24 * n).groupBy(F.pmod(F.hash("id"), F.lit(max(1, n))).alias("part")).agg(F.min("id").alias("label"))
+    own = ranked.join(labels, F.col("part") == F.col("rank") - 1, "left").select("chunk", F.coalesce("label", F.col("rank") + 24 * n).alias("label"))
+    return max(1, n), F.broadcast(own) if n <= BROADCAST_ROWS else own
+
+
 def align(docs: DataFrame, *, a: str = TOKENIZER_A, b: str = TOKENIZER_B) -> DataFrame:
     """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum and groups_sha256 of every row of docs(doc_id, text)."""
     spark = docs.sparkSession
     rows = kept(chunked(docs, a, b), "kind")
-    texts, spells = rows.where("kind = 'text'"), rows.where("kind = 'spell'")
+    tasks, own = dealt(rows.where("kind = 'text'").select("chunk"))
+    renamed = rows.join(own, "chunk").withColumn("chunk", F.col("label")).drop("label")
+    texts, spells = renamed.where("kind = 'text'"), renamed.where("kind = 'spell'")
     # All joins here hold (chunk, k, ...) in their keys: sides that are partitioned by chunk need no shuffle by all keys.
     setting = "spark.sql.requireAllClusterKeysForCoPartition"
     before = spark.conf.get(setting)
     spark.conf.set(setting, "false")
     try:
-        met = kept(met_chunks(aligned(spells, max(1, texts.select("chunk").distinct().count())), texts))
+        met = kept(met_chunks(aligned(spells, tasks), texts))
     finally:
         spark.conf.set(setting, before)
     back = met.select(F.col("chunk").alias("of"), F.posexplode("pair").alias("j", "pair")).join(pair_counts(met), "pair").select("of", "j", "count", "best")
