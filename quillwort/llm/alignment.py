@@ -43,16 +43,17 @@ TOKENIZER_B = public_tokenizers.path("piece_bpe_32k.model")
 CHUNK = 5 << 20
 #: Labels of chunks (two numbers a row) are broadcast up to so many, counted first.
 BROADCAST_ROWS = 500_000
-#: Spells in a batch that a task sends on.
-SPELLS = 20_000
+#: Spells in a batch that a task sends on, and in one that it gives to the tokenizers.
+SPELLS, BATCH = 20_000, 4_000
 #: A token travels as id * 2**LENGTH + its length in bytes.
 LENGTH = 12
 #: Letters after which a mark of ASCII begins a spell, if no piece of the second vocabulary holds the two in a row.
 LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f"
 _SPACE = "▁"
 _VISIBLE = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
-#: Characters of byte-level spelling and the bytes they stand for.
-_BYTE_OF = {chr(b): b for b in _VISIBLE} | {chr(0x100 + k): b for k, b in enumerate(sorted({*range(256)} - {*_VISIBLE}))}
+#: Byte-level spelling: bytes that print stand for themselves, the others for characters from U+0100 on.
+_SPELT = {b: chr(b) for b in _VISIBLE} | {b: chr(0x100 + k) for k, b in enumerate(sorted({*range(256)} - {*_VISIBLE}))}
+_BYTE_OF = {c: b for b, c in _SPELT.items()}
 
 
 class Tokenizers(dict):
@@ -71,6 +72,7 @@ class Tokenizers(dict):
             self.bytes_a[i] = bytes(_BYTE_OF.get(c, 0) for c in t)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(_SPACE, " ").encode() for i, p in enumerate(pieces)]
+        self.word = re.compile(rf" ?[{LETTERS}]+\Z")
         self.spell = self._cut([p for i, p in enumerate(pieces) if not (self.b.is_byte(i) or self.b.is_control(i) or self.b.is_unknown(i))])
 
     @staticmethod
@@ -86,15 +88,22 @@ class Tokenizers(dict):
 
     def learn(self, spells: list[str]) -> None:
         new = [s for s in spells if s not in self]
-        if not new:
-            return
+        for k in range(0, len(new), BATCH):
+            part = new[k : k + BATCH]
+            raw = [s.encode() for s in part]
+            packed = [self._packed(raw, ids, texts) for ids, texts in ((self._ids_a(part, raw), self.bytes_a), (self._ids_b(part), self.bytes_b))]
+            self.update((s, None if x is None or y is None else (x, y)) for s, x, y in zip(part, *packed))
+
+    def _ids_a(self, spells: list[str], raw: list[bytes]) -> list[list[int]]:
+        """Letters, with or without a space before them, are one part to the tokenizer, so its vocabulary is asked at once."""
+        other = [s for s in spells if not self.word.match(s)]
+        whole = iter(self.a.encode_batch_fast(other, add_special_tokens=False))
+        return [[t.id for t in self.a.model.tokenize(r.decode("latin-1").translate(_SPELT))] if self.word.match(s) else next(whole).ids for s, r in zip(spells, raw)]
+
+    def _ids_b(self, spells: list[str]) -> list[list[int]]:
         # B puts a space before what it is given: that of a spell that has one; else a newline, with which nothing merges, goes between.
-        ids_a = [e.ids for e in self.a.encode_batch_fast(new, add_special_tokens=False)]
-        ids_b = [y if s[0] == " " else y[2:] for s, y in zip(new, self.b.encode([s[1:] or "\n" if s[0] == " " else "\n" + s for s in new], num_threads=1))]
-        ids_b = [y[:1] if s == " " else y for s, y in zip(new, ids_b)]
-        raw = [s.encode() for s in new]
-        packed = [self._packed(raw, ids, texts) for ids, texts in ((ids_a, self.bytes_a), (ids_b, self.bytes_b))]
-        self.update((s, None if x is None or y is None else (x, y)) for s, x, y in zip(new, *packed))
+        ids = self.b.encode([s[1:] or "\n" if s[0] == " " else "\n" + s for s in spells], num_threads=1)
+        return [y[:1] if s == " " else y if s[0] == " " else y[2:] for s, y in zip(spells, ids)]
 
     @staticmethod
     def _packed(raw: list[bytes], ids: list[list[int]], texts: list[bytes]) -> list[bytes | None]:
