@@ -61,7 +61,8 @@ def _entry(state: Column, start: Column) -> Column:
     return F.struct(state.cast("int").alias("state"), start.cast("long").alias("start"))
 
 
-_BEGIN = _entry(F.lit(0), F.lit(0))
+def _begin() -> Column:
+    return _entry(F.lit(0), F.lit(0))
 
 
 def _entries(steps: Column, first: Column) -> Column:
@@ -85,7 +86,7 @@ def _before(parts: DataFrame, level: int) -> DataFrame:
         step, n = _total(F.col("steps"))
         groups = groups.join(_before(groups.select("script_id", F.col("up").alias("at"), step.alias("step"), n.alias("n")), level - 1).withColumnRenamed("at", "up"), ["script_id", "up"])
     else:
-        groups = groups.withColumn("entry", _BEGIN)
+        groups = groups.withColumn("entry", _begin())
     each = groups.select("script_id", F.explode(F.arrays_zip(F.col("steps.at").alias("at"), F.slice(_entries(F.col("steps"), F.col("entry")), 1, F.size("steps")).alias("entry"))).alias("e"))
     return each.select("script_id", "e.at", "e.entry")
 
@@ -122,7 +123,7 @@ def tokens(blocks: DataFrame) -> DataFrame:
     step, n = _total(F.col("steps"))
     long_ = stepped.where("last > 0")
     entry = _before(long_.select("script_id", F.col("block").alias("at"), step.alias("step"), n.alias("n")), LEVELS).withColumnRenamed("at", "block")
-    entered = stepped.where("last = 0").withColumn("entry", _BEGIN).unionByName(long_.join(entry, ["script_id", "block"]))
+    entered = stepped.where("last = 0").withColumn("entry", _begin()).unionByName(long_.join(entry, ["script_id", "block"]))
     zipped = F.arrays_zip(F.col("lines").alias("text"), F.slice(_entries(F.col("steps"), F.col("entry")), 1, F.size("lines")).alias("entry"))
     lines = entered.select("script_id", "block", F.posexplode(zipped).alias("at", "x")).select(
         "script_id", "block", (F.col("block") * BLOCK + F.col("at")).alias("line"), F.col("x.entry.state").alias("state"), F.col("x.entry.start").alias("line_start"), F.col("x.text").alias("text")
@@ -145,16 +146,20 @@ def tokens(blocks: DataFrame) -> DataFrame:
     )
 
 
-_TELLS = ~F.col("kind").isin("space", "comment")
-#: Tokens but for space, comments and the ``;`` themselves, each once.
-_OWN = _TELLS & ~F.col("continued") & ~((F.col("raw") == ";") & (F.col("kind") == "other"))
+def _tells() -> Column:
+    return ~F.col("kind").isin("space", "comment") & ~((F.col("raw") == ";") & (F.col("kind") == "other"))
+
+
+def _own() -> Column:
+    """Tokens but for space, comments and the ``;`` themselves, each once."""
+    return _tells() & ~F.col("continued")
 
 
 def statements(of: DataFrame) -> DataFrame:
     """script_id, statement, start, text (verbatim, from the first to the last token) and n_tokens of every statement that has a token."""
-    told = F.when(_TELLS & ~((F.col("raw") == ";") & (F.col("kind") == "other")), F.col("start"))
+    told = F.when(_tells(), F.col("start"))
     g = of.groupBy("script_id", "statement").agg(
-        F.min(told).alias("first"), F.max(told + F.length("raw")).alias("end"), F.count_if(_OWN).alias("n_tokens"), F.array_sort(F.collect_list(F.struct("line", "pos", "raw", "start"))).alias("p"),
+        F.min(told).alias("first"), F.max(told + F.length("raw")).alias("end"), F.count_if(_own()).alias("n_tokens"), F.array_sort(F.collect_list(F.struct("line", "pos", "raw", "start"))).alias("p"),
     )
     newlines = lambda x, i: F.when(i > 0, F.call_function("repeat", F.lit("\n"), (x["line"] - F.get("p", i - 1)["line"]).cast("int"))).otherwise("")
     text = F.array_join(F.transform("p", lambda x, i: F.concat(newlines(x, i), x["raw"])), "")
@@ -167,7 +172,7 @@ def unquoted(name: Column) -> Column:
 
 
 def _upper(of: DataFrame) -> DataFrame:
-    return of.where(_OWN).withColumn("u", F.when(F.col("kind") == "word", F.upper("raw")).otherwise(F.col("raw")))
+    return of.where(_own()).withColumn("u", F.when(F.col("kind") == "word", F.upper("raw")).otherwise(F.col("raw")))
 
 
 def table_columns(of: DataFrame) -> DataFrame:

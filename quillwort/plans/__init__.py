@@ -586,4 +586,4 @@ def route_tiers(spark, sf):
     return load(spark, sf, "pages").select("page_id", T.tier(F.length(F.regexp_replace("html", "<[^>]*>", "")) / F.lit(20.0), (F.col("page_id") % 3) / F.lit(2.0)).alias("tier"))
 
 
-from quillwort.plans import ddl  # noqa: E402, F401  registers its queries
+from quillwort.plans import cards, ddl  # noqa: E402, F401  they register their queries

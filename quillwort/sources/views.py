@@ -42,7 +42,22 @@ SELECT doc_id AS script_id, concat(
   'CREATE OR REPLACE NO FORCE VIEW "V".v_', cast(doc_id AS string), ' AS SELECT 1 FROM dual;', nl, 'create or replace type body t_', cast(doc_id AS string), ' IS x; END;', nl,
   'CREATE PACKAGE BODY pk_', cast(doc_id AS string), ' IS x; END;', nl, ' / ', nl, body) AS sql
 FROM (SELECT doc_id, lang, coalesce(text, '') AS body, chr(10) AS nl, chr(39) AS q FROM documents) AS d"""
-VIEWS = {"cards": CARDS, "edges": EDGES, "tickets": TICKETS, "scripts": SCRIPTS}
+#: Cards as Markdown files of two trees, around each document's whole text; some have no block, some a wrong one.
+CARD_FILES = """
+SELECT doc_id, concat(CASE WHEN doc_id % 7 = 1 THEN concat('clients/c', cast(doc_id % 3 AS string), '/memory') WHEN doc_id % 7 = 2 THEN concat('clients/c', cast(doc_id % 3 AS string), '/issues')
+    WHEN doc_id % 7 = 3 THEN 'clients/c0/drafts' WHEN doc_id % 7 = 4 THEN concat('p', cast(doc_id % 20 AS string), '/db/tables') ELSE concat('p', cast(doc_id % 20 AS string)) END,
+    '/', CASE WHEN doc_id % 50 = 0 THEN 'index' WHEN doc_id % 50 = 6 THEN 'log' ELSE cast(doc_id AS string) END, '.md') AS path,
+  concat(CASE WHEN doc_id % 10 = 9 THEN 'no block: ' ELSE concat('---', nl) END,
+    CASE WHEN doc_id % 13 = 0 THEN '' ELSE concat('title: ', q, replace(replace(replace(replace(replace(split_part(body, '.', 1), b, concat(b, b)), q, concat(b, q)), nl, concat(b, 'n')), chr(9), ' '), chr(13), ' '), q, ' # --- as written', nl) END,
+    'description: ', chr(39), replace(replace(lang, nl, ' '), chr(39), concat(chr(39), chr(39))), ': it', chr(39), chr(39), 's', chr(39), nl,
+    CASE WHEN doc_id % 3 = 0 THEN concat('regime: new', nl) WHEN doc_id % 3 = 1 THEN concat('regime: ~', nl) ELSE '' END, 'type: ', CASE WHEN doc_id % 6 = 5 THEN 'correction' ELSE 'concept' END, nl,
+    'version: ', cast(2000 + doc_id % 25 AS string), nl, 'share: -0.', cast(doc_id % 9 AS string), nl, 'live: yes', nl, 'product: p', cast(doc_id % 20 AS string), nl,
+    'related: [p1/', cast(doc_id * 7 % 100 AS string), ', ', q, 'p2/a, b', q, ']', nl, 'tags:', nl, '  - ', source, nl, '# a comment', nl, '- ', q, lang, q, nl,
+    'sources:', nl, '  - ref: open-systems-20', cast(10 + doc_id % 15 AS string), nl, '    page: ', cast(doc_id % 99 AS string), nl, '  - ref: x', nl, 'owner:', nl, '  name: Ada', nl,
+    CASE WHEN doc_id % 11 = 4 THEN concat('wrong [line', nl) WHEN doc_id % 11 = 5 THEN concat('wrong: [a, b', nl) ELSE '' END, 'status: draft', nl, 'status: ', CASE WHEN doc_id % 2 = 0 THEN 'approved' ELSE 'draft' END, nl,
+    '---', nl, 'status: none', nl, body) AS text
+FROM (SELECT doc_id, coalesce(lang, 'xx') AS lang, coalesce(source, 'none') AS source, coalesce(text, '') AS body, chr(10) AS nl, chr(34) AS q, chr(92) AS b FROM documents) AS d"""
+VIEWS = {"cards": CARDS, "edges": EDGES, "tickets": TICKETS, "scripts": SCRIPTS, "card_files": CARD_FILES}
 BASE = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
 
