@@ -138,19 +138,52 @@ def test_links_count_raw_words(spark):
 def test_empty_parts_of_a_ticket_are_told_apart(spark):
     t = spark.createDataFrame([(1, "c", "x", None, 500, 1), (2, "c", None, "x", 500, 1), (3, None, "x", None, 500, 0)], "ticket_id int, client string, subject string, description string, thread_chars int, n_agent int")
     assert {r["ticket_id"]: r["verdict"] for r in C.ticket_verdicts(t).collect()} == {1: "keep", 2: "keep", 3: "no-diagnosis"}
-    said = spark.createDataFrame([(1, "assistant", " Done. "), (1, "user", "it broke"), (2, "assistant", "thank you!"), (2, "assistant", "The cache was stale."), (3, "assistant", "  ")], "ticket_id int, role string, body string")
+    said = spark.createDataFrame([(1, "assistant", " Done. "), (1, "user", "it broke"), (2, "assistant", "thank you!"), (2, "assistant", "The cache was stale."), (3, "assistant", "  "), (3, "assistant", "\n\u3000\t\n"), (3, "assistant", "\n ok \n")], "ticket_id int, role string, body string")
     assert {r["ticket_id"]: r["n_solid"] for r in C.substantial_replies(said).collect()} == {1: 0, 2: 1, 3: 0}
 
 
 def test_ledger_refuses_others(spark):
-    log = spark.createDataFrame([(1, "open", 7, 1, None), (2, "status", 7, 2, "done"), (3, "entry", 7, 1, None), (4, "status", 7, 1, "parked"), (5, "status", 8, 1, "done")], "seq int, op string, objective_id int, owner int, status string")
-    assert [tuple(r) for r in L.objectives(log).collect()] == [(7, 1, "parked", 1, 4)]
+    log = spark.createDataFrame([(1, "open", 7, 1, None), (2, "status", 7, 2, "done"), (3, "entry", 7, 1, None), (4, "status", 7, 1, "resolved"), (5, "status", 8, 1, "done")], "seq int, op string, objective_id int, owner int, status string")
+    assert [tuple(r) for r in L.objectives(log).collect()] == [(7, 1, "resolved", 1, 4)]
     assert L.refused(log.where("op = 'status'"), "status", L.STATUSES).count() == 0
+    said = [(1, "open", "learn"), (2, "open", "work"), (3, "status", "active"), (4, "status", "parked"), (5, "entry", "finding"), (6, "entry", None), (7, "visibility", "public"), (8, "forget", None)]
+    got = L.refusals(spark.createDataFrame(said, "seq int, op string, value string")).collect()
+    assert {tuple(r) for r in got} == {(2, "mode", "work"), (4, "status", "parked"), (6, "kind", None), (7, "visibility", "public")}
+
+
+def test_model_replies_however_written(spark):
+    replies = {
+        '```json\nnothing\n``` {"probability": 0.12345678}': 0.12345678, '<THINK>{"probability": 0.9}</THINK>{"probability": "0.25"}': 0.25, '{"probability": 1e-2}': 0.01, '{"probability": NaN}': 1.0, '{"probability": "nan"}': 1.0,
+        '{"probability": 7}': 1.0, '{"probability": -3}': 0.0, '{"probability": true}': 1.0, '{"probability": "high"}': 1.0, "no": 1.0, '```\n{"probability": 0.5}\n``` and {"probability": 0.7}': 0.5,
+    }
+    d = spark.createDataFrame([(r,) for r in replies], "r string")
+    assert {r["r"]: r["p"] for r in d.select("r", K.probability("r").alias("p")).collect()} == replies
+    lists = {'so: ["a", 1] and so on': '["a", 1]', '```json\n[{"x": 1}]\n``` [2]': '[{"x": 1}]', "[1": None, "{}": None}
+    d = spark.createDataFrame([(r,) for r in lists], "r string")
+    assert {r["r"]: r["p"] for r in d.select("r", K.json_part("r", "[]").alias("p")).collect()} == lists
+
+
+@pytest.mark.parametrize("block", [1000, 3])
+def test_conflicts_of_live_memories_are_made_once(spark, block):
+    rng = random.Random(block)
+    held = [(f"m{k}", rng.choice(["c1", "c2", None]), rng.choice(["approved", "approved", "draft"])) for k in range(60)]
+    marks = [(c, m) for c, _, _ in held for m in ["hot"] * rng.randrange(2) + [f"t{rng.randrange(12)}" for _ in range(rng.randrange(4))] + [None]]
+    old = [(f"m{k}", f"m{k + 1}") for k in range(0, 58, 9)] + [("m3", "m999")]
+    by = {c: (client, status) for c, client, status in held}
+    gone = {b for a, b in old if b in by and by[a][1] == "approved" and by[a][0] == by[b][0]}
+    live = [c for c, _, status in held if status == "approved" and c not in gone]
+    own = {c: {m for d, m in marks if d == c and m} for c in live}
+    want = sorted((by[a][0] or "", *sorted((a, b))) for k, a in enumerate(live) for b in live[:k] if by[a][0] == by[b][0] and own[a] & own[b])
+    m = spark.createDataFrame(held, "card_id string, client string, status string")
+    kept = C.live_memories(m, spark.createDataFrame(old, "card_id string, old string"))
+    assert sorted(r["card_id"] for r in kept.collect()) == sorted(live)
+    got = C.conflict_candidates(kept.select("card_id", "client"), spark.createDataFrame(marks, "card_id string, mark string"), block)
+    assert sorted((r["client"] or "", r["a"], r["b"]) for r in got.collect()) == want
 
 
 def test_sequence_names_and_hints(spark):
-    d = spark.createDataFrame([("ORDERS_SEQ",), ("SEQ_ORDERS",), ("ORDERS_SEQUENCE",), ("PLAIN",)], "n string")
-    assert [r[0] for r in d.select(K.stripped_affix("n")).collect()] == ["ORDERS", "ORDERS", "ORDERS", "PLAIN"]
+    d = spark.createDataFrame([("ORDERS_SEQ",), ("SEQ_ORDERS",), ("ORDERS_SEQUENCE",), ("PLAIN",), ("orders_seq",)], "n string")
+    assert [r[0] for r in d.select(K.stripped_affix("n")).collect()] == ["ORDERS", "ORDERS", "ORDERS", "PLAIN", "ORDERS"]
     h = spark.createDataFrame([(["Shared", "WMS", "wms", "v9.2", "2024"],), ([],)], "s array<string>").select(K.folder_hints("s", {"wms": "W"}, {}).alias("h")).collect()
     assert [tuple(r["h"]) for r in h] == [("W", "9.2", None, "wms"), (None, None, None, None)]
 
@@ -162,10 +195,10 @@ def test_front_matter(spark):
 
 def test_sequence_owner_precedence(spark):
     tables = spark.createDataFrame([("ROUTE_PLAN_LEG", 0), ("ROUTE", 1), ("Order_Line", 2), ("ORDER_ITEM", 3), ("X_FOO", 4), ("AB1", 6), ("AB2", 5)], "tab string, pos int")
-    names = spark.createDataFrame([("ROUTE_SEQ",), ("ROUTE_PLAN_SEQ",), ("ROUTE_9_SEQ",), ("ORDER_SEQ",), ("X_Y_SEQ",), ("AB_SEQ",), ("_SEQ",), ("NONE_SEQ",), (None,)], "name string")
+    names = spark.createDataFrame([("ROUTE_SEQ",), ("ROUTE_PLAN_SEQ",), ("ROUTE_9_SEQ",), ("ORDER_SEQ",), ("X_Y_SEQ",), ("AB_SEQ",), ("_SEQ",), ("NONE_SEQ",), ("route_seq",), (None,)], "name string")
     got = {r["name"]: r["owner"] for r in S.sequence_owners(names, tables).collect()}
     # An exact name beats longer ones; of equal lengths the first table; X_FOO is no start of X_Y.
-    want = {"ROUTE_SEQ": "ROUTE", "ROUTE_PLAN_SEQ": "ROUTE_PLAN_LEG", "ROUTE_9_SEQ": "ROUTE", "ORDER_SEQ": "Order_Line", "X_Y_SEQ": None, "AB_SEQ": "AB2", "_SEQ": None, "NONE_SEQ": None, None: None}
+    want = {"ROUTE_SEQ": "ROUTE", "ROUTE_PLAN_SEQ": "ROUTE_PLAN_LEG", "ROUTE_9_SEQ": "ROUTE", "ORDER_SEQ": "Order_Line", "X_Y_SEQ": None, "AB_SEQ": "AB2", "_SEQ": None, "NONE_SEQ": None, "route_seq": "ROUTE", None: None}
     assert got == want
 
 
