@@ -43,8 +43,10 @@ TOKENIZER_B = public_tokenizers.path("piece_bpe_32k.model")
 CHUNK = 5 << 20
 #: Labels of chunks (two numbers a row) are broadcast up to so many, counted first.
 BROADCAST_ROWS = 500_000
-#: Spells in a batch that a task sends on, and in one that it gives to the tokenizers.
-SPELLS, BATCH = 20_000, 4_000
+#: Spells in a row, and in a batch that a task gives to the tokenizers.
+SPELLS, BATCH = 500, 4_000
+#: Spells whose tokens a worker keeps from chunk to chunk: the first ones it meets, which are the common ones.
+REMEMBERED = 60_000
 #: A token travels as id * 2**LENGTH + its length in bytes.
 LENGTH = 12
 #: Letters after which a mark of ASCII begins a spell, if no piece of the second vocabulary holds the two in a row.
@@ -72,6 +74,7 @@ class Tokenizers(dict):
             self.bytes_a[i] = bytes(_BYTE_OF.get(c, 0) for c in t)
         pieces = [self.b.id_to_piece(i) for i in range(self.b.get_piece_size())]
         self.bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace(_SPACE, " ").encode() for i, p in enumerate(pieces)]
+        self.side_a, self.side_b = ((x, np.array([len(t) for t in x], np.int32)) for x in (self.bytes_a, self.bytes_b))
         self.word = re.compile(rf" ?[{LETTERS}]+\Z")
         self.spell = self._cut([p for i, p in enumerate(pieces) if not (self.b.is_byte(i) or self.b.is_control(i) or self.b.is_unknown(i))])
 
@@ -91,7 +94,7 @@ class Tokenizers(dict):
         for k in range(0, len(new), BATCH):
             part = new[k : k + BATCH]
             raw = [s.encode() for s in part]
-            packed = [self._packed(raw, ids, texts) for ids, texts in ((self._ids_a(part, raw), self.bytes_a), (self._ids_b(part), self.bytes_b))]
+            packed = [self._packed(raw, ids, *side) for ids, side in ((self._ids_a(part, raw), self.side_a), (self._ids_b(part), self.side_b))]
             self.update((s, None if x is None or y is None else (x, y)) for s, x, y in zip(part, *packed))
 
     def _ids_a(self, spells: list[str], raw: list[bytes]) -> list[list[int]]:
@@ -106,10 +109,9 @@ class Tokenizers(dict):
         return [y[:1] if s == " " else y if s[0] == " " else y[2:] for s, y in zip(spells, ids)]
 
     @staticmethod
-    def _packed(raw: list[bytes], ids: list[list[int]], texts: list[bytes]) -> list[bytes | None]:
+    def _packed(raw: list[bytes], ids: list[list[int]], texts: list[bytes], lengths: np.ndarray) -> list[bytes | None]:
         flat = np.fromiter(itertools.chain.from_iterable(ids), np.int32)
-        length = np.fromiter((len(texts[i]) for i in flat.tolist()), np.int32, len(flat))
-        blob, ends = (flat << LENGTH | length).tobytes(), (4 * np.cumsum([len(x) for x in ids])).tolist()
+        blob, ends = (flat << LENGTH | lengths[flat]).tobytes(), (4 * np.cumsum([len(x) for x in ids])).tolist()
         out: list[bytes | None] = [blob[a:b] for a, b in zip([0, *ends], ends)]
         if b"".join(map(texts.__getitem__, flat.tolist())) != b"".join(raw) or any(_SPACE.encode() in r for r in raw):
             out = [x if b"".join(map(texts.__getitem__, i)) == r else None for x, i, r in zip(out, ids, raw)]
@@ -129,13 +131,26 @@ class _Numbers(dict):
         return n
 
 
-def _lists(tokens: list[bytes]) -> pa.Array:
-    return pa.ListArray.from_arrays(np.r_[0, np.cumsum([len(t) // 4 for t in tokens])].astype(np.int32), pa.array(np.frombuffer(b"".join(tokens), np.int32)))
+def _planes(x: np.ndarray) -> bytes:
+    """32-bit numbers, all lowest bytes first: small numbers leave long runs of zeros, which compress."""
+    return np.ascontiguousarray(x, np.int32).view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _numbers(blob: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(blob, np.uint8).reshape(4, len(blob) // 4).T).view(np.int32).ravel()
+
+
+def _packed_rows(tokens: list[bytes]) -> pa.Array:
+    """A list for each ``SPELLS`` spells: the tokens of all, with the spell's place in the row above bit 32."""
+    n = np.array([len(t) // 4 for t in tokens], np.int64)
+    place, ends = np.repeat(np.arange(len(tokens)) % SPELLS, n), np.r_[0, np.cumsum(n)]
+    values = place << 32 | np.frombuffer(b"".join(tokens), np.int32)
+    return pa.ListArray.from_arrays(ends[[*range(0, len(tokens), SPELLS), len(tokens)]].astype(np.int32), pa.array(values))
 
 
 def chunked(docs: DataFrame, a: str, b: str) -> DataFrame:
-    """Rows of two kinds.  text: chunk, doc_id and spells (the document's numbers of spells, 32-bit); spell: chunk, k and its tokens a and b."""
-    schema = pa.schema([("kind", pa.string()), ("chunk", pa.int64()), ("doc_id", pa.int64()), ("spells", pa.binary()), ("k", pa.int32()), ("a", pa.list_(pa.int32())), ("b", pa.list_(pa.int32()))])
+    """Rows of two kinds.  text: chunk, doc_id and spells (the document's numbers of spells, 32-bit); spell: chunk, k (the first of up to ``SPELLS`` spells) and their tokens a and b."""
+    schema = pa.schema([("kind", pa.string()), ("chunk", pa.int64()), ("doc_id", pa.int64()), ("spells", pa.binary()), ("k", pa.int32()), ("a", pa.list_(pa.int64())), ("b", pa.list_(pa.int64()))])
 
     def batch_of(kind: str, n: int, columns: dict) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([kind] * n) if f.name == "kind" else columns[f.name] if f.name in columns else pa.nulls(n, f.type) for f in schema], schema=schema)
@@ -147,15 +162,17 @@ def chunked(docs: DataFrame, a: str, b: str) -> DataFrame:
         def rows() -> Iterator[pa.RecordBatch]:
             known.learn(list(at))
             tokens = [known[s] for s in at]
-            known.clear()
+            for s in list(known)[REMEMBERED:]:
+                del known[s]
             whole = np.array([t is not None for t in tokens], bool)
             number = (np.cumsum(whole) - 1).astype(np.int32)  # among the spells that have tokens
-            texts = [number[x].tobytes() if whole[x].all() else b"" for x in own]
+            texts = [_planes(number[x]) if whole[x].all() else b"" for x in own]
             yield batch_of("text", len(ids), {"chunk": pa.array([chunk] * len(ids), pa.int64()), "doc_id": pa.array(ids, pa.int64()), "spells": pa.array(texts, pa.binary())})
             tokens = [t for t in tokens if t]
-            for lo in range(0, len(tokens), SPELLS):
-                n = len(part := tokens[lo : lo + SPELLS])
-                yield batch_of("spell", n, {"chunk": pa.array([chunk] * n, pa.int64()), "k": pa.array(np.arange(lo, lo + n, dtype=np.int32)), "a": _lists([t[0] for t in part]), "b": _lists([t[1] for t in part])})
+            for lo in range(0, len(tokens), 40 * SPELLS):
+                part = tokens[lo : lo + 40 * SPELLS]
+                k = np.arange(lo, lo + len(part), SPELLS, dtype=np.int32)
+                yield batch_of("spell", len(k), {"chunk": pa.array([chunk] * len(k), pa.int64()), "k": pa.array(k), "a": _packed_rows([t[0] for t in part]), "b": _packed_rows([t[1] for t in part])})
 
         for batch in slices(batches, 200):
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
@@ -169,7 +186,7 @@ def chunked(docs: DataFrame, a: str, b: str) -> DataFrame:
         if ids:
             yield from rows()
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "kind string, chunk long, doc_id long, spells binary, k int, a array<int>, b array<int>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "kind string, chunk long, doc_id long, spells binary, k int, a array<long>, b array<long>")
 
 
 def aligned(spells: DataFrame, tasks: int) -> DataFrame:
@@ -180,7 +197,7 @@ def aligned(spells: DataFrame, tasks: int) -> DataFrame:
     order = own.orderBy("pos")
 
     def tokens(side: str) -> DataFrame:
-        t = parts.select("chunk", "k", F.posexplode(side).alias("pos", "t"))
+        t = parts.select("chunk", "k", F.posexplode(side).alias("pos", "t")).select("chunk", (F.col("k") + F.shiftright("t", 32)).cast("int").alias("k"), "pos", F.col("t").bitwiseAND(F.lit((1 << 31) - 1)).cast("int").alias("t"))
         end = F.sum(F.col("t").bitwiseAND(F.lit((1 << LENGTH) - 1))).over(order.rowsBetween(W.unboundedPreceding, 0))
         return t.select("chunk", "k", "pos", end.cast("int").alias("end"), F.shiftright("t", LENGTH).alias(side))
 
@@ -223,7 +240,7 @@ def _meet(spells: pa.Table, chunk: pa.Table) -> pa.Table:
     start, last, held = np.cumsum(n_of) - n_of, np.zeros(len(pair), np.int64), np.zeros(len(pair), np.int64)
     out: dict[str, list] = {c: [] for c in ("n_a", "n_b", "n_groups", "n_links", "sha")}
     for blob in chunk.column("spells").to_pylist():
-        own = np.frombuffer(blob, np.int32)
+        own = _numbers(blob)
         for c, v in numbers.items():
             out[c].append(int(v[own].sum()))
         out["n_links"].append(int(n_of[own].sum()))
@@ -234,7 +251,7 @@ def _meet(spells: pa.Table, chunk: pa.Table) -> pa.Table:
         held[mine[last[mine] == np.arange(len(mine))]] += 1
     lists = pa.list_(pa.int64())
     one = {"chunk": pa.array([chunk.column("of")[0].as_py()], pa.int64()), "doc_id": pa.array([chunk.column("doc_id").to_pylist()], lists)} | {c: pa.array([v], pa.list_(pa.string()) if c == "sha" else lists) for c, v in out.items()}
-    return pa.table(one | {"spells": pa.array([chunk.column("spells").to_pylist()], pa.list_(pa.binary())), "n_of": pa.array([n_of.astype(np.int32).tobytes()], pa.binary()), "link": pa.array([link.astype(np.int32).tobytes()], pa.binary()), "pair": pa.array([pair], lists), "docs": pa.array([held], lists)})
+    return pa.table(one | {"spells": pa.array([chunk.column("spells").to_pylist()], pa.list_(pa.binary())), "n_of": pa.array([n_of.astype(np.int32).tobytes()], pa.binary()), "link": pa.array([_planes(link)], pa.binary()), "pair": pa.array([pair], lists), "docs": pa.array([held], lists)})
 
 
 def _finish(counts: pa.Table, chunk: pa.Table) -> pa.Table:
@@ -243,9 +260,9 @@ def _finish(counts: pa.Table, chunk: pa.Table) -> pa.Table:
     count, best = np.zeros(pairs, np.int64), np.zeros(pairs, np.int64)
     at = counts.column("j").to_numpy()
     count[at], best[at] = counts.column("count").to_numpy(), counts.column("best").to_numpy()
-    link = np.frombuffer(chunk.column("link")[0].as_py(), np.int32)
+    link = _numbers(chunk.column("link")[0].as_py())
     sums = [np.diff(np.r_[0, np.cumsum(v[link])][np.r_[0, np.cumsum(n_of)]]) for v in (best, count)]
-    docs = [np.frombuffer(x, np.int32) for x in chunk.column("spells")[0].as_py()]
+    docs = [_numbers(x) for x in chunk.column("spells")[0].as_py()]
     flat = {c: pa.array(chunk.column(c)[0].as_py(), pa.int64()) for c in ("doc_id", "n_a", "n_b", "n_groups", "n_links")}
     return pa.table(flat | {"n_best": pa.array([int(sums[0][d].sum()) for d in docs], pa.int64()), "count_sum": pa.array([int(sums[1][d].sum()) for d in docs], pa.int64()), "groups_sha256": pa.array(chunk.column("sha")[0].as_py(), pa.string())})
 
