@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from quillwort.llm.common import Key, checkpointed, shared_dir, slices, table
+from quillwort.llm.common import Key, checkpointed, numbers, planes, shared_dir, slices, table
 from quillwort.llm.importance import numbered
 
 TOKENIZER_A = public_tokenizers.path("byte_bpe_50k.json")
@@ -131,15 +131,6 @@ class _Numbers(dict):
         return n
 
 
-def _planes(x: np.ndarray) -> bytes:
-    """32-bit numbers, all lowest bytes first: small numbers leave long runs of zeros, which compress."""
-    return np.ascontiguousarray(x, np.int32).view(np.uint8).reshape(-1, 4).T.tobytes()
-
-
-def _numbers(blob: bytes) -> np.ndarray:
-    return np.ascontiguousarray(np.frombuffer(blob, np.uint8).reshape(4, len(blob) // 4).T).view(np.int32).ravel()
-
-
 def _packed_rows(tokens: list[bytes]) -> pa.Array:
     """A list for each ``SPELLS`` spells: the tokens of all, with the spell's place in the row above bit 32."""
     n = np.array([len(t) // 4 for t in tokens], np.int64)
@@ -166,7 +157,7 @@ def chunked(docs: DataFrame, a: str, b: str) -> DataFrame:
                 del known[s]
             whole = np.array([t is not None for t in tokens], bool)
             number = (np.cumsum(whole) - 1).astype(np.int32)  # among the spells that have tokens
-            texts = [_planes(number[x]) if whole[x].all() else b"" for x in own]
+            texts = [planes(number[x]) if whole[x].all() else b"" for x in own]
             yield batch_of("text", len(ids), {"chunk": pa.array([chunk] * len(ids), pa.int64()), "doc_id": pa.array(ids, pa.int64()), "spells": pa.array(texts, pa.binary())})
             tokens = [t for t in tokens if t]
             for lo in range(0, len(tokens), 40 * SPELLS):
@@ -232,7 +223,7 @@ def _meet(spells: pa.Table, chunk: pa.Table) -> pa.Table:
     order = np.argsort(spells.column("k").to_numpy(), kind="stable")
     spells = spells.take(pa.array(order))
     text = spells.column("groups").to_pylist()
-    numbers = {c: spells.column(c).to_numpy().astype(np.int64) for c in ("n_a", "n_b", "n_groups")}
+    sizes = {c: spells.column(c).to_numpy().astype(np.int64) for c in ("n_a", "n_b", "n_groups")}
     links = spells.column("links").combine_chunks()
     links = links.combine_chunks() if isinstance(links, pa.ChunkedArray) else links
     n_of = np.diff(links.offsets.to_numpy()).astype(np.int64)
@@ -240,8 +231,8 @@ def _meet(spells: pa.Table, chunk: pa.Table) -> pa.Table:
     start, last, held = np.cumsum(n_of) - n_of, np.zeros(len(pair), np.int64), np.zeros(len(pair), np.int64)
     out: dict[str, list] = {c: [] for c in ("n_a", "n_b", "n_groups", "n_links", "sha")}
     for blob in chunk.column("spells").to_pylist():
-        own = _numbers(blob)
-        for c, v in numbers.items():
+        own = numbers(blob)
+        for c, v in sizes.items():
             out[c].append(int(v[own].sum()))
         out["n_links"].append(int(n_of[own].sum()))
         out["sha"].append(hashlib.sha256(";".join([text[s] for s in own.tolist()]).encode()).hexdigest() if len(own) else "")
@@ -251,7 +242,7 @@ def _meet(spells: pa.Table, chunk: pa.Table) -> pa.Table:
         held[mine[last[mine] == np.arange(len(mine))]] += 1
     lists = pa.list_(pa.int64())
     one = {"chunk": pa.array([chunk.column("of")[0].as_py()], pa.int64()), "doc_id": pa.array([chunk.column("doc_id").to_pylist()], lists)} | {c: pa.array([v], pa.list_(pa.string()) if c == "sha" else lists) for c, v in out.items()}
-    return pa.table(one | {"spells": pa.array([chunk.column("spells").to_pylist()], pa.list_(pa.binary())), "n_of": pa.array([n_of.astype(np.int32).tobytes()], pa.binary()), "link": pa.array([_planes(link)], pa.binary()), "pair": pa.array([pair], lists), "docs": pa.array([held], lists)})
+    return pa.table(one | {"spells": pa.array([chunk.column("spells").to_pylist()], pa.list_(pa.binary())), "n_of": pa.array([n_of.astype(np.int32).tobytes()], pa.binary()), "link": pa.array([planes(link)], pa.binary()), "pair": pa.array([pair], lists), "docs": pa.array([held], lists)})
 
 
 def _finish(counts: pa.Table, chunk: pa.Table) -> pa.Table:
@@ -260,9 +251,9 @@ def _finish(counts: pa.Table, chunk: pa.Table) -> pa.Table:
     count, best = np.zeros(pairs, np.int64), np.zeros(pairs, np.int64)
     at = counts.column("j").to_numpy()
     count[at], best[at] = counts.column("count").to_numpy(), counts.column("best").to_numpy()
-    link = _numbers(chunk.column("link")[0].as_py())
+    link = numbers(chunk.column("link")[0].as_py())
     sums = [np.diff(np.r_[0, np.cumsum(v[link])][np.r_[0, np.cumsum(n_of)]]) for v in (best, count)]
-    docs = [_numbers(x) for x in chunk.column("spells")[0].as_py()]
+    docs = [numbers(x) for x in chunk.column("spells")[0].as_py()]
     flat = {c: pa.array(chunk.column(c)[0].as_py(), pa.int64()) for c in ("doc_id", "n_a", "n_b", "n_groups", "n_links")}
     return pa.table(flat | {"n_best": pa.array([int(sums[0][d].sum()) for d in docs], pa.int64()), "count_sum": pa.array([int(sums[1][d].sum()) for d in docs], pa.int64()), "groups_sha256": pa.array(chunk.column("sha")[0].as_py(), pa.string())})
 

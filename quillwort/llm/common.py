@@ -229,6 +229,15 @@ def keys_of(blob: bytes) -> np.ndarray:
     return k.view(np.uint64).ravel()
 
 
+def planes(x: np.ndarray) -> bytes:
+    """32-bit numbers, all lowest bytes first: small numbers leave long runs of zeros, which compress."""
+    return np.ascontiguousarray(x, np.int32).view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def numbers(blob: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(blob, np.uint8).reshape(4, len(blob) // 4).T).view(np.int32).ravel()
+
+
 def send_keys(chunk: int, key: np.ndarray, n_buckets: int) -> pa.Table:
     """The distinct coarse keys of a chunk, a row for each bucket."""
     k = np.unique(coarse(key))

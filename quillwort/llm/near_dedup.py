@@ -11,7 +11,8 @@ Which texts are compared:
 * At a similarity of 0.8 fingerprints differ in about 10 bits and often in 15, a radius at which pivot distances discard hardly
   a pair (README has the figures).  So texts meet by rare shingles, too.  With o common shingles, the similarity is 0.8 or more
   if and only if 9 * o >= 4 * (n1 + n2), so in any one global order the first common shingle stands in the first fifth of both
-  sets.  Shingles that a sample of ``SAMPLE`` texts finds frequent come last in the order.
+  sets.  Frequent shingles come last in the order: each has the count of its bucket of hashes over *all* texts, of which there are
+  ``BUCKETS``.  The order decides how many texts meet, not which are linked.
 * In ``ROUNDS`` rounds a text meets the least and the greatest text of each of these shingles, by component so far: that with most
   shingles in common and that with the nearest fingerprint.  This joins large groups of copies by a few meetings a text.
 * In up to ``NEAREST`` rounds, until one finds nothing, each text meets the nearest one, by parities (below), of those in other components that
@@ -36,14 +37,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillwort.llm.common import NAMES, checkpointed, in_sorted, mixed, sized, slices
+from quillwort.llm.common import NAMES, Key, checkpointed, in_sorted, mixed, numbers, planes, sized, slices
 from quillwort.llm.simhash import LINKS, components, links, majority, pivot_table
 
 SHINGLE = 5
 #: Differing bits of 64 beyond which a text's few meetings in a round do not count.
 RADIUS = 24
-#: Texts sampled to find frequent shingles, in how many of them a shingle is frequent, and how many are remembered.
-SAMPLE = 20_000
+#: Buckets of shingle hashes that are counted over all texts, and in how many rows the counts travel.
+BUCKETS, ROWS = 1 << 21, 64
+#: From what count on a bucket is frequent, and how many are remembered, highest counts first.
 OFTEN = 3
 FREQUENT = 200_000
 #: Partners that are compared with a text in one group.
@@ -89,35 +91,48 @@ def alike(a: np.ndarray, b: np.ndarray) -> bool:
     return 9 * int(in_sorted(a, b).sum()) >= 4 * (len(a) + len(b))
 
 
+def bucket_of(s: np.ndarray) -> np.ndarray:
+    return (s >> np.uint64(64 - (BUCKETS - 1).bit_length())).astype(np.int64)
+
+
 def frequent(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Shingles that are frequent in a sample of the texts (ascending), and their counts there."""
-    every = max(1, docs.count() // SAMPLE)
+    """Buckets of hashes that stand out, and how many shingles of all texts fall in each.  Totals are merged by Spark, each row a range of buckets."""
+    width = BUCKETS // ROWS
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(BUCKETS, np.int64)
         for b in slices(batches):
-            yield pa.RecordBatch.from_arrays([pa.array([shingles(t).view(np.int64) for t in b.column("text").to_pylist()], pa.list_(pa.int64()))], names=["s"])
-
-    rows = docs.where(F.pmod(F.xxhash64("text"), F.lit(every)) == 0).select("text").distinct().mapInArrow(run, "s array<long>").select(F.explode("s").alias("token"))
-    got = rows.groupBy("token").agg(F.count("*").alias("n")).where(F.col("n") >= OFTEN).orderBy(F.desc("n"), "token").limit(FREQUENT).toArrow()
-    token, n = got.column("token").to_numpy().view(np.uint64), got.column("n").to_numpy()
-    order = np.argsort(token)
-    return token[order], n[order]
+            total += np.bincount(np.concatenate([bucket_of(shingles(t)) for t in b.column("text").to_pylist()] or [np.zeros(0, np.int64)]), minlength=BUCKETS)
+        for row in range(ROWS):
+            part = total[row * width : (row + 1) * width]
+            at = np.flatnonzero(part)
+            if len(at):
+                yield pa.RecordBatch.from_arrays([pa.array([row]), pa.array([at.astype(np.uint16 if width <= 1 << 16 else np.uint32).tobytes()]), pa.array([planes(part[at])])], names=["row", "at", "n"])
+
+    def merged(key: Key, t: pa.Table) -> pa.Table:
+        total = np.zeros(width, np.int64)
+        for at, n in zip(t.column("at").to_pylist(), t.column("n").to_pylist()):
+            total[np.frombuffer(at, np.uint16 if width <= 1 << 16 else np.uint32)] += numbers(n)
+        usual = total.mean()
+        at = np.flatnonzero((total >= OFTEN) & (total > usual + 4 * usual**0.5))
+        return pa.table({"bucket": pa.array(key[0].as_py() * width + at, pa.int64()), "n": pa.array(total[at], pa.int64())})
+
+    rows = docs.select("text").mapInArrow(count, "row long, at binary, n binary").groupBy("row").applyInArrow(merged, "bucket long, n long")
+    got = rows.orderBy(F.desc("n"), "bucket").limit(FREQUENT).toArrow()
+    return got.column("bucket").to_numpy(), got.column("n").to_numpy()
 
 
 def named(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray]) -> DataFrame:
     """doc_id, tie, name (of the text's set), fp (its fingerprint), n (its size), bits (its parities) and prefix (the first fifth of its
     shingles in the global order) of every row of docs(doc_id, tie, text)."""
-    token, count = hot
-
-    def prefix(s: np.ndarray) -> np.ndarray:
-        often = np.zeros(len(s), np.int64)
-        if len(token) and len(s):
-            at = np.searchsorted(token, s)
-            at[at == len(token)] = 0
-            often = np.where(token[at] == s, count[at], 0)
-        return s[np.lexsort((s, often))][: len(s) // 5 + 1].view(np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        often = np.zeros(BUCKETS, np.int64)
+        often[hot[0]] = hot[1]
+
+        def prefix(s: np.ndarray) -> np.ndarray:
+            return s[np.argsort(often[bucket_of(s)], kind="stable")][: len(s) // 5 + 1].view(np.int64)  # s is ascending
+
         for b in slices(batches):
             name, fp, n, bits, first = [], [], [], [], []
             for t in b.column("text").to_pylist():

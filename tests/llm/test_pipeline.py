@@ -98,6 +98,15 @@ def test_parities_never_exceed_the_differing_shingles():
         assert least <= len(np.setxor1d(a, b))
 
 
+def test_shingles_are_counted_over_all_texts(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "SAMPLE", 10, raising=False)
+    frame = docs(spark, [(k, f"a passage that all of them share x{k} y{k} z{k} u{k} v{k}") for k in range(120)] + [(None, None), (7, "")])
+    for rows in (frame, frame.repartition(7)):
+        n = near_dedup.frequent(rows)[1].tolist()
+        assert sum(x >= 120 for x in n) == 3 and max(n) < 130
+    assert not len(near_dedup.frequent(docs(spark, []))[1])
+
+
 def content(rows):
     return sorted(((r[0], r[1]) for r in rows), key=str)
 
