@@ -56,6 +56,8 @@ ROUNDS = 1
 NEAREST = 2
 #: Texts of a shingle that meet in one task.
 BLOCK = 400
+#: Pairs that a task holds at a time, beside those of one group.
+PAIRS = 50_000
 #: Most bits of a set's parities.
 PARITIES = 1 << 15
 #: Rows of two or three numbers are broadcast up to so many, counted first.
@@ -80,9 +82,9 @@ def name_of(s: np.ndarray) -> bytes:
 
 
 def parities(s: np.ndarray) -> bytes:
-    """Bit k of four bits a shingle or more, a power of two: whether the number of hashes of residue k is odd."""
+    """Bit k of a bit a shingle or more, a power of two: whether the number of hashes of residue k is odd."""
     width = 64
-    while width < min(4 * len(s), PARITIES):
+    while width < min(len(s), PARITIES):
         width *= 2
     return np.packbits((np.bincount((s & np.uint64(width - 1)).astype(np.int64), minlength=width) & 1).astype(np.uint8)).tobytes()
 
@@ -282,10 +284,23 @@ def crossing(sets: DataFrame, shared: DataFrame, roots: DataFrame, nearest: bool
 
     def compared(t: pa.Table, cuts: list[int], whole: int | None) -> Iterator[pa.RecordBatch]:
         """``whole``: how many cuts bound groups that no later row can belong to."""
-        found = [_able(t.slice(lo, hi - lo)) for lo, hi in zip(cuts[:whole], cuts[1:whole])]
-        a, b, far = (np.concatenate([f[k] for f in found] or [np.zeros(0, np.int64)]) for k in range(3))
-        a, b, far = _nearest(a, b, far) if nearest else (np.minimum(a, b), np.maximum(a, b), far)
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(far, pa.int64())], names=["a", "b", "far"])
+        found, size = [], 0
+
+        def pairs() -> pa.RecordBatch:
+            a, b, far = (np.concatenate([f[k] for f in found]) for k in range(3))
+            a, b, far = _nearest(a, b, far) if nearest else (np.minimum(a, b), np.maximum(a, b), far)
+            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(far, pa.int64())], names=["a", "b", "far"])
+
+        for lo, hi in zip(cuts[:whole], cuts[1:whole]):
+            f = _able(t.slice(lo, hi - lo))
+            if len(f[0]):
+                found.append(_nearest(*f) if nearest else f)
+                size += len(found[-1][0])
+            if size > PAIRS:
+                yield pairs()
+                found, size = [], 0
+        if found:
+            yield pairs()
 
     pairs = met.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j").mapInArrow(run, "a long, b long, far long")
     return pairs.groupBy("a").agg(F.min(F.struct("far", "b")).alias("m")).select("a", "m.b") if nearest else pairs.select("a", "b").distinct()
@@ -329,7 +344,8 @@ def near_dedup(docs: DataFrame) -> DataFrame:
     prefixes = sets.join(first.select("sid", "name", "first"), "name").where(at == F.col("first")).select("sid", "prefix").dropDuplicates(["sid"])
     roots = near_groups(first, prefixes, narrow)
     kept = first.join(roots, "sid", "left").groupBy(F.coalesce("root", "sid").alias("root")).agg(F.min("first").alias("first"))
-    kept = kept.select(F.col("first.doc_id").alias(unused + "id"), F.col("first.tie").alias(unused + "tie"))
-    # Rows equal in all columns are one row here.
-    met = rows.join(kept, F.col("doc_id").eqNullSafe(F.col(unused + "id")) & (F.col(unused) == F.col(unused + "tie")), "left_semi")
-    return met.dropDuplicates(["doc_id", unused]).select(*docs.columns)
+    # Null ids need columns of their own, so that one exchange of the texts does for the join and for rows equal in all columns, which are one row here.
+    key = [unused + c for c in ("id", "none", "tie")]
+    named_by = lambda df, doc_id, tie: df.withColumns(dict(zip(key, (F.coalesce(doc_id, F.lit(0).cast("long")), doc_id.isNull(), tie))))
+    kept = named_by(kept, F.col("first.doc_id"), F.col("first.tie")).select(*key)
+    return named_by(rows, F.col("doc_id"), F.col(unused)).join(kept, key, "left_semi").dropDuplicates(key).select(*docs.columns)

@@ -107,6 +107,22 @@ def test_shingles_are_counted_over_all_texts(spark, monkeypatch):
     assert not len(near_dedup.frequent(docs(spark, []))[1])
 
 
+def test_pairs_of_large_groups_go_on_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(near_dedup, "PAIRS", 20)
+    monkeypatch.setattr(near_dedup, "BLOCK", 50)
+    texts = templated(random.Random(5), 300)
+    got = near_dedup.near_dedup(docs(spark, list(enumerate(texts)))).select("doc_id").collect()
+    assert sorted(r["doc_id"] for r in got) == sorted(set(components(texts)))
+
+
+def test_parities_take_a_bit_a_shingle():
+    rng = np.random.default_rng(7)
+    a, b = (np.unique(rng.integers(0, 2**63, 800).astype(np.uint64)) for _ in range(2))
+    assert len(near_dedup.parities(a)) == 128
+    # Texts without a common shingle are still told apart: 9 times the differing bits exceed both sizes.
+    assert 9 * near_dedup._unlike(None, [near_dedup.parities(a), near_dedup.parities(b)], np.array([0]), np.array([1]))[0] > len(a) + len(b)
+
+
 def content(rows):
     return sorted(((r[0], r[1]) for r in rows), key=str)
 
