@@ -13,7 +13,7 @@ histogram of piece lengths: at most ``CAPACITY`` numbers, whatever the size of t
   pieces of its length (counts by partition first, then within a partition), and the rank finds its sequence and offset.
 
 Tokenising: runs of ASCII white space separate the tokenizer's words, so the ids of a text are those of its runs of other
-characters, one after another; each run is encoded once while it is remembered.
+characters, one after another; each run is encoded when it is met and not remembered, and in parts that are remembered, too.
 
 Null text: empty, one piece of length 1.  Repeated rows and null ids: documents of their own.  Empty tables give empty results;
 other columns are ignored.
@@ -21,6 +21,7 @@ other columns are ignored.
 
 from __future__ import annotations
 
+import bisect
 import functools
 import os
 import re
@@ -45,8 +46,8 @@ TOKENIZER = public_tokenizers.path("word_bpe_49k.json")
 BRANCHES = 20_000
 #: Fillings enumerated around one piece, and steps of their enumeration.
 WIDTH, STEPS = 24, 2_000
-#: Runs of characters whose ids a task remembers.
-REMEMBERED = 300_000
+#: Runs of characters, and their parts, whose ids a worker remembers.
+REMEMBERED, PARTS = 800_000, 400_000
 
 #: A pattern: (length, how many) pairs in the order in which they stand in a sequence.
 Pattern = tuple[tuple[int, int], ...]
@@ -86,7 +87,8 @@ def fillings(counts: np.ndarray, room: int) -> list[tuple[int, ...]]:
     """Undominated ways to fill ``room`` with pieces at hand, least waste first; lengths fall within a filling."""
     if room and counts[room]:
         return [(room,)]
-    have = np.flatnonzero(counts[: room + 1])[::-1].tolist()
+    up, stock = np.flatnonzero(counts[: room + 1]).tolist(), counts.tolist()
+    have = up[::-1]
     least, found, steps = have[-1] if have else room + 1, [], 0
 
     def extend(at: int, left: int, chosen: tuple[int, ...]) -> None:
@@ -95,23 +97,26 @@ def fillings(counts: np.ndarray, room: int) -> list[tuple[int, ...]]:
         if steps > STEPS:
             return
         fits = False
-        for k in range(at, len(have)):
+        for k in range(max(at, len(up) - bisect.bisect_right(up, left)), len(have)):
             x = have[k]
-            if x <= left and chosen.count(x) < counts[x]:
+            if chosen.count(x) < stock[x]:
                 fits = True
                 extend(k, left - x, (*chosen, x))
                 if steps > STEPS:
                     return
-        if not fits and (left < least or all(chosen.count(x) >= counts[x] for x in have if x <= left)):
+        if not fits and (left < least or all(chosen.count(x) >= stock[x] for x in up[: bisect.bisect_right(up, left)])):
             found.append((left, chosen))
 
     extend(0, room, ())
 
     def dominated(left: int, chosen: tuple[int, ...]) -> bool:
-        spare = lambda lo, hi: any(counts[x] > chosen.count(x) for x in have if lo <= x <= hi)
+        spare = lambda lo, hi: any(stock[x] > chosen.count(x) for x in up[bisect.bisect_left(up, lo) : bisect.bisect_right(up, hi)])
         few = chosen[:8]
         return any(spare(x + 1, x + left) for x in set(few)) or any(spare(few[i] + few[j], few[i] + few[j] + left) for i in range(len(few)) for j in range(i))
 
+    if len(found) > 4 * WIDTH:
+        most = sorted(left for left, _ in found)[4 * WIDTH - 1]
+        found = [f for f in found if f[0] <= most]
     found.sort(key=lambda f: (f[0], [-x for x in f[1]]))
     kept = [f for f in found[: 4 * WIDTH] if not dominated(*f)][:WIDTH]
     return [chosen for _, chosen in kept or found[:1]] or [()]
@@ -179,6 +184,19 @@ _SPELT = {b: chr(b) for b in _VISIBLE} | {b: chr(0x100 + k) for k, b in enumerat
 _PRINTABLE = frozenset(range(0x21, 0x7F))
 
 
+class _Parts(dict):
+    """Parts of runs, which the tokenizer does not split before it looks at its vocabulary, to their ids."""
+
+    def __init__(self, model):
+        self.model = model
+
+    def __missing__(self, x: bytes) -> bytes:
+        if len(self) >= PARTS:
+            self.clear()
+        self[x] = ids = array("I", [t.id for t in self.model.tokenize(x.decode("latin-1").translate(_SPELT))]).tobytes()
+        return ids
+
+
 class _Encoded(dict):
     """UTF-8 runs of other than white space to their ids, as little-endian 32-bit bytes; remembered by a worker from task to task.
 
@@ -188,6 +206,7 @@ class _Encoded(dict):
     """
 
     ASCII = re.compile(rb"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^a-z0-9]+")  # fixed value: the tokenizer's own pattern, for lower-case ASCII
+    LETTERS = regex.compile(r"\p{L}+")
     SPLIT = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+")  # fixed value: the tokenizer's own pattern
 
     def __init__(self, path: str):
@@ -196,45 +215,45 @@ class _Encoded(dict):
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.parts: dict[bytes, bytes] = {}
+        self.parts = _Parts(self.model)
         self.lower = {c: chr(c).lower() for c in _PRINTABLE}
         self.known = {chr(c) for c in _PRINTABLE}
 
-    def part(self, x: bytes) -> bytes:
-        ids = self.parts.get(x)
-        if ids is None:
-            if len(self.parts) > REMEMBERED:
-                self.parts.clear()
-            ids = self.parts[x] = array("I", [t.id for t in self.model.tokenize(x.decode("latin-1").translate(_SPELT))]).tobytes()
-        return ids
-
     def agrees(self, text: str) -> bool:
-        for c in set(text) - self.known:
+        for c in () if self.known.issuperset(text) else set(text) - self.known:
             low = self.tokenizer.normalizer.normalize_str(c)
             split = [x.encode().decode("latin-1").translate(_SPELT) for x in self.SPLIT.findall(f"a{low}.")]
             if unicodedata.category(c) == "Cn" or [x for x, _ in self.tokenizer.pre_tokenizer.pre_tokenize_str(f"a{low}.")] != split:
                 return False
+            if low.isalpha() != bool(self.LETTERS.fullmatch(low)):
+                return False
             self.lower[ord(c)] = low
             self.known.add(c)
         return unicodedata.is_normalized("NFC", text)
 
-    def learn(self, runs: set[bytes]) -> None:
-        if len(self) > REMEMBERED:
+    def __missing__(self, r: bytes) -> bytes:
+        if len(self) >= REMEMBERED:
             self.clear()
-        whole, part = [], self.part
+        if r.isalpha():  # of bytes: ASCII letters
+            ids = self.parts[r.lower()]
+        elif b"<|" in r:
+            ids = self.whole(r)
+        elif _PRINTABLE.issuperset(r):
+            ids = b"".join([self.parts[x] for x in self.ASCII.findall(r.lower())])
+        elif self.agrees(text := r.decode()):
+            low = text.translate(self.lower)
+            ids = self.parts[low.encode()] if low.isalpha() else b"".join([self.parts[x.encode()] for x in self.SPLIT.findall(low)])
+        else:
+            ids = self.whole(r)
+        self[r] = ids
+        return ids
+
+    def whole(self, r: bytes) -> bytes:
+        return array("I", self.tokenizer.encode(r.decode(), add_special_tokens=False).ids).tobytes()
+
+    def learn(self, runs: set[bytes]) -> None:
         for r in runs:
-            if r in self:
-                continue
-            if b"<|" in r:
-                whole.append(r)
-            elif _PRINTABLE.issuperset(r):
-                self[r] = b"".join([part(x) for x in self.ASCII.findall(r.lower())])
-            elif self.agrees(text := r.decode()):
-                self[r] = b"".join([part(x.encode()) for x in self.SPLIT.findall(text.translate(self.lower))])
-            else:
-                whole.append(r)
-        for r, e in zip(whole, self.tokenizer.encode_batch_fast([r.decode() for r in whole], add_special_tokens=False)):
-            self[r] = array("I", e.ids).tobytes()
+            self[r]
 
 
 @functools.cache
@@ -250,10 +269,8 @@ def pieces(docs: DataFrame, tokenizer: str = TOKENIZER, capacity: int = CAPACITY
         ids = _encoded(tokenizer)
         for b in slices(batches, 200):
             rows = []
-            texts = [(x or b"").split() for x in b.column("text").cast(pa.binary()).to_pylist()]
-            ids.learn(set().union(*texts))
-            for doc, runs in zip(b.column("doc_id").to_pylist(), texts):
-                blob = b"".join(map(ids.__getitem__, runs)) + bytes(4)
+            for doc, text in zip(b.column("doc_id").to_pylist(), b.column("text").cast(pa.binary()).to_pylist()):
+                blob = b"".join(map(ids.__getitem__, (text or b"").split())) + bytes(4)
                 for k, at in enumerate(range(0, len(blob), 4 * capacity)):
                     part = blob[at : at + 4 * capacity]
                     rows.append((doc, k, at // 4, len(part) // 4, zlib.crc32(part)))

@@ -205,3 +205,14 @@ def test_remembered_runs_have_the_tokenizers_ids():
         runs = text.encode().split()
         known.learn(set(runs))
         assert np.frombuffer(b"".join(map(known.__getitem__, runs)), "<u4").tolist() == known.tokenizer.encode(text, add_special_tokens=False).ids
+
+
+def test_runs_are_encoded_as_they_come_and_stay_right_when_forgotten(monkeypatch):
+    monkeypatch.setattr(packing, "REMEMBERED", 7)
+    monkeypatch.setattr(packing, "PARTS", 3)
+    known, r = packing._Encoded(packing.TOKENIZER), random.Random(2)
+    words = ["naïve", "ÜBER", "Hello", "İx", "a1", "it's", "<|endoftext|>", "中文", "é", "x.", "ǅa", "\x00", "ª", "Ⅳ", "ﬁ", "ʰa", "\u0345", "ⓐ", "𝔸"]
+    for _ in range(300):
+        text = " ".join(r.choice(words) + r.choice(["", ",", r.choice(words)]) for _ in range(20))
+        assert np.frombuffer(b"".join(map(known.__getitem__, text.encode().split())), "<u4").tolist() == known.tokenizer.encode(text, add_special_tokens=False).ids
+        assert len(known) <= 7 and len(known.parts) <= 3
