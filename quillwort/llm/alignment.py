@@ -97,6 +97,13 @@ class Tokenizers(dict):
             packed = [self._packed(raw, ids, *side) for ids, side in ((self._ids_a(part, raw), self.side_a), (self._ids_b(part), self.side_b))]
             self.update((s, None if x is None or y is None else (x, y)) for s, x, y in zip(part, *packed))
 
+    def forget(self) -> None:
+        """Keeps the first ``REMEMBERED`` spells; a dict gives its room back only when it is cleared."""
+        if len(self) > REMEMBERED:
+            first = list(itertools.islice(self.items(), REMEMBERED))
+            self.clear()
+            self.update(first)
+
     def _ids_a(self, spells: list[str], raw: list[bytes]) -> list[list[int]]:
         """Letters, with or without a space before them, are one part to the tokenizer, so its vocabulary is asked at once."""
         other = [s for s in spells if not self.word.match(s)]
@@ -153,8 +160,7 @@ def chunked(docs: DataFrame, a: str, b: str) -> DataFrame:
         def rows() -> Iterator[pa.RecordBatch]:
             known.learn(list(at))
             tokens = [known[s] for s in at]
-            for s in list(known)[REMEMBERED:]:
-                del known[s]
+            known.forget()
             whole = np.array([t is not None for t in tokens], bool)
             number = (np.cumsum(whole) - 1).astype(np.int32)  # among the spells that have tokens
             texts = [planes(number[x]) if whole[x].all() else b"" for x in own]
@@ -164,6 +170,7 @@ def chunked(docs: DataFrame, a: str, b: str) -> DataFrame:
                 part = tokens[lo : lo + 40 * SPELLS]
                 k = np.arange(lo, lo + len(part), SPELLS, dtype=np.int32)
                 yield batch_of("spell", len(k), {"chunk": pa.array([chunk] * len(k), pa.int64()), "k": pa.array(k), "a": _packed_rows([t[0] for t in part]), "b": _packed_rows([t[1] for t in part])})
+            pa.default_memory_pool().release_unused()  # a worker lives on beside the next stages
 
         for batch in slices(batches, 200):
             for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist()):
@@ -260,6 +267,7 @@ def _finish(counts: pa.Table, chunk: pa.Table) -> pa.Table:
 
 def met_chunks(spells: DataFrame, texts: DataFrame) -> DataFrame:
     def run(key: Key, a: pa.Table, b: pa.Table) -> pa.Table:
+        pa.default_memory_pool().release_unused()
         return _meet(a, b)
 
     return spells.groupBy("chunk").cogroup(texts.select(F.col("chunk").alias("of"), "doc_id", "spells").groupBy("of")).applyInArrow(run, MET)

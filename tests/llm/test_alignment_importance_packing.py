@@ -216,3 +216,13 @@ def test_runs_are_encoded_as_they_come_and_stay_right_when_forgotten(monkeypatch
         text = " ".join(r.choice(words) + r.choice(["", ",", r.choice(words)]) for _ in range(20))
         assert np.frombuffer(b"".join(map(known.__getitem__, text.encode().split())), "<u4").tolist() == known.tokenizer.encode(text, add_special_tokens=False).ids
         assert len(known) <= 7 and len(known.parts) <= 3
+
+
+def test_forgotten_spells_leave_the_common_ones(monkeypatch):
+    monkeypatch.setattr(alignment, "REMEMBERED", 3)
+    known = alignment.Tokenizers(alignment.TOKENIZER_A, alignment.TOKENIZER_B)
+    spells = known.spells("one two three four five")
+    known.learn(spells)
+    first = dict(list(known.items())[:3])
+    known.forget()
+    assert dict(known) == first and list(first) == spells[:3]
