@@ -18,7 +18,8 @@ Which texts are compared:
 * In up to ``NEAREST`` rounds, until one finds nothing, each text meets the nearest one, by parities (below), of those in other components that
   share one of these shingles.  So a group of edited copies, which are alike to their model but hardly to each other, becomes one component.
 * Then *every* two texts that share one of these shingles and stand in different components are compared (``crossing``).  So no link
-  between two components is lost, whatever the texts: only pairs that are joined already are left out.  A shingle's texts are cut into
+  between two components is lost, whatever the texts: only pairs that are joined already are left out.  Shingles with the same least and the
+  same greatest text make one group (``groups_of``), so that texts with many shingles in common meet once; a group's texts are cut into
   blocks of ``BLOCK``, and each two blocks meet in a task of their own.  A pair goes on to its texts unless counts of shingles or parities rule it out:
   of a set, bit k tells whether the number of shingles of residue k is odd, so two sets differ in at least as many
   shingles as bits, and sets that are alike in (n1 + n2) / 9 at most.  Both tests are exact.
@@ -241,7 +242,7 @@ def _distances(folded: dict[int, np.ndarray], a: np.ndarray, b: np.ndarray) -> n
 
 
 def _able(t: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """The pairs of a group (token, i, j) that stand in different components and can be alike, and in how many parities they differ."""
+    """The pairs of a group (lo, hi, i, j) that stand in different components and can be alike, and in how many parities they differ."""
     sid, root, n, own, i, j = (t.column(c).to_numpy() for c in ("sid", "root", "n", "own", "i", "j"))
     if len(sid) < 2 or (root == root[0]).all():
         return sid[:0], sid[:0], sid[:0]
@@ -254,6 +255,14 @@ def _able(t: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return sid[a][near], sid[b][near], far[near]
 
 
+def _distinct(a: np.ndarray, b: np.ndarray, far: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Each pair once."""
+    order = np.lexsort((b, a))
+    a, b, far = a[order], b[order], far[order]
+    first = np.r_[True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])] if len(a) else np.zeros(0, bool)
+    return a[first], b[first], far[first]
+
+
 def _nearest(a: np.ndarray, b: np.ndarray, far: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Of the pairs of each set, from either side, the nearest."""
     a, b, far = np.r_[a, b], np.r_[b, a], np.r_[far, far]
@@ -263,54 +272,60 @@ def _nearest(a: np.ndarray, b: np.ndarray, far: np.ndarray) -> tuple[np.ndarray,
     return a[first], b[first], far[first]
 
 
-def crossing(sets: DataFrame, shared: DataFrame, roots: DataFrame, nearest: bool = False) -> DataFrame:
-    """(a, b): all sets of different components that share a prefix shingle and can be alike; ``nearest``: only the nearest b of each a."""
-    rooted = shared.join(roots, "sid", "left").select("token", "sid", F.coalesce("root", "sid").alias("root"))
-    several = rooted.groupBy("token").agg(F.min("root").alias("lo"), F.max("root").alias("hi"), F.count("*").alias("m")).where("lo < hi")
-    blocks = several.select("token", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
-    rows = rooted.join(blocks, "token").join(sets.select("sid", "n", "bits"), "sid").withColumn("own", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
+def groups_of(shared: DataFrame) -> DataFrame:
+    """(lo, hi, sid): the sets of the shingles whose least set is lo and greatest is hi, each once.
+
+    Near copies have many prefix shingles in common, most of them with the same ends: they meet in one group, not once a shingle.
+    Every two sets that share a shingle share a group; others in it are told apart by what tells apart those of one shingle.
+    """
+    ends = shared.groupBy("token").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi"))
+    return checkpointed(shared.join(ends, "token").select("lo", "hi", "sid").distinct())
+
+
+def crossing(sets: DataFrame, groups: DataFrame, roots: DataFrame, nearest: bool = False) -> DataFrame:
+    """(a, b): all sets of different components that share a group and can be alike; ``nearest``: only the nearest b of each a."""
+    rooted = groups.join(roots, "sid", "left").select("lo", "hi", "sid", F.coalesce("root", "sid").alias("root"))
+    several = rooted.groupBy("lo", "hi").agg(F.min("root").alias("first"), F.max("root").alias("last"), F.count("*").alias("m")).where("first < last")
+    blocks = several.select("lo", "hi", F.ceil(F.col("m") / BLOCK).cast("int").alias("blocks"))
+    rows = rooted.join(blocks, ["lo", "hi"]).join(sets.select("sid", "n", "bits"), "sid").withColumn("own", F.pmod(F.xxhash64("sid"), F.col("blocks")).cast("int"))
     met = rows.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
-        "token", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "sid", "root", "n", "bits"
+        "lo", "hi", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "sid", "root", "n", "bits"
     )
 
+    def once(found: list[tuple[np.ndarray, ...]]) -> tuple[np.ndarray, ...]:
+        a, b, far = (np.concatenate([f[k] for f in found]) for k in range(3))
+        return _nearest(a, b, far) if nearest else _distinct(np.minimum(a, b), np.maximum(a, b), far)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = None
-        for b in batches:
-            t = pa.Table.from_batches([b]) if rest is None else pa.concat_tables([rest, pa.Table.from_batches([b])])
-            yield from compared(t, cuts := _groups(t), len(cuts) - 1)
-            rest = t.slice(cuts[-2]) if t.num_rows else None
-        if rest is not None:
-            yield from compared(rest, _groups(rest), None)
-
-    def compared(t: pa.Table, cuts: list[int], whole: int | None) -> Iterator[pa.RecordBatch]:
-        """``whole``: how many cuts bound groups that no later row can belong to."""
         found, size = [], 0
-
-        def pairs() -> pa.RecordBatch:
-            a, b, far = (np.concatenate([f[k] for f in found]) for k in range(3))
-            a, b, far = _nearest(a, b, far) if nearest else (np.minimum(a, b), np.maximum(a, b), far)
-            return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64()), pa.array(far, pa.int64())], names=["a", "b", "far"])
-
-        for lo, hi in zip(cuts[:whole], cuts[1:whole]):
-            f = _able(t.slice(lo, hi - lo))
-            if len(f[0]):
-                found.append(_nearest(*f) if nearest else f)
-                size += len(found[-1][0])
-            if size > PAIRS:
-                yield pairs()
-                found, size = [], 0
-        if found:
-            yield pairs()
-
-    pairs = met.repartition("token", "i", "j").sortWithinPartitions("token", "i", "j").mapInArrow(run, "a long, b long, far long")
+        out = lambda f: pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in f], names=["a", "b", "far"])
+        for t in _each(batches):
+            found.append(_able(t))
+            size += len(found[-1][0])
+            if size > PAIRS:  # what a task finds again does not go on again
+                found = [once(found)]
+                if len(found[0][0]) > PAIRS // 2:
+                    yield out(found.pop())
+                size = sum(len(f[0]) for f in found)
+        if size:
+            yield out(once(found))
+
+    pairs = met.repartition("lo", "hi", "i", "j").sortWithinPartitions("lo", "hi", "i", "j").mapInArrow(run, "a long, b long, far long")
     return pairs.groupBy("a").agg(F.min(F.struct("far", "b")).alias("m")).select("a", "m.b") if nearest else pairs.select("a", "b").distinct()
 
 
-def _groups(t: pa.Table) -> list[int]:
-    """Where the groups of rows sorted by (token, i, j) begin, and the end."""
-    key = [t.column(c).to_numpy() for c in ("token", "i", "j")]
-    change = np.logical_or.reduce([k[1:] != k[:-1] for k in key]) if t.num_rows else np.zeros(0, bool)
-    return [0, *(np.flatnonzero(change) + 1).tolist(), t.num_rows]
+def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    """The groups of rows sorted by (lo, hi, i, j), one after the other."""
+    rest = None
+    for b in batches:
+        t = pa.Table.from_batches([b] if rest is None else [*rest.to_batches(), b])
+        if t.num_rows:
+            key = [t.column(c).to_numpy() for c in ("lo", "hi", "i", "j")]
+            cuts = [0, *(np.flatnonzero(np.logical_or.reduce([k[1:] != k[:-1] for k in key])) + 1).tolist()]
+            yield from (t.slice(lo, hi - lo) for lo, hi in zip(cuts, cuts[1:]))
+            rest = t.slice(cuts[-1])
+    if rest is not None:
+        yield rest
 
 
 def near_groups(first: DataFrame, prefixes: DataFrame, rows: DataFrame) -> DataFrame:
@@ -320,15 +335,16 @@ def near_groups(first: DataFrame, prefixes: DataFrame, rows: DataFrame) -> DataF
     rooted = lambda edges: components(sized(edges, LINKS)).select(F.col("fp").alias("sid"), "root")
     edges = checkpointed(verified(ordered(simhash_meetings(sets)), first, rows))
     shared = shared_postings(prefixes)
+    groups = groups_of(shared)
     for _ in range(ROUNDS):
         found = verified(ordered(shingle_meetings(sets, shared, rooted(edges))), first, rows)
         edges = checkpointed(sized(edges, LINKS).unionByName(found))
     for _ in range(NEAREST):
-        found = checkpointed(verified(ordered(crossing(sets, shared, rooted(edges), nearest=True)), first, rows))
+        found = checkpointed(verified(ordered(crossing(sets, groups, rooted(edges), nearest=True)), first, rows))
         if not found.count():
             break
         edges = checkpointed(sized(edges, LINKS).unionByName(found))
-    found = verified(checkpointed(crossing(sets, shared, rooted(edges))), first, rows)
+    found = verified(checkpointed(crossing(sets, groups, rooted(edges))), first, rows)
     return rooted(checkpointed(sized(edges, LINKS).unionByName(found)))
 
 

@@ -115,6 +115,30 @@ def test_pairs_of_large_groups_go_on_in_pieces(spark, monkeypatch):
     assert sorted(r["doc_id"] for r in got) == sorted(set(components(texts)))
 
 
+@pytest.mark.parametrize("nearest", [False, True])
+def test_texts_with_many_shingles_in_common_meet_once(spark, monkeypatch, nearest):
+    frame, made = type(spark.range(0)), spark.sparkContext.accumulator(0)
+    plain = frame.mapInArrow
+
+    def counting(self, func, schema):
+        def counted(batches):
+            for b in func(batches):
+                made.add(b.num_rows)
+                yield b
+
+        return plain(self, counted, schema)
+
+    monkeypatch.setattr(frame, "mapInArrow", counting)
+    s = np.arange(100, dtype=np.uint64)
+    sets = spark.createDataFrame([(k, 100, bytearray(near_dedup.parities(s))) for k in range(40)], "sid long, n int, bits binary")
+    # Forty sets, thirty common shingles; each set lacks one of them.
+    shared = spark.createDataFrame([(t, k) for t in range(30) for k in range(40) if k % 30 != t], "token long, sid long")
+    roots = spark.createDataFrame([(k, k) for k in range(5)], "sid long, root long")
+    got = {(r["a"], r["b"]) for r in near_dedup.crossing(sets, near_dedup.groups_of(shared), roots, nearest).collect()}
+    assert got == ({(k, int(k == 0)) for k in range(40)} if nearest else {(a, b) for b in range(40) for a in range(b)})
+    assert 0 < made.value <= 4 * len(got)
+
+
 def test_parities_take_a_bit_a_shingle():
     rng = np.random.default_rng(7)
     a, b = (np.unique(rng.integers(0, 2**63, 800).astype(np.uint64)) for _ in range(2))
