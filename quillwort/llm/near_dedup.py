@@ -197,10 +197,10 @@ def simhash_meetings(sets: DataFrame) -> DataFrame:
 
 
 def shared_postings(prefixes: DataFrame) -> DataFrame:
-    """(token, sid) of the prefix shingles that two or more sets have."""
+    """(token, lo, hi, sid) of the prefix shingles that two or more sets have, and the least and the greatest of these."""
     postings = prefixes.select("sid", F.explode("prefix").alias("token"))
-    shared = postings.groupBy("token").agg(F.min("sid").alias("rep"), F.max("sid").alias("top")).where("rep < top").select("token")
-    return checkpointed(postings.join(shared, "token").select("token", "sid"))
+    ends = postings.groupBy("token").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi")).where("lo < hi")
+    return sized(checkpointed(postings.join(ends, "token").select("token", "lo", "hi", "sid")), LINKS)
 
 
 def shingle_meetings(sets: DataFrame, shared: DataFrame, roots: DataFrame) -> DataFrame:
@@ -278,8 +278,7 @@ def groups_of(shared: DataFrame) -> DataFrame:
     Near copies have many prefix shingles in common, most of them with the same ends: they meet in one group, not once a shingle.
     Every two sets that share a shingle share a group; others in it are told apart by what tells apart those of one shingle.
     """
-    ends = shared.groupBy("token").agg(F.min("sid").alias("lo"), F.max("sid").alias("hi"))
-    return checkpointed(shared.join(ends, "token").select("lo", "hi", "sid").distinct())
+    return sized(checkpointed(shared.select("lo", "hi", "sid").distinct()), LINKS)
 
 
 def crossing(sets: DataFrame, groups: DataFrame, roots: DataFrame, nearest: bool = False) -> DataFrame:
@@ -332,7 +331,7 @@ def near_groups(first: DataFrame, prefixes: DataFrame, rows: DataFrame) -> DataF
     """sid and root of the sets that are linked to another."""
     sets = first.where("n > 0").select("sid", "fp", "n", "bits")
     ordered = lambda pairs: checkpointed(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    rooted = lambda edges: components(sized(edges, LINKS)).select(F.col("fp").alias("sid"), "root")
+    rooted = lambda edges: bounded(components(sized(edges, LINKS)).select(F.col("fp").alias("sid"), "root"))
     edges = checkpointed(verified(ordered(simhash_meetings(sets)), first, rows))
     shared = shared_postings(prefixes)
     groups = groups_of(shared)

@@ -132,7 +132,7 @@ def test_texts_with_many_shingles_in_common_meet_once(spark, monkeypatch, neares
     s = np.arange(100, dtype=np.uint64)
     sets = spark.createDataFrame([(k, 100, bytearray(near_dedup.parities(s))) for k in range(40)], "sid long, n int, bits binary")
     # Forty sets, thirty common shingles; each set lacks one of them.
-    shared = spark.createDataFrame([(t, k) for t in range(30) for k in range(40) if k % 30 != t], "token long, sid long")
+    shared = near_dedup.shared_postings(spark.createDataFrame([(k, [t for t in range(30) if k % 30 != t]) for k in range(40)], "sid long, prefix array<long>"))
     roots = spark.createDataFrame([(k, k) for k in range(5)], "sid long, root long")
     got = {(r["a"], r["b"]) for r in near_dedup.crossing(sets, near_dedup.groups_of(shared), roots, nearest).collect()}
     assert got == ({(k, int(k == 0)) for k in range(40)} if nearest else {(a, b) for b in range(40) for a in range(b)})
