@@ -8,7 +8,8 @@ token of a group are a link.
   *spells*, cut there, and its tokens are theirs.  A chunk aligns each distinct spell once.  What is claimed of the vocabulary is checked when it is loaded.
 * In Spark, for all spells: ``posexplode`` of the tokens of each side, windowed sums of their lengths give the ends, equi-joins
   on (chunk, spell, end) find the cuts, a running count of the cuts before a token is its group, and a join on (chunk, spell, group) brings
-  each group's tokens together: their products are the links.  All of it is partitioned by chunk, so it shuffles the token arrays once.
+  each group's tokens together: their products are the links.  All of it reads a table that is
+  bucketed by chunk, so the token arrays are not shuffled.
 * A chunk counts how many of its documents hold each linked id pair; Spark adds the counts up by pair and takes the highest of each A id.  The
   counts go back to each chunk by a join on the pair, so a pair that every document holds travels once a chunk.
 
@@ -24,6 +25,7 @@ import itertools
 import os
 import re
 import string
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -34,15 +36,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from quillwort.llm.common import Key, checkpointed, numbers, planes, shared_dir, slices, table
-from quillwort.llm.importance import numbered
+from quillwort.llm.common import Key, numbers, planes, shared_dir, slices, table
 
 TOKENIZER_A = public_tokenizers.path("byte_bpe_50k.json")
 TOKENIZER_B = public_tokenizers.path("piece_bpe_32k.model")
 #: Characters of texts in a chunk; a longer text is a chunk of its own.
 CHUNK = 5 << 20
-#: Labels of chunks (two numbers a row) are broadcast up to so many, counted first.
-BROADCAST_ROWS = 500_000
 #: Spells in a row, and in a batch that a task gives to the tokenizers.
 SPELLS, BATCH = 500, 4_000
 #: Spells whose tokens a worker keeps from chunk to chunk: the first ones it meets, which are the common ones.
@@ -146,16 +145,17 @@ def _packed_rows(tokens: list[bytes]) -> pa.Array:
     return pa.ListArray.from_arrays(ends[[*range(0, len(tokens), SPELLS), len(tokens)]].astype(np.int32), pa.array(values))
 
 
-def chunked(docs: DataFrame, a: str, b: str) -> DataFrame:
-    """Rows of two kinds.  text: chunk, doc_id and spells (the document's numbers of spells, 32-bit); spell: chunk, k (the first of up to ``SPELLS`` spells) and their tokens a and b."""
+def chunked(docs: DataFrame, a: str, b: str, labels: list[int], first: dict[int, int]) -> DataFrame:
+    """Rows of two kinds; a partition's chunks take ``labels`` from ``first`` of its number on.  text: chunk, doc_id and spells (the document's numbers of spells, 32-bit); spell: chunk, k (the first of up to ``SPELLS`` spells) and their tokens a and b."""
     schema = pa.schema([("kind", pa.string()), ("chunk", pa.int64()), ("doc_id", pa.int64()), ("spells", pa.binary()), ("k", pa.int32()), ("a", pa.list_(pa.int64())), ("b", pa.list_(pa.int64()))])
 
     def batch_of(kind: str, n: int, columns: dict) -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array([kind] * n) if f.name == "kind" else columns[f.name] if f.name in columns else pa.nulls(n, f.type) for f in schema], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known, chunk = _tokenizers(a, b), TaskContext.get().partitionId() << 32
-        ids, own, at, size = [], [], _Numbers(), 0
+        known, part = _tokenizers(a, b), TaskContext.get().partitionId()
+        chunks = itertools.chain(labels[first.get(part, 0) : first.get(part + 1, 0)], itertools.count(part + 1 << 40))  # these are no labels: they share a bucket
+        chunk, ids, own, at, size = next(chunks), [], [], _Numbers(), 0
 
         def rows() -> Iterator[pa.RecordBatch]:
             known.learn(list(at))
@@ -180,22 +180,21 @@ def chunked(docs: DataFrame, a: str, b: str) -> DataFrame:
                 size += len(text or "")
                 if size >= CHUNK:
                     yield from rows()
-                    chunk, ids, own, at, size = chunk + 1, [], [], _Numbers(), 0
+                    chunk, ids, own, at, size = next(chunks), [], [], _Numbers(), 0
         if ids:
             yield from rows()
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "kind string, chunk long, doc_id long, spells binary, k int, a array<long>, b array<long>")
 
 
-def aligned(spells: DataFrame, tasks: int) -> DataFrame:
-    """In ``tasks`` partitions: chunk, k, groups (as text), n_a, n_b, n_groups and links (A id * 2**32 + B id, as often as linked) of every spell."""
-    parts = spells.select("chunk", "k", "a", "b").repartition(tasks, "chunk")
+def aligned(spells: DataFrame) -> DataFrame:
+    """chunk, k, groups (as text), n_a, n_b, n_groups and links (A id * 2**32 + B id, as often as linked) of every spell."""
     own = W.partitionBy("chunk", "k")
 
     order = own.orderBy("pos")
 
     def tokens(side: str) -> DataFrame:
-        t = parts.select("chunk", "k", F.posexplode(side).alias("pos", "t")).select("chunk", (F.col("k") + F.shiftright("t", 32)).cast("int").alias("k"), "pos", F.col("t").bitwiseAND(F.lit((1 << 31) - 1)).cast("int").alias("t"))
+        t = spells.select("chunk", "k", F.posexplode(side).alias("pos", "t")).select("chunk", (F.col("k") + F.shiftright("t", 32)).cast("int").alias("k"), "pos", F.col("t").bitwiseAND(F.lit((1 << 31) - 1)).cast("int").alias("t"))
         end = F.sum(F.col("t").bitwiseAND(F.lit((1 << LENGTH) - 1))).over(order.rowsBetween(W.unboundedPreceding, 0))
         return t.select("chunk", "k", "pos", end.cast("int").alias("end"), F.shiftright("t", LENGTH).alias(side))
 
@@ -280,40 +279,53 @@ def pair_counts(met: DataFrame) -> DataFrame:
     return counts.join(highest, "a").select("pair", "count", (F.col("count") == F.col("highest")).cast("long").alias("best"))
 
 
-def kept(df: DataFrame, *by: str) -> DataFrame:
+def kept(df: DataFrame) -> DataFrame:
     """Written in the shared folder and read again."""
     to = shared_dir(df.sparkSession, "align")
-    df.write.option("compression", "zstd").partitionBy(*by).parquet(to)
+    df.write.option("compression", "zstd").parquet(to)
     return df.sparkSession.read.schema(df.schema).parquet(to)
 
 
-def dealt(chunks: DataFrame) -> tuple[int, DataFrame]:
-    """How many chunks there are, and chunk and label of each: labels that hash partitioning into so many parts deals out one a part.
+def labelled(docs: DataFrame) -> tuple[list[int], dict[int, int]]:
+    """Labels of chunks, one for each bucket of hash partitioning into as many buckets, and the place of the first label of each partition of docs.
 
-    A task then holds one chunk, never several that happen to meet.  Of 24 numbers a part, the least that falls there is its label.
+    A bucket then holds one chunk, never several that happen to meet.  Of 24 numbers a bucket, the least that falls there is its label.
     """
-    ranked = checkpointed(numbered(chunks.distinct(), F.asc("chunk")))
-    n = ranked.count()
-    labels = chunks.sparkSession.range(24 * n).groupBy(F.pmod(F.hash("id"), F.lit(max(1, n))).alias("part")).agg(F.min("id").alias("label"))
-    own = ranked.join(labels, F.col("part") == F.col("rank") - 1, "left").select("chunk", F.coalesce("label", F.col("rank") + 24 * n).alias("label"))
-    return max(1, n), F.broadcast(own) if n <= BROADCAST_ROWS else own
+    of = docs.select(F.spark_partition_id().alias("part"), F.length("text").alias("n")).groupBy("part").agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"))
+    sizes = {r["part"]: r["n"] for r in of.collect()}
+    first, n = {}, 0
+    for part in range(max(sizes, default=-1) + 1):
+        first[part] = n
+        n += sizes[part] // CHUNK + 1 if part in sizes else 0
+    first[len(first)] = n
+    found = docs.sparkSession.range(24 * n).groupBy(F.pmod(F.hash("id"), F.lit(max(1, n))).alias("bucket")).agg(F.min("id").alias("label")).collect()
+    by = {r["bucket"]: r["label"] for r in found}
+    return [by.get(k, 24 * n + k) for k in range(n)], first
+
+
+def bucketed(rows: DataFrame, buckets: int) -> str:
+    """The name of a table of rows, by kind and bucketed by chunk, in the shared folder: what reads it by chunk needs no exchange."""
+    name = f"align_{uuid.uuid4().hex}"
+    rows.write.format("parquet").option("compression", "zstd").option("path", shared_dir(rows.sparkSession, "align")).partitionBy("kind").bucketBy(max(1, buckets), "chunk").saveAsTable(name)
+    return name
 
 
 def align(docs: DataFrame, *, a: str = TOKENIZER_A, b: str = TOKENIZER_B) -> DataFrame:
     """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum and groups_sha256 of every row of docs(doc_id, text)."""
     spark = docs.sparkSession
-    rows = kept(chunked(docs, a, b), "kind")
-    tasks, own = dealt(rows.where("kind = 'text'").select("chunk"))
-    renamed = rows.join(own, "chunk").withColumn("chunk", F.col("label")).drop("label")
-    texts, spells = renamed.where("kind = 'text'"), renamed.where("kind = 'spell'")
+    labels, first = labelled(docs)
+    name = bucketed(chunked(docs, a, b, labels, first), len(labels))
+    rows = spark.table(name)
+    texts, spells = rows.where("kind = 'text'"), rows.where("kind = 'spell'")
     # All joins here hold (chunk, k, ...) in their keys: sides that are partitioned by chunk need no shuffle by all keys.
     setting = "spark.sql.requireAllClusterKeysForCoPartition"
     before = spark.conf.get(setting)
     spark.conf.set(setting, "false")
     try:
-        met = kept(met_chunks(aligned(spells, tasks), texts))
+        met = kept(met_chunks(aligned(spells), texts))
     finally:
         spark.conf.set(setting, before)
+        spark.sql(f"DROP TABLE {name}")
     back = met.select(F.col("chunk").alias("of"), F.posexplode("pair").alias("j", "pair")).join(pair_counts(met), "pair").select("of", "j", "count", "best")
 
     def run(key: Key, counts: pa.Table, chunk: pa.Table) -> pa.Table:

@@ -70,6 +70,23 @@ def test_alignment_equals_slow_alignment(spark, docs):
     assert plain(alignment.align(spark.createDataFrame([(1, None), (2, "")], SCHEMA)).collect()) == [(1, 0, 0, 0, 0, 0, 0, ""), (2, 0, 0, 0, 0, 0, 0, "")]
 
 
+def test_alignment_exchanges_no_tokens(spark, docs, monkeypatch):
+    monkeypatch.setattr(alignment, "CHUNK", 500)
+    plans, kept = [], alignment.kept
+
+    def seen(df, *by):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return kept(df, *by)
+
+    monkeypatch.setattr(alignment, "kept", seen)
+    assert plain(alignment.align(docs).collect()) == plain(aligned_slowly(ROWS))
+    assert "FlatMapCoGroupsInArrow" in plans[-1]
+    assert not re.search(r"Exchange hashpartitioning\(chunk", plans[-1])
+    # A chunk beyond the labels is a chunk of its own.
+    monkeypatch.setattr(alignment, "labelled", lambda docs: ([0], {0: 0, 1: 1}))
+    assert plain(alignment.align(docs).collect()) == plain(aligned_slowly(ROWS))
+
+
 def test_spells_have_the_tokens_of_whole_texts():
     known = alignment.Tokenizers(alignment.TOKENIZER_A, alignment.TOKENIZER_B)
     r = random.Random(3)
