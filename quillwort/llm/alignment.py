@@ -303,18 +303,25 @@ def labelled(docs: DataFrame) -> tuple[list[int], dict[int, int]]:
     return [by.get(k, 24 * n + k) for k in range(n)], first
 
 
-def bucketed(rows: DataFrame, buckets: int) -> str:
-    """The name of a table of rows, by kind and bucketed by chunk, in the shared folder: what reads it by chunk needs no exchange."""
-    name = f"align_{uuid.uuid4().hex}"
-    rows.write.format("parquet").option("compression", "zstd").option("path", shared_dir(rows.sparkSession, "align")).partitionBy("kind").bucketBy(max(1, buckets), "chunk").saveAsTable(name)
-    return name
+def bucketed(rows: DataFrame, buckets: int) -> tuple[str, str]:
+    """Name and folder of a table of rows, by kind and bucketed by chunk: what reads it by chunk needs no exchange."""
+    name, to = f"align_{uuid.uuid4().hex}", shared_dir(rows.sparkSession, "align")
+    rows.write.format("parquet").option("compression", "zstd").option("path", to).partitionBy("kind").bucketBy(max(1, buckets), "chunk").saveAsTable(name)
+    return name, to
+
+
+def dropped(spark: SparkSession, name: str, folder: str) -> None:
+    """Drops the table and its files."""
+    spark.sql(f"DROP TABLE {name}")
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def align(docs: DataFrame, *, a: str = TOKENIZER_A, b: str = TOKENIZER_B) -> DataFrame:
     """doc_id, n_a, n_b, n_groups, n_links, n_best, count_sum and groups_sha256 of every row of docs(doc_id, text)."""
     spark = docs.sparkSession
     labels, first = labelled(docs)
-    name = bucketed(chunked(docs, a, b, labels, first), len(labels))
+    name, folder = bucketed(chunked(docs, a, b, labels, first), len(labels))
     rows = spark.table(name)
     texts, spells = rows.where("kind = 'text'"), rows.where("kind = 'spell'")
     # All joins here hold (chunk, k, ...) in their keys: sides that are partitioned by chunk need no shuffle by all keys.
@@ -325,7 +332,7 @@ def align(docs: DataFrame, *, a: str = TOKENIZER_A, b: str = TOKENIZER_B) -> Dat
         met = kept(met_chunks(aligned(spells), texts))
     finally:
         spark.conf.set(setting, before)
-        spark.sql(f"DROP TABLE {name}")
+        dropped(spark, name, folder)  # all that follows reads met
     back = met.select(F.col("chunk").alias("of"), F.posexplode("pair").alias("j", "pair")).join(pair_counts(met), "pair").select("of", "j", "count", "best")
 
     def run(key: Key, counts: pa.Table, chunk: pa.Table) -> pa.Table:

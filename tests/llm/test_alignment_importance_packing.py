@@ -3,6 +3,7 @@
 import collections
 import hashlib
 import math
+import os
 import random
 import re
 import zlib
@@ -82,9 +83,13 @@ def test_alignment_exchanges_no_tokens(spark, docs, monkeypatch):
     assert plain(alignment.align(docs).collect()) == plain(aligned_slowly(ROWS))
     assert "FlatMapCoGroupsInArrow" in plans[-1]
     assert not re.search(r"Exchange hashpartitioning\(chunk", plans[-1])
+    # Tokens are gone once they are aligned.
+    folders, bucketed = [], alignment.bucketed
+    monkeypatch.setattr(alignment, "bucketed", lambda *a: folders.append(bucketed(*a)) or folders[-1])
     # A chunk beyond the labels is a chunk of its own.
     monkeypatch.setattr(alignment, "labelled", lambda docs: ([0], {0: 0, 1: 1}))
     assert plain(alignment.align(docs).collect()) == plain(aligned_slowly(ROWS))
+    assert not spark.catalog.tableExists(folders[0][0]) and not os.path.exists(folders[0][1].removeprefix("file:"))
 
 
 def test_spells_have_the_tokens_of_whole_texts():
