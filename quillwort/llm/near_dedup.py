@@ -30,12 +30,13 @@ empty.  Empty tables give empty results; other columns, whatever their names, ar
 
 from __future__ import annotations
 
+import contextlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillwort.llm.common import NAMES, Key, checkpointed, in_sorted, mixed, numbers, planes, sized, slices
@@ -153,6 +154,21 @@ def named(docs: DataFrame, hot: tuple[np.ndarray, np.ndarray]) -> DataFrame:
     return docs.select("doc_id", "tie", "text").mapInArrow(run, "doc_id long, tie long, name binary, fp long, n int, bits binary, prefix array<long>")
 
 
+@contextlib.contextmanager
+def few_broadcasts(spark: SparkSession) -> Iterator[None]:
+    """Only what is marked is broadcast.  On small tables Spark would turn every join of every round into a broadcast, each of which
+    takes memory and a thread of the driver, more than the rows themselves."""
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    before = {name: spark.conf.get(name, None) for name in names}
+    for name in names:
+        spark.conf.set(name, "-1")
+    try:
+        yield
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
 def bounded(df: DataFrame) -> DataFrame:
     """Marked for a broadcast if it has few enough rows."""
     return F.broadcast(df) if df.count() <= BROADCAST_ROWS else df
@@ -167,7 +183,10 @@ def _enough(common: Column, n1: Column, n2: Column) -> Column:
 
 def verified(pairs: DataFrame, first: DataFrame, rows: DataFrame) -> DataFrame:
     """The pairs (a, b) of sets whose texts are alike.  ``first`` has the row (doc_id, tie) of each set, ``rows`` the texts."""
-    pairs = sized(pairs, LINKS)
+    n = pairs.count()
+    if not n:
+        return pairs.select("a", "b")
+    pairs = sized(pairs, LINKS, n)
     parts = checkpointed(pairs.groupBy("a").agg(F.ceil(F.count("*") / F.lit(GROUP)).cast("int").alias("parts")))
     members = pairs.join(bounded(parts), "a").select("a", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"), F.col("b").alias("sid"))
     heads = parts.select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("a").alias("sid"))
@@ -331,20 +350,23 @@ def near_groups(first: DataFrame, prefixes: DataFrame, rows: DataFrame) -> DataF
     """sid and root of the sets that are linked to another."""
     sets = first.where("n > 0").select("sid", "fp", "n", "bits")
     ordered = lambda pairs: checkpointed(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    rooted = lambda edges: bounded(components(sized(edges, LINKS)).select(F.col("fp").alias("sid"), "root"))
-    edges = checkpointed(verified(ordered(simhash_meetings(sets)), first, rows))
+    rooted = lambda edges: bounded(components(edges).select(F.col("fp").alias("sid"), "root"))
+
+    def joined(roots: DataFrame, pairs: DataFrame) -> DataFrame:
+        """Components so far stand for the links they come from, so a round's few links are joined to stars, not to all links again."""
+        found = checkpointed(verified(pairs, first, rows))
+        return roots if found.isEmpty() else rooted(roots.select(F.col("root").alias("a"), F.col("sid").alias("b")).unionByName(found))
+
+    roots = rooted(verified(ordered(simhash_meetings(sets)), first, rows))
     shared = shared_postings(prefixes)
     groups = groups_of(shared)
     for _ in range(ROUNDS):
-        found = verified(ordered(shingle_meetings(sets, shared, rooted(edges))), first, rows)
-        edges = checkpointed(sized(edges, LINKS).unionByName(found))
+        roots = joined(roots, ordered(shingle_meetings(sets, shared, roots)))
     for _ in range(NEAREST):
-        found = checkpointed(verified(ordered(crossing(sets, groups, rooted(edges), nearest=True)), first, rows))
-        if not found.count():
+        before, roots = roots, joined(roots, ordered(crossing(sets, groups, roots, nearest=True)))
+        if roots is before:
             break
-        edges = checkpointed(sized(edges, LINKS).unionByName(found))
-    found = verified(checkpointed(crossing(sets, groups, rooted(edges))), first, rows)
-    return rooted(checkpointed(sized(edges, LINKS).unionByName(found)))
+    return joined(roots, checkpointed(crossing(sets, groups, roots)))
 
 
 def near_dedup(docs: DataFrame) -> DataFrame:
@@ -352,12 +374,13 @@ def near_dedup(docs: DataFrame) -> DataFrame:
     unused = "_" * (1 + max(len(c) for c in docs.columns))
     rows = docs.withColumn("doc_id", F.col("doc_id").cast("long")).withColumn(unused, F.xxhash64(*docs.columns))
     narrow = rows.select("doc_id", F.col(unused).alias("tie"), "text")
-    sets = checkpointed(named(narrow, frequent(docs)))
     at = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "tie")
-    first = checkpointed(sets.groupBy("name").agg(*[F.first(c).alias(c) for c in ("fp", "n", "bits")], F.min(at).alias("first"))).withColumn("sid", F.monotonically_increasing_id())
-    # Of sets with many copies, one row's prefix goes on.
-    prefixes = sets.join(first.select("sid", "name", "first"), "name").where(at == F.col("first")).select("sid", "prefix").dropDuplicates(["sid"])
-    roots = near_groups(first, prefixes, narrow)
+    with few_broadcasts(docs.sparkSession):
+        sets = checkpointed(named(narrow, frequent(docs)))
+        first = checkpointed(sets.groupBy("name").agg(*[F.first(c).alias(c) for c in ("fp", "n", "bits")], F.min(at).alias("first"))).withColumn("sid", F.monotonically_increasing_id())
+        # Of sets with many copies, one row's prefix goes on.
+        prefixes = sets.join(first.select("sid", "name", "first"), "name").where(at == F.col("first")).select("sid", "prefix").dropDuplicates(["sid"])
+        roots = near_groups(first, prefixes, narrow)
     kept = first.join(roots, "sid", "left").groupBy(F.coalesce("root", "sid").alias("root")).agg(F.min("first").alias("first"))
     # Null ids need columns of their own, so that one exchange of the texts does for the join and for rows equal in all columns, which are one row here.
     key = [unused + c for c in ("id", "none", "tie")]

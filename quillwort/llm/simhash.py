@@ -146,21 +146,27 @@ def components(edges: DataFrame) -> DataFrame:
     Large star and small star in turn: each joins a node's neighbours to its least one, so paths shorten by doubling.
     """
     cur = checkpointed(edges.select(F.least("a", "b").alias("lo"), F.greatest("a", "b").alias("hi")).where("lo < hi").distinct())
-    cur = sized(cur, LINKS)
     ways = F.explode(F.array(F.struct("lo", "hi"), F.struct(F.col("hi").alias("lo"), F.col("lo").alias("hi")))).alias("way")
     while True:
+        n, done = _stars(cur)
+        cur = sized(cur, LINKS, n)
+        if done:
+            return cur.select(F.col("hi").alias("fp"), F.col("lo").alias("root")).unionByName(cur.select(F.col("lo").alias("fp"), F.col("lo").alias("root")).distinct())
         both = cur.select(ways).select("way.lo", "way.hi")
         least = both.groupBy("lo").agg(F.least(F.min("hi"), F.first("lo")).alias("m"))
         large = both.join(least, "lo").where(F.col("hi") > F.col("lo")).select(F.col("m").alias("lo"), "hi").where("lo < hi").distinct()
         down = large.groupBy("hi").agg(F.min("lo").alias("m"))
         small = large.join(down, "hi").select("m", F.explode(F.array("hi", "lo")).alias("hi")).select(F.col("m").alias("lo"), "hi").where("lo < hi").distinct()
-        nxt = checkpointed(small)
-        # At a fixed point every node has one edge, to its root, and no root has one.
-        state = nxt.agg(F.count("*").alias("n"), F.countDistinct("hi").alias("d")).first()
-        cur = sized(nxt, LINKS, state["n"])
-        tops = cur.select("lo").distinct().join(cur.select(F.col("hi").alias("lo")), "lo", "left_semi").limit(1).count()
-        if state["n"] == state["d"] and not tops:
-            return cur.select(F.col("hi").alias("fp"), F.col("lo").alias("root")).unionByName(cur.select(F.col("lo").alias("fp"), F.col("lo").alias("root")).distinct())
+        cur = checkpointed(small)
+
+
+def _stars(edges: DataFrame) -> tuple[int, bool]:
+    """How many edges (lo, hi) there are, and whether each node has one edge, to its root, and no root has one."""
+    ends = edges.select(F.explode(F.array(F.struct(F.col("lo").alias("x"), F.lit(0).alias("up")), F.struct(F.col("hi").alias("x"), F.lit(1).alias("up")))).alias("e")).select("e.x", "e.up")
+    nodes = ends.groupBy("x").agg(F.sum("up").alias("ups"), F.count("*").alias("n"))
+    wrong = (F.col("ups") > 1) | ((F.col("ups") == 1) & (F.col("n") > 1))
+    state = nodes.agg(F.coalesce(F.sum("ups"), F.lit(0)).alias("n"), F.count_if(wrong).alias("wrong")).first()
+    return state["n"], not state["wrong"]
 
 
 def simhash_groups(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:

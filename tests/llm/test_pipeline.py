@@ -191,3 +191,20 @@ def test_contaminated_rows_do_not_take_their_namesakes_along(spark, tmp_path):
     rows = [(None, f"a {item}"), (None, "clean"), (1, item), (1, "clean too"), (None, None), (2, "")]
     got = P.drop_contaminated(spark, docs(spark, rows), str(tmp_path)).select("doc_id", "text").collect()
     assert content(got) == content([rows[1], rows[3], rows[4], rows[5]])
+
+
+def test_near_dedup_spares_the_driver(spark):
+    """Few jobs on small tables, whose every job takes memory of the driver; broadcasts are Spark's own again afterwards."""
+    words = [f"w{k}" for k in range(60)]
+    texts = [" ".join(words[k:] + [f"x{k}"] * 10) for k in range(0, 30, 3) for _ in range(2)] + [" ".join(f"y{k}{j}" for j in range(40)) for k in range(10)]
+    name, group = "spark.sql.autoBroadcastJoinThreshold", "spared"
+    before = spark.conf.get(name)
+    spark.sparkContext.setJobGroup(group, group)
+    try:
+        got = near_dedup.near_dedup(docs(spark, list(enumerate(texts)))).select("doc_id").collect()
+        jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert sorted(r["doc_id"] for r in got) == sorted(set(components(texts)))
+    assert spark.conf.get(name) == before
+    assert jobs <= 140
