@@ -92,6 +92,16 @@ def test_alignment_exchanges_no_tokens(spark, docs, monkeypatch):
     assert not spark.catalog.tableExists(folders[0][0]) and not os.path.exists(folders[0][1].removeprefix("file:"))
 
 
+def test_alignment_aligns_each_spell_of_the_corpus_once(spark, docs, monkeypatch):
+    monkeypatch.setattr(alignment, "CHUNK", 500)
+    seen, aligned = [], alignment.aligned
+    monkeypatch.setattr(alignment, "aligned", lambda spells: seen.append(spells.select(F.sum(F.size("a"))).first()[0]) or aligned(spells))
+    assert plain(alignment.align(docs).collect()) == plain(aligned_slowly(ROWS))
+    known = alignment.Tokenizers(alignment.TOKENIZER_A, alignment.TOKENIZER_B)
+    known.learn(sorted({s for r in docs.select("text").collect() for s in known.spells(r["text"])}))
+    assert seen == [sum(len(t[0]) // 4 for t in known.values() if t)]
+
+
 def test_spells_have_the_tokens_of_whole_texts():
     known = alignment.Tokenizers(alignment.TOKENIZER_A, alignment.TOKENIZER_B)
     r = random.Random(3)
