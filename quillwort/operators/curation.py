@@ -151,15 +151,22 @@ def conflict_candidates(live: DataFrame, marks: DataFrame, block: int = 1000) ->
 
 
 def cyclic_nodes(edges: DataFrame, checkpoint) -> DataFrame:
-    """Nodes that reach a cycle along edges(src, dst): edges to nodes without an edge out are peeled off until none is left."""
-    live = checkpoint(edges.select("src", "dst").distinct())
+    """Nodes that reach a cycle along edges(src, dst).
+
+    A round drops edges to nodes without an edge out, and edges to a node with just one go on to where that one leads: both leave
+    it as it is whose ways end.  When none is dropped, no way ends.  Chains of any shape of tree thus take rounds by the logarithm
+    of their length; a layer of nodes that all have several live edges still takes a round of its own.
+    """
+    live = checkpoint(edges.select("src", "dst"))
     n = live.count()
     while True:
-        nxt = checkpoint(live.join(live.select(F.col("src").alias("dst")).distinct(), "dst", "left_semi").select("src", "dst"))
-        m = nxt.count()
+        least, most = F.min("dst"), F.max("dst")
+        out = live.groupBy("src").agg(F.when(least == most, least).alias("on")).withColumnRenamed("src", "dst")
+        live = checkpoint(live.join(out, "dst").select("src", F.coalesce("on", "dst").alias("dst")))
+        m = live.count()
         if m == n:
-            return nxt.select(F.col("src").alias("node")).distinct()
-        live, n = nxt, m
+            return live.select(F.col("src").alias("node")).distinct()
+        n = m
 
 
 def reconcile_columns(left: DataFrame, right: DataFrame) -> DataFrame:
