@@ -6,13 +6,18 @@ that *state* to the next (four states, a byte).  Functions of ``BLOCK`` lines ar
 back down the same way.  A script of any length is thus read in parallel, in rows of ``BLOCK`` lines, and no task holds
 a whole one.  A short script (up to ``BLOCK`` lines) takes no shuffle for this.
 
-Everything works on ``tokens``: script_id, block, line, pos, start (characters before it in the script), raw, kind (word, number,
+``statements_of``, ``stored_units_of`` and ``unrecognized_units_of`` take the scripts themselves.  Scripts up to ``WHOLE`` characters are
+read in their own row: patterns that step over strings and comments cut them, and nothing is exchanged.  Longer ones go through ``tokens``.
+
+The others work on ``tokens``: script_id, block, line, pos, start (characters before it in the script), raw, kind (word, number,
 quoted, string, comment, space, other), statement (how many ``;`` stand before it) and ``continued`` (the rest of a string or comment that an earlier line began).
 Null scripts are empty; repeated script_ids are the caller's to rule out.  Empty inputs give empty results.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -25,12 +30,29 @@ OPENERS = ("", "'", '"', "/*")
 TOKEN = r"""--[^\n]*|/\*(?s:.*?)(?:\*/|\z)|'[^']*(?:'|\z)|"[^"]*(?:"|\z)|[\p{L}_][\p{L}\p{N}_$#]*|\p{N}+|[\x09-\x0D\x20]+|(?s:.)"""
 SAME = 0b11100100  # every state to itself
 AHEAD = 12
+#: Characters up to which a script is read in its own row.
+WHOLE = 1 << 20
+#: An array grows by copies, so sums over arrays are taken in parts of so many items.
+PART = 64
 # Modifiers of a view, kinds that are stored units, kinds that are known and passed over, and what ends a header.
 VIEW_MODIFIERS = ("FORCE", "NO", "EDITIONABLE", "NONEDITIONABLE")
 UNIT_KINDS = ("PACKAGE", "PROCEDURE", "FUNCTION", "TRIGGER", "VIEW")
 OTHER_KINDS = ("VARIABLE", "TYPE", "SEQUENCE", "SYNONYM", "ALIAS", "NICKNAME")
 HEADER_ENDS = ("AS", "IS", "BEGIN")
 CONSTRAINT_WORDS = ("CONSTRAINT", "PRIMARY", "UNIQUE", "FOREIGN", "CHECK")
+ATTACHING = ("COMMENT", "ALTER", "CREATE")
+#: What TOKEN takes as comments and space, as strings and identifiers, and as a token of its own after any of the former; possessive, so that long texts take no stack.
+_COMMENT = r"--[^\n]*+|/\*(?s:.*?)(?:\*/|\z)"
+_GAP = _COMMENT + r"|[\x09-\x0D\x20]++"
+_QUOTED = r"""'[^']*+(?:'|\z)|"[^"]*+(?:"|\z)"""
+_LATER = r"[\p{L}\p{N}_$#]"
+_OWN = _QUOTED + rf"|[\p{{L}}_]{_LATER}*+|\p{{N}}++|[^;]"
+#: A statement with its ``;``.  What stands before its first token, and then its text to the last one.
+_STATEMENT = rf"""(?:{_COMMENT}|{_QUOTED}|[^;'"/\-]++|[/\-])*+(?:;|\z)"""
+_BEFORE = rf"\A(?:{_GAP})*+"
+_TEXT = rf"{_BEFORE}((?:(?:{_GAP})*+(?:{_OWN}))*+)"
+_EACH = rf"(?:{_GAP})*+({_OWN})"
+_EACH_ON = rf"(?:{_GAP}|;)*+({_OWN})"
 
 
 def _split(text: Column) -> Column:
@@ -167,6 +189,58 @@ def statements(of: DataFrame) -> DataFrame:
     return whole.select("script_id", "statement", F.col("first").alias("start"), F.substring("text", (F.col("first") - F.element_at("p", 1)["start"] + 1).cast("int"), (F.col("end") - F.col("first")).cast("int")).alias("text"), "n_tokens")
 
 
+def _let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """use(value), with ``value`` computed once."""
+    return F.get(F.transform(F.array(value), use), 0)
+
+
+def _sums(values: Column) -> Column:
+    """The sum of the items before each item."""
+    def run(items: Column, first: Column) -> Column:
+        return F.slice(F.aggregate(items, F.array(first), lambda seen, x: F.concat(seen, F.array(F.element_at(seen, -1) + x))), 1, F.size(items))
+
+    def summed(of: Column) -> Column:
+        parts = F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), F.floor((F.size(of) - 1) / PART).cast("int"))), lambda k: F.slice(of, k * PART + 1, PART))
+        none = F.lit(0).cast("long")
+        return _let(parts, lambda p: F.flatten(F.zip_with(p, run(F.transform(p, lambda x: F.aggregate(x, none, lambda a, b: a + b)), none), run)))
+
+    return _let(F.transform(values, lambda x: x.cast("long")), summed)
+
+
+def _word(word: str) -> str:
+    """A pattern of what ``upper`` turns into ``word``."""
+    return "".join({"I": r"[Ii\x{131}]", "S": r"[Ss\x{17F}]"}.get(c, f"[{c}{c.lower()}]") for c in word)
+
+
+def _begins(words: tuple[str, ...], after: str) -> str:
+    return rf"{after}(?:{'|'.join(map(_word, words))})(?!{_LATER})"
+
+
+def _by_length(scripts: DataFrame, checkpoint, short: Callable[[DataFrame], DataFrame], long_: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """``short`` of the scripts that are read in their own rows and ``long_`` of the others."""
+    in_row = F.length(F.coalesce("sql", F.lit(""))) <= WHOLE
+    rest = checkpoint(scripts.where(~in_row))
+    got = short(scripts.where(in_row))
+    return got if rest.isEmpty() else got.unionByName(long_(rest))
+
+
+def statements_of(scripts: DataFrame, checkpoint, first: tuple[str, ...] = ()) -> DataFrame:
+    """``statements`` of scripts(script_id, sql); of those only that begin with one of the words ``first``, if there are any."""
+    wanted = lambda text, after: text.rlike(_begins(first, after)) if first else F.lit(True)
+
+    def short(of: DataFrame) -> DataFrame:
+        parts = F.regexp_extract_all(F.coalesce("sql", F.lit("")), F.lit(_STATEMENT), F.lit(0))
+        placed = _let(parts, lambda p: F.arrays_zip(p.alias("part"), _sums(F.transform(p, F.length)).alias("at"), F.sequence(F.lit(0).cast("long"), F.size(p).cast("long")).alias("no")))
+        told = F.transform(
+            F.filter(placed, lambda x: wanted(x["part"], _BEFORE)),
+            lambda x: F.struct(x["no"].alias("statement"), (x["at"] + F.length(F.regexp_extract(x["part"], _BEFORE, 0))).alias("start"), F.regexp_extract(x["part"], _TEXT, 1).alias("text")),
+        )
+        each = of.select("script_id", F.explode(F.filter(told, lambda x: x["text"] != "")).alias("s"))
+        return each.select("script_id", "s.statement", "s.start", "s.text", F.regexp_count("s.text", F.lit(_EACH)).cast("long").alias("n_tokens"))
+
+    return _by_length(scripts, checkpoint, short, lambda rest: statements(checkpoint(tokens(blocks_of(rest)))).where(wanted(F.col("text"), r"\A")))
+
+
 def unquoted(name: Column) -> Column:
     return F.when(name.startswith('"'), F.regexp_replace(name, '^"|"$', "")).otherwise(name)
 
@@ -175,89 +249,129 @@ def _upper(of: DataFrame) -> DataFrame:
     return of.where(_own()).withColumn("u", F.when(F.col("kind") == "word", F.upper("raw")).otherwise(F.col("raw")))
 
 
+def _capital(raw: Column) -> Column:
+    return F.when(raw.rlike(r"\A[\p{L}_]"), F.upper(raw)).otherwise(raw)
+
+
+def _read(text: Column, each: str) -> Column:
+    """Own tokens of a text: raw, and u, words in capitals."""
+    return F.transform(F.regexp_extract_all(text, F.lit(each), F.lit(1)), lambda x: F.struct(x.alias("raw"), _capital(x).alias("u")))
+
+
+def _said(of: DataFrame, first: tuple[str, ...], read: Callable[[Column], Column]) -> DataFrame:
+    """script_id, statement and what ``read`` makes of its own tokens, s, of the statements of ``of`` (or of its tokens) that begin with a word of ``first``; none if that is null."""
+    each = of if "text" in of.columns else statements(of)
+    each = each.where(F.col("text").rlike(_begins(first, r"\A")))
+    return each.select("script_id", "statement", F.explode(F.filter(F.transform(F.array(_read(F.col("text"), _EACH)), read), lambda s: s.isNotNull())).alias("s"))
+
+
+def _columns(d: Column) -> Column:
+    """The columns that a statement of tokens ``d`` gives its table; null if it makes none."""
+    u = lambda k: F.get(d, k)["u"]
+    lead = F.when(u(0) == "CREATE", F.when(u(1) == "TABLE", 2).when((u(1) == "GLOBAL") & (u(2) == "TEMPORARY") & (u(3) == "TABLE"), 4))
+    step = F.transform(d, lambda x: F.when(x["u"] == "(", 1).when(x["u"] == ")", -1).otherwise(0))
+    deep = _let(step, lambda s: F.zip_with(F.zip_with(_sums(s), s, lambda a, b: a + b), d, lambda depth, x: F.struct(x["raw"].alias("raw"), x["u"].alias("u"), depth.alias("depth"))))
+
+    def upto_close(t: Column) -> Column:
+        close = F.array_position(F.transform(t, lambda x: (x["u"] == ")") & (x["depth"] == 0)), True).cast("int")
+        return F.slice(t, 1, F.when(close > 0, close).otherwise(F.size(t)))
+
+    def defs(t: Column) -> Column:
+        """The definitions between the commas of the first bracket: place, u, raw and depth of their tokens."""
+        comma = F.transform(t, lambda x: ((x["u"] == ",") & (x["depth"] == 1)).cast("int"))
+        numbered = _let(comma, lambda c: F.zip_with(t, F.zip_with(_sums(c), c, lambda a, b: a + b), lambda x, k: F.struct(k.alias("place"), x["raw"].alias("raw"), x["u"].alias("u"), x["depth"].alias("depth"))))
+        inside = F.filter(numbered, lambda x: (x["depth"] >= 1) & ~((x["depth"] == 1) & x["u"].isin("(", ",")))
+        return _let(inside, lambda i: F.transform(F.array_distinct(F.transform(i, lambda x: x["place"])), lambda k: F.filter(i, lambda x: x["place"] == k)))
+
+    us = lambda c: F.transform(c, lambda x: x["u"])
+    follows = lambda c, a, b: F.exists(F.arrays_zip(us(c).alias("a"), F.slice(us(c), 2, F.size(c)).alias("b")), lambda x: F.coalesce((x["a"] == a) & (x["b"] == b), F.lit(False)))
+    is_column = lambda c: ~F.get(c, 0)["u"].isin(*CONSTRAINT_WORDS)
+
+    def listed(c: Column) -> Column:
+        using = F.array_position(us(c), "USING").cast("int")
+        key = F.slice(c, 1, F.when(using > 0, using).otherwise(F.size(c)))
+        return F.transform(F.filter(key, lambda x: (x["depth"] == 2) & ~x["u"].isin("(", ")", ",")), lambda x: unquoted(x["raw"]))
+
+    def row(c: Column, keys: Column, table_name: Column) -> Column:
+        w = lambda k: F.get(c, k)["u"]
+        close = F.array_position(us(c), ")").cast("int")
+        args = F.when((w(2) == "(") & (close > 0), F.array_join(F.slice(us(c), 3, F.greatest(F.lit(0), close - 2)), "")).otherwise("")
+        type_ = F.when(w(1) == "LONG", F.when(w(2) == "RAW", "BLOB").otherwise("CLOB")).otherwise(F.concat(F.coalesce(w(1), F.lit("")), args))
+        name = unquoted(F.get(c, 0)["raw"])
+        pk = follows(c, "PRIMARY", "KEY") | F.array_contains(keys, name)
+        return F.struct(table_name.alias("table_name"), F.get(c, 0)["place"].alias("place"), name.alias("name"), type_.alias("type"), follows(c, "NOT", "NULL").alias("not_null"), pk.alias("pk"))
+
+    def made(t: Column) -> Column:
+        table_name = unquoted(F.try_element_at(F.filter(t, lambda x, i: (x["depth"] == 0) & (x["u"] != ")") & (i >= lead)), F.lit(-1))["raw"])
+        keys = lambda e: F.array_distinct(F.flatten(F.transform(F.filter(e, lambda c: ~is_column(c) & follows(c, "PRIMARY", "KEY")), listed)))
+        rows = _let(defs(t), lambda e: _let(keys(e), lambda k: _let(table_name, lambda n: F.transform(F.filter(e, is_column), lambda c: row(c, k, n)))))
+        return F.when(~F.exists(t, lambda x: (x["depth"] == 0) & x["u"].isin("AS", "SELECT")) & table_name.isNotNull(), rows)
+
+    return F.when(lead.isNotNull(), _let(deep, lambda t: _let(upto_close(t), made)))
+
+
 def table_columns(of: DataFrame) -> DataFrame:
-    """script_id, statement, table_name, place, name, type, not_null and pk of the columns of every CREATE TABLE.
+    """script_id, statement, table_name, place, name, type, not_null and pk of the columns of every CREATE TABLE of statements, or of tokens.
 
     The column list is the first bracket; what follows it (storage, tablespaces) and state words after a constraint say nothing
     about columns.  A table made from a query has no row.  LONG RAW is BLOB, LONG is CLOB.
     """
-    own = W.partitionBy("script_id", "statement").orderBy("start")
-    upto, earlier, whole = own.rowsBetween(W.unboundedPreceding, 0), own.rowsBetween(W.unboundedPreceding, -1), own.rowsBetween(W.unboundedPreceding, W.unboundedFollowing)
-    head = [F.nth_value("u", k).over(whole) for k in (1, 2, 3, 4)]
-    temporary = head[1].isin("GLOBAL") & (head[2] == "TEMPORARY") & (head[3] == "TABLE")
-    t = _upper(of).withColumn("lead", F.when(head[0] == "CREATE", F.when(head[1] == "TABLE", 2).when(temporary, 4))).withColumn("n", F.row_number().over(own)).where("lead is not null")
-    t = t.withColumn("depth", F.sum(F.when(F.col("u") == "(", 1).when(F.col("u") == ")", -1).otherwise(0)).over(upto))
-    t = t.withColumn("closed", F.coalesce(F.count_if((F.col("u") == ")") & (F.col("depth") == 0)).over(earlier), F.lit(0)))
-    t = t.where("closed = 0").withColumn("query", F.count_if((F.col("depth") == 0) & F.col("u").isin("AS", "SELECT")).over(whole)).where("query = 0")
-    t = t.withColumn("def", F.count_if((F.col("u") == ",") & (F.col("depth") == 1)).over(upto))
-    names = t.where("depth = 0 and u <> ')' and n > lead").groupBy("script_id", "statement").agg(F.max_by(unquoted(F.col("raw")), "n").alias("table_name"))
-    inside = t.where("depth >= 1 and not (u = '(' and depth = 1) and not (u = ',' and depth = 1)")
-    defs = inside.groupBy("script_id", "statement", "def").agg(F.array_sort(F.collect_list(F.struct("n", "raw", "u", "depth"))).alias("d"))
-    u = F.col("d.u")
-    follows = lambda a, b: F.exists(F.sequence(F.lit(1), F.size("d")), lambda i: (F.get(u, i - 1) == a) & (F.get(u, i) == b))
-    defs = defs.withColumn("is_column", ~F.get(u, 0).isin(*CONSTRAINT_WORDS))
-    key = F.slice("d", 1, F.when(F.array_position(u, "USING") > 0, F.array_position(u, "USING")).otherwise(F.size("d")).cast("int"))
-    listed = F.filter(key, lambda x: (x["depth"] == 2) & ~x["u"].isin("(", ")", ","))
-    keys = defs.where(~F.col("is_column") & follows("PRIMARY", "KEY")).select("script_id", "statement", F.explode(F.array_distinct(F.transform(listed, lambda x: unquoted(x["raw"])))).alias("name")).distinct().withColumn("keyed", F.lit(True))
-    close = F.array_position(u, ")").cast("int")
-    args = F.when((F.get(u, 2) == "(") & (close > 0), F.array_join(F.slice(u, 3, close - 2), "")).otherwise("")
-    type_ = F.when(F.get(u, 1) == "LONG", F.when(F.get(u, 2) == "RAW", "BLOB").otherwise("CLOB")).otherwise(F.concat(F.coalesce(F.get(u, 1), F.lit("")), args))
-    columns = defs.where("is_column").select("script_id", "statement", F.col("def").alias("place"), unquoted(F.get("d", 0)["raw"]).alias("name"), type_.alias("type"), follows("NOT", "NULL").alias("not_null"), follows("PRIMARY", "KEY").alias("own_key"))
-    joined = columns.join(names, ["script_id", "statement"]).join(keys, ["script_id", "statement", "name"], "left")
-    return joined.select("script_id", "statement", "table_name", F.col("place").cast("long").alias("place"), "name", "type", "not_null", (F.col("own_key") | F.col("keyed").isNotNull()).alias("pk"))
-
+    return _said(of, ("CREATE",), _columns).select("script_id", "statement", F.explode("s").alias("c")).select("script_id", "statement", "c.*")
 
-def attachments(of: DataFrame) -> DataFrame:
-    """What statements say of tables: script_id, statement, kind (comment, column comment, key, index), table_name, name and value.
 
-    comment: value is the text; column comment: name is the column; key: name is the referred table, value the column pairs in order;
-    index: name and columns, ``unique`` first if it is.
-    """
-    words = ("COMMENT", "ALTER", "CREATE")
-    own = W.partitionBy("script_id", "statement").orderBy("start")
-    t = _upper(of).withColumn("first", F.first("u").over(own)).where(F.col("first").isin(*words)).withColumn("n", F.row_number().over(own)).where(F.col("n") <= 200)
-    g = t.groupBy("script_id", "statement").agg(F.array_sort(F.collect_list(F.struct("n", "raw", "u", "start"))).alias("d"))
-    u, raw = F.col("d.u"), F.col("d.raw")
-    at = lambda word, nth=1: F.array_position(u, word).cast("int")
+def _attachment(d: Column) -> Column:
+    """kind, table_name, name and value of what a statement of tokens ``d`` says of a table; null if it says nothing."""
+    u, raw = d["u"], d["raw"]
+    at = lambda word: F.array_position(u, word).cast("int")
+    none = F.array().cast("array<string>")
 
     def names(start: Column) -> Column:
         """The parts of the dotted name from place ``start`` (from 1) on."""
         more = lambda k: F.get(u, start + 2 * k - 2) == "."
         part = lambda k: F.array(unquoted(F.get(raw, start + 2 * k - 1)))
-        return F.concat(part(0), F.when(more(1), F.concat(part(1), F.when(more(2), part(2)).otherwise(F.array().cast("array<string>")))).otherwise(F.array().cast("array<string>")))
+        return F.concat(part(0), F.when(more(1), F.concat(part(1), F.when(more(2), part(2)).otherwise(none))).otherwise(none))
 
     def bracket(start: Column) -> Column:
         """Comma-separated first words in the bracket that opens at or after place ``start``."""
-        rest = F.slice("d", start, F.size("d"))
-        ru = F.transform(rest, lambda x: x["u"])
-        inner = F.slice(rest, F.array_position(ru, "(").cast("int") + 1, F.greatest(F.lit(0), (F.array_position(ru, ")") - F.array_position(ru, "(") - 1).cast("int")))
-        return F.transform(F.filter(inner, lambda x, i: (i == 0) | (F.get(inner, i - 1)["u"] == ",")), lambda x: unquoted(x["raw"]))
-
-    last = lambda parts: F.element_at(parts, -1)
-    target, is_at = names(F.lit(4)), at("IS")
-    said = F.when((F.get(u, 0) == "COMMENT") & (F.get(u, 1) == "ON") & (is_at > 0), F.get(F.col("d"), is_at)["start"])
-    foreign, refers = at("FOREIGN"), at("REFERENCES")
-    to = names(refers + 1)
-    pairs = F.array_join(F.zip_with(bracket(foreign), F.slice(bracket(refers), 1, F.size(bracket(foreign))), lambda a, b: F.concat(a, F.lit("="), b)), ",")
-    unique = F.get(u, 1) == "UNIQUE"
+        def inner(rest: Column) -> Column:
+            opens, closes = (F.array_position(rest["u"], c).cast("int") for c in "()")
+            return F.slice(rest, opens + 1, F.greatest(F.lit(0), closes - opens - 1))
+
+        firsts = lambda e: F.transform(F.filter(e, lambda x, i: (i == 0) | (F.get(e, i - 1)["u"] == ",")), lambda x: unquoted(x["raw"]))
+        return _let(F.slice(d, start, F.size(d)), lambda rest: _let(inner(rest), firsts))
+
+    def spoken(rest: Column) -> Column:
+        """A string, which a doubled quote divides into several."""
+        other = F.array_position(F.transform(rest, lambda x: x.startswith("'")), False).cast("int")
+        whole = F.array_join(F.slice(rest, 1, F.when(other > 1, other - 1).when(other == 1, 1).otherwise(F.size(rest))), "")
+        return F.replace(F.substring(whole, F.lit(2), F.greatest(F.lit(0), F.length(whole) - 2)), F.lit("''"), F.lit("'"))
+
+    word, last = (lambda k: F.get(u, k)), (lambda parts: F.element_at(parts, -1))
+    is_at, foreign, refers, on = (at(w) for w in ("IS", "FOREIGN", "REFERENCES", "ON"))
+    target = names(F.lit(4))
+    comment = (word(0) == "COMMENT") & (word(1) == "ON") & (is_at > 0) & (is_at < F.size(d))
+    unique = word(1) == "UNIQUE"
     index = F.when(unique, 4).otherwise(3)
-    on = at("ON")
-    kind = (
-        F.when(said.isNotNull() & (F.get(u, 2) == "TABLE"), "comment").when(said.isNotNull() & (F.get(u, 2) == "COLUMN") & (F.size(target) > 1), "column comment")
-        .when((F.get(u, 0) == "ALTER") & (F.get(u, 1) == "TABLE") & (foreign > 0) & (refers > foreign), "key")
-        .when((F.get(u, 0) == "CREATE") & ((F.get(u, 1) == "INDEX") | (unique & (F.get(u, 2) == "INDEX"))) & (on > 0), "index")
-    )
-    k = F.col("kind")
-    table_name = F.when(k == "comment", last(target)).when(k == "column comment", F.get(target, F.size(target) - 2)).when(k == "key", last(names(F.lit(3)))).otherwise(last(names(on + 1)))
-    name = F.when(k == "column comment", last(target)).when(k == "key", last(to)).when(k == "index", last(names(index)))
-    found = g.withColumn("kind", kind).where("kind is not null").select(
-        "script_id", "statement", "kind", table_name.alias("table_name"), name.alias("name"), said.alias("said"),
-        F.when(k == "key", pairs).when(k == "index", F.concat(F.when(unique, "unique ").otherwise(""), F.array_join(bracket(on), ","))).alias("value"),
+    key = (word(0) == "ALTER") & (word(1) == "TABLE") & (foreign > 0) & (refers > foreign)
+    indexed = (word(0) == "CREATE") & ((word(1) == "INDEX") | (unique & (word(2) == "INDEX"))) & (on > 0)
+    value = F.when(comment, _let(F.slice(raw, is_at + 1, F.size(d)), spoken))
+    pairs = _let(bracket(foreign), lambda own: F.array_join(F.zip_with(own, F.slice(bracket(refers), 1, F.size(own)), lambda a, b: F.concat(a, F.lit("="), b)), ","))
+    columns = F.concat(F.when(unique, "unique ").otherwise(""), F.array_join(bracket(on), ","))
+    said = lambda kind, table_name, name, v: F.struct(F.lit(kind).alias("kind"), table_name.alias("table_name"), name.alias("name"), v.alias("value"))
+    return (
+        F.when(comment & (word(2) == "TABLE"), said("comment", last(target), F.lit(None).cast("string"), value))
+        .when(comment & (word(2) == "COLUMN") & (F.size(target) > 1), said("column comment", F.get(target, F.size(target) - 2), last(target), value))
+        .when(key, said("key", last(names(F.lit(3))), last(names(refers + 1)), pairs)).when(indexed, said("index", last(names(on + 1)), last(names(index)), columns))
     )
-    texts = statements(of).select("script_id", "statement", "start", "text")
-    text = F.expr("substring(text, cast(said - start + 2 as int), greatest(0, cast(length(text) - (said - start) - 2 as int)))")
-    spoken = F.when(F.col("said").isNotNull(), F.replace(text, F.lit("''"), F.lit("'"))).otherwise(F.col("value"))
-    return found.join(texts, ["script_id", "statement"]).select("script_id", "statement", "kind", "table_name", "name", spoken.alias("value"))
+
+
+def attachments(of: DataFrame) -> DataFrame:
+    """What statements say of tables: script_id, statement, kind (comment, column comment, key, index), table_name, name and value.
+
+    ``of``: statements, or tokens.  comment: value is the text; column comment: name is the column; key: name is the referred table, value the
+    column pairs in order; index: name and columns, ``unique`` first if it is.
+    """
+    return _said(of, ATTACHING, _attachment).select("script_id", "statement", "s.*")
 
 
 def attached(found: DataFrame, columns: DataFrame) -> DataFrame:

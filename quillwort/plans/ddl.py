@@ -27,7 +27,7 @@ def _tokens(spark: SparkSession, sf: str) -> DataFrame:
 s AS (SELECT script_id, statement, min(start) AS start, max(start + length(raw)) AS stop, count(*) AS n_tokens FROM own GROUP BY ALL)
 SELECT script_id, statement, start, (stop - start)::INT AS n_chars, n_tokens, sha256(substring(sql, start + 1, stop - start)) AS sha FROM s JOIN scripts USING (script_id)""")
 def ddl_statements(spark, sf):
-    return P.statements(P.tokens(P.blocks_of(load(spark, sf, "scripts")))).select("script_id", "statement", "start", F.length("text").alias("n_chars"), "n_tokens", F.sha2(F.col("text").cast("binary"), 256).alias("sha"))
+    return P.statements_of(load(spark, sf, "scripts"), _checkpoint(spark)).select("script_id", "statement", "start", F.length("text").alias("n_chars"), "n_tokens", F.sha2(F.col("text").cast("binary"), 256).alias("sha"))
 
 
 _COLUMNS = """

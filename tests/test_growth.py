@@ -3,6 +3,30 @@
 import random
 
 from quillwort.operators import curation as C
+from quillwort.operators import scripts as P
+from test_scripts import SAMPLE, slow_statements
+
+ODD = (None, "", ";", "'open; \n;", "select 1", "a;b/*/;c", "create table t (a int, b int)  -- end", "/* ; */ create /* ' */ table x (y long raw not null) ; 'z", "comment on table t is 'a''b' ; alter table", "a" * 300_000 + " ;'" + "b;" * 200_000)
+
+
+def scripts_of(spark, seed=4):
+    rng = random.Random(seed)
+    pieces = ["'", '"', "/*", "*/", "--", ";", "\n", "create ", "Table t", "(", ")", ",", " is ", "/", "-", "é", "\r", "''", "ıs", "as", "\n / \n", "or replace ", "procedure p"]
+    texts = [SAMPLE, *ODD] + ["".join(rng.choice(pieces) for _ in range(rng.randrange(90))) for _ in range(300)]
+    return texts, spark.createDataFrame(list(enumerate(texts)), "script_id int, sql string")
+
+
+def kept(df):
+    return df.localCheckpoint()
+
+
+def exchanges(df):
+    return df._jdf.queryExecution().executedPlan().toString().count("Exchange")
+
+
+def rows(df):
+    return sorted(map(repr, df.collect()))
+
 
 
 def slow_cyclic(edges):
@@ -32,3 +56,15 @@ def test_cycles_take_few_rounds_on_long_chains(spark):
         got = {r["node"] for r in C.cyclic_nodes(spark.createDataFrame(edges, "src string, dst string"), cut).collect()}
         assert got == slow_cyclic(edges)
         assert len(rounds) <= 14
+
+
+def test_statements_are_read_without_an_exchange(spark, monkeypatch):
+    texts, scripts = scripts_of(spark)
+    got = P.statements_of(scripts, kept)
+    assert exchanges(got) == 0
+    assert sorted(map(tuple, got.collect())) == sorted((k, *s) for k, x in enumerate(texts) for s in slow_statements(x or ""))
+    begun = P.statements_of(scripts, kept, ("CREATE", "COMMENT"))
+    assert rows(begun) == sorted(repr(r) for r in got.collect() if r["text"].upper().split()[0].split("(")[0] in ("CREATE", "COMMENT"))
+    short = scripts.where("coalesce(length(sql), 0) < 9000")
+    monkeypatch.setattr(P, "WHOLE", 40)
+    assert rows(P.statements_of(short, kept)) == rows(got.join(short.select("script_id"), "script_id", "left_semi"))
