@@ -42,7 +42,7 @@ HEADER_ENDS = ("AS", "IS", "BEGIN")
 CONSTRAINT_WORDS = ("CONSTRAINT", "PRIMARY", "UNIQUE", "FOREIGN", "CHECK")
 ATTACHING = ("COMMENT", "ALTER", "CREATE")
 #: What TOKEN takes as comments and space, as strings and identifiers, and as a token of its own after any of the former; possessive, so that long texts take no stack.
-_COMMENT = r"--[^\n]*+|/\*(?s:.*?)(?:\*/|\z)"
+_COMMENT = r"--[^\n]*+|/\*(?:[^*]++|\*(?!/))*+(?:\*/|\z)"
 _GAP = _COMMENT + r"|[\x09-\x0D\x20]++"
 _QUOTED = r"""'[^']*+(?:'|\z)|"[^"]*+(?:"|\z)"""
 _LATER = r"[\p{L}\p{N}_$#]"
@@ -50,9 +50,11 @@ _OWN = _QUOTED + rf"|[\p{{L}}_]{_LATER}*+|\p{{N}}++|[^;]"
 #: A statement with its ``;``.  What stands before its first token, and then its text to the last one.
 _STATEMENT = rf"""(?:{_COMMENT}|{_QUOTED}|[^;'"/\-]++|[/\-])*+(?:;|\z)"""
 _BEFORE = rf"\A(?:{_GAP})*+"
-_TEXT = rf"{_BEFORE}((?:(?:{_GAP})*+(?:{_OWN}))*+)"
+_TEXT = rf"\A(?:(?:{_GAP})*+(?:{_OWN}))*+"
 _EACH = rf"(?:{_GAP})*+({_OWN})"
-_EACH_ON = rf"(?:{_GAP}|;)*+({_OWN})"
+_ON = rf"(?:{_GAP}|;)*+"
+_EACH_ON = rf"{_ON}({_OWN})"
+_LINE_GAP = r"[\x09\x0B-\x0D\x20]*+"
 
 
 def _split(text: Column) -> Column:
@@ -226,19 +228,17 @@ def _by_length(scripts: DataFrame, checkpoint, short: Callable[[DataFrame], Data
 
 def statements_of(scripts: DataFrame, checkpoint, first: tuple[str, ...] = ()) -> DataFrame:
     """``statements`` of scripts(script_id, sql); of those only that begin with one of the words ``first``, if there are any."""
-    wanted = lambda text, after: text.rlike(_begins(first, after)) if first else F.lit(True)
+    wanted = lambda text: text.rlike(_begins(first, r"\A")) if first else F.lit(True)
 
     def short(of: DataFrame) -> DataFrame:
         parts = F.regexp_extract_all(F.coalesce("sql", F.lit("")), F.lit(_STATEMENT), F.lit(0))
         placed = _let(parts, lambda p: F.arrays_zip(p.alias("part"), _sums(F.transform(p, F.length)).alias("at"), F.sequence(F.lit(0).cast("long"), F.size(p).cast("long")).alias("no")))
-        told = F.transform(
-            F.filter(placed, lambda x: wanted(x["part"], _BEFORE)),
-            lambda x: F.struct(x["no"].alias("statement"), (x["at"] + F.length(F.regexp_extract(x["part"], _BEFORE, 0))).alias("start"), F.regexp_extract(x["part"], _TEXT, 1).alias("text")),
-        )
+        bare = F.transform(placed, lambda x: _let(F.length(F.regexp_extract(x["part"], _BEFORE, 0)), lambda n: F.struct(x["no"].alias("statement"), (x["at"] + n).alias("start"), F.substring(x["part"], n + 1, F.length(x["part"])).alias("text"))))
+        told = F.transform(F.filter(bare, lambda x: wanted(x["text"])), lambda x: F.struct(x["statement"], x["start"], F.regexp_extract(x["text"], _TEXT, 0).alias("text")))
         each = of.select("script_id", F.explode(F.filter(told, lambda x: x["text"] != "")).alias("s"))
         return each.select("script_id", "s.statement", "s.start", "s.text", F.regexp_count("s.text", F.lit(_EACH)).cast("long").alias("n_tokens"))
 
-    return _by_length(scripts, checkpoint, short, lambda rest: statements(checkpoint(tokens(blocks_of(rest)))).where(wanted(F.col("text"), r"\A")))
+    return _by_length(scripts, checkpoint, short, lambda rest: statements(checkpoint(tokens(blocks_of(rest)))).where(wanted(F.col("text"))))
 
 
 def unquoted(name: Column) -> Column:
@@ -374,6 +374,14 @@ def attachments(of: DataFrame) -> DataFrame:
     return _said(of, ATTACHING, _attachment).select("script_id", "statement", "s.*")
 
 
+def attaching(of: DataFrame, checkpoint, value: Callable[[Column], Column]) -> tuple[DataFrame, DataFrame]:
+    """``attachments`` with ``value`` of their values, and table_name and name of ``table_columns``, of the same statements, which are read once."""
+    both = _said(of, ATTACHING, lambda d: _let(F.struct(_attachment(d).alias("found"), _columns(d).alias("columns")), lambda b: F.when(b["found"].isNotNull() | b["columns"].isNotNull(), b)))
+    names = F.transform("s.columns", lambda c: F.struct(c["table_name"], c["name"]))
+    read = checkpoint(both.select("script_id", "statement", F.col("s.found").withField("value", value(F.col("s.found.value"))).alias("found"), names.alias("columns")))
+    return read.where("found is not null").select("script_id", "statement", "found.*"), read.select(F.explode("columns").alias("c")).select("c.*")
+
+
 def attached(found: DataFrame, columns: DataFrame) -> DataFrame:
     """kind, table_name, name and value of what is in force: the last comment of a table or column, every key and index in order (``place`` from 1).
 
@@ -397,26 +405,100 @@ def unattached(found: DataFrame, columns: DataFrame) -> DataFrame:
     return lost.unionByName(half.select(*lost.columns))
 
 
+def _unit(tokens: Column) -> Column:
+    """replaced, word (null if it is of no known kind), kind (null, too, if no name follows) and name of the CREATE before ``tokens``, the ``AHEAD`` ones that follow."""
+    def parsed(replaced: Column, b: Column) -> Column:
+        word = F.get(b, 0)["u"]
+        body = F.coalesce(word.isin("PACKAGE", "TYPE") & (F.get(b, 1)["u"] == "BODY"), F.lit(False))
+        kind = F.when(word.isin(*UNIT_KINDS, *OTHER_KINDS), F.concat(F.lower(word), F.when(body & (word == "TYPE"), " body").otherwise("")))
+        at = F.when(body, 2).otherwise(1)
+        part = lambda k: unquoted(F.get(b, at + 2 * k)["raw"])
+        dot = lambda k: F.get(b, at + 2 * k - 1)["u"] == "."
+        name = F.concat(part(0), F.when(dot(1), F.concat(F.lit("."), part(1), F.when(dot(2), F.concat(F.lit("."), part(2))).otherwise(""))).otherwise(""))
+        return F.struct(replaced.alias("replaced"), kind.alias("word"), F.when(F.get(b, at).isNotNull(), kind).alias("kind"), name.alias("name"))
+
+    def read(a: Column) -> Column:
+        replaced = (F.coalesce(F.get(a, 0)["u"], F.lit("")) == "OR") & (F.coalesce(F.get(a, 1)["u"], F.lit("")) == "REPLACE")
+        rest = lambda r: F.filter(F.when(r, F.slice(a, 3, AHEAD)).otherwise(a), lambda x, i: (i > 2) | ~x["u"].isin(*VIEW_MODIFIERS))
+        return _let(replaced, lambda r: _let(rest(r), lambda b: parsed(r, b)))
+
+    return _let(tokens, read)
+
+
 def _creates(of: DataFrame) -> DataFrame:
-    """script_id, start, replaced, kind (null if it is none), name and name_start of every CREATE, by the ``AHEAD`` tokens after it."""
+    """script_id, start, and what ``_unit`` says of every CREATE of tokens."""
     t = _upper(of)
     n = _running(t, F.lit(1).cast("long"), "start").withColumnRenamed("before", "n").select("script_id", "n", "start", "raw", "u")
     made = n.where("u = 'CREATE'").select("script_id", F.col("start").alias("made"), "n")
     wanted = made.select("script_id", "made", F.explode(F.transform(F.sequence(F.lit(1), F.lit(AHEAD)), lambda k: F.col("n") + k)).alias("n"))
-    ahead = wanted.join(n, ["script_id", "n"]).groupBy("script_id", "made").agg(F.array_sort(F.collect_list(F.struct("n", "raw", "u", "start"))).alias("a"))
-    replaced = (F.get("a", 0)["u"] == "OR") & (F.coalesce(F.get("a", 1)["u"], F.lit("")) == "REPLACE")
-    ahead = made.join(ahead, ["script_id", "made"], "left").withColumn("replaced", F.coalesce(replaced, F.lit(False)))
-    ahead = ahead.withColumn("b", F.coalesce(F.when(F.col("replaced"), F.slice("a", 3, AHEAD)).otherwise(F.col("a")), F.expr("array()").cast("array<struct<n:bigint,raw:string,u:string,start:bigint>>")))
-    plain = F.array_position(F.transform("b", lambda x: ~x["u"].isin(*VIEW_MODIFIERS)), True).cast("int")
-    ahead = ahead.withColumn("b", F.slice("b", F.greatest(F.lit(1), plain), AHEAD))
-    word = F.get("b", 0)["u"]
-    body = F.coalesce(word.isin("PACKAGE", "TYPE") & (F.get("b", 1)["u"] == "BODY"), F.lit(False))
-    kind = F.when(word.isin(*UNIT_KINDS, *OTHER_KINDS), F.concat(F.lower(word), F.when(body & (word == "TYPE"), " body").otherwise("")))
-    at = F.when(body, 2).otherwise(1)
-    part = lambda k: unquoted(F.get("b", at + 2 * k)["raw"])
-    dot = lambda k: F.get("b", at + 2 * k - 1)["u"] == "."
-    name = F.concat(part(0), F.when(dot(1), F.concat(F.lit("."), part(1), F.when(dot(2), F.concat(F.lit("."), part(2))).otherwise(""))).otherwise(""))
-    return ahead.select("script_id", F.col("made").alias("start"), "replaced", F.when(F.get("b", at).isNotNull(), kind).alias("kind"), name.alias("name"), F.get("b", at)["start"].alias("name_start"), kind.alias("word_kind"))
+    ahead = wanted.join(n, ["script_id", "n"]).groupBy("script_id", "made").agg(F.transform(F.array_sort(F.collect_list(F.struct("n", "raw", "u"))), lambda x: F.struct(x["raw"].alias("raw"), x["u"].alias("u"))).alias("a"))
+    none = F.array().cast("array<struct<raw:string,u:string>>")
+    return made.join(ahead, ["script_id", "made"], "left").select("script_id", F.col("made").alias("start"), _unit(F.coalesce("a", none)).alias("c")).select("script_id", "start", "c.*")
+
+
+def _marks(sql: Column) -> Column:
+    """What bounds units in a script, in order: mark (create, header or slash, one that stands alone on its line), its place and, of a create, ``_unit``."""
+    create, headers, alone = _word("CREATE"), "|".join(map(_word, HEADER_ENDS)), rf"{_LINE_GAP}/{_LINE_GAP}(?:\n|\z)"
+    skipped = rf"(?!(?:{create}|{headers})(?!{_LATER}))[\p{{L}}_]{_LATER}*+|[\x09\x0B-\x0D\x20]++|\n(?!{alone})|\p{{N}}++|{_COMMENT}|{_QUOTED}|[^\n\p{{L}}_]"
+    pattern = F.lit(rf"(?:{skipped})*+(?:({create}(?=((?:{_ON}(?:{_OWN})){{0,{AHEAD}}}+))|{headers}|\n{_LINE_GAP}/)|\z)")
+    found = lambda text: _let(F.regexp_extract_all(text, pattern, F.lit(0)), lambda parts: F.arrays_zip(_sums(F.transform(parts, lambda x, i: F.length(x) + F.when(i == 0, -1).otherwise(0))).alias("at"), parts.alias("part"), F.regexp_extract_all(text, pattern, F.lit(1)).alias("mark"), F.regexp_extract_all(text, pattern, F.lit(2)).alias("ahead")))
+
+    def placed(x: Column) -> Column:
+        """The line break put before the script is not counted: the sum before the first part is 0, where it is 1 to the left."""
+        slash = x["mark"].endswith("/")
+        end = x["at"] + F.length(x["part"]) - F.when(x["at"] == 0, 1).otherwise(0)
+        mark = F.when(slash, "slash").when(F.length(x["mark"]) == 6, "create").otherwise("header")
+        return F.struct(mark.alias("mark"), (end - F.when(slash, 1).otherwise(F.length(x["mark"]))).alias("start"), F.when(F.length(x["mark"]) == 6, _unit(_read(x["ahead"], _EACH_ON))).alias("unit"))
+
+    return _let(F.concat(F.lit("\n"), sql), lambda text: F.transform(F.filter(found(text), lambda x: x["mark"] != ""), placed))
+
+
+def _bounded(marks: Column, length: Column) -> Column:
+    """start, kind, name, head (where the signature ends) and end of the units among ``marks``, from the last mark to the first."""
+    place, none = F.lit(None).cast("long"), F.array().cast("array<struct<start:bigint,kind:string,name:string,head:bigint,end:bigint>>")
+    state = lambda nxt, slash, header, units: F.struct(nxt.alias("next"), slash.alias("slash"), header.alias("header"), units.alias("units"))
+
+    def unit(s: Column, x: Column) -> Column:
+        bound = F.coalesce(s["next"], length)
+        end = F.when(s["slash"] < bound, s["slash"]).otherwise(bound)
+        head = F.when(s["header"] < end, s["header"]).otherwise(end)
+        return F.struct(x["start"].alias("start"), x["unit"]["kind"].alias("kind"), x["unit"]["name"].alias("name"), head.alias("head"), end.alias("end"))
+
+    def step(s: Column, x: Column) -> Column:
+        units = F.when(x["unit"]["kind"].isin(*[k.lower() for k in UNIT_KINDS]), F.concat(s["units"], F.array(unit(s, x)))).otherwise(s["units"])
+        return (
+            F.when(x["mark"] == "slash", state(s["next"], x["start"], s["header"], s["units"])).when(x["mark"] == "header", state(s["next"], s["slash"], x["start"], s["units"]))
+            .when(x["unit"]["kind"].isNotNull(), state(x["start"], s["slash"], s["header"], units)).otherwise(s)
+        )
+
+    return F.aggregate(F.reverse(marks), state(place, place, place, none), step, lambda s: s["units"])
+
+
+def _cut(sql: Column, start: Column, to: Column) -> Column:
+    return F.substring(sql, (start + 1).cast("int"), (to - start).cast("int"))
+
+
+def _signature(text: Column) -> Column:
+    return F.regexp_replace(text, r"^[\x09-\x0D\x20]+|[\x09-\x0D\x20]+$", "")
+
+
+def stored_units_of(scripts: DataFrame, checkpoint) -> DataFrame:
+    """``stored_units`` of scripts(script_id, sql)."""
+    def short(of: DataFrame) -> DataFrame:
+        sql, at = F.coalesce("sql", F.lit("")), lambda c: F.col(f"x.{c}")
+        each = of.select("script_id", sql.alias("sql"), F.explode(_let(sql, lambda s: _bounded(_marks(s), F.length(s).cast("long")))).alias("x"))
+        return each.select("script_id", "x.start", "x.kind", "x.name", _signature(_cut(F.col("sql"), at("start"), at("head"))).alias("signature"), _cut(F.col("sql"), at("start"), at("end")).alias("body"))
+
+    return _by_length(scripts, checkpoint, short, lambda rest: stored_units(checkpoint(tokens(blocks_of(rest))), rest))
+
+
+def unrecognized_units_of(scripts: DataFrame, checkpoint) -> DataFrame:
+    """``unrecognized_units`` of scripts(script_id, sql)."""
+    def short(of: DataFrame) -> DataFrame:
+        unknown = F.filter(_marks(F.coalesce("sql", F.lit(""))), lambda x: (x["mark"] == "create") & x["unit"]["replaced"] & x["unit"]["word"].isNull())
+        return of.select("script_id", F.explode(F.transform(unknown, lambda x: x["start"])).alias("start"))
+
+    return _by_length(scripts, checkpoint, short, lambda rest: unrecognized_units(checkpoint(tokens(blocks_of(rest)))))
 
 
 def stored_units(of: DataFrame, scripts: DataFrame) -> DataFrame:
@@ -429,8 +511,8 @@ def stored_units(of: DataFrame, scripts: DataFrame) -> DataFrame:
     by_line = W.partitionBy("script_id", "line")
     # A comment beside the slash, or a string that goes on, means that it does not stand alone.
     alone = of.withColumn("others", F.count_if((F.col("kind") != "space") & (F.length("raw") > 0)).over(by_line)).where("raw = '/' and kind = 'other' and others = 1")
-    marks = creates.select("script_id", "start", F.lit("unit").alias("mark"), "kind", "name", "name_start")
-    none = [F.lit(None).cast(t).alias(c) for c, t in (("kind", "string"), ("name", "string"), ("name_start", "long"))]
+    marks = creates.select("script_id", "start", F.lit("unit").alias("mark"), "kind", "name")
+    none = [F.lit(None).cast("string").alias(c) for c in ("kind", "name")]
     marks = marks.unionByName(alone.select("script_id", "start", F.lit("slash").alias("mark"), *none))
     marks = marks.unionByName(_upper(of).where(F.col("u").isin(*HEADER_ENDS)).select("script_id", "start", F.lit("header").alias("mark"), *none))
     later = W.partitionBy("script_id").orderBy("start").rowsBetween(1, W.unboundedFollowing)
@@ -440,10 +522,10 @@ def stored_units(of: DataFrame, scripts: DataFrame) -> DataFrame:
     bound = F.coalesce("next", F.length("sql").cast("long"))
     units = units.withColumn("end", F.when(F.col("slash") < bound, F.col("slash")).otherwise(bound))
     header = F.when((F.col("header") < F.col("end")), F.col("header")).otherwise(F.col("end"))
-    cut = lambda to: F.substring("sql", (F.col("start") + 1).cast("int"), (to - F.col("start")).cast("int"))
-    return units.select("script_id", "start", "kind", "name", F.regexp_replace(cut(header), r"^[\x09-\x0D\x20]+|[\x09-\x0D\x20]+$", "").alias("signature"), cut(F.col("end")).alias("body"))
+    cut = lambda to: _cut(F.col("sql"), F.col("start"), to)
+    return units.select("script_id", "start", "kind", "name", _signature(cut(header)).alias("signature"), cut(F.col("end")).alias("body"))
 
 
 def unrecognized_units(of: DataFrame) -> DataFrame:
     """script_id and start of every CREATE OR REPLACE of an unknown kind: meant as a unit, read as none."""
-    return _creates(of).where(F.col("replaced") & F.col("word_kind").isNull()).select("script_id", "start")
+    return _creates(of).where(F.col("replaced") & F.col("word").isNull()).select("script_id", "start")

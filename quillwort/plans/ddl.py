@@ -48,7 +48,7 @@ cols AS (SELECT script_id, statement, table_name, def AS place, names[1] AS name
 
 @query(f"WITH {_LEXED}, {_COLUMNS} SELECT script_id, statement, table_name, place, name, type, not_null, pk FROM cols")
 def ddl_columns(spark, sf):
-    return P.table_columns(_tokens(spark, sf))
+    return P.table_columns(P.statements_of(load(spark, sf, "scripts"), _checkpoint(spark), ("CREATE",)))
 
 
 #: What statements say of tables, from their tokens in one row each.

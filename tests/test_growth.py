@@ -68,3 +68,23 @@ def test_statements_are_read_without_an_exchange(spark, monkeypatch):
     short = scripts.where("coalesce(length(sql), 0) < 9000")
     monkeypatch.setattr(P, "WHOLE", 40)
     assert rows(P.statements_of(short, kept)) == rows(got.join(short.select("script_id"), "script_id", "left_semi"))
+
+
+def test_columns_attachments_and_units_are_read_without_an_exchange(spark, monkeypatch):
+    texts, scripts = scripts_of(spark, 6)
+    wide = "create table wide (" + ", ".join(f"c{k} varchar2({k}) not null" for k in range(300)) + "); alter table wide add foreign key (" + ", ".join(f"c{k}" for k in range(150)) + ") references x (" + ", ".join(f"d{k}" for k in range(150)) + ")"
+    scripts = scripts.where("coalesce(length(sql), 0) < 9000").unionByName(spark.createDataFrame([(-1, wide)], scripts.schema))
+    said, tokens = P.statements_of(scripts, kept), P.tokens(P.blocks_of(scripts)).localCheckpoint()
+    plain = (P.table_columns(tokens), P.attachments(tokens), P.stored_units(tokens, scripts), P.unrecognized_units(tokens))
+    in_row = (P.table_columns(said), P.attachments(said), P.stored_units_of(scripts, kept), P.unrecognized_units_of(scripts, kept))
+    for got, want in zip(in_row, plain, strict=True):
+        assert exchanges(got) == 0
+        assert rows(got) == rows(want) != []
+    assert in_row[0].where("script_id = -1 and not_null").count() == 300
+    pairs = in_row[1].where("script_id = -1").first()["value"].split(",")
+    assert pairs == [f"c{k}=d{k}" for k in range(150)]
+    found, columns = P.attaching(said, kept, lambda v: v)
+    assert rows(found) == rows(in_row[1]) and rows(columns) == rows(in_row[0].select("table_name", "name"))
+    monkeypatch.setattr(P, "WHOLE", 40)
+    assert rows(P.stored_units_of(scripts, kept)) == rows(in_row[2])
+    assert rows(P.unrecognized_units_of(scripts, kept)) == rows(in_row[3])
