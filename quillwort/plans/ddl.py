@@ -64,14 +64,20 @@ att AS (
   UNION ALL SELECT script_id, statement, 'index', nm[4][-1], nm[5][-1], concat(CASE WHEN us[2] = 'UNIQUE' THEN 'unique ' END, array_to_string(br[3], ',')) FROM bk WHERE us[1] = 'CREATE' AND us[ix] = 'INDEX' AND on_at > 0)"""
 
 
+def _attaching(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """What attaches, its values as digests before they are exchanged, and tables with their columns."""
+    cut = _checkpoint(spark)
+    return P.attaching(P.statements_of(load(spark, sf, "scripts"), cut, P.ATTACHING), cut, lambda v: F.sha2(v.cast("binary"), 256))
+
+
 @query(f"""WITH {_LEXED}, {_COLUMNS}, {_ATTACHED},
 k AS (SELECT * FROM att WHERE table_name IN (SELECT table_name FROM cols)),
 c AS (SELECT kind, table_name, name, arg_max(value, (script_id, statement)) AS value FROM k WHERE kind = 'comment' OR (kind = 'column comment' AND EXISTS (SELECT 1 FROM cols WHERE cols.table_name = k.table_name AND cols.name = k.name)) GROUP BY ALL)
 SELECT kind, table_name, name, sha256(value) AS value, 1 AS place FROM c
 UNION ALL SELECT kind, table_name, name, sha256(value), (row_number() OVER (PARTITION BY kind, table_name ORDER BY script_id, statement))::INT FROM k WHERE kind IN ('key', 'index')""")
 def ddl_attachments(spark, sf):
-    of = _tokens(spark, sf)
-    return P.attached(P.attachments(of), P.table_columns(of)).withColumn("value", F.sha2(F.col("value").cast("binary"), 256))
+    found, columns = _attaching(spark, sf)
+    return P.attached(found, columns)
 
 
 @query(f"""WITH {_LEXED}, {_COLUMNS}, {_ATTACHED}
