@@ -83,8 +83,7 @@ def ddl_attachments(spark, sf):
 @query(f"""WITH {_LEXED}, {_COLUMNS}, {_ATTACHED}
 SELECT script_id, statement, kind, table_name, name FROM att WHERE table_name NOT IN (SELECT table_name FROM cols) OR (kind = 'column comment' AND NOT EXISTS (SELECT 1 FROM cols WHERE cols.table_name = att.table_name AND cols.name = att.name))""")
 def ddl_unattached(spark, sf):
-    of = _tokens(spark, sf)
-    return P.unattached(P.attachments(of), P.table_columns(of))
+    return P.unattached(*_attaching(spark, sf))
 
 
 #: CREATE statements by the tokens after each CREATE; names from the parts after the kind.
