@@ -103,7 +103,7 @@ e AS (SELECT k.*, coalesce((SELECT min(sl.start) FROM sl WHERE sl.script_id = k.
 h AS (SELECT e.*, coalesce((SELECT min(b.start) FROM bare b WHERE b.script_id = e.script_id AND b.start > e.start AND b.start < e.stop AND b.u IN ('AS', 'IS', 'BEGIN')), e.stop) AS head FROM e)
 SELECT script_id, start, kind, name, regexp_replace(substring(sql, start + 1, head - start), '^[\x09-\x0D\x20]+|[\x09-\x0D\x20]+$', '', 'g') AS signature, sha256(substring(sql, start + 1, stop - start)) AS body_sha FROM h""")
 def stored_units(spark, sf):
-    return P.stored_units(_tokens(spark, sf), load(spark, sf, "scripts")).select("script_id", "start", "kind", "name", "signature", F.sha2(F.col("body").cast("binary"), 256).alias("body_sha"))
+    return P.stored_units_of(load(spark, sf, "scripts"), _checkpoint(spark)).select("script_id", "start", "kind", "name", "signature", F.sha2(F.col("body").cast("binary"), 256).alias("body_sha"))
 
 
 @query(f"WITH {_LEXED}, {_CREATES} SELECT script_id, start FROM c3 WHERE replaced AND word IS NULL")
