@@ -19,10 +19,6 @@ own AS (SELECT script_id, i, start, raw, CASE WHEN regexp_matches(raw, '^[\p{{L}
 bare AS (SELECT *, CASE WHEN raw[1] = '"' THEN regexp_replace(raw, '^"|"$', '', 'g') ELSE raw END AS name FROM own)"""
 
 
-def _tokens(spark: SparkSession, sf: str) -> DataFrame:
-    return _checkpoint(spark)(P.tokens(P.blocks_of(load(spark, sf, "scripts"))))
-
-
 @query(f"""WITH {_LEXED},
 s AS (SELECT script_id, statement, min(start) AS start, max(start + length(raw)) AS stop, count(*) AS n_tokens FROM own GROUP BY ALL)
 SELECT script_id, statement, start, (stop - start)::INT AS n_chars, n_tokens, sha256(substring(sql, start + 1, stop - start)) AS sha FROM s JOIN scripts USING (script_id)""")
@@ -108,4 +104,4 @@ def stored_units(spark, sf):
 
 @query(f"WITH {_LEXED}, {_CREATES} SELECT script_id, start FROM c3 WHERE replaced AND word IS NULL")
 def unrecognized_units(spark, sf):
-    return P.unrecognized_units(_tokens(spark, sf))
+    return P.unrecognized_units_of(load(spark, sf, "scripts"), _checkpoint(spark))
