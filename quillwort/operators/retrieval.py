@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
@@ -13,6 +15,8 @@ from quillwort.functions.text import link_tokens, runs, search_tokens
 BROADCAST_TERMS = 200_000
 #: Scores are rounded, and sums depend on their order: by so much a pair may fall short while it is only a candidate.
 SLACK = 1e-5
+#: Words up to which a card's title or an entry brings all of them along with each.
+MOST_WORDS = 256
 
 
 def in_client_scope(client: str | None) -> Column:
@@ -57,24 +61,38 @@ def search_objects(objects: DataFrame, query: str, limit: int = 20) -> DataFrame
     return objects.select("card_id", "title", score.alias("score")).where("score > 0").orderBy(F.desc("score"), "card_id").limit(limit)
 
 
-def suggest_links(entries: DataFrame, cards: DataFrame, top: int = 3, least: float = 0.30, shared: int = 2) -> DataFrame:
+def suggest_links(entries: DataFrame, cards: DataFrame, top: int = 3, least: float = 0.30, shared: int = 2, checkpoint: Callable[[DataFrame], DataFrame] = lambda df: df) -> DataFrame:
     """Links of entries(entry_id, query) to concept cards: the share of the card's idf mass that the entry's words cover.
 
     An entry that has none of a card's rarest words, whose mass leaves less than ``least`` of it to the rest, cannot reach
-    ``least``.  So entries meet cards by these words only, never by a card's common ones, and the pairs that met are counted
-    in full.  What is sorted or gathered by card is a title's words.
+    ``least``.  So entries meet cards by these words only, never by a card's common ones.  Both bring all their words along: a
+    pair is scored in full where it first meets, and what is exchanged grows with the words and the links, not with the pairs
+    that meet.  What has over ``MOST_WORDS`` words brings none; its pairs are gathered and counted afterwards.
     """
     target = cards.where("type = 'concept'").select("card_id", F.explode(link_tokens(F.concat_ws(" ", "title", F.replace("card_id", F.lit("/"), F.lit(" "))))).alias("t"))
     n = target.select("card_id").distinct().count()
     idf = target.groupBy("t").agg((F.log(F.lit(n + 1.0) / (F.count("*") + F.lit(1.0))) + 1.0).alias("idf"))
-    weighted = target.join(idf, "t")
-    held = weighted.groupBy("card_id").agg(F.sum("idf").alias("mass"), F.collect_list(F.struct("t", "idf")).alias("w"))
-    rest = W.partitionBy("card_id").orderBy(F.desc("idf"), "t").rowsBetween(W.currentRow, W.unboundedFollowing)
-    rare = weighted.withColumn("rest", F.sum("idf").over(rest)).withColumn("all", F.sum("idf").over(W.partitionBy("card_id"))).where(F.col("rest") >= (least - SLACK) * F.col("all")).select("card_id", "t")
-    words = entries.select("entry_id", F.explode(link_tokens("query")).alias("t"))
-    met = words.join(rare, "t").select("entry_id", "card_id").distinct().join(held, "card_id").select("entry_id", "card_id", "mass", F.explode("w").alias("w"))
-    got = met.select("entry_id", "card_id", "mass", "w.t", "w.idf").join(words, ["entry_id", "t"]).groupBy("entry_id", "card_id").agg(F.first("mass").alias("mass"), F.sum("idf").alias("hit"), F.count("*").alias("n_shared")).where(F.col("n_shared") >= shared)
-    scored = got.withColumn("score", F.round(F.col("hit") / F.col("mass"), 6)).where(F.col("score") >= least)
+    held = target.join(idf, "t").groupBy("card_id").agg(F.sum("idf").alias("mass"), F.sort_array(F.collect_list(F.struct("idf", "t")), False).alias("w"))
+    leaves = lambda s: F.col("mass") - s["before"] >= (least - SLACK) * F.col("mass")
+    rarest = F.aggregate("w", F.struct(F.lit(0.0).alias("before"), F.lit(0).alias("n")), lambda s, x: F.struct((s["before"] + x["idf"]).alias("before"), (s["n"] + F.when(leaves(s), 1).otherwise(0)).alias("n")))
+    held = checkpoint(held.withColumn("rarest", rarest["n"]))
+    asked = checkpoint(entries.select("entry_id", link_tokens("query").alias("ws")))
+    rare = held.withColumn("t", F.explode(F.transform(F.array_distinct(F.slice("w", 1, F.col("rarest"))), lambda x: x["t"])))
+    words = asked.withColumn("t", F.explode("ws"))
+    few, few_asked = F.size("w") <= MOST_WORDS, F.size("ws") <= MOST_WORDS
+    common = F.filter("w", lambda x: F.array_contains("ws", x["t"]))
+    hit = lambda c: F.aggregate(c, F.lit(0.0), lambda a, x: a + x["idf"])
+    tally = F.transform(F.array(common), lambda c: F.struct(F.get(c, 0)["t"].alias("first"), F.size(c).cast("long").alias("n_shared"), F.round(hit(c) / F.col("mass"), 6).alias("score")))
+    # The words of w and those that meet go by the same order, so the first common one is one that meets.
+    enough = F.filter(tally, lambda x: (x["first"] == F.col("t")) & (x["n_shared"] >= shared) & (x["score"] >= least))
+    scored = words.where(few_asked).join(rare.where(few), "t").select("entry_id", "card_id", F.explode(enough).alias("x")).select("entry_id", "card_id", "x.n_shared", "x.score")
+    many, many_asked = not held.where(~few).isEmpty(), not asked.where(~few_asked).isEmpty()
+    if many or many_asked:
+        word, own = words.select("entry_id", "t"), words.where(~few_asked).select("entry_id", "t")
+        pairs = word.join(rare.where(~few).select("card_id", "t"), "t").unionByName(own.join(rare.where(few).select("card_id", "t"), "t")).select("entry_id", "card_id").distinct()
+        met = pairs.join(held, "card_id").select("entry_id", "card_id", "mass", F.explode("w").alias("x")).select("entry_id", "card_id", "mass", "x.t", "x.idf").join(word, ["entry_id", "t"])
+        got = met.groupBy("entry_id", "card_id").agg(F.count("*").alias("n_shared"), F.round(F.sum("idf") / F.first("mass"), 6).alias("score"))
+        scored = scored.unionByName(got.where((F.col("n_shared") >= shared) & (F.col("score") >= least)))
     return scored.withColumn("place", F.row_number().over(W.partitionBy("entry_id").orderBy(F.desc("score"), "card_id"))).where(F.col("place") <= top).select("entry_id", "card_id", "n_shared", "score", "place")
 
 

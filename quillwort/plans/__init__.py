@@ -83,7 +83,7 @@ g AS (SELECT entry_id, card_id, sum(idf) AS hit, count(*) AS n_shared FROM e JOI
 s AS (SELECT entry_id, card_id, n_shared, round(hit / mass, 6) AS score FROM g JOIN mass USING (card_id))
 SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY entry_id ORDER BY score DESC, card_id)::INT AS place FROM s WHERE score >= 0.30) WHERE place <= 3""")
 def suggest_links(spark, sf):
-    return R.suggest_links(load(spark, sf, "tickets").select(F.col("ticket_id").alias("entry_id"), F.col("subject").alias("query")), load(spark, sf, "cards"))
+    return R.suggest_links(load(spark, sf, "tickets").select(F.col("ticket_id").alias("entry_id"), F.col("subject").alias("query")), load(spark, sf, "cards"), checkpoint=_checkpoint(spark))
 
 
 @query("""

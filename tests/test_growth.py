@@ -1,8 +1,12 @@
 """What grows with the input: rounds, exchanges, candidates; results stay those of the plain way."""
 
+import math
 import random
+import re
+from collections import Counter
 
 from quillwort.operators import curation as C
+from quillwort.operators import retrieval as R
 from quillwort.operators import scripts as P
 from test_scripts import SAMPLE, slow_statements
 
@@ -88,3 +92,29 @@ def test_columns_attachments_and_units_are_read_without_an_exchange(spark, monke
     monkeypatch.setattr(P, "WHOLE", 40)
     assert rows(P.stored_units_of(scripts, kept)) == rows(in_row[2])
     assert rows(P.unrecognized_units_of(scripts, kept)) == rows(in_row[3])
+
+
+def slow_links(entries, cards):
+    df = Counter(w for ws in cards.values() for w in ws)
+    idf = {w: math.log((len(cards) + 1) / (k + 1)) + 1 for w, k in df.items()}
+    out = []
+    for e, asked in entries.items():
+        scored = [(-round(sum(idf[w] for w in ws & asked) / sum(idf[w] for w in ws), 6), c, len(ws & asked)) for c, ws in cards.items() if len(ws & asked) >= 2]
+        out += [(e, c, n, -s, k) for k, (s, c, n) in enumerate(sorted(x for x in scored if -x[0] >= 0.30)[:3], 1)]
+    return sorted(out)
+
+
+def test_links_exchange_no_pairs(spark, monkeypatch):
+    rng = random.Random(1)
+    # A few common words, so that most entries meet most cards, and some of many words.
+    draw = lambda k: {f"word{min(int(rng.expovariate(0.12)), 60):02d}" for _ in range(k)}
+    cards = {f"p{k % 9}/{1000 + k}": draw(rng.choice((2, 4, 7, 30))) for k in range(120)}
+    entries = {k: draw(rng.choice((0, 2, 5, 9, 40))) for k in range(90)}
+    c = spark.createDataFrame([(k, "concept", " ".join(sorted(w))) for k, w in cards.items()] + [("p0/x", "issue", "word00")], "card_id string, type string, title string")
+    e = spark.createDataFrame([(k, " ".join(w)) for k, w in entries.items()] + [(-1, None)], "entry_id long, query string")
+    want = slow_links(entries, {k: w | {k.split("/")[1]} for k, w in cards.items()})
+    got = R.suggest_links(e, c, checkpoint=kept)
+    assert not re.search(r"hashpartitioning\(entry_id#\w+, card_id#", got._jdf.queryExecution().executedPlan().toString())
+    assert sorted(map(tuple, got.collect())) == want and len(want) > 150
+    monkeypatch.setattr(R, "MOST_WORDS", 6)
+    assert sorted(map(tuple, R.suggest_links(e, c).collect())) == want
